@@ -69,12 +69,18 @@ def _suffix(values: tuple[str, ...]) -> str:
     return "(?i)(" + "|".join(v.replace(".", r"\.") for v in values) + ")$"
 
 
+# The same tests on the path as it is written, either separator, so that a filter reads it once per test.
+_SEP = r"[\\/]"
+METADATA_TEST = rf"^{_SEP}*__MACOSX{_SEP}.*[^\\/]|(^|{_SEP})\._[^\\/]*{_SEP}*$"
+RAW_TEST = "(?i)(" + "|".join(e.replace(".", r"\.") for e in vocab.RAW_EXTENSIONS) + rf"){_SEP}*$|\.(?:d|raw){_SEP}.*[^\\/]"
+
+
 def is_archive_metadata(path: Column | str) -> Column:
-    return norm_path(path).startswith(vocab.METADATA_PREFIX) | basename(path).startswith("._")
+    return _c(path).rlike(METADATA_TEST)
 
 
 def is_raw_like(path: Column | str) -> Column:
-    return ~is_archive_metadata(path) & (basename(path).rlike(_suffix(vocab.RAW_EXTENSIONS)) | in_vendor_folder(path))
+    return ~_c(path).rlike(METADATA_TEST) & _c(path).rlike(RAW_TEST)
 
 
 def is_nested_archive(path: Column | str) -> Column:
@@ -82,7 +88,7 @@ def is_nested_archive(path: Column | str) -> Column:
 
 
 def needs_conversion(path: Column | str) -> Column:
-    return norm_path(path).rlike(_suffix(vocab.CONVERSION_EXTENSIONS))
+    return _c(path).rlike(_suffix(vocab.CONVERSION_EXTENSIONS)[:-1] + _SEP + "*$")
 
 
 def is_runnable(path: Column | str) -> Column:

@@ -11,11 +11,17 @@ from cairnsift.scale import PRINT, set_print
 
 def index_members(paths: DataFrame, path: str = "path") -> DataFrame:
     """Raw-like members, one row per key: the shown path, the file name and the stem they answer to."""
-    raw = paths.where(names.is_raw_like(path)).select(
-        names.member_key(path).alias("member_key"), names.vendor_root(path).alias("shown"))
-    return raw.groupBy("member_key").agg(F.min("shown").alias("member_path")).select(
-        "member_key", "member_path", names.basename("member_key").alias("name"),
-        F.lower(names.stem("member_key")).alias("stem"), names.needs_conversion("member_key").alias("converts"))
+    raw = paths.where(names.is_raw_like(path)).select(names.vendor_root(path).alias("shown"))
+    # Keys that cannot be null keep the planner from adding not-null filters under each join, so that the joins
+    # by name and by stem read one shared exchange.
+    some = lambda c: F.coalesce(c, F.lit(""))
+    return raw.groupBy(some(F.lower("shown")).alias("member_key")).agg(F.min("shown").alias("member_path")).select(
+        "member_key", "member_path", some(names.basename("member_key")).alias("name"),
+        some(F.lower(names.stem("member_key"))).alias("stem"), some_flag(names.needs_conversion("member_key")).alias("converts"))
+
+
+def some_flag(value: Column) -> Column:
+    return F.coalesce(value, F.lit(False))
 
 
 def index_names(members: DataFrame) -> DataFrame:

@@ -9,13 +9,13 @@ from cairnsift.queries.registry import Dialect, shape
 def listing(d: Dialect) -> str:
     """An archive listing: one row per line item, with two separators, vendor folders and copies."""
     return f"""
-SELECT concat('arc', {d.text('l_tax')}, '.zip') AS archive,
+SELECT concat('arc', l_returnflag, l_linestatus, '.zip') AS archive,
        concat('batch', {d.text('l_suppkey')},
               CASE WHEN l_linestatus = 'O' THEN '/' ELSE chr(92) END,
               CASE l_returnflag WHEN 'A' THEN 'POS' WHEN 'N' THEN 'neg_C18' ELSE 'mix' END,
               '/S', {d.text('l_orderkey')}, '_', {d.text('l_linenumber')},
               CASE WHEN l_linestatus = 'O' THEN '_pos' ELSE '_neg' END,
-              CASE cast(round(l_discount * 100) AS int)
+              CASE cast(floor(l_discount * 100 + 0.5) AS int)
                    WHEN 0 THEN '.raw' WHEN 1 THEN '.mzML' WHEN 2 THEN '.mzXML' WHEN 3 THEN '.d/AcqData/MSScan.bin'
                    WHEN 4 THEN '.wiff' WHEN 5 THEN '.txt' WHEN 6 THEN '.zip' WHEN 7 THEN '.RAW'
                    WHEN 8 THEN '.cdf' WHEN 9 THEN '.raw/_FUNC001.DAT' ELSE '' END) AS path,
@@ -60,7 +60,7 @@ SELECT concat('U', {d.text('o_orderkey')}) AS unit_id, o_orderkey,
        CASE WHEN c_nationkey < 3 THEN 'Bruker timsTOF Pro' WHEN c_nationkey < 8 THEN 'SCIEX ZenoTOF 7600'
             WHEN c_nationkey < 12 THEN 'Thermo' WHEN c_nationkey < 18 THEN 'Thermo Orbitrap Fusion'
             WHEN c_nationkey < 22 THEN 'unknown' ELSE 'Agilent 6545' END AS instrument,
-       o_orderstatus, o_orderdate, cast(round(o_totalprice * 100) AS bigint) AS price_cents
+       o_orderstatus, o_orderdate, cast(floor(o_totalprice * 100 + 0.5) AS bigint) AS price_cents
 FROM {d.table('orders')} JOIN {d.table('customer')} ON o_custkey = c_custkey"""
 
 
@@ -200,8 +200,8 @@ SELECT event_id AS attempt_id, concat('u', {d.text('user_id')}) AS unit_key,
        CASE event_type WHEN 'purchase' THEN 'ok' WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'fault'
             WHEN 'view' THEN 'busy' ELSE 'interrupted' END AS outcome,
        CASE WHEN {d.kprop()} < 50 THEN 1 ELSE 0 END AS network,
-       {d.us('ts')} AS started_us, {d.us('ts')} + cast(round(value * 1000000) AS bigint) * 60 AS ended_us,
-       {d.kprop()} AS k, cast(round(value * 100) AS bigint) AS bytes
+       {d.us('ts')} AS started_us, {d.us('ts')} + cast(floor(value * 1000000 + 0.5) AS bigint) * 60 AS ended_us,
+       {d.kprop()} AS k, cast(floor(value * 100 + 0.5) AS bigint) AS bytes
 FROM {d.table('events')}"""
 
 
