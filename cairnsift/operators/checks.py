@@ -211,7 +211,7 @@ def t_exclusion_listing(keyed: DataFrame, members: DataFrame, groups: DataFrame)
 def kept_and_excluded(keyed: DataFrame) -> DataFrame:
     """Excluded members that the unit also keeps (key equality, or stems where one is unresolved)."""
     gone = keyed.where("kind = 'excluded_member'").select("unit_id", "key", "resolved").distinct().withColumn("id", F.struct("unit_id", "key"))
-    both = matching.same_file(gone, keyed.where("reason IS NULL"), ["unit_id"], "id", "id")
+    both = matching.same_file(gone, keyed.where("reason IS NULL"), ["unit_id"], "id")
     return findings(both.select("id.unit_id", "id.key"), "T-EXCL", "error", F.col("key"), "kept_and_excluded")
 
 

@@ -81,12 +81,12 @@ def resolve_within(rows: DataFrame, members: DataFrame, prefixes: list[str], nam
 
 def item_keys(items: DataFrame, members: DataFrame) -> DataFrame:
     """Adds ``key`` and ``resolved``: the member path's key, the row's resolved member, or ``raw:<stem>``."""
-    found = resolve(items, members)
+    found = resolve(items.withColumnRenamed("kind", "_item_kind"), members)
     has = F.coalesce(F.col("member_path"), F.lit("")) != ""
     own = names.member_key("member_path")
     known = F.col("raw_file").contains("/")
     return found.select(
-        *items.columns,
+        *[F.col("_item_kind").alias("kind") if c == "kind" else F.col(c) for c in items.columns],
         F.when(has, own).when(known, names.member_key("raw_file")).when(F.col("member_key").isNotNull(), F.col("member_key"))
         .otherwise(F.concat(F.lit("raw:"), F.lower(names.stem("raw_file")))).alias("key"),
         (has | known | F.col("member_key").isNotNull()).alias("resolved"))
@@ -97,25 +97,18 @@ def key_stem(key: Column | str) -> Column:
     return F.when(k.startswith("raw:"), F.substring(k, 5, 100000)).otherwise(F.lower(names.stem(k)))
 
 
-def same_file(left: DataFrame, right: DataFrame, on: list[str], left_id: str, right_id: str) -> DataFrame:
+def same_file(left: DataFrame, right: DataFrame, on: list[str], left_id: str) -> DataFrame:
     """Which left items name a file the right side holds: key equality, or stem equality when either is unresolved.
 
-    Two equi semi-joins instead of an OR condition; the result has one row per matching left item and
-    keeps no pair list."""
-    r = right.select(*on, F.col("key").alias("_key"), F.col("resolved").alias("_res"), key_stem("key").alias("_stem"))
-    keyed = left.withColumn("_ls", key_stem("key"))
-    by_key = _semi(keyed, r.select(*on, "_key").distinct(), on, "key", "_key")
-    loose = _semi(keyed, r.where("NOT _res").select(*on, "_stem").distinct(), on, "_ls", "_stem")
-    from_loose = _semi(keyed.where("NOT resolved"), r.select(*on, "_stem").distinct(), on, "_ls", "_stem")
-    return by_key.select(left_id).union(loose.select(left_id)).union(from_loose.select(left_id)).distinct()
-
-
-def _semi(left: DataFrame, right: DataFrame, on: list[str], lcol: str, rcol: str) -> DataFrame:
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], rcol)
-    match = F.col(lcol) == F.col(rcol)
-    for c in on:
-        match = match & (F.col(c) == F.col(f"_r_{c}"))
-    return left.join(renamed, match, "left_semi")
+    The OR becomes tokens: each side lists the keys and stems it answers to, so one equi semi-join decides and no
+    pair list is kept. One row per matching left item."""
+    ls, rs = F.concat(F.lit("loose:"), key_stem("key")), F.concat(F.lit("stem:"), key_stem("key"))
+    key = F.concat(F.lit("key:"), F.col("key"))
+    asks = F.array_compact(F.array(key, ls, F.when(~F.col("resolved"), rs)))
+    gives = F.array_compact(F.array(key, rs, F.when(~F.col("resolved"), ls)))
+    held = right.select(*on, F.explode(gives).alias("_token")).distinct()
+    asked = left.select(*on, F.col(left_id), F.explode(asks).alias("_token"))
+    return asked.join(held, [*on, "_token"], "left_semi").select(left_id).distinct()
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -142,7 +135,7 @@ def belongs_to_other(excluded: DataFrame, kept: DataFrame, units: DataFrame) ->
     asked = excluded.withColumn("target", F.col("belongs_to_unit"))
     known = asked.join(units.select(F.col("unit_id").alias("_u"), F.lit(True).alias("_known")).distinct(), F.col("target") == F.col("_u"), "left")
     left = asked.select("id", F.col("target").alias("unit_id"), "key", "resolved").where("unit_id IS NOT NULL")
-    held = same_file(left, kept, ["unit_id"], "id", "unit_id").select(F.col("id").alias("_id"), F.lit(True).alias("_held"))
+    held = same_file(left, kept, ["unit_id"], "id").select(F.col("id").alias("_id"), F.lit(True).alias("_held"))
     out = known.join(held, F.col("id") == F.col("_id"), "left")
     result = (F.when(F.coalesce(F.col("target"), F.lit("")) == "", "unnamed").when(F.col("target") == F.col("unit_id"), "self")
               .when(F.col("_known").isNull(), "unknown_unit").when(F.col("_held").isNull(), "not_kept").otherwise("ok"))

@@ -162,4 +162,6 @@ def j25(t: Tables):
     kept, held = kept_and_held(t)
     placed = kept.select("unit_id", "key").unionByName(held.select("unit_id", "key")).distinct()
     groups = duplicates.content_groups(t["item_listing"])
-    return duplicates.other_arm(kept, groups, placed).select("unit_id", "key", "ion_mode", "chromatography", "by_folder", "by_token")
+    out = duplicates.other_arm(kept, groups, placed)
+    return out.groupBy("unit_id", "key", "ion_mode", "chromatography").agg(
+        F.bool_or("by_folder").alias("by_folder"), F.bool_or("by_token").alias("by_token"))

@@ -88,7 +88,7 @@ def j3(t: Tables):
     keyed = item_keys(t)
     gone = keyed.where("reason IS NOT NULL").select("unit_id", "l_orderkey", "key", "resolved").distinct().withColumn(
         "id", F.struct("l_orderkey", "key"))
-    hit = matching.same_file(gone, keyed.where("reason IS NULL"), ["unit_id"], "id", "id")
+    hit = matching.same_file(gone, keyed.where("reason IS NULL"), ["unit_id"], "id")
     return hit.select("id.l_orderkey", "id.key")
 
 
