@@ -91,7 +91,7 @@ def key_value_texts(t: Tables):
 
 
 @query("s6_key_values", sql="""
-SELECT o_orderkey, 'MS:INSTRUMENT' AS k, CAST(2 AS INTEGER) AS first_line, concat(o_orderstatus, '-one ', o_orderpriority) AS value FROM orders
+SELECT o_orderkey, 'MS:INSTRUMENT' AS k, CAST(2 AS BIGINT) AS first_line, concat(o_orderstatus, '-one ', o_orderpriority) AS value FROM orders
 UNION ALL SELECT o_orderkey, 'CH:COLUMN', 7, concat(repeat(o_orderstatus, 600), ' [cut; line 7]') FROM orders""")
 def s6(t: Tables):
     return files.key_values(files.lines(key_value_texts(t), "o_orderkey"), "o_orderkey")

@@ -132,7 +132,7 @@ def lines(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Lines of whole texts with their number from 1."""
     parts = F.split(F.regexp_replace(text, "\r\n", "\n"), "\n")
     return texts.select(key, F.posexplode(parts).alias("_p", "line")).select(
-        key, (F.col("_p") + 1).alias("line_no"), "line")
+        key, (F.col("_p") + 1).cast("bigint").alias("line_no"), "line")
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
