@@ -162,7 +162,7 @@ def components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) ->
     Alternates large-star and small-star rounds, which need O(log n) of them and only
     minima per node, so a node touching a third of all edges is one aggregate row.
     """
-    both = edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
+    both = cut_lineage(edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct())
     nodes = both.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     links = cut_lineage(both.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())

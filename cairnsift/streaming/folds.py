@@ -1,0 +1,154 @@
+"""Stateful jobs as folds over micro-batches.
+
+A fold keeps a small state table (one row per key) beside its output. Each micro-batch is a plain DataFrame, so the
+step uses the same skew-safe operators as the batch twin, and nothing runs key by key in Python. State and output are
+written under the batch's number: a batch that is run again reads the state before it and overwrites its own output.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from cairnsift import vocab
+from cairnsift.functions.names import _c
+from cairnsift.operators import ledger
+
+Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared checkpoint place the cluster names; a local one only where none is named."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{base}/fold-{uuid.uuid4().hex}"
+
+
+def start_fold(stream: DataFrame, root: str, step: Step, state_schema: str, **trigger) -> StreamingQuery:
+    """Run ``step(batch, state) -> (output, new state)`` over the micro-batches of a stream."""
+    def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        empty = spark.createDataFrame([], state_schema)
+        state = spark.read.schema(state_schema).parquet(f"{root}/state/{number - 1}") if number > 0 else empty
+        out, new = step(batch, state)
+        new.write.mode("overwrite").parquet(f"{root}/state/{number}")
+        out.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
+
+
+def run_fold(stream: DataFrame, step: Step, state_schema: str, root: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Run a fold over what is available; returns (all output, last state)."""
+    spark = stream.sparkSession
+    root = root or scratch(spark)
+    query = start_fold(stream, root, step, state_schema)
+    query.awaitTermination()
+    last = query.lastProgress["batchId"] if query.lastProgress else 0
+    states = f"{root}/state/{last}"
+    return spark.read.parquet(f"{root}/out").drop("batch"), spark.read.schema(state_schema).parquet(states)
+
+
+# ---- steps --------------------------------------------------------------------
+
+STALLED_STATE = "unit_key string, seq bigint, at_us bigint, bytes bigint, since_us bigint"
+
+
+def stalled_step(window_us: int) -> Step:
+    """Readings whose bytes have not changed for longer than the window. State: the unit's last reading and last change."""
+    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = batch.select("unit_key", "seq", "at_us", F.col("bytes").cast("bigint").alias("bytes"), "fetching", F.lit(None).cast("bigint").alias("since_us"))
+        carried = state.select("unit_key", "seq", "at_us", "bytes", F.lit(False).alias("fetching"), "since_us")
+        all_ = carried.unionByName(rows)
+        seen = ledger.ordered(all_, ["unit_key"], ["seq"], ledger.blocks("seq", ledger.WIDTH), lag={"_before": "bytes", "_was": "seq"})
+        moved = F.when(F.col("since_us").isNotNull(), F.col("since_us")).when(F.col("_was").isNull() | (F.col("_before") != F.col("bytes")), F.col("at_us"))
+        run = ledger.ordered(seen.withColumn("_moved", moved), ["unit_key"], ["seq"], ledger.blocks("seq", ledger.WIDTH), prior_max={"_last": "_moved"})
+        run = run.withColumn("_since", F.greatest("_last", "_moved"))
+        out = run.where(F.col("fetching") & (F.col("at_us") - F.col("_since") > window_us) & F.lit(window_us > 0)).select(
+            "unit_key", "seq", (F.col("at_us") - F.col("_since")).alias("idle_us"))
+        new = run.groupBy("unit_key").agg(F.max_by(F.struct("seq", "at_us", "bytes", F.col("_since").alias("since_us")), "seq").alias("s")).select("unit_key", "s.*")
+        return out, new
+    return step
+
+
+SILENT_STATE = "unit_key string, seq bigint, at_us bigint"
+
+
+def silent_step(window_us: int) -> Step:
+    """Silences longer than the window between heartbeats. State: each holder's last heartbeat."""
+    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        all_ = state.unionByName(batch.select("unit_key", "seq", "at_us"))
+        out = ledger.silent_gaps(all_, window_us).where("silence_us IS NOT NULL")
+        new = all_.groupBy("unit_key").agg(F.max("seq").alias("seq"), F.max_by("at_us", "seq").alias("at_us"))
+        return out, new
+    return step
+
+
+OUTAGE_STATE = "repository string, group_id string, end_pos bigint, streak boolean, last_ok bigint, last_net bigint, old_failure bigint"
+
+
+def outage_step() -> Step:
+    """Open network streaks per repository. State: maxima per (repository, group); batches arrive in log order."""
+    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        a = batch.where(F.col("step").isin("download", "download_start"))
+        failed = F.col("outcome").isin("failed", "stalled", "fault")
+        net, fine, pos = failed & (F.col("network") == 1), (F.col("outcome") == "ok") & (F.col("step") == "download"), F.col("attempt_id")
+        fresh_end = a.groupBy("repository").agg(F.max(F.when(fine | (failed & (F.col("network") != 1)), pos)).alias("e"))
+        known_end = state.groupBy("repository").agg(F.max("end_pos").alias("s"))
+        ends = fresh_end.join(known_end, "repository", "full_outer").select("repository", F.greatest("e", "s", F.lit(-1)).alias("end_pos"), F.coalesce("s", F.lit(-1)).alias("was"))
+        end = F.col("end_pos")
+        part = a.join(ends, "repository").groupBy("repository", "group_id").agg(
+            F.max(F.when(fine, pos)).alias("b_ok"), F.max(F.when(net, pos)).alias("b_net"), F.max(F.when(net & (pos < end), pos)).alias("b_old"))
+        held = state.drop("end_pos", "streak")
+        both = held.join(part, ["repository", "group_id"], "full_outer").join(ends, "repository")
+        # What was open before a new end is now old.
+        old = F.greatest("old_failure", "b_old", F.when(F.col("last_net") < end, F.col("last_net")))
+        last_net, last_ok = F.greatest("last_net", "b_net"), F.greatest("last_ok", "b_ok")
+        new = both.select("repository", "group_id", "end_pos", F.coalesce(last_net > end, F.lit(False)).alias("streak"), last_ok.alias("last_ok"), last_net.alias("last_net"), old.alias("old_failure"))
+        return open_streaks(new), new
+    return step
+
+
+def open_streaks(state: DataFrame) -> DataFrame:
+    persistent = F.coalesce(F.col("old_failure") > F.coalesce("last_ok", F.lit(-1)), F.lit(False))
+    return state.where(F.col("streak") & ~persistent).select("repository", "group_id")
+
+
+RETRY_STATE = "unit_key string, failures bigint, interruptions bigint, last_id bigint, due_us bigint"
+
+
+def retry_step(now_us: int | None = None) -> Step:
+    """Retries that fall due: one row per unit once its delay has passed by the newest attempt seen (or ``now_us``).
+    State: counts per unit."""
+    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        last = batch.agg(F.max("started_us").alias("n")).first()["n"]
+        clock = now_us if now_us is not None else (last if last is not None else 0)
+        b = batch.groupBy("unit_key").agg(
+            F.count_if(F.col("outcome") == "failed").alias("bf"), F.count_if(F.col("outcome") == "interrupted").alias("bi"), F.max("attempt_id").alias("b_id"),
+            F.max_by("ended_us", F.when(F.col("outcome").isin("failed", "interrupted"), F.col("attempt_id"))).alias("b_end"))
+        z = lambda c: F.coalesce(F.col(c), F.lit(0))
+        both = state.join(b, "unit_key", "full_outer").select(
+            "unit_key", (z("failures") + z("bf")).alias("failures"), (z("interruptions") + z("bi")).alias("interruptions"), F.greatest("last_id", "b_id").alias("last_id"), "due_us", "b_end")
+        n = F.col("failures") + F.greatest(F.lit(0), F.col("interruptions") - vocab.MAX_INTERRUPTIONS)
+        delay = F.when(n == 1, F.lit(vocab.RETRY_DELAYS[0])).otherwise(F.lit(vocab.RETRY_DELAYS[-1])).cast("bigint") * 1_000_000
+        due = F.when((n > 0) & (n < vocab.MAX_ATTEMPTS), F.when(F.col("b_end").isNotNull(), F.col("b_end") + delay).otherwise(F.col("due_us")))
+        new = both.withColumn("due_us", due).select("unit_key", "failures", "interruptions", "last_id", "due_us")
+        return new.where(F.col("due_us") <= clock).select("unit_key", "failures", "due_us"), new
+    return step
+
+
+BARRIER_STATE = "unit_key string, group_id string, state string, seq bigint"
+
+
+def barrier_step(passed: list[str]) -> Step:
+    """Groups whose members are all past the barrier after each batch. State: each unit's last state."""
+    def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+        fresh = batch.select("unit_key", "group_id", _c("to_state").alias("state"), "seq")
+        new = state.unionByName(fresh).groupBy("unit_key").agg(F.max_by(F.struct("group_id", "state", "seq"), "seq").alias("s")).select("unit_key", "s.*")
+        return ledger.group_barrier(new, passed).where("open").select("group_id", "members"), new
+    return step
