@@ -29,7 +29,7 @@ FACT_SHAPES = ("payload", "item", "flag", "question", "child")
 
 
 def facts(t: Tables):
-    return checks.unit_facts(t["payload"], t["item"], t["flag"], t["question"], t["child"])
+    return checks.unit_facts(t["payload"], t.stored("item"), t["flag"], t["question"], t["child"])
 
 
 def rules_sql(source: str, check: str, subject: str, rules: dict[str, str], severity: str = "'error'") -> str:
@@ -157,7 +157,7 @@ LISTED = mem_cte("item_listing") + ",\n" + ITEM_KEYS + ",\n" + groups_cte("item_
 SELECT 'T-EXCL' AS check_id, 'error' AS severity, unit_id, key AS subject, 'listed_after_all' AS message FROM keyst WHERE reason = 'not_in_archive' AND key IN (SELECT member_key FROM mem)
 UNION ALL SELECT 'T-EXCL', 'error', unit_id, key, 'no_twin' FROM keyst WHERE reason IN ('duplicate_content', 'shared_content_unassigned') AND key NOT IN (SELECT member_key FROM grp)""")
 def t_excl_listing(t: Tables):
-    return checks.t_exclusion_listing(item_keys(t), matching.index_members(t["item_listing"]), duplicates.content_groups(t["item_listing"]))
+    return checks.t_exclusion_listing(item_keys(t), matching.index_members(t.stored("item_listing")), duplicates.content_groups(t.stored("item_listing")))
 
 
 @query("t_kept_and_excluded", "item", "item_listing", ctes=mem_cte("item_listing") + ",\n" + ITEM_KEYS, sql="""
@@ -200,7 +200,7 @@ FILES_SQL = "\nUNION ALL ".join([
 
 @query("t_files", *FACT_SHAPES, ctes=FACTS, sql=FILES_SQL)
 def t_files(t: Tables):
-    return checks.t_files(t["item"], facts(t))
+    return checks.t_files(t.stored("item"), facts(t))
 
 
 @query("t_acq", *FACT_SHAPES, ctes=FACTS, sql=rules_sql("""(SELECT f.unit_id, f.status, f.flags, f.acquisition_mode AS u_acq, m.modes,
@@ -219,7 +219,7 @@ def t_acq(t: Tables):
 SELECT 'T-MEMBER' AS check_id, 'error' AS severity, unit_id, key AS subject, 'not_listed' AS message FROM keyst WHERE reason IS NULL AND member_path IS NOT NULL AND key NOT IN (SELECT member_key FROM mem)
 UNION ALL SELECT 'T-MEMBER', CASE WHEN f.status = 'ready' THEN 'error' ELSE 'hold' END, k.unit_id, key, 'unresolved' FROM keyst k JOIN facts f USING (unit_id) WHERE reason IS NULL AND NOT resolved""")
 def t_member(t: Tables):
-    return checks.t_member(item_keys(t), matching.index_members(t["item_listing"]), facts(t))
+    return checks.t_member(item_keys(t), matching.index_members(t.stored("item_listing")), facts(t))
 
 
 @query("a18_modes_per_run", "item", "child", sql="""
@@ -268,7 +268,7 @@ ALL_SQL = f"({STATUS_SQL}) UNION ALL ({QUEUE_SQL}) UNION ALL ({FILES_SQL})"
 
 def all_findings(t: Tables):
     f = facts(t)
-    return checks.run_checks([checks.t_status(f), checks.t_queue(f), checks.t_files(t["item"], f)])
+    return checks.run_checks([checks.t_status(f), checks.t_queue(f), checks.t_files(t.stored("item"), f)])
 
 
 @query("a23_verdict", *FACT_SHAPES, ctes=FACTS, sql=f"""

@@ -23,7 +23,7 @@ grp AS (SELECT member_key, gid, count(*) OVER (PARTITION BY gid) AS members, min
 @query("a15_content_groups", "member", ctes=groups_cte("member"), sql="""
 SELECT member_key, first_key, members FROM grp""")
 def a15(t: Tables):
-    g = duplicates.content_groups(t["member"])
+    g = duplicates.content_groups(t.stored("member"))
     first = g.groupBy("group_id").agg(F.min("member_key").alias("first_key"))
     return g.join(first, "group_id").select("member_key", "first_key", "members")
 
@@ -40,7 +40,7 @@ def a15_text(t: Tables):
 @query("w14_twin_ids", "item_listing", ctes=groups_cte("item_listing"), sql="""
 SELECT first_key, max(members) AS members, concat('T', row_number() OVER (ORDER BY first_key, min(gid))) AS twin_id FROM grp GROUP BY first_key, gid""")
 def w14(t: Tables):
-    return duplicates.twin_ids(duplicates.content_groups(t["item_listing"])).select("first_key", "members", "twin_id")
+    return duplicates.twin_ids(duplicates.content_groups(t.stored("item_listing"))).select("first_key", "members", "twin_id")
 
 
 @query("a13_identical_row_tables", sql="""
@@ -73,7 +73,7 @@ SELECT * FROM (WITH u AS (SELECT {duck.root('path')} AS shown, CAST(sum(size) AS
 SELECT f.folder, count(*) AS members, min(size) AS min_size, max(size) AS max_size, string_agg(DISTINCT ext, ',' ORDER BY ext) AS extensions,
   CASE WHEN len(any_value(s)) >= 3 THEN any_value(s)[len(any_value(s)) // 2 + 1] END AS median FROM f LEFT JOIN r USING (folder) GROUP BY 1)""")
 def a12(t: Tables):
-    return duplicates.folder_stats(t["member"]).select("folder", "members", "min_size", "max_size", "extensions", "median")
+    return duplicates.folder_stats(t.stored("member")).select("folder", "members", "min_size", "max_size", "extensions", "median")
 
 
 @query("a12_small_members", "member", sql=f"""
@@ -81,7 +81,7 @@ SELECT * FROM (WITH u AS (SELECT {duck.root('path')} AS shown, CAST(sum(size) AS
   f AS (SELECT *, {duck.folder('shown')} AS folder FROM u WHERE {duck.rawlike('shown')}), r AS (SELECT folder, list_sort(list(size)) AS s FROM f GROUP BY 1)
 SELECT shown, size FROM f JOIN r USING (folder) WHERE len(s) >= 3 AND size * 10 < s[len(s) // 2 + 1])""")
 def a12_small(t: Tables):
-    return duplicates.small_members(t["member"], duplicates.folder_stats(t["member"])).select("shown", "size")
+    return duplicates.small_members(t.stored("member"), duplicates.folder_stats(t.stored("member"))).select("shown", "size")
 
 
 @query("a16_folder_pairs", "member", ctes=groups_cte("member"), sql=f"""
@@ -89,7 +89,7 @@ SELECT least(fa, fb) AS folder_a, greatest(fa, fb) AS folder_b, count(*) AS pair
   SELECT {duck.folder('min(member_key)')} AS fa, {duck.folder('max(member_key)')} AS fb, {duck.base('min(member_key)')} = {duck.base('max(member_key)')} AS same
   FROM grp WHERE members = 2 GROUP BY gid) WHERE fa <> fb GROUP BY 1, 2""")
 def a16(t: Tables):
-    return duplicates.folder_pair_overlap(duplicates.content_groups(t["member"]))
+    return duplicates.folder_pair_overlap(duplicates.content_groups(t.stored("member")))
 
 
 @query("a17_level_word_counts", "worded", sql="""
@@ -146,7 +146,7 @@ SELECT f.unit_id, ok.unit_id IS NOT NULL AS has_twins FROM (SELECT DISTINCT unit
 def a32(t: Tables):
     kept, held = kept_and_held(t)
     flags = t["flag"].where("code = 'shared_content'")
-    groups = duplicates.content_groups(t["item_listing"])
+    groups = duplicates.content_groups(t.stored("item_listing"))
     return duplicates.shared_content_without_keepers(flags, held, groups, kept, held)
 
 
@@ -161,7 +161,7 @@ FROM kept k JOIN tw ON k.key = tw.member_key LEFT JOIN fold f ON f.folder = tw.f
 def j25(t: Tables):
     kept, held = kept_and_held(t)
     placed = kept.select("unit_id", "key").unionByName(held.select("unit_id", "key")).distinct()
-    groups = duplicates.content_groups(t["item_listing"])
+    groups = duplicates.content_groups(t.stored("item_listing"))
     out = duplicates.other_arm(kept, groups, placed)
     return out.groupBy("unit_id", "key", "ion_mode", "chromatography").agg(
         F.bool_or("by_folder").alias("by_folder"), F.bool_or("by_token").alias("by_token"))

@@ -21,7 +21,7 @@ af AS (SELECT 'T-MEMBER' AS check_id, 'hold' AS severity, CAST(NULL AS VARCHAR)
 
 @query("e1_archive_findings", "item", "item_listing", ctes=ARCHIVE, sql="SELECT * FROM af")
 def e1_findings(t: Tables):
-    return accession.archive_findings(t["item_listing"], t["item"])
+    return accession.archive_findings(t.stored("item_listing"), t.stored("item"))
 
 
 @query("e1_accession_verdict", "item", "item_listing", "payload", ctes=ARCHIVE, sql="""
@@ -29,12 +29,12 @@ SELECT * FROM (WITH l AS (SELECT p.accession, p.unit_id, a.severity FROM payload
 SELECT accession, unit_id, CASE WHEN bool_or(severity = 'error') THEN 'error' WHEN bool_or(severity = 'hold') THEN 'hold' ELSE 'pass' END AS verdict,
   count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'hold') AS holds FROM l GROUP BY GROUPING SETS ((accession, unit_id), (accession)))""")
 def e1(t: Tables):
-    return accession.accession_verdict(t["item_listing"], t["item"], t["payload"])
+    return accession.accession_verdict(t.stored("item_listing"), t.stored("item"), t["payload"])
 
 
 @query("e1_listing_summary", "member", sql=f"SELECT archive, count(*) AS members, CAST(sum(size) AS BIGINT) AS bytes, count(*) FILTER ({duck.rawlike('path')}) AS raw_like FROM member GROUP BY 1")
 def e1_summary(t: Tables):
-    return accession.listing_summary(t["member"])
+    return accession.listing_summary(t.stored("member"))
 
 
 E2 = POOLED + """,

@@ -108,7 +108,7 @@ SELECT * FROM (WITH f AS (SELECT DISTINCT l_orderkey, replace(path, chr(92), '/'
   g AS (SELECT *, min((rk, lower(path), path)) FILTER (un IS NULL) OVER (PARTITION BY l_orderkey) AS best FROM r WHERE rk IS NOT NULL)
 SELECT l_orderkey, path, CAST(rk AS INTEGER) AS encoding_rank, CASE WHEN path = best[3] THEN 'used' WHEN un IS NOT NULL THEN un WHEN rk = best[1] THEN 'tie_lexicographic' ELSE 'lower_in_encoding_order' END AS choice FROM g)""")
 def w10(t: Tables):
-    f = t["listing"].select("l_orderkey", F.translate("path", "\\", "/").alias("path"), F.when(F.col("l_linenumber") == 3, "raw_header_unreadable").alias("unreadable")).distinct()
+    f = t.stored("listing").select("l_orderkey", F.translate("path", "\\", "/").alias("path"), F.when(F.col("l_linenumber") == 3, "raw_header_unreadable").alias("unreadable")).distinct()
     return invariants.encoding_choice(f, ["l_orderkey"])
 
 

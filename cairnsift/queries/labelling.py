@@ -26,7 +26,7 @@ LAB_CTES = groups_cte("item_listing") + ",\n" + LAB
 
 
 def labelled(t: Tables):
-    listing = t["item_listing"]
+    listing = t.stored("item_listing")
     twins = duplicates.content_groups(listing).select(F.col("member_key").alias("_m")).distinct().withColumn("_t", F.lit(True))
     paths = listing.select("path").distinct()
     items = paths.join(twins, F.lower("path") == F.col("_m"), "left").select("path", F.coalesce("_t", F.lit(False)).alias("twin"), F.col("path").alias("item_id"))
@@ -84,7 +84,7 @@ SELECT g, count(*) AS n FROM rs, unnest([CASE WHEN unit_id IN ('U1', 'U10', 'U10
   CASE WHEN sample_id IN ('S5', 'S6') THEN 'by_list' END, CASE WHEN kind = 'ambiguous' THEN 'by_kind' END, CASE WHEN starts_with(found_key, 'batch7/') AND regexp_matches(found_key, '\\.raw$') THEN 'by_member' END,
   CASE WHEN kind = 'none' AND {duck.polarity('raw_file')} = 'positive' THEN 'by_token' END]) u(g) WHERE g IS NOT NULL GROUP BY 1""")
 def p9(t: Tables):
-    rows = matching.resolve(t["catalog_row"], matching.index_members(t["member"])).withColumn("attributes", F.create_map(F.lit("priority"), "o_orderpriority"))
+    rows = matching.resolve(t["catalog_row"], matching.index_members(t.stored("member"))).withColumn("attributes", F.create_map(F.lit("priority"), "o_orderpriority"))
     tests = F.array_compact(F.array(*[F.when(labelling.row_matches(s, {"first": ["S5", "S6"]}), F.lit(g)) for g, s in ROW_RULES.items()]))
     return rows.select(F.explode(tests).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
 
@@ -92,7 +92,7 @@ def p9(t: Tables):
 @query("r2_resolution_findings", "member", "catalog_row", ctes=mem_cte() + f",\nrs AS ({resolve_sql('catalog_row')})", sql="""
 SELECT CASE WHEN kind = 'none' THEN 'X-UNRESOLVED' ELSE 'X-AMBIGUOUS' END AS check_id, unit_id, row_index, candidates FROM rs WHERE kind IN ('none', 'ambiguous')""")
 def r2_resolution(t: Tables):
-    return labelling.resolution_findings(matching.resolve(t["catalog_row"], matching.index_members(t["member"])))
+    return labelling.resolution_findings(matching.resolve(t["catalog_row"], matching.index_members(t.stored("member"))))
 
 
 @query("r4_expanded_payload", "item", sql="""

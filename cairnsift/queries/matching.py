@@ -53,13 +53,13 @@ keyst AS (SELECT *, CASE WHEN starts_with(key, 'raw:') THEN substr(key, 5) ELSE
 
 
 def item_keys(t: Tables):
-    return matching.item_keys(t["item"], matching.index_members(t["item_listing"]))
+    return matching.item_keys(t.stored("item"), matching.index_members(t.stored("item_listing")))
 
 
 @query("j1_resolve", "member", "catalog_row", ctes=mem_cte(), sql=f"""
 SELECT unit_id, row_index, kind, found_key AS member_key, candidates FROM ({resolve_sql('catalog_row')})""")
 def j1(t: Tables):
-    members = matching.index_members(t["member"])
+    members = matching.index_members(t.stored("member"))
     return matching.resolve(t["catalog_row"], members).select("unit_id", "row_index", "kind", "member_key", "candidates")
 
 
@@ -68,7 +68,7 @@ SELECT DISTINCT lower(a.raw_file) AS asked, m.member_key FROM ({resolve_sql('cat
 JOIN mem m ON CASE WHEN lower(a.raw_file) IN (SELECT name FROM names) THEN m.name = lower(a.raw_file) ELSE m.stem = lower({duck.stem('a.raw_file')}) END
 WHERE a.kind = 'ambiguous'""")
 def j1_candidates(t: Tables):
-    members = matching.index_members(t["member"])
+    members = matching.index_members(t.stored("member"))
     return matching.candidates(matching.resolve(t["catalog_row"], members), members)
 
 
@@ -76,7 +76,7 @@ def j1_candidates(t: Tables):
        ctes=mem_cte(where="starts_with(lower(shown), 'batch7/') OR starts_with(lower(shown), 'batch12/')"), sql=f"""
 SELECT unit_id, row_index, kind, found_key AS member_key, candidates FROM ({resolve_sql('catalog_row')})""")
 def j2(t: Tables):
-    members = matching.index_members(t["member"])
+    members = matching.index_members(t.stored("member"))
     return matching.resolve_within(t["catalog_row"], members, ["Batch7", "batch12/"]).select("unit_id", "row_index", "kind", "member_key", "candidates")
 
 
@@ -133,7 +133,7 @@ SELECT DISTINCT {KEY} AS member_key FROM item_listing l WHERE {duck.rawlike('pat
   AND {KEY} NOT IN (SELECT {duck.key('member_path')} FROM item WHERE member_path IS NOT NULL)
   AND lower({BASE('path')}) NOT IN (SELECT lower(raw_file) FROM item WHERE member_path IS NULL)""")
 def j7(t: Tables):
-    return matching.loose_members(t["item_listing"], t["item"])
+    return matching.loose_members(t.stored("item_listing"), t["item"])
 
 
 @query("j9_child_members", "item", "child", sql=f"""
@@ -210,7 +210,7 @@ FROM s LEFT JOIN f ON f.tail = s.member_path GROUP BY s.p_partkey, s.size)""")
 def j14(t: Tables):
     s = t["part"].select("p_partkey", F.concat(F.lit("f"), "p_partkey", F.lit("_pos.raw")).alias("member_path"),
                          (F.col("p_size").cast("bigint") * 1000).alias("size"), F.lit(None).cast("string").alias("crc32"))
-    return matching.member_lookup(s, t["item_listing"]).select("p_partkey", "result")
+    return matching.member_lookup(s, t.stored("item_listing")).select("p_partkey", "result")
 
 
 @query("j23_runnable_form", "item", "item_listing", ctes=mem_cte("item_listing"), sql=f"""
@@ -221,7 +221,7 @@ SELECT unit_id, raw_file, member_path, CASE WHEN member_path IS NOT NULL THEN CA
 FROM ({resolve_sql('item')}) WHERE reason = 'requires_conversion'""")
 def j23(t: Tables):
     gone = t["item"].where("reason = 'requires_conversion'").select("unit_id", "raw_file", "member_path")
-    return matching.runnable_form(gone, matching.index_members(t["item_listing"]))
+    return matching.runnable_form(gone, matching.index_members(t.stored("item_listing")))
 
 
 @query("j24_dropped_for_good", "item", sql=f"""

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cairnsift.session import configure
+from cairnsift.session import configure, stored
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -64,12 +64,20 @@ class Tables:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.dialect = Dialect(True, self.root)
+        self._kept: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self.spark.sql(with_shapes(self.dialect, (name,), f"SELECT * FROM {name}"))
 
+    def stored(self, name: str) -> DataFrame:
+        """A shape written once as the table it stands for, for queries that read it several times or run many
+        patterns over its paths."""
+        if name not in self._kept:
+            self._kept[name] = stored(self[name])
+        return self._kept[name]
+
 
 def _closure(names: tuple[str, ...]) -> list[str]:
     order: list[str] = []

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,25 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "cai
     return spark
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared checkpoint place the cluster names; a local one only where none is named."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{base}/part-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """A frame written once as a table in the shared folder and read back by its columns. A scan of fewer splits than
+    cores (one small file) is spread first; a scan of many, as on a cluster, is written as it comes."""
+    spark = frame.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() < cores:
+        frame = frame.repartition(cores)
+    path = scratch(spark)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Materialise a frame in the shared checkpoint folder, so that lost executors
     cost a read and not a replay of every earlier round."""

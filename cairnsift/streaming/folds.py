@@ -7,27 +7,19 @@ written under the batch's number: a batch that is run again reads the state befo
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cairnsift import vocab
 from cairnsift.functions.names import _c
 from cairnsift.operators import ledger
+from cairnsift.session import scratch
 
 Step = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint place the cluster names; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base}/fold-{uuid.uuid4().hex}"
-
-
 def start_fold(stream: DataFrame, root: str, step: Step, state_schema: str, **trigger) -> StreamingQuery:
     """Run ``step(batch, state) -> (output, new state)`` over the micro-batches of a stream."""
     def each(batch: DataFrame, number: int) -> None:
