@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnsift import vocab
 from cairnsift.functions import names, tokens
-from cairnsift.scale import PRINT, blocks, ordered, set_print
+from cairnsift.scale import PRINT, global_rank, set_print
 
 
 def _list(value: Any) -> list:
@@ -153,15 +153,12 @@ def heterogeneity(labelled: DataFrame, path: str = "path") -> DataFrame:
     return per.select("group_id", F.array_join(differs, ",").alias("differs")).where("differs <> ''")
 
 
-def expanded_payload(items: DataFrame, width: int = 1 << 16) -> DataFrame:
+def expanded_payload(items: DataFrame) -> DataFrame:
     """Items in canonical order per unit and array: rows by index, members by path. The arrays stay long
-    (unit, kind, position), so a unit of any size is written in parallel."""
-    by_row = items.where("row_index IS NOT NULL")
-    placed = ordered(by_row, ["unit_id", "kind"], ["row_index", "path"], blocks("row_index", width), row_number="position")
-    members = items.where("row_index IS NULL")
-    spot = F.conv(F.hex(F.substring(F.rpad(F.coalesce("path", F.lit("")), 4, "\0"), 1, 4)), 16, 10).cast("bigint")
-    rest = ordered(members, ["unit_id", "kind"], ["path"], spot, row_number="position")
-    return placed.unionByName(rest)
+    (unit, kind, position), and positions come from one range-partitioned sort, so a unit of any size is written in parallel."""
+    ranked = global_rank(items, ["unit_id", "kind", "row_index", "path"], "_rank")
+    first = ranked.groupBy("unit_id", "kind").agg(F.min("_rank").alias("_first"))
+    return ranked.join(first, ["unit_id", "kind"]).withColumn("position", F.col("_rank") - F.col("_first") + 1).drop("_rank", "_first")
 
 
 def revision_scope(before: DataFrame, after: DataFrame, named: DataFrame, columns: Sequence[str]) -> DataFrame:

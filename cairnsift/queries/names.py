@@ -21,11 +21,11 @@ WORDS = (
     (16, "negMSMS", "", "MS/MS:MSMS", "MSMS", ""), (17, "_MS1_", "MS1", "MS-only:MS1", "", "mode:MS1"),
     (18, "_MS-Profile", "", "MS-only:MSProfile", "", ""), (19, "_sonar", "", "MS/MS:SONAR", "SONAR", ""),
     (20, "_IDA", "", "MS/MS:IDA", "IDA", ""), (21, "posMS_2", "", "MS-only:MS", "", ""), (22, "_MSn", "", "MS/MS:MSn", "MSn", ""),
-    (23, "Claudia", "", "", "", ""), (24, "_MSDIAL", "", "", "", ""), (25, "_DDA_DIA2", "DDA+DIA2", "", "DDA+DIA", ""),
+    (23, "Lydia", "", "", "", ""), (24, "_MSLIB", "", "", "", ""), (25, "_DDA_DIA2", "DDA+DIA2", "", "DDA+DIA", ""),
 )
 # (quantity, free text, methods named by token, methods with spelled-out names)
 METHODS = (
-    (26, "AA_EAD_A_1", "EAD", "EAD"), (27, "x 8ead4b2c y", "", ""), (28, "id 95c44b45-ead1-43e8-afd1-de952d13d4ae", "", ""),
+    (26, "B7_EAD_r2", "EAD", "EAD"), (27, "x 7ead9f3c y", "", ""), (28, "id 0a1b2c3d-ead2-4f5e-8a9b-c0d1e2f3a4b5", "", ""),
     (29, "ETD and EThcD, etd", "ETD+EThcD", "ETD+EThcD"), (30, "Electron-capture dissociation", "", "ECD"),
     (31, "UVPD; infrared multiphoton dissociation", "UVPD", "UVPD+IRMPD"), (32, "HCD only", "", ""),
     (33, "lead oxygen attachment dissociation OAD2", "OAD", "OAD"), (34, "ead1", "", ""), (35, "EADx", "", ""),

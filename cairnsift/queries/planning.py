@@ -106,7 +106,7 @@ def fragmentation(t: Tables):
     evidence = rf.where("l_quantity = 1").select("unit_id", F.lit("study title").alias("field"), F.lit("EAD of lipids").alias("value"))
     attributes = F.create_map(
         F.when(F.col("l_quantity") == 30, "Fragmentation method").otherwise("Extract name"),
-        F.when(F.col("l_quantity").isin(30, 31), F.lit("AA_EAD_1")).otherwise(F.lit("plain")), F.lit("Instrument"), F.lit("EAD box"))
+        F.when(F.col("l_quantity").isin(30, 31), F.lit("B7_EAD_2")).otherwise(F.lit("plain")), F.lit("Instrument"), F.lit("EAD box"))
     sample = F.concat(F.lit("S"), "l_linenumber")
     samples = rf.select("unit_id", sample.alias("sample_id"), F.lit("").alias("raw_file"), attributes.alias("attributes"))
     inputs = rf.select("unit_id", "path", "role", sample.alias("sample_id"))

@@ -70,7 +70,7 @@ def raw_file(d: Dialect) -> str:
     return f"""
 SELECT concat('U', {d.text('l_orderkey')}) AS unit_id, l_orderkey, l_linenumber,
        concat('f', {d.text('l_orderkey')}, '_', {d.text('l_linenumber')},
-              CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN '_EAD' WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN '_8ead4b2c'
+              CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN '_EAD' WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN '_7ead9f3c'
                    WHEN l_linenumber = 7 THEN '_ETD2' ELSE '' END,
               CASE WHEN l_quantity <= 15 THEN '.mzData' WHEN l_quantity <= 25 THEN '.mzdata.xml' ELSE '.raw' END) AS path,
        CASE WHEN l_returnflag = 'R' THEN 'metadata' WHEN l_linestatus = 'O' THEN 'raw' ELSE 'converted' END AS role,

@@ -19,21 +19,21 @@ def test_raw_like(spark):
 
 def test_stem_and_loose_stem(spark):
     assert one(spark, names.stem("p"), p="a/Inj_1.mzML") == "Inj_1"
-    assert one(spark, names.loose_stem("p"), p="Inj001_S1_CSHposMSMS.d") == one(spark, names.loose_stem("p"), p="inj001_S1_CSHMSMS.raw")
+    assert one(spark, names.loose_stem("p"), p="Run7_B2_XYposMSMS.d") == one(spark, names.loose_stem("p"), p="run7_b2_XYMSMS.raw")
 
 
 def test_encoding_ranks(spark):
-    want = {"S1.raw": 0, "S1.d": 0, "x/S1.wiff2": 0, "S1.d.zip": 0, "S1.lcd": 0, "S1.cdf": 1, "S1.abf": 1, "S1.mzML": 2, "S1.mzML.gz": 2,
-            "S1.imzML": 2, "S1.mzXML": 3, "S1.mzXML.lzma": 3, "S1.mzData": None, "S1.wiff.scan": None, "README.txt": None}
+    want = {"q.RAW": 0, "in/q.d": 0, "q.wiff": 0, "q.raw.gz": 0, "q.tdf": 0, "q.ibf": 1, "q.CDF": 1, "q.mzml": 2, "q.mzML.zip": 2, "q.imzml": 2,
+            "q.mzxml": 3, "q.mzXML.gz": 3, "q.mzdata": None, "q.wiff.scan": None, "notes.md": None}
     got = {r["p"]: r["x"] for r in spark.createDataFrame([(p,) for p in want], "p string").select("p", names.encoding_rank("p").alias("x")).collect()}
     assert got == want
-    assert one(spark, names.encoding_stem("p"), p="POS/S1.d.zip") == "s1"
+    assert one(spark, names.encoding_stem("p"), p="up/Q7.d.zip") == "q7"
 
 
 def test_path_polarity_reads_folders_only(spark):
-    assert one(spark, names.path_polarities("p"), p="NEG/S1.raw") == ["negative"]
-    assert one(spark, names.path_polarities("p"), p="Neg_Ctrl_1.raw") == []
-    assert one(spark, names.path_polarities("p"), p="QC_NEG/Neg_Ctrl_1.raw") == ["negative"]
+    assert one(spark, names.path_polarities("p"), p="NEG/q.raw") == ["negative"]
+    assert one(spark, names.path_polarities("p"), p="neg_q_2.raw") == []
+    assert one(spark, names.path_polarities("p"), p="qc_neg/pos_q.raw") == ["negative"]
 
 
 def test_glob(spark):
@@ -49,12 +49,12 @@ def test_polarity_needs_one_value(spark):
 
 
 def test_acquisition_words_start_a_word(spark):
-    assert one(spark, tokens.token_acquisition("p"), p="posDDA_media1_Claudia") == ["DDA"]
+    assert one(spark, tokens.token_acquisition("p"), p="posDDA_media1_Lydia") == ["DDA"]
     assert one(spark, tokens.token_acquisition("p"), p="x_targeted-dd-MS2 HDMSe_dia2") == ["DIA2", "MSe", "tDDA"]
 
 
 def test_level_words_read_each_span_once(spark):
-    assert one(spark, tokens.ms_level_words("p"), p="negMSMS_MS1_MSDIAL") == ["MS/MS:MSMS", "MS-only:MS1"]
+    assert one(spark, tokens.ms_level_words("p"), p="negMSMS_MS1_MSLIB") == ["MS/MS:MSMS", "MS-only:MS1"]
 
 
 def test_acquisition_problem(spark):
@@ -65,7 +65,7 @@ def test_acquisition_problem(spark):
 
 
 def test_methods_outside_identifiers(spark):
-    assert one(spark, tokens.methods_named("p"), p="ead1 95c44b45-ead1-43e8-afd1-de952d13d4ae 8ead4b2c") == []
+    assert one(spark, tokens.methods_named("p"), p="ead1 0a1b2c3d-ead2-4f5e-8a9b-c0d1e2f3a4b5 7ead9f3c") == []
     assert one(spark, tokens.methods_named("p"), p="ETD, EThcD then etd") == ["ETD", "EThcD"]
     assert one(spark, tokens.methods_named("p", words=True), p="by Electron-Capture dissociation") == ["ECD"]
 
