@@ -14,7 +14,7 @@ from cairnsift.session import local_session
 HEADLINE = (
     "s2_listing_index", "f12_token_acquisition", "j1_resolve", "j7_loose_members", "a15_content_groups", "a12_folder_stats", "t_status", "t_files", "a23_verdict",
     "p3_exclusion_reasons", "a21_unit_objects", "a22_download_groups", "w9_plan_order", "m1_disk_need", "g1_current_state", "w5_outage_streaks", "w6_retry_schedule", "w7_state_intervals",
-    "a3_campaign_summary", "w2_chain_check", "j18_lineage", "a6_concordance", "a8_agreement", "r1_apply_groups", "i4_input_balance", "u5_partition_check", "w10_encoding_choice",
+    "a3_campaign_summary", "w2_chain_check", "j18_lineage", "a6_concordance", "a8_agreement", "r1_apply_groups", "i4_input_balance", "u5_i13_partition_check", "w10_encoding_choice",
     "store_objects", "d1_redaction_findings", "e1_accession_verdict", "g6_attempt_rates_stream",
 )
 

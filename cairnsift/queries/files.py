@@ -193,3 +193,18 @@ def s15(t: Tables):
     f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in ("orders", "lineitem", "events", "customer", "part", "nation")))
 def a31(t: Tables):
     return records.table_counts({n: t[n] for n in ("orders", "lineitem", "events", "customer", "part", "nation")})
+
+
+@query("s8_ledger_tables", "attempt", sql="""
+SELECT attempt_id, unit_key, step, started_us, outcome, network = 1 AS counted, tool FROM (SELECT *, CAST(NULL AS VARCHAR) AS tool FROM attempt)""")
+def s8(t: Tables):
+    a = t["attempt"].withColumn("started_at", F.timestamp_micros("started_us")).withColumn("ended_at", F.timestamp_micros("ended_us")).withColumn("counted", F.col("network") == 1)
+    table = records.as_table(a, "attempt")
+    return table.select("attempt_id", "unit_key", "step", F.unix_micros("started_at").alias("started_us"), "outcome", "counted", "tool")
+
+
+@query("w1_latest_revision", "doc", sql="""
+SELECT source AS unit_file, CAST(max(doc_id) AS INTEGER) AS revision, max_by(digest, doc_id) AS digest, count(*) AS revisions FROM doc GROUP BY 1""")
+def w1(t: Tables):
+    named = t["doc"].select(F.concat("source", F.lit(".r"), "doc_id", F.lit(".json")).alias("file_name"), "digest")
+    return files.current_documents(named).select("unit_file", "revision", "digest", "revisions")

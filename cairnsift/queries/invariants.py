@@ -51,7 +51,7 @@ def i5(t: Tables):
     return invariants.checksum_coverage(t["lineitem"].select(unit(), "l_partkey", at(0.02, 0.04).alias("direct"), at(0.04, 0.06).alias("container"), at(0.06, 1.0).alias("source")))
 
 
-@query("i6_order_agreement", "transition", sql="""
+@query("i6_w12_order_agreement", "transition", sql="""
 SELECT * FROM (WITH r AS (SELECT unit_key AS unit_id, at_us // 3600000000 * 3600000000 AS t, CASE WHEN k = 3 THEN rn + 1 ELSE rn END AS o FROM (SELECT *, row_number() OVER (PARTITION BY unit_key ORDER BY seq) AS rn FROM transition)),
   p AS (SELECT *, rank() OVER (PARTITION BY unit_id ORDER BY t) AS lo, count(*) OVER (PARTITION BY unit_id ORDER BY t RANGE UNBOUNDED PRECEDING) AS hi FROM r)
 SELECT unit_id, count(*) AS rows, count(*) FILTER (o < lo OR o > hi) AS out_of_place, count(*) - count(DISTINCT o) AS duplicates, max(o) - min(o) + 1 - count(DISTINCT o) AS gaps FROM p GROUP BY 1)""")
@@ -63,7 +63,7 @@ def i6(t: Tables):
     return invariants.order_agreement(runs)
 
 
-@query("i7_synthesised_order", sql="""
+@query("i7_w13_synthesised_order", sql="""
 SELECT * FROM (WITH b AS (SELECT o_custkey, o_orderkey, o_orderstatus, row_number() OVER w AS rn, lag(o_orderstatus) OVER w AS p FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey))
 SELECT concat('C', o_custkey) AS unit_id, count(*) AS rows, count(*) FILTER (p IS NULL OR p <> o_orderstatus) AS blocks, count(DISTINCT o_orderstatus) AS classes,
   count(*) FILTER (p IS NULL OR p <> o_orderstatus) = count(DISTINCT o_orderstatus) AS synthesised FROM b GROUP BY 1)""")
@@ -130,7 +130,7 @@ def i12(t: Tables):
     return invariants.conversion_sources(outputs, sources)
 
 
-@query("u5_partition_check", sql="""
+@query("u5_i13_partition_check", sql="""
 SELECT * FROM (WITH p AS (SELECT l_orderkey AS o, l_partkey AS k, count(*) AS np FROM lineitem GROUP BY 1, 2), q AS (SELECT l_orderkey AS o, CASE WHEN l_tax = 0.03 THEN -1 ELSE l_partkey END AS k, count(*) AS nq FROM lineitem WHERE l_discount < 0.09 GROUP BY 1, 2),
   b AS (SELECT coalesce(p.o, q.o) AS o, coalesce(np, 0) AS np, coalesce(nq, 0) AS nq FROM p FULL JOIN q ON p.o = q.o AND p.k = q.k)
 SELECT concat('U', o) AS unit_id, CAST(sum(greatest(np - nq, 0)) AS BIGINT) AS missing, CAST(sum(greatest(nq - np, 0)) AS BIGINT) AS extra, count(*) FILTER (nq > 1) AS repeated FROM b GROUP BY 1)""")

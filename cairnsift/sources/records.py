@@ -52,6 +52,15 @@ def read_ledger(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: spark.read.schema(ddl).parquet(f"{root}/{name}") for name, ddl in LEDGER.items()}
 
 
+def as_table(frame: DataFrame, name: str) -> DataFrame:
+    """A frame in the fixed schema of a campaign table: known columns in their types, the rest null."""
+    out = []
+    for part in LEDGER[name].split(", "):
+        column, kind = part.split(" ", 1)
+        out.append((F.col(column) if column in frame.columns else F.lit(None)).cast(kind).alias(column))
+    return frame.select(*out)
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row counts per table; a store is empty when all of them are 0."""
     parts = [t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n") for name, t in tables.items()]
