@@ -54,11 +54,15 @@ def redaction_rules(terms: Sequence[str] = (), library_names: Sequence[str] = ()
     return rules
 
 
+# Text without the one character a rule cannot match without is passed over by a plain search.
+NEEDS = {"drive_letter_path": ":", "unc_path": "\\\\", "email_address": "@"}
+
+
 def redaction_findings(files: DataFrame, rules: Sequence[tuple[str, str, str]], path: str = "relative_path", body: str = "text") -> DataFrame:
     """The first match of each rule in each file, by byte offset and line, over whole texts in one scan."""
     scope = {"all": F.lit(True), "transcript": is_transcript(path), "decision": is_decision_file(path)}
     hits = F.array_compact(F.array(*[
-        F.when(scope[s] & F.col(body).rlike(pattern), F.struct(F.lit(name).alias("rule"), F.regexp_instr(body, F.lit(pattern)).alias("pos")))
+        F.when(scope[s] & F.col(body).contains(NEEDS.get(name, "")) & F.col(body).rlike(pattern), F.struct(F.lit(name).alias("rule"), F.regexp_instr(body, F.lit(pattern)).alias("pos")))
         for name, pattern, s in rules]))
     found = files.select(F.col(path).alias("file"), F.col(body).alias("_t"), F.explode(hits).alias("h"))
     before = F.expr("substr(_t, 1, h.pos - 1)")
