@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairnsift.llm import line_dedup, mixing, quality
+from cairnsift.llm import decontaminate, line_dedup, mixing, near_dup, quality, substring_dedup, token_counts
+from cairnsift.llm.shared import shipped
 from cairnsift.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,7 +15,7 @@ SQL: dict[str, str] = {}
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return shipped(configure(spark)).read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
 def query(name: str, sql: str | None = None):
@@ -116,3 +117,41 @@ FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.
 @query("op7_line_dedup", OP7)
 def line_chunks(spark: SparkSession, root: str) -> DataFrame:
     return line_dedup.remove(table(spark, root, "documents").select("doc_id", "text")).select("doc_id", "n_chunks", "n_removed", "text")
+
+
+OP1 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), wins AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13
+), old AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(w[i:i + 12], ' ')) AS first FROM wins) WHERE first < doc_id
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM old) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(ps, k)), lambda k: w[k]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query("op1_substring_dedup", OP1)
+def repeated_passages(spark: SparkSession, root: str) -> DataFrame:
+    return substring_dedup.remove(table(spark, root, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op3_near_duplicates")
+def near_duplicates(spark: SparkSession, root: str) -> DataFrame:
+    return near_dup.groups(table(spark, root, "documents"), width=4)
+
+
+@query("op9_token_counts")
+def token_counts_query(spark: SparkSession, root: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count(table(spark, root, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_benchmark_leaks")
+def benchmark_leaks(spark: SparkSession, root: str) -> DataFrame:
+    return decontaminate.find(table(spark, root, "documents"), table(spark, root, "benchmark"))

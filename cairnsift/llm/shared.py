@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # White space between words.
 SPACE = " \t\n\x0b\f\r"
@@ -32,3 +36,17 @@ def fresh(frame: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give Python workers this package where their path does not have it already. Only code is shipped."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    on_path = {os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    if str(root) not in on_path and not getattr(context, "_package_shipped", False):
+        with tempfile.TemporaryDirectory() as folder:
+            source = Path(folder, "code")
+            shutil.copytree(root / "cairnsift", source / "cairnsift", ignore=shutil.ignore_patterns("__pycache__"))
+            packed = shutil.make_archive(str(Path(context._temp_dir, "cairnsift_code")), "zip", source)
+            context.addPyFile(packed)
+        context._package_shipped = True
+    return spark
