@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairnsift.llm import decontaminate, line_dedup, mixing, near_dup, quality, substring_dedup, token_counts
+from cairnsift.llm import decontaminate, html_text, language_model, line_dedup, mixing, near_dup, quality, secret_scan, substring_dedup, token_counts
 from cairnsift.llm.shared import shipped
 from cairnsift.session import configure
 
@@ -155,3 +155,18 @@ def token_counts_query(spark: SparkSession, root: str) -> DataFrame:
 @query("op10_benchmark_leaks")
 def benchmark_leaks(spark: SparkSession, root: str) -> DataFrame:
     return decontaminate.find(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+@query("op5_secret_scan")
+def secrets(spark: SparkSession, root: str) -> DataFrame:
+    return secret_scan.scan(table(spark, root, "documents"))
+
+
+@query("op6_main_text")
+def main_text(spark: SparkSession, root: str) -> DataFrame:
+    return html_text.main_text(table(spark, root, "pages"))
+
+
+@query("op8_lm_score")
+def lm_score(spark: SparkSession, root: str) -> DataFrame:
+    return language_model.scored(table(spark, root, "documents"))
