@@ -69,14 +69,14 @@ def parse_iso(value: Column | str) -> Column:
 
 def version_tuple(value: Column | str) -> Column:
     return F.slice(F.transform(F.regexp_extract_all(F.coalesce(_c(value), F.lit("")), F.lit(r"(\d+)"), F.lit(1)),
-                               lambda p: p.cast("int")), 1, 3)
+                               lambda p: p.try_cast("bigint")), 1, 3)
 
 
 def legacy_policy(version: Column | str) -> Column:
     """Whether a version is a dotted number before the policy; a missing or odd one is not."""
     text = F.coalesce(_c(version), F.lit(""))
-    parts = F.transform(F.split(text, r"\."), lambda p: p.try_cast("int"))
-    return F.when(text.rlike(r"^\d+(\.\d+)*$"), parts < F.array(*[F.lit(v) for v in vocab.POLICY_VERSION])).otherwise(F.lit(False))
+    parts = F.transform(F.split(text, r"\."), lambda p: p.try_cast("bigint"))
+    return F.when(text.rlike(r"^\d+(\.\d+)*$"), parts < F.array(*[F.lit(v).cast("bigint") for v in vocab.POLICY_VERSION])).otherwise(F.lit(False))
 
 
 def cell(value: Column | str) -> Column:
@@ -113,7 +113,3 @@ def size_label(n: Column | str) -> Column:
 def clip(value: Column | str, limit: int = 100) -> Column:
     text = F.trim(F.regexp_replace(F.coalesce(_c(value), F.lit("")), r"\s+", " "))
     return F.when(F.length(text) <= limit, text).otherwise(F.concat(F.substring(text, 1, limit - 3), F.lit("...")))
-
-
-def concat_sorted(values: Sequence[Column]) -> Column:
-    return F.array_join(F.array_sort(F.array_compact(F.array(*values))), ",")

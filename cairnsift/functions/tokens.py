@@ -115,7 +115,7 @@ def ms_level_words(name: Column | str) -> Column:
 def product_ion_words(path: Column | str) -> Column:
     """What a name says of product-ion spectra: MS/MS words, and modes of its acquisition tokens but MS1."""
     name = stem(path)
-    words = F.transform(F.filter(ms_level_words(name), lambda w: w.startswith("MS/MS:")), lambda w: F.substring(w, 7, 100))
+    words = F.transform(F.filter(ms_level_words(name), lambda w: w.startswith("MS/MS:")), lambda w: F.substr(w, F.lit(7)))
     modes = F.filter(token_modes(name), lambda m: m != "MS1")
     return F.array_sort(F.array_union(words, modes))
 

@@ -201,7 +201,13 @@ def t_exclusion_listing(keyed: DataFrame, members: DataFrame, groups: DataFrame)
     """Exclusion reasons the listing contradicts: a file said to be absent is listed, a copy has no twin.
 
     ``keyed``: items with ``key`` and ``resolved``."""
-    there = keyed.where("reason = 'not_in_archive' AND resolved").join(members.select(F.col("member_key").alias("_m")), F.col("key") == F.col("_m"), "left_semi")
+    absent = keyed.where("reason = 'not_in_archive'").join(members.select(F.col("member_key").alias("_m")).distinct(), F.col("key") == F.col("_m"), "left")
+    by_name = matching.index_names(members).select(F.col("name").alias("_name"), "name_n")
+    by_stem = matching.index_stems(members).select(F.col("stem").alias("_stem"), "stem_n")
+    absent = absent.join(by_name, F.lower(names.basename("raw_file")) == F.col("_name"), "left").join(by_stem, F.lower(names.stem("raw_file")) == F.col("_stem"), "left")
+    # A bare name that several members carry is there, too, though none of them is it.
+    bare = F.coalesce(F.col("member_path"), F.lit("")) == ""
+    there = absent.where(F.col("_m").isNotNull() | (bare & (F.col("name_n").isNotNull() | F.col("stem_n").isNotNull())))
     alone = keyed.where("reason IN ('duplicate_content', 'shared_content_unassigned')").join(
         groups.select(F.col("member_key").alias("_m")), F.col("key") == F.col("_m"), "left_anti")
     return findings(there, "T-EXCL", "error", F.col("key"), "listed_after_all").unionByName(

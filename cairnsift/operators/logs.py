@@ -28,9 +28,9 @@ class Lineage:
     """The tree of ``supersedes``: roots, depths and ancestor tests by pointer doubling.
 
     Each round doubles how far a pointer reaches, so a chain of n revisions takes log2(n) rounds and the closure is
-    never written out as pairs. A decision on a cycle has no root."""
+    never written out as pairs. A decision on a cycle, or above one, is ``cyclic`` and has no root."""
 
-    def __init__(self, decisions: DataFrame, key: str = "id", parent: str = "supersedes", max_rounds: int = 40):
+    def __init__(self, decisions: DataFrame, key: str = "id", parent: str = "supersedes"):
         base = decisions.select(F.col(key).alias("id"), F.col(parent).alias("up")).groupBy("id").agg(F.min("up").alias("up"))
         known = base.select(F.col("id").alias("_k"))
         step = base.join(known, F.col("up") == F.col("_k"), "left").select("id", F.col("_k").alias("up"))
@@ -39,9 +39,11 @@ class Lineage:
         reach = self.jumps[0].select("id", F.col("up").alias("p"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint").alias("depth"),
                                      F.coalesce("up", "id").alias("root"))
         reach = cut_lineage(reach)
-        for _ in range(max_rounds):
-            if reach.where("p IS NOT NULL").limit(1).count() == 0:
-                break
+        # A chain that is still open has a decision on every depth, so each round settles some of it; where a round
+        # settles nothing, what is left is on or above a cycle.
+        before = -1
+        while (left_open := reach.where("p IS NOT NULL").count()) and left_open != before:
+            before = left_open
             right = reach.select(F.col("id").alias("_i"), F.col("p").alias("_p"), F.col("depth").alias("_d"), F.col("root").alias("_r"))
             nxt = reach.join(right, F.col("p") == F.col("_i"), "left").select(
                 "id", F.col("_p").alias("p"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"), F.coalesce("_r", "root").alias("root"))
@@ -50,7 +52,7 @@ class Lineage:
             far = jump.select(F.col("id").alias("_i"), F.col("up").alias("_u"))
             self.jumps.append(cut_lineage(jump.join(far, F.col("up") == F.col("_i"), "left").select("id", F.col("_u").alias("up"))))
         settled = F.col("p").isNull()
-        self.nodes = reach.select("id", F.when(settled, F.col("root")).alias("root"), F.when(settled, F.col("depth")).alias("depth"))
+        self.nodes = reach.select("id", F.when(settled, F.col("root")).alias("root"), F.when(settled, F.col("depth")).alias("depth"), (~settled).alias("cyclic"))
 
     def ancestors(self, pairs: DataFrame, node: str, other: str) -> DataFrame:
         """Pairs whose ``other`` is ``node`` itself or one it supersedes, at any distance."""

@@ -80,11 +80,14 @@ def resolve_within(rows: DataFrame, members: DataFrame, prefixes: list[str], nam
 
 
 def item_keys(items: DataFrame, members: DataFrame) -> DataFrame:
-    """Adds ``key`` and ``resolved``: the member path's key, the row's resolved member, or ``raw:<stem>``."""
-    found = resolve(items.withColumnRenamed("kind", "_item_kind"), members)
+    """Adds ``key`` and ``resolved``: the member path's key, the name's own key where the listing has it or it has a
+    folder, the row's resolved member, or ``raw:<stem>``."""
+    listed = members.select(F.col("member_key").alias("_listed")).distinct()
+    asked = items.withColumnRenamed("kind", "_item_kind").withColumn("_own", names.member_key("raw_file"))
+    found = resolve(asked.join(listed, F.col("_own") == F.col("_listed"), "left"), members)
     has = F.coalesce(F.col("member_path"), F.lit("")) != ""
     own = names.member_key("member_path")
-    known = F.col("raw_file").contains("/")
+    known = F.col("_listed").isNotNull() | F.coalesce(names.norm_path("raw_file").contains("/"), F.lit(False))
     return found.select(
         *[F.col("_item_kind").alias("kind") if c == "kind" else F.col(c) for c in items.columns],
         F.when(has, own).when(known, names.member_key("raw_file")).when(F.col("member_key").isNotNull(), F.col("member_key"))
@@ -94,7 +97,7 @@ def item_keys(items: DataFrame, members: DataFrame) -> DataFrame:
 
 def key_stem(key: Column | str) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return F.when(k.startswith("raw:"), F.substring(k, 5, 100000)).otherwise(F.lower(names.stem(k)))
+    return F.when(k.startswith("raw:"), F.substr(k, F.lit(5))).otherwise(F.lower(names.stem(k)))
 
 
 def same_file(left: DataFrame, right: DataFrame, on: list[str], left_id: str) -> DataFrame:
@@ -161,7 +164,7 @@ def loose_members(listing: DataFrame, items: DataFrame) -> DataFrame:
     accounted = items.select(token.alias("token")).where("token IS NOT NULL").distinct()
 
     def missing(frame: DataFrame, prefix: str, column: str) -> DataFrame:
-        taken = accounted.where(F.col("token").startswith(prefix)).select(F.substring("token", len(prefix) + 1, 100000).alias("_t"))
+        taken = accounted.where(F.col("token").startswith(prefix)).select(F.substr(F.col("token"), F.lit(len(prefix) + 1)).alias("_t"))
         return frame.join(taken, frame[column] == F.col("_t"), "left_anti")
 
     left = missing(missing(missing(members, "key:", "member_key"), "name:", "name"), "stem:", "stem")
@@ -286,7 +289,7 @@ def member_lookup(selection: DataFrame, files: DataFrame) -> DataFrame:
     exact = f.groupBy("path").agg(F.min(F.struct("size", "crc32")).alias("e"))
     parts = F.split("path", "/")
     tails = f.select("path", "size", "crc32", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, 100000), "/"))).alias("tail"))
+        F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "/"))).alias("tail"))
     wanted = selection.select(F.col("member_path").alias("tail")).distinct()
     by_tail = tails.join(wanted, "tail", "left_semi").groupBy("tail").agg(
         F.count_distinct("path").alias("n"), F.min(F.struct("path", "size", "crc32")).alias("t"))

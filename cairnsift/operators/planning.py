@@ -185,7 +185,7 @@ def download_groups(uses: DataFrame) -> tuple[DataFrame, DataFrame]:
     multi = uses.groupBy("object_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("object_id")
     edges = uses.join(multi, "object_id", "left_semi").select(F.concat(F.lit("u:"), "unit_id").alias("a"), F.concat(F.lit("v:"), "object_id").alias("b"))
     found = components(edges, "a", "b").where(F.col("node").startswith("u:")).select(
-        F.substring("node", 3, 100000).alias("unit_id"), F.substring("component", 3, 100000).alias("group_id"))
+        F.substr(F.col("node"), F.lit(3)).alias("unit_id"), F.substr(F.col("component"), F.lit(3)).alias("group_id"))
     units = uses.select("unit_id").distinct().join(found, "unit_id", "left").select("unit_id", F.coalesce("group_id", "unit_id").alias("group_id"))
     sizes = object_sizes(uses)
     placed = uses.select("object_id", "unit_id").join(units, "unit_id").select("object_id", "group_id").distinct().join(sizes, "object_id")
@@ -367,7 +367,3 @@ def group_siblings(units: DataFrame) -> DataFrame:
     per_parent = units.groupBy("group_id", "parent").agg(F.count(F.lit(1)).alias("p"))
     return units.join(per_group, "group_id").join(per_parent, ["group_id", "parent"]).select(
         "unit_id", "group_id", (F.col("g") - F.col("p")).alias("siblings"))
-
-
-def combine(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -11,9 +11,11 @@ from cairnsift import vocab
 from cairnsift.functions import names, text
 
 STOP = r"\s\"'<>()\[\]{},="
-# A library file named with a path: not externalised, and not inside a URL. The separator is looked at first, so the
-# look-behinds run at separators only.
-LIBRARY_PATH = r"(?=[\\/])(?<!<external>)(?<!<external>\\)(?<!://[^" + STOP + r"]{0,400})" + vocab.LIBRARY_FILE.replace("(?i)", "", 1)
+# A library file named with a path: not externalised, and not inside a URL. The pattern starts where the token starts and
+# takes what stands before the file (group 1) only up to a "://", however far back that is.
+BEFORE = r"(?<![^" + STOP + r"])((?:(?!://)[^" + STOP + r"])*?)"
+OUTSIDE = r"(?=[\\/])(?<!<external>)(?<!<external>\\)"
+LIBRARY_PATH = vocab.LIBRARY_FILE.replace("(?i)", "", 1)
 SECRET = "|".join(f"(?:{p})" for p in vocab.SECRET_TOKENS)
 
 
@@ -39,10 +41,11 @@ def term_pattern(terms: Sequence[str]) -> str | None:
 
 def redaction_rules(terms: Sequence[str] = (), library_names: Sequence[str] = (), context: Sequence[str] = (), secrets: Sequence[str] = ()) -> list[tuple[str, str, str]]:
     """(rule, pattern, scope) in report order; scope is all, transcript or decision."""
-    library = "(?i)" + LIBRARY_PATH
+    library = LIBRARY_PATH
     if library_names:
         named = "|".join(re.escape(n) for n in sorted(set(library_names)))
-        library += rf"|(?=[\\/])(?<!<external>)(?<!<external>\\)(?<!://[^{STOP}]{{0,400}})(?:\\\\|\\|/)(?:{named})(?![A-Za-z0-9._-])"
+        library += rf"|(?:\\\\|\\|/)(?:{named})(?![A-Za-z0-9._-])"
+    library = f"(?i){BEFORE}{OUTSIDE}(?:{library})"
     rules = [(name, pattern, "all") for name, pattern in vocab.PATH_RULES] + [("library_path", library, "all")]
     if context:
         rules.append(("context_block", "|".join(f"(?:{c})" for c in context), "transcript"))
@@ -61,8 +64,10 @@ NEEDS = {"drive_letter_path": ":", "unc_path": "\\\\", "email_address": "@"}
 def redaction_findings(files: DataFrame, rules: Sequence[tuple[str, str, str]], path: str = "relative_path", body: str = "text") -> DataFrame:
     """The first match of each rule in each file, by byte offset and line, over whole texts in one scan."""
     scope = {"all": F.lit(True), "transcript": is_transcript(path), "decision": is_decision_file(path)}
+    ahead = lambda name, pattern: F.length(F.regexp_extract(body, pattern, 1)) if name == "library_path" else F.lit(0)
+    place = lambda name, pattern: F.regexp_instr(body, F.lit(pattern)) + ahead(name, pattern)
     hits = F.array_compact(F.array(*[
-        F.when(scope[s] & F.col(body).contains(NEEDS.get(name, "")) & F.col(body).rlike(pattern), F.struct(F.lit(name).alias("rule"), F.regexp_instr(body, F.lit(pattern)).alias("pos")))
+        F.when(scope[s] & F.col(body).contains(NEEDS.get(name, "")) & F.col(body).rlike(pattern), F.struct(F.lit(name).alias("rule"), place(name, pattern).alias("pos")))
         for name, pattern, s in rules]))
     found = files.select(F.col(path).alias("file"), F.col(body).alias("_t"), F.explode(hits).alias("h"))
     before = F.expr("substr(_t, 1, h.pos - 1)")
@@ -114,7 +119,7 @@ def export_decisions(decisions: DataFrame, items: DataFrame, inputs: DataFrame,
         F.count_if(kept & (F.col("basis") == "inferred")).alias("n_inferred"), F.count_if(kept & (F.col("confidence") == "low")).alias("n_low_confidence"))
     # A decision binds a bounded list of inputs (its record), hashed in sorted order.
     bound = inputs.groupBy("unit_id").agg(text.sha256(F.array_join(F.array_sort(F.collect_list("sha256")), "\n")).alias("inputs_sha256"))
-    v = verdicts.groupBy("unit_id").agg(F.max("verdict").alias("validator_verdict"))
+    v = verdicts.groupBy("unit_id").agg(F.max_by("verdict", F.array_position(F.array(*[F.lit(x) for x in ("pass", "hold", "error")]), F.col("verdict"))).alias("validator_verdict"))
     a = answers.groupBy("unit_id").agg(F.min("by").alias("reviewer"))
     flag = lambda c: F.bool_and(F.when(F.col("check_id") == c, F.col("result") == "equal"))
     r = replays.groupBy("unit_id").agg(flag("selection").alias("replay_selection_equal"), flag("inputs").alias("replay_inputs_equal"), flag("projection").alias("replay_projection_equal"))
@@ -125,8 +130,3 @@ def export_decisions(decisions: DataFrame, items: DataFrame, inputs: DataFrame,
     final = F.when(F.col("status") == "excluded", "excluded").when(F.col("supersedes").isNotNull(), "revised").otherwise("accepted")
     out = out.withColumn("person_review", reviewed).withColumn("final_state", final)
     return out.select(*[F.col(c) if c in out.columns else F.lit(None).cast("string").alias(c) for c in EXPORT_COLUMNS])
-
-
-def path_rank(path: Column | str) -> Column:
-    """Release order: by folded path, then by the path itself."""
-    return F.struct(F.lower(names.norm_path(path)), names.norm_path(path))

@@ -80,7 +80,7 @@ def leftovers(partials: DataFrame, claims: DataFrame, locks: DataFrame, stale_se
 def hold_while_busy(found: DataFrame, locks: DataFrame, stale_seconds: int = vocab.HOLDER_STALE_SECONDS) -> DataFrame:
     """Findings on objects under a fresh lock become a note that they were being worked on. ``locks(name, age_s)`` with
     names ``o-<object>``."""
-    fresh = locks.where(F.col("age_s") <= stale_seconds).select(F.substring("name", 3, 100000).alias("_s")).distinct().withColumn("_busy", F.lit(True))
+    fresh = locks.where(F.col("age_s") <= stale_seconds).select(F.substr(F.col("name"), F.lit(3)).alias("_s")).distinct().withColumn("_busy", F.lit(True))
     j = found.join(fresh, F.col("subject") == F.col("_s"), "left")
     busy = F.col("_busy").isNotNull()
     return j.select(F.when(busy, "object_busy").otherwise(F.col("kind")).alias("kind"), F.when(busy, "info").otherwise(F.col("severity")).alias("severity"), "subject")

@@ -27,9 +27,17 @@ def archive_findings(listing: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def accession_verdict(listing: DataFrame, items: DataFrame, units: DataFrame) -> DataFrame:
-    """Verdict per unit and accession over the archive findings. ``units(unit_id, accession)``."""
+    """Verdict per unit and accession over the archive findings. ``units(unit_id, accession)`` are the units that rest on
+    the listing; what is found on the listing as a whole (loose members) counts in each accession's own row."""
     found = archive_findings(listing, items)
-    return checks.verdict(found.where("unit_id IS NOT NULL"), units)
+    per = checks.verdict(found.where("unit_id IS NOT NULL"), units)
+    whole = found.where("unit_id IS NULL").agg(
+        F.count_if(F.col("severity") == "error").alias("_errors"), F.count_if(F.col("severity") == "hold").alias("_holds"))
+    # One row, so the cross join only adds two columns.
+    both = per.crossJoin(F.broadcast(whole))
+    own = F.col("unit_id").isNull()
+    errors, holds = (F.col(c) + F.when(own, F.col(f"_{c}")).otherwise(0) for c in ("errors", "holds"))
+    return both.select("accession", "unit_id", F.when(errors > 0, "error").when(holds > 0, "hold").otherwise("pass").alias("verdict"), errors.alias("errors"), holds.alias("holds"))
 
 
 def listing_summary(listing: DataFrame) -> DataFrame:

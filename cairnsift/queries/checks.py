@@ -153,8 +153,8 @@ def t_excl(t: Tables):
 LISTED = mem_cte("item_listing") + ",\n" + ITEM_KEYS + ",\n" + groups_cte("item_listing")
 
 
-@query("t_excl_listing", "item", "item_listing", ctes=LISTED, sql="""
-SELECT 'T-EXCL' AS check_id, 'error' AS severity, unit_id, key AS subject, 'listed_after_all' AS message FROM keyst WHERE reason = 'not_in_archive' AND key IN (SELECT member_key FROM mem)
+@query("t_excl_listing", "item", "item_listing", ctes=LISTED, sql=f"""
+SELECT 'T-EXCL' AS check_id, 'error' AS severity, unit_id, key AS subject, 'listed_after_all' AS message FROM keyst WHERE reason = 'not_in_archive' AND (key IN (SELECT member_key FROM mem) OR (member_path IS NULL AND (lower({duck.base('raw_file')}) IN (SELECT name FROM mem) OR lower({duck.stem('raw_file')}) IN (SELECT stem FROM mem))))
 UNION ALL SELECT 'T-EXCL', 'error', unit_id, key, 'no_twin' FROM keyst WHERE reason IN ('duplicate_content', 'shared_content_unassigned') AND key NOT IN (SELECT member_key FROM grp)""")
 def t_excl_listing(t: Tables):
     return checks.t_exclusion_listing(item_keys(t), matching.index_members(t.stored("item_listing")), duplicates.content_groups(t.stored("item_listing")))

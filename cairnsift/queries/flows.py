@@ -25,9 +25,10 @@ def e1_findings(t: Tables):
 
 
 @query("e1_accession_verdict", "item", "item_listing", "payload", ctes=ARCHIVE, sql="""
-SELECT * FROM (WITH l AS (SELECT p.accession, p.unit_id, a.severity FROM payload p LEFT JOIN af a USING (unit_id))
-SELECT accession, unit_id, CASE WHEN bool_or(severity = 'error') THEN 'error' WHEN bool_or(severity = 'hold') THEN 'hold' ELSE 'pass' END AS verdict,
-  count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'hold') AS holds FROM l GROUP BY GROUPING SETS ((accession, unit_id), (accession)))""")
+SELECT * FROM (WITH l AS (SELECT p.accession, p.unit_id, a.severity FROM payload p LEFT JOIN af a USING (unit_id)),
+g AS (SELECT accession, unit_id, count(*) FILTER (severity = 'error') AS e, count(*) FILTER (severity = 'hold') AS h FROM l GROUP BY GROUPING SETS ((accession, unit_id), (accession))),
+s AS (SELECT accession, unit_id, e AS errors, h + CASE WHEN unit_id IS NULL THEN (SELECT count(*) FROM af WHERE unit_id IS NULL) ELSE 0 END AS holds FROM g)
+SELECT accession, unit_id, CASE WHEN errors > 0 THEN 'error' WHEN holds > 0 THEN 'hold' ELSE 'pass' END AS verdict, errors, holds FROM s)""")
 def e1(t: Tables):
     return accession.accession_verdict(t.stored("item_listing"), t.stored("item"), t["payload"])
 

@@ -54,7 +54,7 @@ def decisions(t: Tables):
     return run.select(F.col("seq").alias("id"), "unit_key", "k", "to_state", F.when(F.col("k") < 70, F.col("before")).alias("supersedes"))
 
 
-@query("j18_lineage", "transition", ctes=TREE, sql="SELECT id, root, depth FROM tree")
+@query("j18_lineage", "transition", ctes=TREE, sql="SELECT id, root, depth, false AS cyclic FROM tree")
 def j18(t: Tables):
     return logs.Lineage(decisions(t)).nodes
 

@@ -45,10 +45,10 @@ FROM {d.table('lineitem')} WHERE l_discount < 0.08"""
 
 
 ITEM_KEYS = f"""keyed AS (
-  SELECT r.*, CASE WHEN member_path IS NOT NULL THEN {duck.key('member_path')} WHEN found_key IS NOT NULL THEN found_key
+  SELECT r.*, CASE WHEN member_path IS NOT NULL THEN {duck.key('member_path')} WHEN own_key THEN {duck.key('raw_file')} WHEN found_key IS NOT NULL THEN found_key
               ELSE concat('raw:', lower({duck.stem('raw_file')})) END AS key,
-         member_path IS NOT NULL OR found_key IS NOT NULL AS resolved
-  FROM ({resolve_sql('item')}) r),
+         member_path IS NOT NULL OR own_key OR found_key IS NOT NULL AS resolved
+  FROM (SELECT *, coalesce(contains({duck.norm('raw_file')}, '/'), false) OR coalesce({duck.key('raw_file')} IN (SELECT member_key FROM mem), false) AS own_key FROM ({resolve_sql('item')})) r),
 keyst AS (SELECT *, CASE WHEN starts_with(key, 'raw:') THEN substr(key, 5) ELSE lower({duck.stem('key')}) END AS key_stem FROM keyed)"""
 
 

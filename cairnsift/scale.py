@@ -136,12 +136,6 @@ def set_print(*parts: Column | str) -> list[Column]:
 PRINT = ["_fp_hi", "_fp_lo", "_fp_x"]
 
 
-def bounded_broadcast(frame: DataFrame, limit_rows: int = 200_000) -> DataFrame:
-    """Mark a side for broadcast only after counting it; a bigger side stays a shuffle join."""
-    size = frame.limit(limit_rows + 1).count()
-    return F.broadcast(frame) if size <= limit_rows else frame
-
-
 def rank_value(frame: DataFrame, keys: Sequence[str], value: str, position: Column, name: str,
                bucket: Column | None = None) -> DataFrame:
     """The value at a 0-based sorted position per key (``position`` may use ``_total``), read from a
@@ -160,7 +154,8 @@ def components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) ->
     """Connected components as ``(node, component)``; the component is its smallest node.
 
     Alternates large-star and small-star rounds, which need O(log n) of them and only
-    minima per node, so a node touching a third of all edges is one aggregate row.
+    minima per node, so a node touching a third of all edges is one aggregate row. It raises, rather than return
+    unsettled labels, where ``max_rounds`` were not enough.
     """
     both = cut_lineage(edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct())
     nodes = both.select(F.explode(F.array("a", "b")).alias("node")).distinct()

@@ -38,31 +38,35 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "cai
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names for intermediate tables. Only local mode, where driver and executors are one
+    process, may go without and gets a folder of its own."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if not hasattr(spark.sparkContext, "_own_folder"):
+        spark.sparkContext._own_folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return spark.sparkContext._own_folder
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint place the cluster names; a local one only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{base}/part-{uuid.uuid4().hex}"
+    """A new folder in the shared place."""
+    return f"{shared_folder(spark)}/part-{uuid.uuid4().hex}"
 
 
 def stored(frame: DataFrame) -> DataFrame:
-    """A frame written once as a table in the shared folder and read back by its columns. A scan of fewer splits than
-    cores (one small file) is spread first; a scan of many, as on a cluster, is written as it comes."""
-    spark = frame.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() < cores:
-        frame = frame.repartition(cores)
-    path = scratch(spark)
+    """A frame written once as a table in the shared folder and read back by its columns."""
+    path = scratch(frame.sparkSession)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Materialise a frame in the shared checkpoint folder, so that lost executors
     cost a read and not a replay of every earlier round."""
-    spark = frame.sparkSession
-    context = spark.sparkContext
+    context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint(eager=True)

@@ -42,7 +42,7 @@ def clean_listing(raw: DataFrame) -> DataFrame:
     archive = F.col(found["archive"]) if "archive" in found else F.lit(None).cast("string")
     return kept.select(
         archive.alias("archive"), names.norm_path(found["path"]).alias("path"),
-        F.coalesce(F.nullif(F.col(found["size"]).cast("string"), F.lit("")).try_cast("bigint"), F.lit(0)).alias("size"),
+        F.when(F.trim(F.coalesce(F.col(found["size"]).cast("string"), F.lit(""))) == "", F.lit(0)).otherwise(F.col(found["size"]).cast("string").try_cast("bigint")).alias("size"),
         F.upper(F.coalesce(F.col(crc), F.lit(""))).alias("crc32"))
 
 
@@ -92,7 +92,7 @@ REVISED = r"^(.+?)(?:\.r([0-9]+))?\.json$"
 def current_documents(files: DataFrame, name: str = "file_name", tie: str | None = None) -> DataFrame:
     """The current file per unit: the highest revision, the base file counting as revision 0."""
     parts = files.withColumn("unit_file", F.regexp_extract(name, REVISED, 1)).withColumn(
-        "revision", F.coalesce(F.nullif(F.regexp_extract(name, REVISED, 2), F.lit("")).cast("int"), F.lit(0)))
+        "revision", F.coalesce(F.nullif(F.regexp_extract(name, REVISED, 2), F.lit("")).try_cast("bigint"), F.lit(0)))
     body = F.struct(*[c for c in parts.columns if c != "unit_file"])
     order = F.struct("revision", tie) if tie else F.col("revision")
     return parts.where("unit_file <> ''").groupBy("unit_file").agg(
@@ -176,7 +176,7 @@ def sample_factors(numbered: DataFrame, key: str) -> DataFrame:
 def sample_names(numbered: DataFrame, key: str) -> DataFrame:
     """Names that the Samples lines list."""
     return numbered.where(F.col("line").startswith("Samples\t")).select(
-        key, F.explode(F.slice(F.split("line", "\t"), 2, 1_000_000)).alias("sample")).select(
+        key, F.explode(F.filter(F.split("line", "\t"), lambda x, i: i > 0)).alias("sample")).select(
         key, F.trim("sample").alias("sample")).where("sample <> ''").distinct()
 
 

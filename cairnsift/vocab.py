@@ -116,8 +116,6 @@ NON_SAMPLE_CLASS = r"(?i)^(blank|blk|qc|pooled[ _-]?qc|pool|solvent|system[ _-]?
 # Pools, exclusion order, archive floor.
 POOL_MODES = {"declared": ("DDA", "DIA", "AIF", "SWATH"), "acquisition_unknown": ("Unknown",)}
 POOL_ION_MODES = ("Positive", "Negative", "Both")
-EXCLUSION_ORDER = ("no_files", "ion_mobility", "fragmentation_not_cid_hcd", "preexisting_workspace",
-                   "campaign_workspace", "mzdata_only")
 MZDATA_SUFFIX = r"(?i)\.mzdata(\.xml)?$"
 ANALYSIS_ROLES = ("raw", "converted")
 ARCHIVE_KINDS = ("archive", "bundle")
@@ -131,7 +129,6 @@ MAX_ATTEMPTS = 3
 RETRY_DELAYS = (600, 3600)
 MAX_INTERRUPTIONS = 5
 OUTAGE_GROUPS = 3
-STALL_SECONDS = 1800
 HOLDER_STALE_SECONDS = 600
 FILE_FACTOR = 1.66
 ARCHIVE_FACTOR = 2.66

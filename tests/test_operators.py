@@ -110,7 +110,7 @@ def test_one_mutated_line_breaks_its_own_and_the_next_link(spark):
 
 def test_lineage_branches_and_cycles(spark):
     d = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b"), ("d", "b"), ("e", "d"), ("x", "y"), ("y", "x")], "id string, supersedes string")
-    tree = logs.Lineage(d, max_rounds=8)
+    tree = logs.Lineage(d)
     got = {r["id"]: (r["root"], r["depth"]) for r in tree.nodes.collect()}
     assert got["e"] == ("a", 3) and got["c"] == ("a", 2) and got["x"] == (None, None)
     pairs = spark.createDataFrame([("e", "a"), ("e", "c"), ("e", "d"), ("c", "c"), ("b", "e"), ("x", "y")], "n string, o string")
