@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cairnsift.llm.text_arrays import U64, mixed
+from cairnsift.llm.text_arrays import mixed, slices, U64
 
 Q = 10
 PROBE = 120
@@ -211,7 +211,7 @@ def find(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", tex
 
     def runner(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 hits = search(batch.column(1).to_pylist(), shared.value)
                 flat = [(i, item, *hit) for i, by in enumerate(hits) for item, hit in sorted(by.items())]
                 yield pa.RecordBatch.from_arrays([
@@ -231,7 +231,7 @@ def clean(documents: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     """The documents without a leak, with all their columns."""
     def runner(shared, at):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 hits = search(batch.column(at).to_pylist(), shared.value)
                 yield batch.filter(pa.array([not h for h in hits], pa.bool_()))
         return run

@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from cairnsift.llm.text_arrays import slices
+
 SAMPLE_PAGES = 300
 ADJACENT = 0.6
 SIBLING = 0.6
@@ -259,7 +261,7 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", page
     weights = fit(sampled(pages, page_id, page, sample_pages))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [extract(p, weights) for p in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])

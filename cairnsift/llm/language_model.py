@@ -31,6 +31,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnsift.llm.shared import words
+from cairnsift.llm.text_arrays import slices
 from cairnsift.session import stored
 
 END = "\n"  # no word holds white space
@@ -284,7 +285,7 @@ def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
             squares = {k: np.full_like(v, 1e-3) for k, v in p.items()}
             held: list[np.ndarray] = []
             seen = size = 0
-            for batch in batches:
+            for batch in slices(batches):
                 for text in batch.column(0).to_pylist():
                     held.append(named(numbered(tokens(text), lexicon.value.rank)))
                     size += len(held[-1])
@@ -300,9 +301,9 @@ def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
 
         parts = share.mapInArrow(run, "weights array<double>, n double").withColumn("v", array_to_vector("weights"))
         some = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(AVERAGING)).alias("k")).agg(Summarizer.mean(F.col("v"), F.col("n")).alias("v"), F.sum("n").alias("n"))
-        row = some.agg(Summarizer.mean(F.col("v"), F.col("n")).alias("v"), F.sum("n").alias("n")).first()
-        if row["n"]:
-            flat = row["v"].toArray().astype(np.float32)
+        whole = some.groupBy(F.lit(0).alias("k")).agg(Summarizer.mean(F.col("v"), F.col("n")).alias("v")).collect()
+        if whole:
+            flat = whole[0]["v"].toArray().astype(np.float32)
     return flat
 
 
@@ -337,7 +338,7 @@ def scored(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", kno
                 pa.array([float(base[i].sum()) for i in ids]), pa.array([float(n + rest[i].sum()) for n, i in zip(network, ids)]),
                 pa.ListArray.from_arrays(pa.array(offsets), tail)], ["doc_id", "n_tokens", "n_top", "base_top", "score_top", "tail"])
 
-        for batch in batches:
+        for batch in slices(batches):
             id_kind = batch.column(0).type
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 said = tokens(text)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cairnsift.llm.text_arrays import U64, mixed, prints, signed, split
+from cairnsift.llm.text_arrays import mixed, prints, signed, slices, split, U64
 from cairnsift.scale import components
 from cairnsift.session import stored
 
@@ -91,7 +91,7 @@ def bands(table: np.ndarray, rows: int = ROWS) -> np.ndarray:
 def profile(documents: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """By document: ``n_shingles``, a 128-bit print of the set, and the band keys (null for an empty set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), width)
             keys = bands(sketches(sets))
             with np.errstate(over="ignore"):
@@ -118,7 +118,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, of = np.zeros(0, U64), None
-        for batch in batches:
+        for batch in slices(batches):
             hub, node = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             sets = shingle_sets(batch.column(3).to_pylist(), width)
             out = []

@@ -38,8 +38,15 @@ def fresh(frame: DataFrame, *names: str) -> list[str]:
     return out
 
 
+# What a Python worker holds at a time.
+BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
+
+
 def shipped(spark: SparkSession) -> SparkSession:
-    """Give Python workers this package where their path does not have it already. Only code is shipped."""
+    """Prepare a session for Python workers: batches of a bounded size, and this package where their path does not have
+    it already. Only code is shipped."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
     on_path = {os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
     if str(root) not in on_path and not getattr(context, "_package_shipped", False):

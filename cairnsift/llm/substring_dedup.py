@@ -33,7 +33,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from cairnsift.llm.text_arrays import BASES, U64, Words, mixed, powers, prints, signed, split
+from cairnsift.llm.text_arrays import BASES, mixed, powers, prints, signed, slices, split, U64, Words
 from cairnsift.session import stored
 
 ROUNDS = 2
@@ -132,7 +132,7 @@ def packed(rows: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` with each text compressed, to be shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if t is None else small.compress(t) for t in texts_of(batch.column(1))], pa.binary())], ["doc_id", "text"])
     return rows.mapInArrow(run, "doc_id bigint, text binary")
 
@@ -154,7 +154,7 @@ def repeated(documents: DataFrame, window: int, doc_id: str, text: str) -> DataF
     rows = documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def name_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             w = split(encoded(batch.column(1)))
             doc, first, n, name = passages(w, window)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -166,7 +166,7 @@ def repeated(documents: DataFrame, window: int, doc_id: str, text: str) -> DataF
     places = found.join(shared, "name").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "name")).alias("units"))
 
     def print_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             w = split(encoded(batch.column(1)))
             spans = Spans(w)
             lists = batch.column(2)
@@ -201,7 +201,7 @@ def remove(documents: DataFrame, window: int = 13, doc_id: str = "doc_id", text:
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             total, gone, kept = [], [], []
             for t, lists in zip(encoded(batch.column(1)), batch.column(2)):
                 words = t.split()

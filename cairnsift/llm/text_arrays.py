@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -70,3 +72,15 @@ def prints(w: Words, lane: int = 0) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+SLICE_BYTES = 2 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes, at least one row each. What a task holds then follows from this
+    and not from the rows that Spark puts into a batch."""
+    for batch in batches:
+        step = max(1, batch.num_rows * size // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)

@@ -19,6 +19,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cairnsift.llm.text_arrays import slices
+
 CHUNK = 40_000
 OVERLAP = 1_000
 BATCH_PIECES = 20_000
@@ -92,7 +94,7 @@ def count(documents: DataFrame, vocabulary: str, limit: int = 2048, doc_id: str
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, known = tokenizer(vocabulary), {}
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             tokens = count_batch(coder, texts, chunk, overlap, known)
             yield pa.RecordBatch.from_arrays([
