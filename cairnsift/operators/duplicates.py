@@ -121,8 +121,7 @@ def attribute_profile(rows: DataFrame, ids: list[str], attributes: str = "attrib
             .when((F.col("total") > 3) & (F.col("n") == F.col("total")) & (F.col("values") == F.col("n")) & ~F.col("echoed"), "identifier")
             .otherwise("varying"))
     # The total is one row.
-    one = total.withColumn("_j", F.lit(1))
-    return per.withColumn("_j", F.lit(1)).join(F.broadcast(one), "_j").select("name", "n", "values", kind.alias("kind"))
+    return per.crossJoin(F.broadcast(total)).select("name", "n", "values", kind.alias("kind"))
 
 
 def study_shared_attributes(units: DataFrame, attributes: DataFrame) -> DataFrame:

@@ -154,7 +154,7 @@ def remaining_work(units: DataFrame, requests: DataFrame) -> DataFrame:
     waiting = waits | ((F.col("state") == "split_parent") & F.coalesce("_all_wait", F.lit(False)))
     u = both.agg(F.count_if(open_ & ~waiting).alias("open_units"), F.count_if(~open_ & (F.col("raw_disposition") == "held")).alias("held_raw"))
     r = requests.agg(F.count_if(F.col("handled_at").isNull()).alias("pending_requests"))
-    return u.withColumn("_j", F.lit(1)).join(F.broadcast(r.withColumn("_j", F.lit(1))), "_j").select("open_units", "pending_requests", "held_raw")
+    return u.crossJoin(F.broadcast(r)).select("open_units", "pending_requests", "held_raw")
 
 
 def gate_rollup(checks: DataFrame) -> DataFrame:

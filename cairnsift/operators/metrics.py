@@ -126,9 +126,9 @@ def stratified_sample(frame: DataFrame, key: str, strata: list[str], fraction: f
     ranked = ordered(base, ["_s"], ["_h"], bucket, row_number="_r")
     sizes = base.groupBy("_s").agg(F.count(F.lit(1)).alias("_n"))
     # The whole sample grows to the minimum by the same share of every stratum.
-    total = base.agg(F.count(F.lit(1)).alias("_t")).withColumn("_j", F.lit(1))
+    total = base.agg(F.count(F.lit(1)).alias("_t"))
     share = F.greatest(F.lit(fraction), F.least(F.lit(1.0), F.lit(float(minimum)) / F.greatest(F.col("_t"), F.lit(1))))
-    sized = sizes.withColumn("_j", F.lit(1)).join(F.broadcast(total), "_j").select(
+    sized = sizes.crossJoin(F.broadcast(total)).select(
         F.col("_s").alias("_ss"), F.greatest(F.ceil(F.col("_n") * share), F.lit(per_stratum)).alias("_take"))
     return ranked.join(sized, F.col("_s") == F.col("_ss")).where("_r <= _take").select(*frame.columns, F.col("_r").alias("rank"))
 

@@ -336,11 +336,11 @@ def observed_factor(observations: DataFrame, value: str) -> DataFrame:
 
 def disk_needs(units: DataFrame, observed: DataFrame) -> DataFrame:
     """Bytes each unit takes on a volume. ``observed`` is at most one row."""
-    one = observed.select("factor").agg(F.max("factor").alias("_f")).withColumn("_j", F.lit(1))
-    with_factor = units.withColumn("_j", F.lit(1)).join(F.broadcast(one), "_j")
+    one = observed.select("factor").agg(F.max("factor").alias("_f"))
+    with_factor = units.crossJoin(F.broadcast(one))
     factor = policy.disk_factor(F.col("has_archive"), F.col("_f"))
     return with_factor.withColumn("factor", factor).withColumn(
-        "need", policy.disk_need(F.col("known_bytes"), F.col("size_known"), F.col("factor"), F.col("held_bytes"))).drop("_j", "_f")
+        "need", policy.disk_need(F.col("known_bytes"), F.col("size_known"), F.col("factor"), F.col("held_bytes"))).drop("_f")
 
 
 def disk_verdicts(needs: DataFrame, free: Column, total: Column) -> DataFrame:

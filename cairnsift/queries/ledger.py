@@ -45,9 +45,9 @@ def streaks(t: Tables):
     """The log as it would stand had only network failures come in its last twentieth."""
     a = t["attempt"]
     top = a.agg((F.max("attempt_id") * 0.95).alias("cut"))
-    late = a.withColumn("_j", F.lit(1)).join(F.broadcast(top.withColumn("_j", F.lit(1))), "_j")
+    late = a.crossJoin(F.broadcast(top))
     drop = F.col("outcome").isin("ok", "failed", "fault") & (F.col("attempt_id") > F.col("cut")) & ~((F.col("outcome") != "ok") & (F.col("network") == 1))
-    return ledger.outage_streaks(late.where(~drop).drop("_j", "cut"))
+    return ledger.outage_streaks(late.where(~drop).drop("cut"))
 
 
 @query("w5_outage_streaks", "attempt", ctes=STREAK, sql="SELECT * FROM res")

@@ -62,7 +62,8 @@ def g2(t: Tables):
 
 
 @query("g3_stale_holder_stream", "transition", sql="""
-SELECT unit_key, seq, nx - at_us AS silence_us FROM (SELECT *, lead(at_us) OVER (PARTITION BY unit_key ORDER BY seq) AS nx FROM transition) WHERE nx - at_us > 36000000000""")
+SELECT unit_key, seq, at_us FROM (SELECT *, lead(at_us) OVER (PARTITION BY unit_key ORDER BY seq) AS nx FROM transition)
+WHERE coalesce(nx, (SELECT max(at_us) FROM transition)) - at_us > 36000000000""")
 def g3(t: Tables):
     return folds.run_fold(stream_of(t, "transition"), folds.silent_step(36_000_000_000), folds.SILENT_STATE)[0]
 
@@ -76,10 +77,12 @@ def g4(t: Tables):
     return folds.open_streaks(state)
 
 
-@query("g5_retry_due_stream", "attempt", sql=f"""
-SELECT * FROM (WITH c AS (SELECT concat(unit_key, '/', started_us // 86400000000) AS unit_key, count(*) FILTER (outcome = 'failed') + greatest(0, count(*) FILTER (outcome = 'interrupted') - 5) AS failures,
-    max_by(ended_us, attempt_id) FILTER (outcome IN ('failed', 'interrupted')) AS e FROM attempt GROUP BY 1)
-SELECT unit_key, failures, e + CASE WHEN failures = 1 THEN 600000000 ELSE 3600000000 END AS due_us FROM c WHERE failures IN (1, 2) AND e + CASE WHEN failures = 1 THEN 600000000 ELSE 3600000000 END <= {MAX_US})""")
+@query("g5_retry_due_stream", "attempt", sql="""
+SELECT * FROM (WITH a AS (SELECT concat(unit_key, '/', started_us // 86400000000) AS unit_key, attempt_id, outcome, started_us, ended_us FROM attempt),
+  c AS (SELECT *, count(*) FILTER (outcome = 'failed') OVER w AS f, count(*) FILTER (outcome = 'interrupted') OVER w AS i FROM a WINDOW w AS (PARTITION BY unit_key ORDER BY attempt_id)),
+  d AS (SELECT *, f + greatest(0, i - 5) AS failures FROM c WHERE outcome = 'failed' OR (outcome = 'interrupted' AND i > 5)),
+  e AS (SELECT unit_key, failures, ended_us + CASE WHEN failures = 1 THEN 600000000 ELSE 3600000000 END AS due_us FROM d WHERE failures < 3)
+SELECT * FROM e WHERE due_us <= (SELECT max(started_us) FROM attempt))""")
 def g5(t: Tables):
     """A unit is a user's day."""
     s = stream_of(t, "attempt").withColumn("unit_key", F.concat_ws("/", "unit_key", F.floor(F.col("started_us") / 86_400_000_000).cast("string")))
@@ -115,10 +118,11 @@ def g9(t: Tables):
 
 
 @query("g10_group_barrier_stream", "transition", sql="""
-SELECT concat('g', user_id // 2) AS group_id, count(*) AS members FROM (SELECT user_id, max_by(to_state, seq) AS s FROM transition GROUP BY 1) GROUP BY 1 HAVING bool_and(s IN ('purchase', 'view', 'click'))""")
+SELECT concat('g', user_id // 2) AS group_id, count(*) AS members FROM (SELECT user_id, bool_or(to_state = 'purchase') AS past FROM transition GROUP BY 1) GROUP BY 1 HAVING bool_and(past)""")
 def g10(t: Tables):
-    s = stream_of(t, "transition").withColumn("group_id", F.concat(F.lit("g"), F.floor(F.col("user_id") / 2).cast("string")))
-    return folds.run_fold(s, folds.barrier_step(["purchase", "view", "click"]), folds.BARRIER_STATE)[0]
+    """Membership is known beforehand: a static side."""
+    members = t["transition"].select("unit_key", F.concat(F.lit("g"), F.floor(F.col("user_id") / 2).cast("string")).alias("group_id")).distinct()
+    return folds.run_fold(stream_of(t, "transition"), folds.barrier_step(["purchase"], members), folds.BARRIER_STATE)[0]
 
 
 @query("g11_approval_join_stream", "transition", sql="""

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cairnsift import vocab
-from cairnsift.functions.names import _c
 from cairnsift.operators import ledger
 from cairnsift.session import scratch
 
@@ -68,16 +67,20 @@ def stalled_step(window_us: int) -> Step:
     return step
 
 
-SILENT_STATE = "unit_key string, seq bigint, at_us bigint"
+SILENT_STATE = "unit_key string, seq bigint, at_us bigint, reported boolean"
 
 
 def silent_step(window_us: int) -> Step:
-    """Silences longer than the window between heartbeats. State: each holder's last heartbeat."""
+    """Heartbeats that no other followed within the window, each told once: as soon as the newest time seen shows it,
+    whether the holder ever beats again or not. State: each holder's last heartbeat and whether it was told."""
     def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        all_ = state.unionByName(batch.select("unit_key", "seq", "at_us"))
-        out = ledger.silent_gaps(all_, window_us).where("silence_us IS NOT NULL")
-        new = all_.groupBy("unit_key").agg(F.max("seq").alias("seq"), F.max_by("at_us", "seq").alias("at_us"))
-        return out, new
+        fresh = batch.select("unit_key", "seq", "at_us", F.lit(False).alias("reported"))
+        all_ = state.unionByName(fresh)
+        clock = all_.agg(F.max("at_us").alias("_clock"))
+        run = ledger.ordered(all_, ["unit_key"], ["seq"], ledger.blocks("seq", ledger.WIDTH), lead={"_next": "at_us"}).crossJoin(F.broadcast(clock))
+        silent = F.coalesce("_next", "_clock") - F.col("at_us") > window_us
+        new = run.where("_next IS NULL").select("unit_key", "seq", "at_us", (F.col("reported") | silent).alias("reported"))
+        return run.where(silent & ~F.col("reported")).select("unit_key", "seq", "at_us"), new
     return step
 
 
@@ -111,36 +114,48 @@ def open_streaks(state: DataFrame) -> DataFrame:
     return state.where(F.col("streak") & ~persistent).select("repository", "group_id")
 
 
-RETRY_STATE = "unit_key string, failures bigint, interruptions bigint, last_id bigint, due_us bigint"
+RETRY_STATE = "unit_key string, failures bigint, interruptions bigint, seen_us bigint, retry bigint, due_us bigint"
 
 
-def retry_step(now_us: int | None = None) -> Step:
-    """Retries that fall due: one row per unit once its delay has passed by the newest attempt seen (or ``now_us``).
-    State: counts per unit."""
+def retry_step() -> Step:
+    """Retries as they fall due: each counted failure that is not the last one allowed is told once, when the newest
+    start seen passes its due time. Batches come in log order. State: a row of counts per unit (``retry`` null), and a row
+    per retry that is still to fall due."""
     def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        last = batch.agg(F.max("started_us").alias("n")).first()["n"]
-        clock = now_us if now_us is not None else (last if last is not None else 0)
-        b = batch.groupBy("unit_key").agg(
-            F.count_if(F.col("outcome") == "failed").alias("bf"), F.count_if(F.col("outcome") == "interrupted").alias("bi"), F.max("attempt_id").alias("b_id"),
-            F.max_by("ended_us", F.when(F.col("outcome").isin("failed", "interrupted"), F.col("attempt_id"))).alias("b_end"))
+        counts = state.where("retry IS NULL").select("unit_key", F.col("failures").alias("_pf"), F.col("interruptions").alias("_pi"), F.col("seen_us").alias("_ps"))
+        failed, cut = (F.col("outcome") == "failed").cast("int"), (F.col("outcome") == "interrupted").cast("int")
+        run = ledger.ordered(batch, ["unit_key"], ["attempt_id"], ledger.blocks("attempt_id", ledger.WIDTH), prior_sum={"_f": failed, "_i": cut}).join(counts, "unit_key", "left")
         z = lambda c: F.coalesce(F.col(c), F.lit(0))
-        both = state.join(b, "unit_key", "full_outer").select(
-            "unit_key", (z("failures") + z("bf")).alias("failures"), (z("interruptions") + z("bi")).alias("interruptions"), F.greatest("last_id", "b_id").alias("last_id"), "due_us", "b_end")
-        n = F.col("failures") + F.greatest(F.lit(0), F.col("interruptions") - vocab.MAX_INTERRUPTIONS)
-        delay = F.when(n == 1, F.lit(vocab.RETRY_DELAYS[0])).otherwise(F.lit(vocab.RETRY_DELAYS[-1])).cast("bigint") * 1_000_000
-        due = F.when((n > 0) & (n < vocab.MAX_ATTEMPTS), F.when(F.col("b_end").isNotNull(), F.col("b_end") + delay).otherwise(F.col("due_us")))
-        new = both.withColumn("due_us", due).select("unit_key", "failures", "interruptions", "last_id", "due_us")
-        return new.where(F.col("due_us") <= clock).select("unit_key", "failures", "due_us"), new
+        i = z("_pi") + F.col("_i") + cut
+        n = z("_pf") + F.col("_f") + failed + F.greatest(F.lit(0), i - vocab.MAX_INTERRUPTIONS)
+        delays = F.array(*[F.lit(d) for d in vocab.RETRY_DELAYS])
+        delay = F.element_at(delays, F.least(n, F.lit(len(vocab.RETRY_DELAYS))).cast("int")).cast("bigint")
+        told = run.where(((failed == 1) | ((cut == 1) & (i > vocab.MAX_INTERRUPTIONS))) & (n < vocab.MAX_ATTEMPTS)).select(
+            "unit_key", n.cast("bigint").alias("retry"), (F.col("ended_us") + delay * 1_000_000).alias("due_us"))
+        b = batch.groupBy("unit_key").agg(F.count_if(F.col("outcome") == "failed").alias("_bf"), F.count_if(F.col("outcome") == "interrupted").alias("_bi"), F.max("started_us").alias("_bs"))
+        units = counts.join(b, "unit_key", "full_outer").select(
+            "unit_key", (z("_pf") + z("_bf")).alias("failures"), (z("_pi") + z("_bi")).alias("interruptions"), F.greatest("_ps", "_bs").alias("seen_us"))
+        open_ = state.where("retry IS NOT NULL").select("unit_key", "retry", "due_us").unionByName(told)
+        timed = open_.crossJoin(F.broadcast(units.agg(F.max("seen_us").alias("_clock"))))
+        none = lambda *names: [F.lit(None).cast("bigint").alias(x) for x in names]
+        rest = timed.where(F.col("due_us") > F.col("_clock")).select("unit_key", *none("failures", "interruptions", "seen_us"), "retry", "due_us")
+        new = units.select("*", *none("retry", "due_us")).unionByName(rest)
+        return timed.where(F.col("due_us") <= F.col("_clock")).select("unit_key", F.col("retry").alias("failures"), "due_us"), new
     return step
 
 
-BARRIER_STATE = "unit_key string, group_id string, state string, seq bigint"
+BARRIER_STATE = "unit_key string, group_id string, told boolean"
 
 
-def barrier_step(passed: list[str]) -> Step:
-    """Groups whose members are all past the barrier after each batch. State: each unit's last state."""
+def barrier_step(passed: list[str], members: DataFrame) -> Step:
+    """Groups all of whose ``members(unit_key, group_id)`` have at some time been in a passed state, each told once.
+    State: the units that have passed, and a row without unit for each group told."""
     def step(batch: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-        fresh = batch.select("unit_key", "group_id", _c("to_state").alias("state"), "seq")
-        new = state.unionByName(fresh).groupBy("unit_key").agg(F.max_by(F.struct("group_id", "state", "seq"), "seq").alias("s")).select("unit_key", "s.*")
-        return ledger.group_barrier(new, passed).where("open").select("group_id", "members"), new
+        fresh = batch.where(F.col("to_state").isin(*passed)).select("unit_key").join(members, "unit_key").select("unit_key", "group_id", F.lit(False).alias("told"))
+        past = state.where("NOT told").unionByName(fresh).distinct()
+        whole = members.groupBy("group_id").agg(F.count_distinct("unit_key").alias("members"))
+        full = past.groupBy("group_id").agg(F.count(F.lit(1)).alias("_n")).join(whole, "group_id").where("_n = members")
+        out = full.join(state.where("told").select("group_id"), "group_id", "left_anti").select("group_id", "members")
+        told = state.where("told").unionByName(out.select(F.lit(None).cast("string").alias("unit_key"), "group_id", F.lit(True).alias("told")))
+        return out, past.unionByName(told)
     return step

@@ -46,8 +46,13 @@ def test_stalled(spark, log):
 
 
 def test_silence(spark, log):
+    """Closed silences and holders that are gone for good, each told once."""
     out, _ = folds.run_fold(stream(spark, log), folds.silent_step(2_000_000_000), folds.SILENT_STATE)
-    assert rows(out) == rows(ledger.silent_gaps(spark.read.parquet(log), 2_000_000_000).where("silence_us IS NOT NULL"))
+    table = spark.read.parquet(log)
+    clock = table.agg(F.max("at_us")).first()[0]
+    want = ledger.silent_gaps(table, 2_000_000_000).join(table.select("unit_key", "seq", "at_us"), ["unit_key", "seq"]).where(
+        F.col("silence_us").isNotNull() | (F.lit(clock) - F.col("at_us") > 2_000_000_000))
+    assert rows(out, "unit_key", "seq") == rows(want, "unit_key", "seq") and out.count() > 0
 
 
 def test_outages(spark, log):
@@ -57,15 +62,22 @@ def test_outages(spark, log):
 
 
 def test_retries(spark, log):
-    _, state = folds.run_fold(stream(spark, log), folds.retry_step(), folds.RETRY_STATE)
-    last = spark.read.parquet(log).groupBy("unit_key").agg(F.count_if(F.col("outcome") == "failed").alias("f"), F.count_if(F.col("outcome") == "interrupted").alias("i"))
-    assert rows(state, "unit_key", "failures", "interruptions") == rows(last)
+    """Over five batches each retry is told once, with the times of the batch twin."""
+    short = stream(spark, log).withColumn("unit_key", F.concat("unit_key", F.lit("/"), F.floor(F.col("attempt_id") / 70).cast("string")))
+    out, state = folds.run_fold(short, folds.retry_step(), folds.RETRY_STATE)
+    table = spark.read.parquet(log).withColumn("unit_key", F.concat("unit_key", F.lit("/"), F.floor(F.col("attempt_id") / 70).cast("string")))
+    clock = table.agg(F.max("started_us")).first()[0]
+    due = ledger.retry_schedule(table).where("NOT terminal")
+    assert rows(out, "unit_key", "failures", "due_us") == rows(due.where(F.col("due_us") <= clock), "unit_key", "failures", "due_us")
+    assert rows(state.where("retry IS NOT NULL"), "unit_key", "due_us") == rows(due.where(F.col("due_us") > clock), "unit_key", "due_us") and out.count() > 10
 
 
 def test_barrier(spark, log):
-    _, state = folds.run_fold(stream(spark, log), folds.barrier_step(["a"]), folds.BARRIER_STATE)
-    now = ledger.current_state(spark.read.parquet(log))
-    assert rows(state, "unit_key", "state") == rows(now, "unit_key", "state")
+    """A group waits for members that the log has not shown yet, and is told once."""
+    table = spark.read.parquet(log)
+    members = table.select("unit_key", F.col("repository").alias("group_id")).distinct().union(spark.createDataFrame([("never", "r9"), ("u1", "r9")], "a string, b string"))
+    out, _ = folds.run_fold(stream(spark, log), folds.barrier_step(["a"], members), folds.BARRIER_STATE)
+    assert rows(out) == [("r0", 4), ("r1", 4)]
 
 
 def test_current_state_and_rates(spark, log):
