@@ -15,7 +15,7 @@ BODY = "CASE WHEN lang = 'de' THEN concat(text, chr(10), 'see C:', chr(92), 'wor
 
 
 def bundle(t: Tables):
-    d = t.stored("doc")
+    d = t["doc"]
     body = F.when(F.col("lang") == "de", F.concat("text", F.lit("\nsee C:\\work\\x"))).otherwise(F.col("text"))
     return d.select(F.concat(F.lit("triage/"), "path").alias("relative_path"), body.alias("text"), "lang")
 
