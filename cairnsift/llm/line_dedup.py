@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnsift.llm.shared import fresh, let
+from cairnsift.session import stored
 
 PLACES = 1 << 31  # chunks of one text are numbered below this, the limit of an array
 
@@ -43,7 +44,8 @@ def repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     found = cut.select("doc_id", "print", "ord", "chunk", F.xxhash64("chunk").alias("h"), place.cast("decimal(38,0)").alias("place"))
     # Two places or more by hash, counted before the chunks' bytes are moved.
     twice = found.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").select("h")
-    shared = found.join(twice, "h")
+    # Read twice below; what is stored are the repeated chunks only.
+    shared = stored(found.join(twice, "h"))
     origin = shared.groupBy("h", "chunk").agg(F.min("place").alias("first"))
     later = shared.join(origin, ["h", "chunk"]).where("place > first")
     return later.select("doc_id", "print", "ord")
