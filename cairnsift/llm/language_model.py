@@ -40,10 +40,10 @@ PER_CLASS = 32
 HIDDEN = 16
 WINDOW = 16
 KNOWN = 200_000
-PASSES = 2
-TRAIN_LANES = 256
+PASSES = 1
+TRAIN_LANES = 512
 SCORE_LANES = 512
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 6_000_000
 RATE = 0.2
 AVERAGING = 32
 
@@ -186,21 +186,28 @@ def backward(p, inputs, fresh, trace, target, kept, saved) -> dict[str, np.ndarr
     carry = np.zeros((inputs.shape[1], HIDDEN), np.float32)
     gates, candidate = p["state"][:, : 2 * HIDDEN], p["state"][:, 2 * HIDDEN:]
     dx_all = np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
+    to_gates, to_candidate = np.ascontiguousarray(gates.T), np.ascontiguousarray(candidate.T)
     for t in range(len(inputs) - 1, -1, -1):
         h, z, r, c = trace[t]
         dh = dh_all[t] + carry
         dc = dh * z * (1 - c * c)
-        back = dc @ candidate.T
+        back = dc @ to_candidate
         dz = dh * (c - h) * z * (1 - z)
         dr = back * h * r * (1 - r)
-        dzr = np.concatenate([dz, dr], axis=1)
-        carry = dh * (1 - z) + back * r + dzr @ gates.T
+        dx = dx_all[t]
+        dx[:, :HIDDEN], dx[:, HIDDEN: 2 * HIDDEN], dx[:, 2 * HIDDEN:] = dz, dr, dc
+        carry = dh * (1 - z) + back * r + dx[:, : 2 * HIDDEN] @ to_gates
         carry[fresh[t]] = 0
-        g["state"][:, : 2 * HIDDEN] += h.T @ dzr
-        g["state"][:, 2 * HIDDEN:] += (r * h).T @ dc
-        dx_all[t, :, : 2 * HIDDEN], dx_all[t, :, 2 * HIDDEN:] = dzr, dc
+    flat = dx_all.reshape(-1, 3 * HIDDEN)
+    before = np.concatenate([h for h, _, _, _ in trace])
+    gated = np.concatenate([r * h for h, _, r, _ in trace])
+    g["state"][:, : 2 * HIDDEN] = before.T @ flat[:, : 2 * HIDDEN]
+    g["state"][:, 2 * HIDDEN:] = gated.T @ flat[:, 2 * HIDDEN:]
     # Padding carries no gradient, as nothing after it does.
-    np.add.at(g["inputs"], inputs.ravel(), dx_all.reshape(-1, 3 * HIDDEN))
+    # Sums by token: rows in token order, one sum per run.
+    order = np.argsort(inputs.ravel(), kind="stable")
+    tokens_, first = np.unique(inputs.ravel()[order], return_index=True)
+    g["inputs"][tokens_] = np.add.reduceat(flat[order], first, axis=0)
     for v in g.values():
         v /= n
     return g
@@ -272,6 +279,20 @@ def count_words(rows: DataFrame) -> DataFrame:
     return said.union(ends)
 
 
+def most_frequent(counts: DataFrame, known: int) -> DataFrame:
+    """All tokens above the lowest count at which they are no more than ``known``. The count comes from a histogram over
+    64 steps per doubling, so what reaches the driver is bounded by ``known`` and by the histogram."""
+    step = F.floor(F.log2("c") * 64)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect()
+    total, least = 0, None
+    for row in sizes:
+        total += row["n"]
+        if total > known:
+            break
+        least = row["step"]
+    return counts.where(step >= least) if least is not None else counts.limit(0)
+
+
 def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
     """Averaged weights after ``passes`` passes, each over its own share of the training documents."""
     flat = start()
@@ -313,7 +334,7 @@ def scored(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", kno
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     counts = stored(count_words(rows))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(known).collect()
+    top = sorted(most_frequent(counts, known).collect(), key=lambda r: (-r["c"], r["word"]))
     lexicon = Lexicon({r["word"]: i for i, r in enumerate(top)}, np.array([r["c"] for r in top], np.int64), total["n"], total["v"])
     shared = spark.sparkContext.broadcast(lexicon)
     weights = spark.sparkContext.broadcast(trained(rows, shared, passes))
