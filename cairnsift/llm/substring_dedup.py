@@ -6,9 +6,9 @@ stands for, so it is the same in all documents without a dictionary to be shuffl
 the span of words that fixes how it was formed. A symbol whose context lies inside a passage is an interior symbol: it
 appears wherever the passage does.
 
-Each window of ``window`` words is named by that of its interior symbols, of all rounds, whose hash is the largest; a
-word is its own interior symbol, so each window has one. Consecutive windows with one name, seven on average, are a
-unit. Then:
+Each window of ``window`` words is named by that of its interior symbols, of all rounds, whose hash is the largest; the
+hash covers the symbol and the words of its context, ``SPAN`` at least. A word is its own interior symbol, so each window
+has one. Consecutive windows with one name, five on average, are a unit. Then:
 
 1. Spark counts each name's documents. Names of one document are done, which is nearly all text that is not repeated.
 2. For shared names the units are compared by a second hash over all their words. A unit that an earlier document has is
@@ -37,6 +37,7 @@ from cairnsift.llm.text_arrays import BASES, mixed, powers, prints, signed, slic
 from cairnsift.session import stored
 
 ROUNDS = 2
+SPAN = 5  # a name covers at least so many words, so that few names are shared by chance
 
 
 def interior(words: np.ndarray, doc: np.ndarray, window: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -44,10 +45,14 @@ def interior(words: np.ndarray, doc: np.ndarray, window: int, rounds: int = ROUN
     n = len(words)
     best = [np.zeros(n, U64) for _ in range(window + 1)]
 
+    spans, least = Spans(words), min(SPAN, window)
+
     def offer(level: int, name: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
-        size = high - low
-        rank = mixed(name ^ U64(level), 77)
-        for k in range(1, window + 1):
+        high = np.maximum(high, low + least)
+        at = np.flatnonzero((low >= 0) & (high <= n) & (high - low <= window))
+        low, size = low[at], (high - low)[at]
+        rank = mixed(name[at] ^ U64(level) ^ spans.of(low, size), 77)
+        for k in range(least, window + 1):
             at = np.flatnonzero(size == k)
             if len(at):
                 np.maximum.at(best[k], low[at], rank[at])
@@ -116,8 +121,7 @@ def passages(w: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 class Spans:
     """Prints of any span of words, by a second hash."""
 
-    def __init__(self, w: Words):
-        p = prints(w, 1)
+    def __init__(self, p: np.ndarray):
         size = 1 << max(12, len(p).bit_length())
         with np.errstate(over="ignore"):
             self.total = np.concatenate([np.zeros(1, U64), np.cumsum(p * powers(BASES[0], size)[: len(p)], dtype=U64)])
@@ -168,7 +172,7 @@ def repeated(documents: DataFrame, window: int, doc_id: str, text: str) -> DataF
     def print_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             w = split(encoded(batch.column(1)))
-            spans = Spans(w)
+            spans = Spans(prints(w, 1))
             lists = batch.column(2)
             owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
             unit = lists.flatten()
