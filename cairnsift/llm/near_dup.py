@@ -153,17 +153,20 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80, doc_id: str
     links = stored(confirmed(stars, texts, width, percent).distinct())
     settled = stored(components(links, "hub", "node"))
 
-    placed = shared.join(settled, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-    parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+    placed = shared.join(settled, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"), F.col("component").isNull().alias("lone"))
+    parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"), F.bool_and("lone").alias("lone"))
     mixed_keys = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
     rest = stored(placed.join(mixed_keys, "key"))
-    kinds = rest.select("key", "part").distinct()
-    met = kinds.join(kinds.withColumnRenamed("part", "other"), "key").where("part < other")
-    left = rest.join(met, ["key", "part"]).select("key", "other", F.col("node").alias("a"))
+    # The smaller side of two components in a bucket is listed first, so a large one is met once per outsider.
+    kinds = parts.join(mixed_keys, "key")
+    met = kinds.join(kinds.select("key", F.col("part").alias("other"), F.col("n").alias("m"), F.col("lone").alias("lone_too")), "key").where("n < m OR (n = m AND part < other)")
+    # Two components of one node each are a pair already; only larger ones are taken apart by bucket.
+    lone_pairs = met.where("lone AND lone_too").select(F.col("part").alias("a"), F.col("other").alias("b")).distinct()
+    left = rest.join(met.where("NOT (lone AND lone_too)").select("key", "part", "other"), ["key", "part"]).select("key", "other", F.col("node").alias("a"))
     across = left.join(rest.select("key", F.col("part").alias("other"), F.col("node").alias("b")), ["key", "other"])
-    fresh_pairs = across.select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("node")).distinct().join(stars, ["hub", "node"], "left_anti")
+    fresh_pairs = across.select("a", "b").union(lone_pairs).select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("node")).distinct().join(stars, ["hub", "node"], "left_anti")
     more = stored(confirmed(fresh_pairs, texts, width, percent).distinct())
-    final = components(links.union(more), "hub", "node")
+    final = settled if more.isEmpty() else components(links.union(more), "hub", "node")
 
     named = member.join(final, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     out = known.select("doc_id", "n_shingles").join(named, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
