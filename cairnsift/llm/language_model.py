@@ -1,9 +1,11 @@
 """Scores texts with a gated recurrent language model next to an add-one unigram base.
 
-Counts come from all training documents by a Spark aggregate and stay a table. The network knows the ``NET`` most
-frequent tokens by name; the rest share one class. Its output is factored: first the class of a token from the hidden
-state, then the token within its class, from the hidden state for named tokens and by add-one counts for the rest, where
-an unseen token has one count's worth. So all probabilities sum to one.
+Counts come from all training documents by a Spark aggregate and stay a table. The network knows by name every token of
+the lexicon that training documents have ``NAMED_FROM`` times or more, so its vocabulary grows with the input; the rest
+share one class. Its output is factored: first the class of a token from the hidden state, where named tokens are dealt
+by frequency into about as many classes as each has members, then the token within its class, from the hidden state for
+named tokens and by add-one counts for the rest, where an unseen token has one count's worth. So all probabilities sum to
+one. Biases start at the counts' shares, so that training starts from the unigram base.
 
 Training is truncated back-propagation in numpy: windows of ``WINDOW`` steps, the state carried from window to window of
 a document. Each Spark partition trains on its own training documents from the same start, and the partitions' weights
@@ -19,6 +21,7 @@ no training token, all tokens are unseen and the network keeps its starting weig
 from __future__ import annotations
 
 import heapq
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,8 +29,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnsift.llm.shared import words
@@ -35,17 +36,18 @@ from cairnsift.llm.text_arrays import slices
 from cairnsift.session import stored
 
 END = "\n"  # no word holds white space
-NET = 512
-PER_CLASS = 32
-HIDDEN = 16
+NET = 512  # named tokens of a network that is given no counts
+NAMED_FROM = 16
+HIDDEN = 32
 WINDOW = 16
 KNOWN = 200_000
 PASSES = 1
 TRAIN_LANES = 512
 SCORE_LANES = 512
 CHUNK_TOKENS = 6_000_000
-RATE = 0.2
-AVERAGING = 32
+RATE = 0.05
+BLOCK = 1 << 16  # weights are averaged in blocks of so many
+NEVER = -1e4
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -60,27 +62,41 @@ def tokens(text: str | None) -> list[str]:
     return b"\n".join(lowered.split()).decode("utf-8", "surrogatepass").split("\n") + [END] if lowered.strip() else [END]
 
 
-def shapes(classes: int) -> dict[str, tuple[int, ...]]:
+def shapes(names: int) -> dict[str, tuple[int, ...]]:
     """Inputs are the named tokens, one for all others, and the start of a text."""
-    return {"inputs": (NET + 2, 3 * HIDDEN), "state": (HIDDEN, 3 * HIDDEN), "class": (HIDDEN + 1, classes + 1), "word": (classes, HIDDEN + 1, PER_CLASS)}
+    per = per_class(names)
+    classes = -(-names // per)
+    return {"inputs": (names + 2, 3 * HIDDEN), "state": (HIDDEN, 3 * HIDDEN), "class": (HIDDEN + 1, classes + 1), "word": (classes, HIDDEN + 1, per)}
 
 
-CLASSES = NET // PER_CLASS
+def per_class(names: int) -> int:
+    return max(1, math.isqrt(max(0, names - 1)) + 1)
 
 
-def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
+def unpacked(flat: np.ndarray, names: int = NET) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for key, shape in shapes(CLASSES).items():
+    for key, shape in shapes(names).items():
         size = int(np.prod(shape))
         out[key] = flat[at: at + size].reshape(shape).copy()
         at += size
     return out
 
 
-def start() -> np.ndarray:
+def start(counts: np.ndarray | None = None, rest: float = 1.0) -> np.ndarray:
+    """Starting weights; ``counts`` of the named tokens and the mass of the ``rest`` give the biases."""
+    names = NET if counts is None else len(counts)
     rng = np.random.default_rng(7)
-    parts = [rng.normal(0, 0.1, int(np.prod(s))) for s in shapes(CLASSES).values()]
-    return np.concatenate(parts).astype(np.float32)
+    p = {k: rng.normal(0, 0.1, s) for k, s in shapes(names).items()}
+    classes, _, per = p["word"].shape
+    share = np.zeros(classes * per)
+    share[:names] = 1 if counts is None else counts
+    share = share.reshape(classes, per)
+    if counts is not None:
+        p["class"][HIDDEN] = np.log(np.append(share.sum(axis=1), rest))
+        p["word"][:, HIDDEN] = np.log(np.maximum(share, 1))
+    # Places past the last named token stand for none.
+    p["word"].transpose(0, 2, 1)[share == 0] = np.append(np.zeros(HIDDEN), NEVER)
+    return np.concatenate([v.ravel() for v in p.values()]).astype(np.float32)
 
 
 @dataclass
@@ -93,7 +109,7 @@ class Lanes:
     owner: np.ndarray
 
 
-def laid(texts: list[np.ndarray], most: int) -> Lanes:
+def laid(texts: list[np.ndarray], most: int, names: int = NET) -> Lanes:
     """Longest first into the emptiest lane, so lanes end together."""
     total = sum(map(len, texts))
     longest = max(map(len, texts))
@@ -115,7 +131,7 @@ def laid(texts: list[np.ndarray], most: int) -> Lanes:
         for i in members:
             n = len(texts[i])
             targets[at: at + n, k] = texts[i]
-            inputs[at, k] = NET + 1
+            inputs[at, k] = names + 1
             inputs[at + 1: at + n, k] = texts[i][:-1]
             fresh[at, k] = True
             owner[at: at + n, k] = i
@@ -151,17 +167,18 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
 def outputs(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list]:
     """Natural log probability of each target's class and, for named tokens, of the token within it."""
     one = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
-    kind = np.minimum(target // PER_CLASS, CLASSES)
+    classes, _, per = p["word"].shape
+    kind = np.where(target < len(p["inputs"]) - 2, target // per, classes)
     by_class = log_softmax(one @ p["class"])
     logp = by_class[np.arange(len(h)), kind]
     within = []
     order = np.argsort(kind, kind="stable")
-    border = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for k in range(CLASSES):
+    border = np.searchsorted(kind[order], np.arange(classes + 1))
+    for k in range(classes):
         at = order[border[k]: border[k + 1]]
         if len(at):
             by_word = log_softmax(one[at] @ p["word"][k])
-            slot = target[at] - k * PER_CLASS
+            slot = target[at] - k * per
             logp[at] += by_word[np.arange(len(at)), slot]
             within.append((k, at, slot, by_word))
     return logp, [one, kind, by_class, within]
@@ -171,14 +188,17 @@ def backward(p, inputs, fresh, trace, target, kept, saved) -> dict[str, np.ndarr
     """Gradients of the mean log probability over one window."""
     one, kind, by_class, within = saved
     n = max(1, len(target))
-    g = {k: np.zeros_like(v) for k, v in p.items()}
+    # Zeros that are never written take no memory.
+    g = {k: np.zeros(v.shape, v.dtype) for k, v in p.items()}
     d = -np.exp(by_class)
     d[np.arange(len(d)), kind] += 1
+    d /= n
     g["class"] = one.T @ d
     dh_out = d @ p["class"][:HIDDEN].T
     for k, at, slot, by_word in within:
         d = -np.exp(by_word)
         d[np.arange(len(at)), slot] += 1
+        d /= n
         g["word"][k] = one[at].T @ d
         dh_out[at] += d @ p["word"][k][:HIDDEN].T
     dh_all = np.zeros((*inputs.shape, HIDDEN), np.float32)
@@ -208,14 +228,13 @@ def backward(p, inputs, fresh, trace, target, kept, saved) -> dict[str, np.ndarr
     order = np.argsort(inputs.ravel(), kind="stable")
     tokens_, first = np.unique(inputs.ravel()[order], return_index=True)
     g["inputs"][tokens_] = np.add.reduceat(flat[order], first, axis=0)
-    for v in g.values():
-        v /= n
     return g
 
 
 def train(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], texts: list[np.ndarray]) -> None:
     """One pass over some documents by adaptive gradient steps, in place."""
-    lanes = laid(texts, TRAIN_LANES)
+    classes, names = len(p["word"]), len(p["inputs"]) - 2
+    lanes = laid(texts, TRAIN_LANES, names)
     state = np.zeros((lanes.inputs.shape[1], HIDDEN), np.float32)
     for at in range(0, len(lanes.inputs), WINDOW):
         cut = slice(at, at + WINDOW)
@@ -226,14 +245,18 @@ def train(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], texts: list[
         hidden, trace = forward(p, inputs, fresh, state)
         state = hidden[-1]
         _, saved = outputs(p, hidden[kept], targets[kept])
+        # Tokens and classes that the window lacks have no gradient.
+        met = {"inputs": np.unique(inputs), "word": np.unique(saved[1][saved[1] < classes])}
         for k, g in backward(p, inputs, fresh, trace, targets[kept], kept, saved).items():
-            squares[k] += g * g
-            p[k] += RATE * g / np.sqrt(squares[k] + 1e-6)
+            at_ = met.get(k, slice(None))
+            g = g[at_]
+            squares[k][at_] += g * g
+            p[k][at_] += RATE * g / np.sqrt(squares[k][at_] + 1e-6)
 
 
 def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     """Natural log probability by document, the factor within the class of unnamed tokens left out."""
-    lanes = laid(texts, SCORE_LANES)
+    lanes = laid(texts, SCORE_LANES, len(p["inputs"]) - 2)
     out = np.zeros(len(texts))
     state = np.zeros((lanes.inputs.shape[1], HIDDEN), np.float32)
     for at in range(0, len(lanes.inputs), WINDOW):
@@ -248,17 +271,21 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
 
 @dataclass
 class Lexicon:
-    """The most frequent tokens in order, with their counts; the first ``NET`` have names in the network."""
+    """The most frequent tokens in order, with their counts; the first ``names`` have names in the network."""
 
     rank: dict[str, int]
     counts: np.ndarray
     train_tokens: int
     distinct: int
 
+    @property
+    def names(self) -> int:
+        return int((self.counts >= NAMED_FROM).sum())
+
     @property
     def rest(self) -> float:
         """The add-one mass of tokens without a name, and one unseen."""
-        return float(self.train_tokens - self.counts[:NET].sum() + max(0, self.distinct - NET) + 1)
+        return float(self.train_tokens - self.counts[:self.names].sum() + self.distinct - self.names + 1)
 
 
 def numbered(said: list[str], rank: dict[str, int]) -> np.ndarray:
@@ -266,8 +293,8 @@ def numbered(said: list[str], rank: dict[str, int]) -> np.ndarray:
     return np.fromiter((rank.get(w, -1) for w in said), np.int32, len(said))
 
 
-def named(ranks: np.ndarray) -> np.ndarray:
-    return np.where((ranks < 0) | (ranks >= NET), NET, ranks)
+def named(ranks: np.ndarray, names: int) -> np.ndarray:
+    return np.where((ranks < 0) | (ranks >= names), names, ranks)
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -293,22 +320,43 @@ def most_frequent(counts: DataFrame, known: int) -> DataFrame:
     return counts.where(step >= least) if least is not None else counts.limit(0)
 
 
+def listed(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.float32()))
+
+
+def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Means by token of the weights' blocks, from rows in block order; one block is held at a time."""
+    of, total, n = None, np.zeros(0), 0.0
+    for batch in batches:
+        for k, weights, m in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            values = weights.values.to_numpy(zero_copy_only=False).astype(np.float64)
+            if k != of:
+                if of is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([of], pa.int32()), listed(total / n)], ["k", "weights"])
+                of, total, n = k, np.zeros(len(values)), 0.0
+            total += values * m
+            n += m
+    if of is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([of], pa.int32()), listed(total / n)], ["k", "weights"])
+
+
 def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
     """Averaged weights after ``passes`` passes, each over its own share of the training documents."""
-    flat = start()
+    names = lexicon.value.names
+    flat = start(lexicon.value.counts[:names], lexicon.value.rest)
     kept = rows.where(~held_out(F.col("doc_id")))
     for turn in range(passes):
         share = kept.where(F.pmod(F.xxhash64("doc_id"), F.lit(passes)) == turn).select("text")
-        begin = rows.sparkSession.sparkContext.broadcast(flat)
+        begin = rows.sparkSession.sparkContext.broadcast(flat.copy())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            p = unpacked(begin.value)
+            p = unpacked(begin.value, names)
             squares = {k: np.full_like(v, 1e-3) for k, v in p.items()}
             held: list[np.ndarray] = []
             seen = size = 0
             for batch in slices(batches):
                 for text in batch.column(0).to_pylist():
-                    held.append(named(numbered(tokens(text), lexicon.value.rank)))
+                    held.append(named(numbered(tokens(text), lexicon.value.rank), names))
                     size += len(held[-1])
                 if size >= CHUNK_TOKENS:
                     train(p, squares, held)
@@ -317,14 +365,14 @@ def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
                 train(p, squares, held)
                 seen += size
             if seen:
-                whole = np.concatenate([v.ravel() for v in p.values()]).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array([whole.tolist()], pa.list_(pa.float64())), pa.array([float(seen)])], ["weights", "n"])
-
-        parts = share.mapInArrow(run, "weights array<double>, n double").withColumn("v", array_to_vector("weights"))
-        some = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(AVERAGING)).alias("k")).agg(Summarizer.mean(F.col("v"), F.col("n")).alias("v"), F.sum("n").alias("n"))
-        whole = some.groupBy(F.lit(0).alias("k")).agg(Summarizer.mean(F.col("v"), F.col("n")).alias("v")).collect()
-        if whole:
-            flat = whole[0]["v"].toArray().astype(np.float32)
+                whole = np.concatenate([v.ravel() for v in p.values()])
+                for k in range(0, len(whole), BLOCK):
+                    yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), listed(whole[k: k + BLOCK]), pa.array([float(seen)])], ["k", "weights", "n"])
+
+        parts = share.mapInArrow(run, "k int, weights array<float>, n double")
+        for row in parts.repartition("k").sortWithinPartitions("k").mapInArrow(averaged, "k int, weights array<float>").toLocalIterator():
+            at = row["k"] * BLOCK
+            flat[at: at + BLOCK] = row["weights"]
     return flat
 
 
@@ -340,18 +388,20 @@ def scored(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", kno
     weights = spark.sparkContext.broadcast(trained(rows, shared, passes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex, p = shared.value, unpacked(weights.value)
+        lex = shared.value
+        names = lex.names
+        p = unpacked(weights.value, names)
         whole = lex.train_tokens + lex.distinct + 1
         base = np.append(np.log10((lex.counts + 1) / whole), 0.0)
         rest = np.append(np.log10((lex.counts + 1) / lex.rest), 0.0)
-        rest[:NET] = 0.0
+        rest[:names] = 0.0
         rest[-1] = 0.0
         held: list[tuple] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             ids, tails = [x[1] for x in held], [x[2] for x in held]
-            network = score(p, [named(x) for x in ids]) / np.log(10)
+            network = score(p, [named(x, names) for x in ids]) / np.log(10)
             offsets = np.cumsum([0] + [len(t) for t in tails]).astype(np.int32)
             tail = pa.StructArray.from_arrays([pa.array([w for t in tails for w in t], pa.string()), pa.array([c for t in tails for c in t.values()], pa.int64())], ["word", "tf"])
             return pa.RecordBatch.from_arrays([

@@ -228,6 +228,22 @@ def test_scores_do_not_depend_on_lanes():
     assert language_model.score(p, texts) == pytest.approx(alone, rel=1e-4)
 
 
+def test_named_tokens_follow_the_counts():
+    counts = np.array([2000 - k for k in range(1500)] + [3] * 40)
+    lexicon = language_model.Lexicon({str(i): i for i in range(len(counts))}, counts, int(counts.sum()), len(counts))
+    assert lexicon.names == 1500
+    p = language_model.unpacked(language_model.start(counts[:1500], lexicon.rest), 1500)
+    h = np.zeros((1501, language_model.HIDDEN), np.float32)
+    share = np.exp(language_model.outputs(p, h, np.arange(1501))[0])
+    assert share.sum() == pytest.approx(1, abs=1e-4)
+    assert share[:1500] == pytest.approx(counts[:1500] / (counts[:1500].sum() + lexicon.rest), rel=1e-3)
+    # A pair of tokens far below the 512 most frequent is learnt.
+    text = np.array([1400, 1450] * 200, np.int32)
+    before = language_model.score(p, [text])[0]
+    language_model.train(p, {k: np.full_like(v, 1e-3) for k, v in p.items()}, [text])
+    assert language_model.score(p, [text])[0] > before + 100
+
+
 def test_language_model_base_and_gain(spark):
     import math
     import zlib
