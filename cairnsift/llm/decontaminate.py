@@ -1,10 +1,12 @@
 """Benchmark decontamination: q-gram counts in diagonal bands, then banded alignment.
 
-Texts are compared as lower-case letters and digits with single blanks between words. A benchmark item is cut into
-probes of at most ``PROBE`` characters that overlap by half. A probe of ``m`` characters lies in a text if a region of
-it aligns with at most ``m // EDITS`` edits. Such a region shares at least ``m - q + 1 - q * edits`` q-grams with the
-probe, on neighbouring diagonals (text position less probe position): hits are counted in overlapping bands of
-diagonals, bands below that bound are dropped without loss, and the rest is verified by an alignment in the band.
+Texts are compared as lower-case letters and digits with single blanks between words. A benchmark item is read as
+probes of at most ``PROBE`` characters, one every ``STRIDE``, so that each part of an item of ``PROBE + STRIDE - 1``
+characters holds a whole probe, wherever it begins. A probe of ``m`` characters lies in a text if a region of it aligns
+with at most ``m // EDITS`` edits. Such a region shares at least ``m - q + 1 - q * edits`` q-grams with the probe, on
+neighbouring diagonals (text position less item position): an item's q-grams are listed once, hits are counted in
+overlapping bands of diagonals and there by probe, probes below that bound are dropped without loss, and the rest is
+verified by an alignment in the band.
 
 The benchmark is the stated query set: it is read in blocks of a bounded number of characters, and each block is held
 against all texts. A block's index is the only thing that is broadcast, and its size does not grow with either table.
@@ -26,8 +28,9 @@ from cairnsift.llm.text_arrays import mixed, slices, U64
 
 Q = 10
 PROBE = 120
+STRIDE = 8
 EDITS = 15
-SHORTEST = 40
+SHORTEST = 20  # from here on, the bound leaves a q-gram to find an item by
 BAND = 16
 BLOCK_CHARS = 2_000_000
 SLICE_CHARS = 200_000
@@ -67,37 +70,41 @@ def mixed_letters(chars: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    probes: list[tuple[int, np.ndarray]]  # item id, characters
-    least: np.ndarray  # q-grams a region must share
+    items: list[tuple[int, np.ndarray]]  # item id, characters
     known: np.ndarray  # sorted distinct q-grams
     first: np.ndarray  # where each one's postings begin
-    probe: np.ndarray
+    item: np.ndarray
     place: np.ndarray
     sieve: np.ndarray
     shift: int
 
+    @property
+    def probes(self) -> list[tuple[int, np.ndarray]]:
+        return [(item, chars[s: s + PROBE]) for item, chars in self.items for s in probe_starts(len(chars))]
 
-def build(items: list[tuple[int, str]]) -> Index:
-    probes = []
-    for item, text in items:
-        chars = plain(text)
-        if len(chars) < SHORTEST:
-            continue
-        starts = range(0, max(1, len(chars) - PROBE // 2), PROBE // 2) if len(chars) > PROBE else (0,)
-        for s in starts:
-            s = min(s, max(0, len(chars) - PROBE))
-            probes.append((item, chars[s: s + PROBE]))
-    all_grams = [grams(p) for _, p in probes]
+
+def probe_starts(n: int) -> np.ndarray:
+    last = max(0, n - PROBE)
+    return np.append(np.arange(0, last, STRIDE), last)
+
+
+def least(m: int) -> int:
+    """The q-grams that a region must share with a probe of ``m`` characters."""
+    return m - Q + 1 - Q * (m // EDITS)
+
+
+def build(rows: list[tuple[int, str]]) -> Index:
+    items = [(item, chars) for item, text in rows if len(chars := plain(text)) >= SHORTEST]
+    all_grams = [grams(chars) for _, chars in items]
     flat = np.concatenate(all_grams) if all_grams else np.zeros(0, U64)
-    probe = np.repeat(np.arange(len(probes)), [len(g) for g in all_grams])
+    item = np.repeat(np.arange(len(items)), [len(g) for g in all_grams])
     place = np.concatenate([np.arange(len(g)) for g in all_grams]) if all_grams else np.zeros(0, np.int64)
     order = np.argsort(flat, kind="stable")
     known, first = np.unique(flat[order], return_index=True)
     shift = 64 - max(16, (16 * max(1, len(known))).bit_length())
     sieve = np.zeros(1 << (64 - shift), bool)
     sieve[known >> U64(shift)] = True
-    least = np.array([len(p) - Q + 1 - Q * (len(p) // EDITS) for _, p in probes])
-    return Index(probes, least, known, np.append(first, len(flat)), probe[order], place[order], sieve, shift)
+    return Index(items, known, np.append(first, len(flat)), item[order], place[order], sieve, shift)
 
 
 def align(probe: np.ndarray, chars: np.ndarray, start: int, width: int) -> tuple[int, int]:
@@ -162,34 +169,41 @@ def search_slice(held: list[tuple[int, np.ndarray]], index: Index, out: list[dic
         return
     count = index.first[found + 1] - index.first[found]
     post = np.repeat(index.first[found] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-    probe, place, at = index.probe[post], index.place[post], np.repeat(at, count)
-    band = (at - place + PROBE) // BAND
+    item, place, at = index.item[post], index.place[post], np.repeat(at, count)
+    longest = max(len(chars) for _, chars in index.items)
+    # Diagonals from BAND on, so that the band before the first is still the item's own.
+    band = (at - place + longest + BAND) // BAND
     # Each hit counts in the band that begins at its cell and in the one before, so bands overlap by half.
-    cells = len(line) // BAND + PROBE
-    key = np.concatenate([probe * cells + band, probe * cells + band - 1]) * PROBE + np.tile(place, 2)
-    cell, shared = np.unique(np.unique(key) // PROBE, return_counts=True)
-    cell = cell[shared >= index.least[cell // cells]]
-    for p, b in zip(cell // cells, cell % cells):
-        item, chars = index.probes[p]
-        edits = len(chars) // EDITS
-        start = int(b) * BAND - PROBE
-        # A band may touch two texts; each is aligned for itself.
-        first = max(0, int(np.searchsorted(begin, max(0, start), "right")) - 1)
-        last = max(0, int(np.searchsorted(begin, start + 2 * BAND + len(chars), "left")) - 1)
-        for k in range(first, min(last, len(held) - 1) + 1):
-            i, text = held[k]
-            if out[i].get(item, (1,))[0] == 0:
-                continue
-            low = start - int(begin[k]) - edits
-            cost, end = same(chars, text, low, 2 * BAND + 2 * edits) or align(chars, text, low, 2 * BAND + 2 * edits)
-            if cost <= edits and (item not in out[i] or cost < out[i][item][0]):
-                out[i][item] = (cost, max(0, end - len(chars)), min(len(text), end))
+    cells = (len(line) + longest) // BAND + 2
+    key = np.unique(np.concatenate([item * cells + band, item * cells + band - 1]) * longest + np.tile(place, 2))
+    cell, head = np.unique(key // longest, return_index=True)
+    tail = np.append(head[1:], len(key))
+    bound = np.array([least(min(len(chars), PROBE)) for _, chars in index.items])
+    for c in np.flatnonzero(tail - head >= bound[cell // cells]):
+        name, whole = index.items[cell[c] // cells]
+        m = min(len(whole), PROBE)
+        edits, starts, places = m // EDITS, probe_starts(len(whole)), key[head[c]: tail[c]] % longest
+        shared = np.searchsorted(places, starts + m - Q + 1) - np.searchsorted(places, starts)
+        for s in starts[shared >= least(m)]:
+            chars = whole[s: s + PROBE]
+            start = int(cell[c] % cells) * BAND - longest - BAND + int(s)
+            # A band may touch two texts; each is aligned for itself.
+            first = max(0, int(np.searchsorted(begin, max(0, start), "right")) - 1)
+            last = max(0, int(np.searchsorted(begin, start + 2 * BAND + m, "left")) - 1)
+            for k in range(first, min(last, len(held) - 1) + 1):
+                i, text = held[k]
+                if out[i].get(name, (1,))[0] == 0:
+                    continue
+                low = start - int(begin[k]) - edits
+                cost, end = same(chars, text, low, 2 * BAND + 2 * edits) or align(chars, text, low, 2 * BAND + 2 * edits)
+                if cost <= edits and (name not in out[i] or cost < out[i][name][0]):
+                    out[i][name] = (cost, max(0, end - m), min(len(text), end))
 
 
 def blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of at most ``block_chars`` characters, or one item."""
+    """The benchmark in blocks of at most ``block_chars`` characters, or one item; items of any id."""
     held, size = [], 0
-    rows = benchmark.where(F.col(text).isNotNull() & F.col(item_id).isNotNull()).select(F.col(item_id).alias("item"), F.col(text).alias("text"))
+    rows = benchmark.where(F.col(text).isNotNull()).select(F.col(item_id).alias("item"), F.col(text).alias("text"))
     for row in rows.toLocalIterator():
         if held and size + len(row["text"]) > block_chars:
             yield held
@@ -220,7 +234,7 @@ def find(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", tex
         return run
 
     found = None
-    for block in blocks(benchmark, item_id, item_text, block_chars):
+    for block in blocks(benchmark.where(F.col(item_id).isNotNull()), item_id, item_text, block_chars):
         part = rows.mapInArrow(runner(documents.sparkSession.sparkContext.broadcast(build(block))), schema)
         found = part if found is None else found.union(part)
     return found if found is not None else documents.sparkSession.createDataFrame([], schema)

@@ -144,6 +144,21 @@ def test_leaks_whole_edited_and_clean(spark):
     assert decontaminate.find(docs(spark, *texts).limit(0), bench).count() == 0
 
 
+def test_leaks_of_item_parts_at_every_offset():
+    rng = random.Random(3)
+    item = "".join(rng.choice("abcdefghij") for _ in range(390))
+    index = decontaminate.build([(4, item), (5, "Who wrote the seven plays?")])
+    size = decontaminate.PROBE + decontaminate.STRIDE - 1
+    texts = [f"before it {item[k: k + size]} after it" for k in range(len(item) - size + 1)]
+    assert all(hits[4][0] == 0 for hits in decontaminate.search(texts, index))
+    assert [set(h) for h in decontaminate.search(["so: who wrote the sevem plays", "so: who read seven books"], index)] == [{5}, set()]
+
+
+def test_clean_searches_items_without_id(spark):
+    bench = spark.createDataFrame([(None, ITEM)], "item_id bigint, text string")
+    assert [r.doc_id for r in decontaminate.clean(docs(spark, ITEM, "other"), bench).collect()] == [1]
+
+
 def test_leaks_against_brute_force():
     rng = random.Random(8)
     chars = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
