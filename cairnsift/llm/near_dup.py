@@ -16,8 +16,9 @@ group's pairs are ever listed:
    no link between components is lost.
 
 A group's least node may meet a third of all nodes: it is repeated once per ``SALT`` of them, so that no task holds a
-group. Sets are compared by 64-bit prints of the shingles. ``doc_id`` names a document: rows that share an id are one
-node. Null and empty texts have no set and link with nothing; a null id has no component and is kept.
+group. Sets are compared by 64-bit prints of the shingles. ``doc_id`` names a document: rows that share an id are of one
+component. Where their texts differ, rows are numbered in the order of their ids, the numbers are the nodes, and those of
+one id are linked. Null and empty texts have no set and link with nothing; a null id has no component and is kept.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cairnsift.llm.text_arrays import mixed, prints, signed, slices, split, U64
-from cairnsift.scale import components
+from cairnsift.scale import components, global_rank
 from cairnsift.session import stored
 
 SIZE = 160
@@ -139,6 +140,24 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80, doc_id: str
     of at least ``percent`` similarity) and ``kept`` (whether the id is its component's). Ids are integers."""
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     known = stored(profile(rows, "doc_id", "text", width))
+    torn = known.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        *[f(F.coalesce(m, F.lit(0))).alias(f"{f.__name__}_{m}") for f in (F.min, F.max) for m in ("mark_a", "mark_b")]).where("min_mark_a < max_mark_a OR min_mark_b < max_mark_b")
+    if torn.isEmpty():
+        return linked(rows, known, width, percent)
+    numbered = stored(global_rank(rows, ["doc_id"], "number"))
+    ids = numbered.where("doc_id IS NOT NULL").select("doc_id", "number")
+    rows = numbered.select(F.when(F.col("doc_id").isNotNull(), F.col("number")).alias("doc_id"), "text")
+    heads = ids.groupBy("doc_id").agg(F.min("number").alias("hub"), F.max("number").alias("last")).where("hub < last").select("doc_id", "hub")
+    same = ids.join(heads, "doc_id").where("hub < number").select("hub", F.col("number").alias("node"))
+    out = linked(rows, stored(profile(rows, "doc_id", "text", width)), width, percent, stored(same)).drop("kept")
+    own = ids.select(F.col("number").alias("own_number"), F.col("doc_id").alias("own"))
+    least = ids.select(F.col("number").alias("least_number"), F.col("doc_id").alias("least"))
+    named = out.join(own, F.col("doc_id") == F.col("own_number"), "left").join(least, F.col("component_id") == F.col("least_number"), "left")
+    return named.select(F.col("own").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"), F.coalesce(F.col("own") == F.col("least"), F.lit(True)).alias("kept"))
+
+
+def linked(rows: DataFrame, known: DataFrame, width: int, percent: int, same: DataFrame | None = None) -> DataFrame:
+    """``groups`` of rows with one text per id; ``same`` has links (``hub``, ``node``) that need no confirmation."""
     real = known.where("keys IS NOT NULL AND doc_id IS NOT NULL")
     classes = real.groupBy("mark_a", "mark_b").agg(F.min("doc_id").alias("node"))
     member = stored(real.select("doc_id", "mark_a", "mark_b").join(classes, ["mark_a", "mark_b"]).select("doc_id", "node").distinct())
@@ -166,8 +185,13 @@ def groups(documents: DataFrame, width: int = 5, percent: int = 80, doc_id: str
     across = left.join(rest.select("key", F.col("part").alias("other"), F.col("node").alias("b")), ["key", "other"])
     fresh_pairs = across.select("a", "b").union(lone_pairs).select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("node")).distinct().join(stars, ["hub", "node"], "left_anti")
     more = stored(confirmed(fresh_pairs, texts, width, percent).distinct())
-    final = settled if more.isEmpty() else components(links.union(more), "hub", "node")
-
-    named = member.join(final, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
+    if same is None:
+        final = settled if more.isEmpty() else components(links.union(more), "hub", "node")
+        named = member.join(final, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
+    else:
+        # Links of ids may be of any member, so members are linked with their nodes, too.
+        tied = member.where("doc_id <> node").select(F.col("node").alias("hub"), F.col("doc_id").alias("node"))
+        final = components(links.union(more).union(tied).union(same), "hub", "node")
+        named = final.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
     out = known.select("doc_id", "n_shingles").join(named, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -19,8 +19,8 @@ All three steps are aggregates with partial sums and joins that can be split, so
 have does no harm. Names and unit or window prints, 64 bits each from different
 letter values, must agree together. Texts cross the network compressed.
 
-``doc_id`` orders documents; rows that share an id are one document, never earlier than each other. Null and empty texts
-have no words; a row with a null id keeps all words. Words are what white space parts, unchanged.
+``doc_id`` orders documents; rows that share an id are one document, never earlier than each other. Where their texts
+differ, each keeps its own places: places go by the id and a hash of the text. Null and empty texts have no words; a row with a null id keeps all words. Words are what white space parts, unchanged.
 """
 
 from __future__ import annotations
@@ -132,13 +132,17 @@ class Spans:
             return mixed((self.total[start + length] - self.total[start]) * self.down[start], 9)
 
 
+def keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("copy"), F.col(text).alias("text"))
+
+
 def packed(rows: DataFrame) -> DataFrame:
-    """``doc_id`` and ``text`` with each text compressed, to be shuffled."""
+    """``doc_id``, ``copy`` and ``text`` with each text compressed, to be shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=3)
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if t is None else small.compress(t) for t in texts_of(batch.column(1))], pa.binary())], ["doc_id", "text"])
-    return rows.mapInArrow(run, "doc_id bigint, text binary")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([None if t is None else small.compress(t) for t in texts_of(batch.column(2))], pa.binary())], ["doc_id", "copy", "text"])
+    return rows.mapInArrow(run, "doc_id bigint, copy bigint, text binary")
 
 
 def texts_of(column: pa.Array) -> list[bytes | None]:
@@ -154,60 +158,61 @@ def encoded(column: pa.Array) -> list[bytes]:
 
 
 def repeated(documents: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
-    """Where repeated windows begin: ``doc_id``, ``start`` (word number from 0) and ``n`` (how many follow each other)."""
-    rows = documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    """Where repeated windows begin: ``doc_id``, ``copy`` (a hash of the text), ``start`` (word number from 0) and ``n``
+    (how many follow each other)."""
+    rows = keyed(documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()), doc_id, text)
 
     def name_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            w = split(encoded(batch.column(1)))
+            w = split(encoded(batch.column(2)))
             doc, first, n, name = passages(w, window)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(name)), pa.array(ids[doc]), pa.array((first - w.first[doc]).astype(np.int32)), pa.array(n.astype(np.int32))],
-                                             ["name", "doc_id", "start", "n"])
+            ids, copies = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(name)), pa.array(ids[doc]), pa.array(copies[doc]), pa.array((first - w.first[doc]).astype(np.int32)), pa.array(n.astype(np.int32))],
+                                             ["name", "doc_id", "copy", "start", "n"])
 
-    found = rows.mapInArrow(name_units, "name bigint, doc_id bigint, start int, n int")
+    found = rows.mapInArrow(name_units, "name bigint, doc_id bigint, copy bigint, start int, n int")
     shared = found.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("name")
-    places = found.join(shared, "name").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "name")).alias("units"))
+    places = found.join(shared, "name").groupBy("doc_id", "copy").agg(F.collect_list(F.struct("start", "n", "name")).alias("units"))
 
     def print_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            w = split(encoded(batch.column(1)))
+            w = split(encoded(batch.column(2)))
             spans = Spans(prints(w, 1))
-            lists = batch.column(2)
+            lists = batch.column(3)
             owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
             unit = lists.flatten()
             start, n, name = (unit.field(k).to_numpy(zero_copy_only=False) for k in range(3))
             at = w.first[owner] + start
             whole = spans.of(at, n + window - 1)
             inner = np.repeat(at - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else at, n) + np.arange(n.sum())
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, copies = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             each = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(signed(spans.of(inner, window))))
-            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(signed(whole)), pa.array(ids[owner]), pa.array(start), pa.array(n), each],
-                                             ["name", "print", "doc_id", "start", "n", "windows"])
+            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(signed(whole)), pa.array(ids[owner]), pa.array(copies[owner]), pa.array(start), pa.array(n), each],
+                                             ["name", "print", "doc_id", "copy", "start", "n", "windows"])
 
-    told = packed(rows).join(places, "doc_id").select("doc_id", "text", "units")
-    units = stored(told.mapInArrow(print_units, "name bigint, print bigint, doc_id bigint, start int, n int, windows array<bigint>"))
+    told = packed(rows).join(places, ["doc_id", "copy"]).select("doc_id", "copy", "text", "units")
+    units = stored(told.mapInArrow(print_units, "name bigint, print bigint, doc_id bigint, copy bigint, start int, n int, windows array<bigint>"))
     origin = stored(units.groupBy("name", "print").agg(F.min("doc_id").alias("first")))
     varied = origin.groupBy("name").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low < high").select("name")
-    whole = units.select("name", "print", "doc_id", "start", "n").join(origin, ["name", "print"]).where("first < doc_id").select("doc_id", "start", "n")
+    whole = units.select("name", "print", "doc_id", "copy", "start", "n").join(origin, ["name", "print"]).where("first < doc_id").select("doc_id", "copy", "start", "n")
 
     leading = units.join(origin, ["name", "print"]).where("first = doc_id").join(varied, "name", "left_semi")
-    window_rows = stored(leading.select("name", "doc_id", "start", F.posexplode("windows").alias("k", "window")).select("name", "doc_id", (F.col("start") + F.col("k")).alias("start"), "window"))
+    window_rows = stored(leading.select("name", "doc_id", "copy", "start", F.posexplode("windows").alias("k", "window")).select("name", "doc_id", "copy", (F.col("start") + F.col("k")).alias("start"), "window"))
     earliest = window_rows.groupBy("name", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("name", "window", "first")
-    single = window_rows.join(earliest, ["name", "window"]).where("first < doc_id").select("doc_id", "start", F.lit(1).alias("n"))
+    single = window_rows.join(earliest, ["name", "window"]).where("first < doc_id").select("doc_id", "copy", "start", F.lit(1).alias("n"))
     return whole.union(single)
 
 
 def remove(documents: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """By row of ``documents``: ``doc_id``, ``n_words``, ``n_removed``, ``kept_text`` (kept words joined by one blank) and
     ``kept_sha256``."""
-    spans = repeated(documents, window, doc_id, text).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    spans = repeated(documents, window, doc_id, text).groupBy("doc_id", "copy").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    rows = keyed(documents, doc_id, text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             total, gone, kept = [], [], []
-            for t, lists in zip(encoded(batch.column(1)), batch.column(2)):
+            for t, lists in zip(encoded(batch.column(2)), batch.column(3)):
                 words = t.split()
                 if lists.is_valid:
                     start, n = (lists.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -225,5 +230,5 @@ def remove(documents: DataFrame, window: int = 13, doc_id: str = "doc_id", text:
                 batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array([k.decode("utf-8", "surrogatepass") for k in kept], pa.string()),
                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())], ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"])
 
-    return packed(rows).join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
+    return packed(rows).join(spans, ["doc_id", "copy"], "left").select("doc_id", "copy", "text", "spans").mapInArrow(
         cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, kept_sha256 string")

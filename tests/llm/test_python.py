@@ -63,6 +63,22 @@ def test_substring_dedup_odd_tables(spark):
     assert {r.n_removed for r in substring_dedup.remove(docs(spark, long).union(docs(spark, long))).collect()} == {0}
 
 
+def test_substring_dedup_two_texts_of_one_id(spark):
+    first, second = " ".join(f"a{k}" for k in range(20)), " ".join(f"b{k}" for k in range(30))
+    frame = docs(spark, first, "own words before it " + first, second, "short").withColumn("doc_id", F.least("doc_id", F.lit(2)) % 2)
+    # Ids 0, 1, 0, 0: only the text of id 1 repeats an earlier document.
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove(frame).collect()) == [(0, 1, 0), (0, 20, 0), (0, 30, 0), (1, 24, 20)]
+    torn = docs(spark, first, second + " " + first, "two").withColumn("doc_id", F.least("doc_id", F.lit(1)))
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove(torn).collect()) == [(0, 20, 0), (1, 1, 0), (1, 50, 20)]
+
+
+def test_near_duplicates_two_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    frame = spark.createDataFrame([(3, a), (5, a + " more"), (5, b), (7, b), (9, c), (9, ""), (9, None), (None, a)], "doc_id bigint, text string")
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in near_dup.groups(frame).collect())
+    assert got == [(-1, 36, -1, True), (3, 36, 3, True), (5, 36, 3, False), (5, 37, 3, False), (7, 36, 3, False), (9, 0, 9, True), (9, 0, 9, True), (9, 36, 9, True)]
+
+
 def near_texts(seed, groups=12, copies=6):
     rng = random.Random(seed)
     out = []
