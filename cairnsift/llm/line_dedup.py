@@ -3,7 +3,11 @@
 A chunk ends after a line where the hash of that line and the one before it falls into one of ``divisor`` classes, so
 an inserted or removed line moves only the borders beside it. A chunk of two or more lines that occurs in an earlier
 place (a smaller id, or earlier in the same text) is removed; occurrences are found by 64-bit hash and confirmed on
-the chunk's bytes.
+the chunk's bytes. Repeated lines of one-line chunks and at the rims of a passage stay.
+
+With ``whole`` every two lines that follow each other are a chunk, so all lines of each run of two or more that occurs in
+an earlier place go. Two such chunks of one text that share a line are not an earlier place of each other. Occurrences
+are found by 64-bit hash and confirmed by a second one with another seed (128 bits), so that no bytes are moved.
 
 Null texts and rows with a null id pass through unchanged, empty texts have nothing to remove. Rows that repeat both id
 and text count as one place and are treated alike. Other columns pass through under any name.
@@ -51,10 +55,31 @@ def repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return later.select("doc_id", "print", "ord")
 
 
-def remove(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = 2) -> DataFrame:
-    """The documents with repeated chunks taken out of ``text``, and two more columns: ``n_chunks`` and ``n_removed``."""
+def repeated_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The lines of runs to remove: ``doc_id``, ``print`` (a hash of the text) and ``ord`` (from 0)."""
+    def hashes(lines: Column) -> Column:
+        pair = lambda x, i: F.concat(x, F.lit("\n"), F.get(lines, i + 1))
+        return F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda x, i: F.struct(
+            F.xxhash64(pair(x, i)).alias("h"), F.xxhash64(F.lit("second"), pair(x, i)).alias("again")))
+
+    pairs = documents.where(F.col(doc_id).isNotNull() & F.col(text).contains("\n")).select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("print"), F.posexplode(let(F.split(text, "\n", -1), hashes)).alias("ord", "x"))
+    found = pairs.select("doc_id", "print", "ord", "x.h", "x.again")
+    place = (F.col("doc_id").cast("decimal(38,0)") * F.lit(PLACES) + F.col("ord")).cast("decimal(38,0)")
+    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    shared = stored(found.join(twice, "h").withColumn("place", place))
+    origin = shared.groupBy("h", "again").agg(F.min("place").alias("first"))
+    later = shared.join(origin, ["h", "again"]).where("place > first + 1")
+    return later.select("doc_id", "print", F.explode(F.array(F.col("ord"), F.col("ord") + 1)).alias("ord"))
+
+
+def remove(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = 2, whole: bool = False) -> DataFrame:
+    """The documents with repeated chunks taken out of ``text``, and two more columns: ``n_chunks`` and ``n_removed``
+    (of lines, with ``whole``)."""
+    parts = F.split(F.col(text), "\n", -1) if whole else chunks(F.col(text), divisor)
     gone, key, print_, n_chunks, n_removed = fresh(documents, "_gone", "_id", "_print", "n_chunks", "n_removed")
-    lists = repeated_chunks(documents, doc_id, text, divisor).groupBy("doc_id", "print").agg(F.array_sort(F.collect_set("ord")).alias(gone))
+    found = repeated_lines(documents, doc_id, text) if whole else repeated_chunks(documents, doc_id, text, divisor)
+    lists = found.groupBy("doc_id", "print").agg(F.array_sort(F.collect_set("ord")).alias(gone))
     lists = lists.select(F.col("doc_id").alias(key), F.col("print").alias(print_), gone)
     joined = documents.join(lists, (F.col(doc_id) == F.col(key)) & (F.xxhash64(text) == F.col(print_)), "left")
 
@@ -66,7 +91,7 @@ def remove(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", div
             return F.slice(c, start + 1, end - start)
         return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), between)), "\n")
 
-    new = F.when(F.col(gone).isNull(), F.col(text)).otherwise(let(chunks(F.col(text), divisor), rest))
-    counted = joined.withColumn(n_chunks, F.coalesce(F.size(chunks(F.col(text), divisor)), F.lit(0))).withColumn(
+    new = F.when(F.col(gone).isNull(), F.col(text)).otherwise(let(parts, rest))
+    counted = joined.withColumn(n_chunks, F.coalesce(F.size(parts), F.lit(0))).withColumn(
         n_removed, F.coalesce(F.size(gone), F.lit(0))).withColumn(text, new)
     return counted.drop(gone, key, print_)

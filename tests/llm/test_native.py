@@ -57,6 +57,17 @@ def test_line_dedup_removes_later_chunks_only(spark):
     assert got[5].n_removed > 0 and len(got[5].text) < len(texts[5])
 
 
+def test_line_dedup_takes_whole_runs(spark):
+    runs = ["\n".join(f"shared line {k} of {n}" for k in range(n)) for n in range(2, 30)]
+    texts = [*[f"first {n}\n{x}\nend {n}" for n, x in enumerate(runs)], *[f"later {n}\n{x}\nstop {n}" for n, x in enumerate(runs)]]
+    got = {r.doc_id: r for r in line_dedup.remove(docs(spark, *texts), whole=True).collect()}
+    for n, x in enumerate(runs):
+        assert got[n].text == texts[n] and got[n].n_removed == 0
+        assert got[n + len(runs)].text == f"later {n}\nstop {n}" and got[n + len(runs)].n_removed == n + 2
+    odd = ["a\na\na", "b\nc\nb\nc", None, "", "one"]
+    assert [r.text for r in line_dedup.remove(docs(spark, *odd), whole=True).orderBy("doc_id").collect()] == ["a\na\na", "b\nc", None, "", "one"]
+
+
 def test_line_dedup_odd_tables(spark):
     extra = docs(spark, "a\nb\nc", "a\nb\nc").withColumn("_gone", F.lit(1)).withColumn("n_removed", F.lit("x"))
     out = line_dedup.remove(extra)
