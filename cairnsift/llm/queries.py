@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairnsift.llm import decontaminate, html_text, language_model, line_dedup, mixing, near_dup, quality, secret_scan, substring_dedup, token_counts
+from cairnsift.llm import (decontaminate, html_text, language_model, license_scan, line_dedup, mixing, near_dup, quality, secret_scan, spelling,
+                           substring_dedup, token_counts, whitening)
 from cairnsift.llm.shared import shipped
 from cairnsift.session import configure
 
@@ -170,3 +171,97 @@ def main_text(spark: SparkSession, root: str) -> DataFrame:
 @query("op8_lm_score")
 def lm_score(spark: SparkSession, root: str) -> DataFrame:
     return language_model.scored(table(spark, root, "documents"))
+
+
+OP11 = """
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents
+), counted AS (
+  SELECT id, r, count(*) AS c FROM runs GROUP BY ALL
+), crc AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384)) ORDER BY b) AS t FROM range(256) q(b)
+), hashed AS (
+  SELECT r, c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(id || ':' || r, ''),
+    lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [195::BIGINT, unicode(ch)::BIGINT - 64] END))),
+    lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1]))) AS h FROM counted, crc
+), spoiled AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word, c FROM hashed
+), vocab AS (
+  SELECT word, sum(c)::BIGINT AS n FROM spoiled WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), spots AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab
+), holes AS (
+  SELECT word, n, substr(word, 1, i::INT - 1) || '*' || substr(word, i::INT + 1) AS p FROM spots
+), cuts AS (
+  SELECT DISTINCT word, n, substr(word, 1, i::INT - 1) || substr(word, i::INT + 1) AS p FROM spots
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.p = b.p AND a.word <> b.word
+  UNION ALL SELECT c.word, v.word, v.n FROM cuts c JOIN vocab v ON c.p = v.word
+  UNION ALL SELECT v.word, c.word, c.n FROM cuts c JOIN vocab v ON c.p = v.word
+), ranked AS (
+  SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS k FROM near
+), judged AS (
+  SELECT v.word, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n, n, coalesce(n_near, 0)::BIGINT AS n_near
+  FROM vocab v LEFT JOIN ranked r ON v.word = r.word AND k = 1
+), led AS (
+  SELECT word, word AS at, form AS next FROM judged
+  UNION ALL SELECT l.word, j.word, j.form FROM led l JOIN judged j ON l.next = j.word
+)
+SELECT j.word, j.form, l.at AS root, j.n, j.n_near, j.form_n FROM judged j JOIN led l ON l.word = j.word AND l.next IS NULL
+"""
+
+
+@query("op11_spelling_variants", OP11)
+def spelling_variants(spark: SparkSession, root: str) -> DataFrame:
+    return spelling.variants(table(spark, root, "documents"), spoil=97)
+
+
+def license_sql() -> str:
+    """Each template as a regular expression over the words joined by blanks, tried where its first two words stand."""
+    def pattern(parts: list[tuple]) -> str:
+        out = ""
+        for part in parts:
+            if part[0] == "var":
+                out += f"(?:{'[0-9]+' if part[3] else '[^ ]+'} ){{{part[1]},{part[2]}}}"
+            else:
+                out += {"word": f"{part[-1]} ", "begin": "(?:", "end": ")?"}[part[0]]
+        return out
+
+    rules = [(label, False, pattern(license_scan.regions(t))) for label, t in license_scan.TEMPLATES]
+    rules += [(label, True, pattern(license_scan.regions(p))) for p, label in license_scan.PHRASES.items()]
+    starts = sorted({" ".join(p.split(" ")[:2]) for _, _, p in rules})
+    listed = ",\n    ".join(f"('{label}', {phrase}, '^({p})')" for label, phrase, p in rules)
+    return f"""
+WITH rules(label, phrase, pattern) AS (VALUES
+    {listed}
+), d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), starts AS (
+  SELECT k, i - 1 AS start, array_to_string(w[i:i + 400], ' ') || ' ' AS rest
+  FROM (SELECT k, w, unnest(list_filter(range(1, len(w)), lambda i: list_contains({starts}, w[i] || ' ' || w[i + 1]))) AS i FROM d)
+), found AS (
+  SELECT k, start, label, phrase, regexp_extract(rest, pattern, 1) AS m FROM starts, rules WHERE regexp_matches(rest, pattern)
+), places AS (
+  SELECT k, start, label, phrase, length(m) - length(replace(m, ' ', '')) AS n FROM found
+), covers AS (
+  SELECT k, count(DISTINCT p) AS covered FROM (SELECT k, unnest(range(start, start + n)) AS p FROM places) GROUP BY k
+), summed AS (
+  SELECT k, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY k
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(covered, 0)::DOUBLE / greatest(len(w), 1) AS score
+FROM d LEFT JOIN summed USING (k) LEFT JOIN covers USING (k)
+"""
+
+
+@query("op12_license_scan", license_sql())
+def license_places(spark: SparkSession, root: str) -> DataFrame:
+    return license_scan.scan(table(spark, root, "documents"))
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, root: str) -> DataFrame:
+    return whitening.whitened(table(spark, root, "embeddings"))
