@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnsift import vocab
 from cairnsift.functions import names, text
+from cairnsift.session import stored
+from cairnsift.sources import blocks
 
+# A library file named with a path: not externalised, and not inside a URL. The file's name is looked for first; only
+# where it stands is the token before it searched for "://", as far back as FAR characters.
 STOP = r"\s\"'<>()\[\]{},="
-# A library file named with a path: not externalised, and not inside a URL. The pattern starts where the token starts and
-# takes what stands before the file (group 1) only up to a "://", however far back that is.
-BEFORE = r"(?<![^" + STOP + r"])((?:(?!://)[^" + STOP + r"])*?)"
-OUTSIDE = r"(?=[\\/])(?<!<external>)(?<!<external>\\)"
+FAR = 4000
+NOT_IN_URL = rf"(?<!<external>)(?<!<external>\\)(?<!://[^{STOP}]{{0,{FAR}}})"
 LIBRARY_PATH = vocab.LIBRARY_FILE.replace("(?i)", "", 1)
 SECRET = "|".join(f"(?:{p})" for p in vocab.SECRET_TOKENS)
 
@@ -45,7 +47,7 @@ def redaction_rules(terms: Sequence[str] = (), library_names: Sequence[str] = ()
     if library_names:
         named = "|".join(re.escape(n) for n in sorted(set(library_names)))
         library += rf"|(?:\\\\|\\|/)(?:{named})(?![A-Za-z0-9._-])"
-    library = f"(?i){BEFORE}{OUTSIDE}(?:{library})"
+    library = f"(?i)(?={library}){NOT_IN_URL}"
     rules = [(name, pattern, "all") for name, pattern in vocab.PATH_RULES] + [("library_path", library, "all")]
     if context:
         rules.append(("context_block", "|".join(f"(?:{c})" for c in context), "transcript"))
@@ -61,20 +63,59 @@ def redaction_rules(terms: Sequence[str] = (), library_names: Sequence[str] = ()
 NEEDS = {"drive_letter_path": ":", "unc_path": "\\\\", "email_address": "@"}
 
 
+def rule_hits(rules: Sequence[tuple[str, str, str]], path: str, body: Column, cut: Column | None = None) -> Column:
+    """Array of ``(rule, pos)``: where each rule first matches in ``body``, from 1. Where ``cut`` holds, what stands
+    before the body is not known, so a match must have FAR (a library path) or one character before it."""
+    scope = {"all": F.lit(True), "transcript": is_transcript(path), "decision": is_decision_file(path)}
+
+    def place(name: str, pattern: str) -> Column:
+        whole = F.regexp_instr(body, F.lit(pattern))
+        if cut is None:
+            return whole
+        inner = pattern.replace(NOT_IN_URL, rf"(?<=[\s\S]{{{FAR + 1}}})" + NOT_IN_URL) if name == "library_path" else rf"(?<=[\s\S])(?:{pattern})"
+        return F.when(cut, F.regexp_instr(body, F.lit(inner))).otherwise(whole)
+
+    hits = [F.when(scope[s] & body.contains(NEEDS.get(name, "")), F.struct(F.lit(name).alias("rule"), place(name, pattern).alias("pos"))) for name, pattern, s in rules]
+    return F.filter(F.array(*hits), lambda h: h["pos"] > 0)
+
+
 def redaction_findings(files: DataFrame, rules: Sequence[tuple[str, str, str]], path: str = "relative_path", body: str = "text") -> DataFrame:
     """The first match of each rule in each file, by byte offset and line, over whole texts in one scan."""
-    scope = {"all": F.lit(True), "transcript": is_transcript(path), "decision": is_decision_file(path)}
-    ahead = lambda name, pattern: F.length(F.regexp_extract(body, pattern, 1)) if name == "library_path" else F.lit(0)
-    place = lambda name, pattern: F.regexp_instr(body, F.lit(pattern)) + ahead(name, pattern)
-    hits = F.array_compact(F.array(*[
-        F.when(scope[s] & F.col(body).contains(NEEDS.get(name, "")) & F.col(body).rlike(pattern), F.struct(F.lit(name).alias("rule"), place(name, pattern).alias("pos")))
-        for name, pattern, s in rules]))
-    found = files.select(F.col(path).alias("file"), F.col(body).alias("_t"), F.explode(hits).alias("h"))
+    found = files.select(F.col(path).alias("file"), F.col(body).alias("_t"), F.explode(rule_hits(rules, path, F.col(body))).alias("h"))
     before = F.expr("substr(_t, 1, h.pos - 1)")
     return found.select("file", "h.rule", F.octet_length(before).cast("bigint").alias("at"),
                         (F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))) + 1).cast("bigint").alias("line"))
 
 
+PIECE, AROUND = 1 << 20, 8192
+
+
+def redaction_scan(raw: DataFrame, rules: Sequence[tuple[str, str, str]], piece: int = PIECE) -> DataFrame:
+    """The first match of each rule in each file of any size, over the rows of ``blocks.raw_lines``.
+
+    No text is shuffled: rules run on lines where they are read, each with the break before it, and long lines in
+    overlapping pieces; a match that two pieces see is the same place. Offsets are worked out for the rows with a first
+    match only, from prefix sums over blocks of rows."""
+    line = F.concat(F.lit("\n"), F.col("text"))
+    parts = raw.select("relative_path", "split", "seq", F.explode(blocks.pieces(line, piece, AROUND)).alias("p"))
+    hits = parts.select("relative_path", "split", "seq", "p.at", F.explode(rule_hits(rules, "relative_path", F.col("p.text"), F.col("p.at") > 0)).alias("h"))
+    # -1 is the break before the line.
+    place = F.greatest(F.col("at") - AROUND, F.lit(0)) + F.col("h.pos") - 2
+    first = stored(hits.select("relative_path", "h.rule", F.struct("split", "seq", place.cast("bigint").alias("pos")).alias("w")).groupBy("relative_path", "rule").agg(
+        F.min("w").alias("w")).select("relative_path", "rule", "w.split", "w.seq", "w.pos", blocks.block(F.col("w.seq")).alias("block")))
+    near = raw.withColumn("block", blocks.block()).join(first.select("relative_path", "split", "block").distinct(), ["relative_path", "split", "block"], "left_semi")
+    lines = blocks.placed(near, blocks.block_starts(raw)).select("relative_path", "split", "seq", "offset", "line_no")
+    at = F.col("offset") + F.col("pos")
+    return first.join(lines, ["relative_path", "split", "seq"]).select(
+        F.col("relative_path").alias("file"), "rule", F.greatest(at, F.lit(0)).cast("bigint").alias("at"),
+        (F.col("line_no") - ((F.col("pos") < 0) & (at >= 0)).cast("bigint")).alias("line"))
+
+
+def library_names_in(raw: DataFrame) -> DataFrame:
+    """Names in ``<library:NAME sha256=...>`` tokens of files of any size."""
+    return library_names(raw.select("text"))
+
+
 def redaction_verdict(files: DataFrame, found: DataFrame) -> DataFrame:
     """refused when anything was found, else pass (one row)."""
     n = found.agg(F.count(F.lit(1)).alias("findings"))

@@ -8,6 +8,8 @@ from cairnsift.operators import planning, release
 from cairnsift.queries.checks import ALL_SQL, FACTS, FACT_SHAPES, all_findings
 from cairnsift.queries.registry import Tables, query
 from cairnsift.operators import checks
+from cairnsift.session import scratch
+from cairnsift.sources import blocks
 
 MAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"
 TOKEN = 'token = "[0-9a-f]{40}"'
@@ -46,6 +48,62 @@ def d1_verdict(t: Tables):
     return release.redaction_verdict(bundle(t), found(t))
 
 
+# Documents as files: one file per kind and source, each holding its documents in order of their ids.
+PLANTED = {1: "see C:\\work\\x", 3: "\\\\host\\share\\x", 5: "see https://h/lib.msp and /ref/lib.msp", 7: "Contents of /x/MEMORY.md", 9: "by Ann_1"}
+CONTEXT = r"Contents of [^\r\n]{0,400}?MEMORY\.md"
+
+
+def written(t: Tables) -> str:
+    """The documents, each with its planted line, written as text files."""
+    root = scratch(t.spark)
+    line = F.lit("")
+    for k, planted in PLANTED.items():
+        line = F.when(F.col("doc_id") % 11 == k, "\n" + planted).otherwise(line)
+    docs = t["doc"].select("doc_id", "lang", "source", F.concat("text", line).alias("value"))
+    for kind, part in (("transcripts", docs.where("lang = 'de'")), ("triage", docs.where("lang <> 'de'"))):
+        part.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "value").write.partitionBy("source").text(f"{root}/{kind}")
+    return root
+
+
+def short(path: str = "relative_path"):
+    return F.regexp_replace(path, "source=([^/]*)/.*$", "$1")
+
+
+WRITTEN = "w AS (SELECT doc_id, concat(CASE WHEN lang = 'de' THEN 'transcripts/' ELSE 'triage/' END, source) AS file, concat(text, CASE doc_id % 11 " + " ".join(
+    f"WHEN {k} THEN concat(chr(10), '{v}')" for k, v in PLANTED.items()) + """ ELSE '' END) AS body FROM doc),
+fl AS (SELECT file, doc_id, i, l[i] AS line FROM (SELECT file, doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT file, doc_id, string_split(body, chr(10)) AS l FROM w))),
+pl AS (SELECT file, line, CAST(sum(strlen(line) + 1) OVER o - strlen(line) - 1 AS BIGINT) AS off, row_number() OVER o AS line_no FROM fl WINDOW o AS (PARTITION BY file ORDER BY doc_id, i))"""
+# (rule, pattern with what stands before the match as its first group, files)
+SEEN = (("drive_letter_path", r"(^|[^A-Za-z0-9])[A-Za-z]:[\\/]", ""), ("unc_path", r"()^\\\\host", ""), ("library_path", "(/ref)/lib[.]msp", ""), ("context_block", "()Contents of .{0,400}MEMORY[.]md", "transcripts"),
+        ("email_address", f"(){MAIL}", ""), ("secret_token", f"(){TOKEN}", ""), ("operator_name", "(?i)(^|[^A-Za-z])ann([^A-Za-z]|$)", ""))
+
+
+def _seen(rule: str, pattern: str, where: str) -> str:
+    match, g = f"regexp_extract(line, '{pattern}')", f"regexp_extract(line, '{pattern}', 1)"
+    at = f"off + strlen(substr(line, 1, strpos(line, {match}) - 1)) + strlen({g})"
+    back = "CASE WHEN off > 0 THEN 1 ELSE 0 END" if rule == "unc_path" else "0"
+    return f"SELECT file, '{rule}' AS rule, CAST({at} - {back} AS BIGINT) AS at, line_no - {back} AS line FROM pl WHERE regexp_matches(line, '{pattern}') AND starts_with(file, '{where}')"
+
+
+@query("d1_file_scan", "doc", ctes=WRITTEN + ", hits AS (" + " UNION ALL ".join(_seen(*x) for x in SEEN) + ")", sql="SELECT file, rule, min(h.at) AS at, min_by(line, h.at) AS line FROM hits h GROUP BY file, rule")
+def d1_files(t: Tables):
+    rules = release.redaction_rules(terms=["ann"], context=[CONTEXT], secrets=[TOKEN])
+    return release.redaction_scan(blocks.raw_lines(t.spark, written(t)), rules).withColumn("file", short("file"))
+
+
+@query("s10_file_lines", "doc", ctes=WRITTEN, sql="SELECT file, off AS \"offset\", line_no, md5(line) AS digest FROM pl")
+def s10_lines(t: Tables):
+    lines = blocks.file_lines(t.spark, written(t))
+    return lines.select(short().alias("file"), "offset", "line_no", F.md5(F.encode("text", blocks.LATIN)).alias("digest"))
+
+
+@query("s7_jsonl_files", "doc", ctes=WRITTEN, sql="""
+SELECT file, row_number() OVER (PARTITION BY file ORDER BY line_no) AS line_no, md5(line) AS digest, starts_with(line, '{') AS readable FROM pl WHERE trim(line, chr(32) || chr(9) || chr(13)) <> ''""")
+def s7_files(t: Tables):
+    found = blocks.json_lines(blocks.file_lines(t.spark, written(t)))
+    return found.select(short().alias("file"), "line_no", F.md5("raw_line").alias("digest"), F.col("entry").isNotNull().alias("readable"))
+
+
 @query("d2_library_names", "doc", sql="SELECT DISTINCT concat('lib_', source, '.msp') AS name FROM doc")
 def d2(t: Tables):
     d = t["doc"].select(F.concat("text", F.lit(" <library:lib_"), "source", F.lit(".msp sha256="), F.repeat(F.lit("aB"), 32), F.lit(">")).alias("text"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cairnsift.functions import names
+from cairnsift.sources import blocks
 
 ROW = T.StructType([
     T.StructField("sample_id", T.StringType()), T.StructField("raw_file", T.StringType()),
@@ -181,7 +182,8 @@ def sample_names(numbered: DataFrame, key: str) -> DataFrame:
 
 
 def json_lines(numbered: DataFrame, key: str) -> DataFrame:
-    """Lines of a JSONL text; blank ones are skipped and renumbered, an unreadable one keeps a null entry."""
+    """Lines of JSONL texts that are values of a table; blank ones are skipped and renumbered, an unreadable one keeps a
+    null entry. A value's lines are numbered inside it; ``blocks.json_lines`` reads files of any size."""
     kept = numbered.where(F.trim("line") != "")
     entry = F.from_json("line", T.MapType(T.StringType(), T.StringType()))
     ok = F.get_json_object("line", "$").startswith("{")
@@ -191,14 +193,13 @@ def json_lines(numbered: DataFrame, key: str) -> DataFrame:
 
 
 def decode_content(content: Column | str) -> Column:
-    """Bytes as text: UTF-16 when a byte-order mark says so, else UTF-8 without its mark."""
-    c = F.col(content) if isinstance(content, str) else content
-    head = F.hex(F.substring(c, 1, 2))
-    text = F.when(head.isin("FFFE", "FEFF"), F.decode(c, "UTF-16")).otherwise(F.decode(c, "UTF-8"))
-    return F.regexp_replace(text, "^﻿", "")
+    """Bytes as text: UTF-16 when a byte-order mark says so, else UTF-8 without its mark. What neither can read becomes
+    U+FFFD."""
+    return blocks.decoded(F.col(content) if isinstance(content, str) else content)
 
 
 def scan_files(spark: SparkSession, root: str) -> DataFrame:
+    """Whole files, one row each, with digests: for documents of up to 2 GB. ``blocks.file_lines`` reads files of any size."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     relative = F.regexp_replace("path", r"^[a-z]+:/*\Q" + root.strip("/") + r"\E/?", "")
     return files.select(F.regexp_replace(relative, "^/", "").alias("relative_path"), decode_content("content").alias("text"),
