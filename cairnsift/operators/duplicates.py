@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cairnsift import vocab
@@ -9,23 +11,23 @@ from cairnsift.functions import names, tokens
 from cairnsift.scale import PRINT, global_rank, rank_value, set_print
 
 
-def content_groups(members: DataFrame) -> DataFrame:
-    """Members with a byte-identical twin: ``(member_key, group_id)``.
+def content_groups(members: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Members with a byte-identical twin (in their scope): ``(member_key, group_id)``.
 
     A raw-like file counts by checksum and size (at least 1,024 bytes), a vendor folder by the set of its
     parts. Groups are keys, so a content held by many members is one group and never a list of pairs."""
     keyed = members.select(
-        names.member_key("path").alias("member_key"), names.in_vendor_folder("path").alias("in_folder"),
+        *scope, names.member_key("path").alias("member_key"), names.in_vendor_folder("path").alias("in_folder"),
         names.is_raw_like("path").alias("raw_like"), "crc32", "size",
         F.lower(names.norm_path("path")).alias("full"))
     single = keyed.where(~F.col("in_folder") & F.col("raw_like") & (F.col("size") >= vocab.MIN_DUPLICATE_BYTES) & (F.col("crc32") != "")).select(
-        "member_key", F.concat_ws(":", F.lit("file"), "crc32", F.col("size").cast("string")).alias("group_id"))
-    parts = keyed.where("in_folder").select("member_key", F.expr("substr(full, length(member_key) + 1)").alias("inner_path"), "crc32", "size")
-    folder = parts.groupBy("member_key").agg(F.count(F.lit(1)).alias("n"), *set_print("inner_path", "crc32", "size")).select(
-        "member_key", F.concat_ws(":", F.lit("folder"), *[F.col(c).cast("string") for c in ("n", *PRINT)]).alias("group_id"))
+        *scope, "member_key", F.concat_ws(":", F.lit("file"), "crc32", F.col("size").cast("string")).alias("group_id"))
+    parts = keyed.where("in_folder").select(*scope, "member_key", F.expr("substr(full, length(member_key) + 1)").alias("inner_path"), "crc32", "size")
+    folder = parts.groupBy(*scope, "member_key").agg(F.count(F.lit(1)).alias("n"), *set_print("inner_path", "crc32", "size")).select(
+        *scope, "member_key", F.concat_ws(":", F.lit("folder"), *[F.col(c).cast("string") for c in ("n", *PRINT)]).alias("group_id"))
     placed = single.unionByName(folder).distinct()
-    shared = placed.groupBy("group_id").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return placed.join(shared, "group_id").select("member_key", "group_id", "members")
+    shared = placed.groupBy(*scope, "group_id").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return placed.join(shared, [*scope, "group_id"]).select(*scope, "member_key", "group_id", "members")
 
 
 def twin_ids(groups: DataFrame) -> DataFrame:
@@ -184,3 +186,114 @@ def other_arm(holders: DataFrame, groups: DataFrame, placed: DataFrame) -> DataF
                 | against("chromatography", "HILIC", "RP", "chrom") | against("chromatography", "RP", "HILIC", "chrom"))
     return h.select(*holders.columns, "group_id", F.coalesce(by_folder, F.lit(False)).alias("by_folder"),
                     F.coalesce(by_token, F.lit(False)).alias("by_token"))
+
+
+# ---- findings on byte-identical content ---------------------------------------
+
+def shared_subjects(flags: DataFrame, questions: DataFrame, keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What each shared-content flag is about: the files it names; else those the unit's shared-content questions name;
+    else the unit's own (kept, held, and rows excluded as copies).
+
+    ``flags`` and ``questions(unit_id, flag_no, code, row_indices, member_paths)``, ``keyed``: items with ``key`` and
+    ``resolved``. Returns ``(unit_id, flag_no, subject)`` per flag and ``(unit_id, subject, key)``. Flags of one unit
+    that name nothing share one subject, so a unit's files are listed once, whatever the number of its flags."""
+    firm = keyed.where("resolved")
+    rows = firm.where(F.col("kind").isin("row", "excluded_row")).select("unit_id", "row_index", "key").distinct()
+    shared = flags.where("code = 'shared_content'")
+
+    def named(entries: DataFrame, *ids: str) -> DataFrame:
+        paths = entries.select("unit_id", *ids, F.explode("member_paths").alias("path")).select("unit_id", *ids, names.member_key("path").alias("key"))
+        at = entries.select("unit_id", *ids, F.explode("row_indices").alias("row_index"))
+        return paths.unionByName(at.join(rows, ["unit_id", "row_index"]).select("unit_id", *ids, "key")).distinct()
+
+    by_flag = named(shared, "flag_no")
+    by_question = named(questions.where("code = 'shared_content'"))
+    own = firm.where(F.col("reason").isNull() | F.col("reason").isin(*vocab.HELD_REASONS) | ((F.col("kind") == "excluded_row") & (F.col("reason") == "duplicate_content")))
+    has = by_flag.select("unit_id", "flag_no").distinct().withColumn("_named", F.lit(True))
+    subjects = shared.select("unit_id", "flag_no").distinct().join(has, ["unit_id", "flag_no"], "left").select(
+        "unit_id", "flag_no", F.when(F.col("_named"), F.col("flag_no")).otherwise(F.lit(-1)).cast("bigint").alias("subject"))
+    loose = subjects.where("subject = -1").select("unit_id").distinct()
+    asked = by_question.join(loose, "unit_id", "left_semi").select("unit_id", "key")
+    rest = own.select("unit_id", "key").distinct().join(loose, "unit_id", "left_semi").join(by_question.select("unit_id"), "unit_id", "left_anti")
+    keys = by_flag.select("unit_id", F.col("flag_no").cast("bigint").alias("subject"), "key").unionByName(
+        asked.unionByName(rest).select("unit_id", F.lit(-1).cast("bigint").alias("subject"), "key"))
+    return subjects, keys
+
+
+def unkept_flags(subjects: DataFrame, keys: DataFrame, groups: DataFrame, kept: DataFrame, held: DataFrame) -> DataFrame:
+    """Flags none of whose twin groups has a file that a unit keeps or holds: ``unit_id``, ``flag_no``, ``has_twins``.
+
+    A unit's own unassigned copies do not count for it, so a group needs another unit's. Groups are judged once, by
+    counts and the least and largest holder, and no two members of a group ever meet."""
+    g = groups.select("member_key", "group_id")
+    firm = kept.select("key").union(held.where("reason <> 'shared_content_unassigned'").select("key")).distinct()
+    firm = firm.join(g, F.col("key") == F.col("member_key")).select("group_id").distinct().withColumn("_firm", F.lit(True))
+    loose = held.where("reason = 'shared_content_unassigned'").join(g, F.col("key") == F.col("member_key")).groupBy("group_id").agg(
+        F.min("unit_id").alias("lo"), F.max("unit_id").alias("hi"))
+    about = keys.join(g, F.col("key") == F.col("member_key")).select("unit_id", "subject", "group_id").distinct()
+    judged = about.join(firm, "group_id", "left").join(loose, "group_id", "left")
+    other = F.coalesce((F.col("lo") != F.col("unit_id")) | (F.col("hi") != F.col("unit_id")), F.lit(False))
+    per = judged.groupBy("unit_id", "subject").agg(F.bool_or(F.col("_firm").isNotNull() | other).alias("ok"))
+    out = subjects.join(per, ["unit_id", "subject"], "left")
+    return out.where(~F.coalesce("ok", F.lit(False))).select("unit_id", "flag_no", F.col("ok").isNotNull().alias("has_twins"))
+
+
+def twin_holders(kept: DataFrame, groups: DataFrame) -> DataFrame:
+    """Per kept file of a content group: whether its unit keeps another copy, and how many other units keep one.
+
+    ``kept(unit_id, key)``. ``twin_units`` counts the units that keep another copy of the content, and ``twin_print``
+    identifies that set: the group's units less the holder's own share and less those that keep this very file only."""
+    h = F.xxhash64("unit_id").cast("decimal(20,0)")
+    own = kept.select("unit_id", "key").distinct().join(groups.select(F.col("member_key").alias("key"), "group_id"), "key")
+    per_unit = own.groupBy("group_id", "unit_id").agg(F.count(F.lit(1)).alias("copies"))
+    total = per_unit.groupBy("group_id").agg(F.count(F.lit(1)).alias("units"), F.sum(h).alias("all"))
+    both = own.join(per_unit, ["group_id", "unit_id"])
+    single = F.col("copies") == 1
+    only = both.groupBy("group_id", "key").agg(F.count_if(single).alias("only"), F.sum(F.when(single, h)).alias("only_print"))
+    out = both.join(total, "group_id").join(only, ["group_id", "key"])
+    mine = F.when(single, 0).otherwise(1)
+    count = F.col("units") - F.col("only") - mine
+    print_ = F.col("all") - F.coalesce("only_print", F.lit(0)) - mine * h
+    # A path that is listed with several contents is in several groups; each group's keepers count.
+    return out.groupBy("unit_id", "key").agg(F.bool_or(F.col("copies") > 1).alias("twin_inside"), F.sum(count).cast("bigint").alias("twin_units"), F.sum(print_).alias("twin_print"))
+
+
+def t_dup(facts: DataFrame, keyed: DataFrame, groups: DataFrame, flags: DataFrame, questions: DataFrame, answered: DataFrame) -> DataFrame:
+    """Byte-identical content a unit keeps: shared with other units or arms, copied inside the unit, a copy that is not
+    flagged, and flags about content nobody keeps. One finding per unit, set of other keepers and kind.
+
+    ``facts(unit_id, status, flags)``, ``answered(unit_id, code)``; ``flags`` and ``questions`` as in ``shared_subjects``."""
+    firm = keyed.where("resolved")
+    kept = firm.where("reason IS NULL").groupBy("unit_id", "key").agg(F.min(F.struct("ion_mode", "chromatography")).alias("m")).select("unit_id", "key", "m.*")
+    held = firm.where(F.col("reason").isin(*vocab.HELD_REASONS)).select("unit_id", "key", "reason").distinct()
+    subjects, keys = shared_subjects(flags, questions, keyed)
+    empty = unkept_flags(subjects, keys, groups, kept, held)
+
+    placed = kept.select("unit_id", "key").unionByName(held.select("unit_id", "key")).distinct()
+    arms = other_arm(kept, groups, placed).groupBy("unit_id", "key").agg(F.bool_or(F.col("by_folder") | F.col("by_token")).alias("arm"))
+    told = answered.where("code = 'shared_content'").select("unit_id").distinct().withColumn("_told", F.lit(True))
+    state = facts.select("unit_id", "status", F.col("flags").alias("_codes")).join(told, "unit_id", "left").select("unit_id", (
+        F.array_contains("_codes", "shared_content") & ((F.col("status") != "ready") | F.coalesce("_told", F.lit(False)))).alias("settled"),
+        F.array_contains("_codes", "duplicate_copies_excluded").alias("noted"))
+    h = twin_holders(kept, groups).join(arms, ["unit_id", "key"], "left").join(state, "unit_id")
+    alone = (F.col("twin_units") == 0) & ~F.col("twin_inside") & ~F.coalesce("arm", F.lit(False))
+    h = h.withColumn("kind", F.when(alone, "copy").otherwise("shared"))
+    inside = h.where("twin_inside AND NOT settled").select("unit_id", F.col("key").alias("subject"), F.lit("error").alias("severity"), F.lit("twin_in_unit").alias("message"))
+    once = h.groupBy("unit_id", "twin_units", "twin_print", "kind", "settled", "noted").agg(F.min("key").alias("subject"))
+    message = (F.when(F.col("settled"), "waits_for_person").when(F.col("kind") == "shared", "shared_unflagged").when(~F.col("noted"), "copy_unflagged"))
+    shared = once.select("unit_id", "subject", F.when(F.col("settled"), "hold").otherwise("error").alias("severity"), message.alias("message")).where("message IS NOT NULL")
+    nobody = empty.select("unit_id", F.col("flag_no").cast("string").alias("subject"), F.lit("error").alias("severity"),
+                          F.when(F.col("has_twins"), "flag_without_keeper").otherwise("flag_without_twin").alias("message"))
+    found = inside.unionByName(shared).unionByName(nobody)
+    return found.select(F.lit("T-DUP").alias("check_id"), "severity", "unit_id", F.col("subject").cast("string").alias("subject"), "message")
+
+
+def unassigned_in_own_arm(keyed: DataFrame, facts: DataFrame, groups: DataFrame) -> DataFrame:
+    """Items left out as unassigned shared content though no twin is in another arm's place."""
+    firm = keyed.where("resolved")
+    placed = firm.where(F.col("reason").isNull() | F.col("reason").isin(*vocab.HELD_REASONS)).select("unit_id", "key").distinct()
+    own = firm.where("reason = 'shared_content_unassigned'").select("unit_id", "key").distinct().join(
+        facts.select("unit_id", "ion_mode", "chromatography"), "unit_id")
+    judged = other_arm(own, groups, placed).groupBy("unit_id", "key").agg(F.bool_or(F.col("by_folder") | F.col("by_token")).alias("arm"))
+    return judged.where("NOT arm").select(F.lit("T-EXCL").alias("check_id"), F.lit("error").alias("severity"), "unit_id", F.col("key").alias("subject"),
+                                          F.lit("unassigned_in_own_arm").alias("message"))

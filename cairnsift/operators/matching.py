@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cairnsift import vocab
@@ -9,14 +11,14 @@ from cairnsift.functions import names, tokens
 from cairnsift.scale import PRINT, set_print
 
 
-def index_members(paths: DataFrame, path: str = "path") -> DataFrame:
-    """Raw-like members, one row per key: the shown path, the file name and the stem they answer to."""
-    raw = paths.where(names.is_raw_like(path)).select(names.vendor_root(path).alias("shown"))
+def index_members(paths: DataFrame, path: str = "path", scope: Sequence[str] = ()) -> DataFrame:
+    """Raw-like members, one row per key (and scope): the shown path, the file name and the stem they answer to."""
+    raw = paths.where(names.is_raw_like(path)).select(*scope, names.vendor_root(path).alias("shown"))
     # Keys that cannot be null keep the planner from adding not-null filters under each join, so that the joins
     # by name and by stem read one shared exchange.
     some = lambda c: F.coalesce(c, F.lit(""))
-    return raw.groupBy(some(F.lower("shown")).alias("member_key")).agg(F.min("shown").alias("member_path")).select(
-        "member_key", "member_path", some(names.basename("member_key")).alias("name"),
+    return raw.groupBy(*scope, some(F.lower("shown")).alias("member_key")).agg(F.min("shown").alias("member_path")).select(
+        *scope, "member_key", "member_path", some(names.basename("member_key")).alias("name"),
         some(F.lower(names.stem("member_key"))).alias("stem"), some_flag(names.needs_conversion("member_key")).alias("converts"))
 
 
@@ -24,30 +26,39 @@ def some_flag(value: Column) -> Column:
     return F.coalesce(value, F.lit(False))
 
 
-def index_names(members: DataFrame) -> DataFrame:
+def index_names(members: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Per file name: how many members carry it, and which when it is one."""
-    return members.groupBy("name").agg(F.count(F.lit(1)).alias("name_n"), F.min("member_key").alias("name_key"))
+    return members.groupBy(*scope, "name").agg(F.count(F.lit(1)).alias("name_n"), F.min("member_key").alias("name_key"))
 
 
-def index_stems(members: DataFrame) -> DataFrame:
+def index_stems(members: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Per stem: how many members carry it, and how many of them need no conversion."""
     direct = F.when(~F.col("converts"), F.col("member_key"))
-    return members.groupBy("stem").agg(F.count(F.lit(1)).alias("stem_n"), F.min("member_key").alias("stem_key"),
+    return members.groupBy(*scope, "stem").agg(F.count(F.lit(1)).alias("stem_n"), F.min("member_key").alias("stem_key"),
                                        F.count(direct).alias("direct_n"), F.min(direct).alias("direct_key"))
 
 
-def resolve(rows: DataFrame, members: DataFrame, name: str = "raw_file") -> DataFrame:
+def within(scope: Sequence[str], tag: str) -> tuple[list[Column], Column]:
+    """A scope's columns under other names, and the condition that both sides share it."""
+    match = F.lit(True)
+    for c in scope:
+        match = match & (F.col(c) == F.col(f"{tag}{c}"))
+    return [F.col(c).alias(f"{tag}{c}") for c in scope], match
+
+
+def resolve(rows: DataFrame, members: DataFrame, name: str = "raw_file", scope: Sequence[str] = ()) -> DataFrame:
     """Each row's member by exact name, then by stem, then by its stem among forms read as they are.
 
     Adds ``kind`` (exact, stem, ambiguous, none), ``member_key`` and the number of candidates. Both
     indexes hold one row per name, so a name shared by many rows never multiplies; what an ambiguous
-    name could mean is ``candidates``.
+    name could mean is ``candidates``. With ``scope``, rows see the members of their own scope only.
     """
     base, folded = F.lower(names.basename(name)), F.lower(names.stem(name))
-    by_name = index_names(members).withColumnRenamed("name", "_name")
-    by_stem = index_stems(members).withColumnRenamed("stem", "_stem")
+    (own_n, same_n), (own_s, same_s) = within(scope, "_n_"), within(scope, "_s_")
+    by_name = index_names(members, scope).select(*own_n, F.col("name").alias("_name"), "name_n", "name_key")
+    by_stem = index_stems(members, scope).select(*own_s, F.col("stem").alias("_stem"), "stem_n", "stem_key", "direct_n", "direct_key")
     keyed = rows.withColumn("_n", base).withColumn("_s", folded)
-    hit = keyed.join(by_name, F.col("_n") == F.col("_name"), "left").join(by_stem, F.col("_s") == F.col("_stem"), "left")
+    hit = keyed.join(by_name, same_n & (F.col("_n") == F.col("_name")), "left").join(by_stem, same_s & (F.col("_s") == F.col("_stem")), "left")
     exact = F.coalesce(F.col("name_n"), F.lit(0)) == 1
     stem_one = F.coalesce(F.col("stem_n"), F.lit(0)) == 1
     direct_one = (F.coalesce(F.col("stem_n"), F.lit(0)) > 1) & (F.col("direct_n") == 1)
@@ -79,12 +90,13 @@ def resolve_within(rows: DataFrame, members: DataFrame, prefixes: list[str], nam
     return resolve(rows, members.where(inside) if prefixes else members, name)
 
 
-def item_keys(items: DataFrame, members: DataFrame) -> DataFrame:
+def item_keys(items: DataFrame, members: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Adds ``key`` and ``resolved``: the member path's key, the name's own key where the listing has it or it has a
     folder, the row's resolved member, or ``raw:<stem>``."""
-    listed = members.select(F.col("member_key").alias("_listed")).distinct()
+    own_l, same_l = within(scope, "_l_")
+    listed = members.select(*own_l, F.col("member_key").alias("_listed")).distinct()
     asked = items.withColumnRenamed("kind", "_item_kind").withColumn("_own", names.member_key("raw_file"))
-    found = resolve(asked.join(listed, F.col("_own") == F.col("_listed"), "left"), members)
+    found = resolve(asked.join(listed, same_l & (F.col("_own") == F.col("_listed")), "left"), members, scope=scope)
     has = F.coalesce(F.col("member_path"), F.lit("")) != ""
     own = names.member_key("member_path")
     known = F.col("_listed").isNotNull() | F.coalesce(names.norm_path("raw_file").contains("/"), F.lit(False))
@@ -152,23 +164,24 @@ def shared_reciprocity(shares: DataFrame) -> DataFrame:
     return s.join(back, ["unit_id", "other_unit_id", "key"], "left_anti")
 
 
-def loose_members(listing: DataFrame, items: DataFrame) -> DataFrame:
+def loose_members(listing: DataFrame, items: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Raw-like members nobody kept or excluded, by key, by file name or by stem.
 
-    ``items(member_path, raw_file)``: every kept and excluded item of the set."""
+    ``items(member_path, raw_file)``: every kept and excluded item of the set (and scope). Each member asks with its
+    three tokens at once, so the accounted items are folded and joined once."""
     members = listing.where(names.is_raw_like("path")).select(
-        names.member_key("path").alias("member_key"), F.lower(names.basename("path")).alias("name"),
+        *scope, names.member_key("path").alias("member_key"), F.lower(names.basename("path")).alias("name"),
         F.lower(names.stem("path")).alias("stem")).distinct()
     has = F.coalesce(F.col("member_path"), F.lit("")) != ""
     token = F.when(has, F.concat(F.lit("key:"), names.member_key("member_path"))).otherwise(names.name_key("raw_file"))
-    accounted = items.select(token.alias("token")).where("token IS NOT NULL").distinct()
-
-    def missing(frame: DataFrame, prefix: str, column: str) -> DataFrame:
-        taken = accounted.where(F.col("token").startswith(prefix)).select(F.substr(F.col("token"), F.lit(len(prefix) + 1)).alias("_t"))
-        return frame.join(taken, frame[column] == F.col("_t"), "left_anti")
-
-    left = missing(missing(missing(members, "key:", "member_key"), "name:", "name"), "stem:", "stem")
-    return left.select("member_key").distinct()
+    own, same = within(scope, "_a_")
+    accounted = items.select(*own, token.alias("_taken")).where("_taken IS NOT NULL").distinct()
+    asks = F.array(*[F.concat(F.lit(f"{kind}:"), F.col(c)) for kind, c in (("key", "member_key"), ("name", "name"), ("stem", "stem"))])
+    asked = members.select(*scope, "member_key", "name", "stem", F.explode(asks).alias("_token"))
+    found = asked.join(accounted, same & (F.col("_token") == F.col("_taken")), "left")
+    # A part of a vendor folder that nobody names leaves the folder open.
+    return found.groupBy(*scope, "member_key", "name", "stem").agg(F.bool_or(F.col("_taken").isNotNull()).alias("_known")).where(
+        "NOT _known").select(*scope, "member_key").distinct()
 
 
 def child_members(kept: DataFrame, children: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Validate decisions against the archive they rest on."""
+"""Validate decisions against the archives they rest on, accession by accession."""
 
 from __future__ import annotations
 
@@ -6,37 +6,38 @@ from pyspark.sql import DataFrame, functions as F
 
 from cairnsift.functions import names
 from cairnsift.operators import checks, duplicates, matching
+from cairnsift.session import stored
+
+SCOPE = ("accession",)
 
 
 def archive_findings(listing: DataFrame, items: DataFrame) -> DataFrame:
-    """Members nobody accounts for, and kept files with a byte-identical twin.
-
-    ``listing(archive, path, size, crc32)``, ``items(unit_id, member_path, raw_file, reason, ...)``."""
-    members = matching.index_members(listing)
-    loose = matching.loose_members(listing, items).select(F.lit(None).cast("string").alias("unit_id"), F.col("member_key").alias("subject"))
-    keyed = matching.item_keys(items, members)
-    groups = duplicates.content_groups(listing)
-    kept = keyed.where("reason IS NULL AND resolved").select("unit_id", "key").distinct()
-    twins = kept.join(groups.select("member_key").distinct(), F.col("key") == F.col("member_key"), "left_semi")
-    unresolved = keyed.where("reason IS NULL AND NOT resolved").select("unit_id", F.col("key").alias("subject")).distinct()
+    """Members nobody accounts for, kept files with a byte-identical twin, and names that mean no single member.
+
+    ``listing(accession, archive, path, size, crc32)``, ``items(accession, unit_id, member_path, raw_file, reason, ...)``.
+    Names, copies and loose members are those of one accession's own listing; a loose member has no unit."""
+    members = stored(matching.index_members(listing, scope=SCOPE))
+    loose = matching.loose_members(listing, items, SCOPE).select(*SCOPE, F.lit(None).cast("string").alias("unit_id"), F.col("member_key").alias("subject"))
+    keyed = stored(matching.item_keys(items, members, SCOPE).where("reason IS NULL").select(*SCOPE, "unit_id", "key", "resolved").distinct())
+    groups = duplicates.content_groups(listing, SCOPE).select(*SCOPE, F.col("member_key").alias("key")).distinct()
+    twins = keyed.where("resolved").join(groups, [*SCOPE, "key"], "left_semi")
     say = lambda rows, check, level, message: rows.select(
-        F.lit(check).alias("check_id"), F.lit(level).alias("severity"), "unit_id", "subject", F.lit(message).alias("message"))
+        *SCOPE, F.lit(check).alias("check_id"), F.lit(level).alias("severity"), "unit_id", "subject", F.lit(message).alias("message"))
     return checks.run_checks([
-        say(loose, "T-MEMBER", "hold", "loose_member"), say(twins.select("unit_id", F.col("key").alias("subject")), "T-DUP", "error", "byte_identical"),
-        say(unresolved, "T-MEMBER", "hold", "unresolved")])
+        say(loose, "T-MEMBER", "hold", "loose_member"), say(twins.withColumnRenamed("key", "subject"), "T-DUP", "error", "byte_identical"),
+        say(keyed.where("NOT resolved").withColumnRenamed("key", "subject"), "T-MEMBER", "hold", "unresolved")])
 
 
 def accession_verdict(listing: DataFrame, items: DataFrame, units: DataFrame) -> DataFrame:
-    """Verdict per unit and accession over the archive findings. ``units(unit_id, accession)`` are the units that rest on
-    the listing; what is found on the listing as a whole (loose members) counts in each accession's own row."""
-    found = archive_findings(listing, items)
-    per = checks.verdict(found.where("unit_id IS NOT NULL"), units)
-    whole = found.where("unit_id IS NULL").agg(
+    """Verdict per unit and accession over the archive findings. ``units(unit_id, accession)``: the units that rest on
+    their accession's listing; its loose members count in the accession's own row."""
+    owned = items.join(units.select("unit_id", *SCOPE).distinct(), "unit_id")
+    found = stored(archive_findings(listing, owned))
+    per = checks.verdict(found.where("unit_id IS NOT NULL").drop(*SCOPE), units)
+    whole = found.where("unit_id IS NULL").groupBy(F.col("accession").alias("_accession")).agg(
         F.count_if(F.col("severity") == "error").alias("_errors"), F.count_if(F.col("severity") == "hold").alias("_holds"))
-    # One row, so the cross join only adds two columns.
-    both = per.crossJoin(F.broadcast(whole))
-    own = F.col("unit_id").isNull()
-    errors, holds = (F.col(c) + F.when(own, F.col(f"_{c}")).otherwise(0) for c in ("errors", "holds"))
+    both = per.join(whole, (F.col("accession") == F.col("_accession")) & F.col("unit_id").isNull(), "left")
+    errors, holds = (F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in ("errors", "holds"))
     return both.select("accession", "unit_id", F.when(errors > 0, "error").when(holds > 0, "hold").otherwise("pass").alias("verdict"), errors.alias("errors"), holds.alias("holds"))
 
 

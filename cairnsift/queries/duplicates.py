@@ -8,7 +8,8 @@ from cairnsift.functions import names
 from cairnsift.operators import duplicates, matching
 from cairnsift.queries import duck
 from cairnsift.queries.matching import ITEM_KEYS, item_keys, mem_cte
-from cairnsift.queries.registry import Tables, query
+from cairnsift.queries.registry import Dialect, Tables, query, shape
+from cairnsift.session import stored
 
 
 def groups_cte(source: str) -> str:
@@ -165,3 +166,83 @@ def j25(t: Tables):
     out = duplicates.other_arm(kept, groups, placed)
     return out.groupBy("unit_id", "key", "ion_mode", "chromatography").agg(
         F.bool_or("by_folder").alias("by_folder"), F.bool_or("by_token").alias("by_token"))
+
+
+@shape("dup_flag")
+def dup_flag(d: Dialect) -> str:
+    """Shared-content flags (some units have several): one in three names a member, one a row, one nothing."""
+    return f"""
+SELECT concat('U', {d.text('l_orderkey')}) AS unit_id, cast(l_linenumber AS bigint) AS flag_no,
+       CASE WHEN l_tax = 0.05 THEN 'duplicate_copies_excluded' ELSE 'shared_content' END AS code,
+       CASE WHEN l_returnflag = 'A' THEN concat('run', {d.text('l_suppkey')}, '/f', {d.text('l_partkey')}, CASE WHEN l_quantity > 25 THEN '_pos' WHEN l_quantity > 10 THEN '_neg_C18_DIA' ELSE '' END,
+            CASE WHEN l_linestatus = 'O' THEN '.mzXML' ELSE '.raw' END) END AS named_path,
+       CASE WHEN l_returnflag = 'N' THEN cast(l_linenumber AS bigint) - 1 END AS named_row
+FROM {d.table('lineitem')} WHERE l_tax IN (0, 0.05)"""
+
+
+@shape("dup_question")
+def dup_question(d: Dialect) -> str:
+    """Shared-content questions, each about one row."""
+    return f"""
+SELECT concat('U', {d.text('l_orderkey')}) AS unit_id, cast(l_linenumber AS bigint) AS flag_no, 'shared_content' AS code, cast(l_linenumber AS bigint) - 1 AS named_row
+FROM {d.table('lineitem')} WHERE l_tax = 0.01"""
+
+
+TDUP = DUP_CTES + f""",
+firmk AS (SELECT * FROM keyst WHERE resolved),
+sf AS (SELECT * FROM dup_flag WHERE code = 'shared_content'),
+nm AS (SELECT unit_id, flag_no, {duck.key('named_path')} AS key FROM sf WHERE named_path IS NOT NULL
+  UNION SELECT s.unit_id, s.flag_no, k.key FROM sf s JOIN firmk k ON s.unit_id = k.unit_id AND s.named_row = k.row_index AND k.kind IN ('row', 'excluded_row')),
+qn AS (SELECT q.unit_id, k.key FROM dup_question q JOIN firmk k ON q.unit_id = k.unit_id AND q.named_row = k.row_index AND k.kind IN ('row', 'excluded_row')),
+subj AS (SELECT unit_id, flag_no, key FROM nm
+  UNION SELECT s.unit_id, s.flag_no, q.key FROM sf s JOIN qn q USING (unit_id) WHERE (s.unit_id, s.flag_no) NOT IN (SELECT (unit_id, flag_no) FROM nm)
+  UNION SELECT s.unit_id, s.flag_no, k.key FROM sf s JOIN firmk k USING (unit_id) WHERE (s.unit_id, s.flag_no) NOT IN (SELECT (unit_id, flag_no) FROM nm) AND s.unit_id NOT IN (SELECT unit_id FROM qn)
+    AND (k.reason IS NULL OR k.reason IN ('needs_person', 'shared_content_unassigned') OR (k.kind = 'excluded_row' AND k.reason = 'duplicate_content'))),
+abt AS (SELECT DISTINCT s.unit_id, s.flag_no, g.gid FROM subj s JOIN grp g ON s.key = g.member_key),
+okg AS (SELECT a.unit_id, a.flag_no, bool_or(EXISTS (SELECT 1 FROM grp g JOIN kept k ON k.key = g.member_key WHERE g.gid = a.gid)
+      OR EXISTS (SELECT 1 FROM grp g JOIN held h ON h.key = g.member_key WHERE g.gid = a.gid AND (h.reason = 'needs_person' OR h.unit_id <> a.unit_id))) AS ok FROM abt a GROUP BY 1, 2),
+kp AS (SELECT unit_id, key, min({{'i': ion_mode, 'c': chromatography}}) AS m FROM kept GROUP BY 1, 2),
+tw AS (SELECT a.member_key, b.member_key AS twin, a.gid FROM grp a JOIN grp b ON a.gid = b.gid AND a.member_key <> b.member_key),
+pl AS (SELECT unit_id, {duck.folder('key')} AS folder FROM kept UNION SELECT unit_id, {duck.folder('key')} FROM held),
+tk AS (SELECT unit_id, key, string_agg(other, ',' ORDER BY other) FILTER (other <> unit_id) AS others, coalesce(bool_or(other = unit_id), false) AS inside
+  FROM (SELECT DISTINCT k.unit_id, k.key, tw.gid, o.unit_id AS other FROM kp k JOIN tw ON k.key = tw.member_key LEFT JOIN kp o ON o.key = tw.twin) GROUP BY 1, 2),
+fold AS (SELECT folder, min(unit_id) AS lo, max(unit_id) AS hi FROM pl GROUP BY 1),
+am AS (SELECT k.unit_id, k.key, coalesce(bool_or(f.lo <> k.unit_id OR f.hi <> k.unit_id), false)
+    OR coalesce(bool_or((k.m.i IN ('positive', 'negative') AND {duck.polarity('tw.twin')} <> k.m.i) OR (k.m.c IN ('HILIC', 'RP') AND {duck.chromatography('tw.twin')} <> k.m.c)), false) AS arm
+  FROM kp k JOIN tw ON k.key = tw.member_key LEFT JOIN fold f ON f.folder = {duck.folder('tw.twin')} GROUP BY 1, 2),
+st AS (SELECT p.unit_id, p.status, coalesce(bool_or(f.code = 'shared_content'), false) AND (p.status <> 'ready' OR p.unit_id IN (SELECT unit_id FROM dup_question WHERE named_row > 3)) AS settled,
+    coalesce(bool_or(f.code = 'duplicate_copies_excluded'), false) AS noted FROM payload p LEFT JOIN dup_flag f USING (unit_id) GROUP BY 1, 2),
+hh AS (SELECT t.*, st.settled, st.noted, CASE WHEN others IS NULL AND NOT inside AND NOT arm THEN 'copy' ELSE 'shared' END AS kind FROM tk t JOIN am USING (unit_id, key) JOIN st USING (unit_id)),
+tdup AS (SELECT 'T-DUP' AS check_id, 'error' AS severity, unit_id, key AS subject, 'twin_in_unit' AS message FROM hh WHERE inside AND NOT settled
+  UNION ALL SELECT * FROM (SELECT 'T-DUP', CASE WHEN settled THEN 'hold' ELSE 'error' END, unit_id, min(key), CASE WHEN settled THEN 'waits_for_person' WHEN kind = 'shared' THEN 'shared_unflagged' WHEN NOT noted THEN 'copy_unflagged' END AS m
+    FROM hh GROUP BY unit_id, others, kind, settled, noted) WHERE m IS NOT NULL
+  UNION ALL SELECT 'T-DUP', 'error', s.unit_id, CAST(s.flag_no AS VARCHAR), CASE WHEN o.ok IS NOT NULL THEN 'flag_without_keeper' ELSE 'flag_without_twin' END FROM (SELECT DISTINCT unit_id, flag_no FROM sf) s LEFT JOIN okg o USING (unit_id, flag_no) WHERE NOT coalesce(o.ok, false))"""
+DUP_SHAPES = ("item", "item_listing", "payload", "dup_flag", "dup_question")
+
+
+def dup_inputs(t: Tables):
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    flags = t["dup_flag"].select("unit_id", "flag_no", "code", F.when(F.col("named_row").isNotNull(), F.array("named_row")).otherwise(none("bigint")).alias("row_indices"),
+                                 F.when(F.col("named_path").isNotNull(), F.array("named_path")).otherwise(none("string")).alias("member_paths"))
+    questions = t["dup_question"].select("unit_id", "flag_no", "code", F.array("named_row").alias("row_indices"), none("string").alias("member_paths"))
+    answered = t["dup_question"].where("named_row > 3").select("unit_id", "code")
+    return flags, questions, answered
+
+
+@query("t_dup", *DUP_SHAPES, ctes=TDUP, sql="SELECT * FROM tdup")
+def t_dup(t: Tables):
+    flags, questions, answered = dup_inputs(t)
+    codes = flags.groupBy("unit_id").agg(F.collect_set("code").alias("flags"))
+    facts = t["payload"].join(codes, "unit_id", "left").select("unit_id", "status", F.coalesce("flags", F.array().cast("array<string>")).alias("flags"))
+    return duplicates.t_dup(facts, stored(item_keys(t)), stored(duplicates.content_groups(t.stored("item_listing"))), flags, questions, answered)
+
+
+@query("t_excl_own_arm", "item", "item_listing", "payload", ctes=DUP_CTES + f""",
+tw AS (SELECT a.member_key, b.member_key AS twin FROM grp a JOIN grp b ON a.gid = b.gid AND a.member_key <> b.member_key),
+pl AS (SELECT unit_id, {duck.folder('key')} AS folder FROM kept UNION SELECT unit_id, {duck.folder('key')} FROM held), fold AS (SELECT folder, min(unit_id) AS lo, max(unit_id) AS hi FROM pl GROUP BY 1)""", sql=f"""
+SELECT 'T-EXCL' AS check_id, 'error' AS severity, h.unit_id, h.key AS subject, 'unassigned_in_own_arm' AS message
+FROM held h JOIN payload p USING (unit_id) JOIN tw ON h.key = tw.member_key LEFT JOIN fold f ON f.folder = {duck.folder('tw.twin')} WHERE h.reason = 'shared_content_unassigned' GROUP BY h.unit_id, h.key
+HAVING NOT coalesce(bool_or(f.lo <> h.unit_id OR f.hi <> h.unit_id), false) AND NOT coalesce(bool_or((p.ion_mode IN ('positive', 'negative') AND {duck.polarity('tw.twin')} <> p.ion_mode)
+  OR (p.chromatography IN ('HILIC', 'RP') AND {duck.chromatography('tw.twin')} <> p.chromatography)), false)""")
+def t_own_arm(t: Tables):
+    return duplicates.unassigned_in_own_arm(stored(item_keys(t)), t["payload"], stored(duplicates.content_groups(t.stored("item_listing"))))

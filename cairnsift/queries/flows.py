@@ -6,31 +6,50 @@ from pyspark.sql import functions as F
 
 from cairnsift.plans import accession, campaign
 from cairnsift.queries import duck
-from cairnsift.queries.duplicates import groups_cte
 from cairnsift.queries.ledger import STREAK
-from cairnsift.queries.matching import ITEM_KEYS, mem_cte
 from cairnsift.queries.planning import GROUPS, POOLED, mobility
-from cairnsift.queries.registry import Tables, query
-
-ARCHIVE = mem_cte("item_listing") + ",\n" + ITEM_KEYS + ",\n" + groups_cte("item_listing") + f""",
-af AS (SELECT 'T-MEMBER' AS check_id, 'hold' AS severity, CAST(NULL AS VARCHAR) AS unit_id, m.member_key AS subject, 'loose_member' AS message FROM mem m
-    WHERE member_key NOT IN (SELECT {duck.key('member_path')} FROM item WHERE member_path IS NOT NULL) AND name NOT IN (SELECT lower(raw_file) FROM item WHERE member_path IS NULL)
-  UNION ALL SELECT DISTINCT 'T-DUP', 'error', unit_id, key, 'byte_identical' FROM keyst WHERE reason IS NULL AND resolved AND key IN (SELECT member_key FROM grp)
-  UNION ALL SELECT DISTINCT 'T-MEMBER', 'hold', unit_id, key, 'unresolved' FROM keyst WHERE reason IS NULL AND NOT resolved)"""
-
-
-@query("e1_archive_findings", "item", "item_listing", ctes=ARCHIVE, sql="SELECT * FROM af")
+from cairnsift.queries.registry import Dialect, Tables, query, shape
+
+
+@shape("own_listing")
+def own_listing(d: Dialect) -> str:
+    """Each accession's own archive: what its orders' items were read from, some in another encoding."""
+    return f"""
+SELECT concat('A', {d.text('o_custkey')}) AS accession, concat('A', {d.text('o_custkey')}, '.zip') AS archive,
+       concat('run', {d.text('l_suppkey')}, '/f', {d.text('l_partkey')}, CASE WHEN l_quantity > 25 THEN '_pos' WHEN l_quantity > 10 THEN '_neg_C18_DIA' ELSE '' END,
+              CASE WHEN l_tax = 0.03 AND l_returnflag = 'N' THEN '.zip' WHEN l_discount = 0.05 THEN '.mzML' WHEN l_linestatus = 'O' THEN '.raw' ELSE '.mzXML' END) AS path,
+       cast(l_quantity AS bigint) * 1000 AS size, upper(lpad(hex(cast(l_quantity AS bigint)), 8, '0')) AS crc32
+FROM {d.table('lineitem')} JOIN {d.table('orders')} ON l_orderkey = o_orderkey WHERE l_quantity < 50 OR l_discount > 0.01"""
+
+
+# The operator's joins with the accession in every key.
+ARCHIVE = f"""om AS (SELECT accession, {duck.key('path')} AS member_key, regexp_extract({duck.key('path')}, '([^/]*)$', 1) AS name, lower({duck.stem(duck.key('path'))}) AS stem, bool_and({duck.convert('path')}) AS converts
+  FROM own_listing WHERE {duck.rawlike('path')} GROUP BY ALL),
+onm AS (SELECT accession, name, count(*) AS n, min(member_key) AS k FROM om GROUP BY ALL),
+ost AS (SELECT accession, stem, count(*) AS n, min(member_key) AS k, count(*) FILTER (NOT converts) AS dn, min(member_key) FILTER (NOT converts) AS dk FROM om GROUP BY ALL),
+oi AS (SELECT i.*, p.accession, {duck.key('i.raw_file')} AS own FROM item i JOIN payload p USING (unit_id)),
+ok AS (SELECT i.accession, i.unit_id, i.reason, CASE WHEN member_path IS NOT NULL THEN {duck.key('member_path')} WHEN (i.accession, own) IN (SELECT (accession, member_key) FROM om) THEN own
+    WHEN onm.n = 1 THEN onm.k WHEN ost.n = 1 THEN ost.k WHEN ost.n > 1 AND ost.dn = 1 THEN ost.dk END AS key, concat('raw:', lower({duck.stem('raw_file')})) AS loose
+  FROM oi i LEFT JOIN onm ON i.accession = onm.accession AND lower({duck.base('raw_file')}) = onm.name LEFT JOIN ost ON i.accession = ost.accession AND lower({duck.stem('raw_file')}) = ost.stem),
+og AS (SELECT accession, {duck.key('path')} AS member_key, concat(crc32, ':', size) AS gid FROM own_listing WHERE {duck.rawlike('path')} AND size >= 1024 GROUP BY ALL),
+od AS (SELECT DISTINCT accession, member_key FROM (SELECT *, count(*) OVER (PARTITION BY accession, gid) AS n FROM og) WHERE n > 1),
+af AS (SELECT om.accession, 'T-MEMBER' AS check_id, 'hold' AS severity, CAST(NULL AS VARCHAR) AS unit_id, member_key AS subject, 'loose_member' AS message FROM om
+    WHERE (om.accession, member_key) NOT IN (SELECT (accession, {duck.key('member_path')}) FROM oi WHERE member_path IS NOT NULL) AND (om.accession, name) NOT IN (SELECT (accession, lower(raw_file)) FROM oi WHERE member_path IS NULL)
+  UNION ALL SELECT DISTINCT accession, 'T-DUP', 'error', unit_id, key, 'byte_identical' FROM ok WHERE reason IS NULL AND (accession, key) IN (SELECT (accession, member_key) FROM od)
+  UNION ALL SELECT DISTINCT accession, 'T-MEMBER', 'hold', unit_id, loose, 'unresolved' FROM ok WHERE reason IS NULL AND key IS NULL)"""
+
+
+@query("e1_archive_findings", "item", "own_listing", "payload", ctes=ARCHIVE, sql="SELECT * FROM af")
 def e1_findings(t: Tables):
-    return accession.archive_findings(t.stored("item_listing"), t.stored("item"))
+    return accession.archive_findings(t.stored("own_listing"), t.stored("item").join(t["payload"].select("unit_id", "accession"), "unit_id"))
 
 
-@query("e1_accession_verdict", "item", "item_listing", "payload", ctes=ARCHIVE, sql="""
-SELECT * FROM (WITH l AS (SELECT p.accession, p.unit_id, a.severity FROM payload p LEFT JOIN af a USING (unit_id)),
-g AS (SELECT accession, unit_id, count(*) FILTER (severity = 'error') AS e, count(*) FILTER (severity = 'hold') AS h FROM l GROUP BY GROUPING SETS ((accession, unit_id), (accession))),
-s AS (SELECT accession, unit_id, e AS errors, h + CASE WHEN unit_id IS NULL THEN (SELECT count(*) FROM af WHERE unit_id IS NULL) ELSE 0 END AS holds FROM g)
-SELECT accession, unit_id, CASE WHEN errors > 0 THEN 'error' WHEN holds > 0 THEN 'hold' ELSE 'pass' END AS verdict, errors, holds FROM s)""")
+@query("e1_accession_verdict", "item", "own_listing", "payload", ctes=ARCHIVE, sql="""
+SELECT accession, unit_id, CASE WHEN errors > 0 THEN 'error' WHEN holds > 0 THEN 'hold' ELSE 'pass' END AS verdict, errors, holds FROM (
+  SELECT p.accession, p.unit_id, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'hold') AS holds FROM payload p LEFT JOIN af a USING (unit_id) GROUP BY ALL
+  UNION ALL SELECT p.accession, NULL, count(*) FILTER (severity = 'error'), count(*) FILTER (severity = 'hold') FROM (SELECT DISTINCT accession FROM payload) p LEFT JOIN af a USING (accession) GROUP BY ALL)""")
 def e1(t: Tables):
-    return accession.accession_verdict(t.stored("item_listing"), t.stored("item"), t["payload"])
+    return accession.accession_verdict(t.stored("own_listing"), t.stored("item"), t["payload"])
 
 
 @query("e1_listing_summary", "member", sql=f"SELECT archive, count(*) AS members, CAST(sum(size) AS BIGINT) AS bytes, count(*) FILTER ({duck.rawlike('path')}) AS raw_like FROM member GROUP BY 1")
