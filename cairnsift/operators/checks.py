@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -197,23 +198,46 @@ def t_exclusion(items: DataFrame, facts: DataFrame) -> DataFrame:
         "conversion_not_needed": (r == "requires_conversion") & F.coalesce(names.is_runnable(F.coalesce("member_path", "raw_file")), F.lit(False))})
 
 
-def t_exclusion_listing(keyed: DataFrame, members: DataFrame, groups: DataFrame) -> DataFrame:
+def absent_items(keyed: DataFrame, members: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Items said to be absent, with ``there``: the listing (of their scope) has the path, or for a bare name any member
+    of that name or stem, also where several carry it."""
+    (own_m, same_m), (own_n, same_n), (own_s, same_s) = (matching.within(scope, tag) for tag in ("_m_", "_n_", "_s_"))
+    listed = members.select(*own_m, F.col("member_key").alias("_m")).distinct()
+    by_name = matching.index_names(members, scope).select(*own_n, F.col("name").alias("_name"), "name_n")
+    by_stem = matching.index_stems(members, scope).select(*own_s, F.col("stem").alias("_stem"), "stem_n")
+    absent = keyed.where("reason = 'not_in_archive'").join(listed, same_m & (F.col("key") == F.col("_m")), "left")
+    absent = absent.join(by_name, same_n & (F.lower(names.basename("raw_file")) == F.col("_name")), "left").join(
+        by_stem, same_s & (F.lower(names.stem("raw_file")) == F.col("_stem")), "left")
+    bare = F.coalesce(F.col("member_path"), F.lit("")) == ""
+    return absent.select(*keyed.columns, (F.col("_m").isNotNull() | (bare & (F.col("name_n").isNotNull() | F.col("stem_n").isNotNull()))).alias("there"))
+
+
+def t_exclusion_listing(keyed: DataFrame, members: DataFrame, groups: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
     """Exclusion reasons the listing contradicts: a file said to be absent is listed, a copy has no twin.
 
     ``keyed``: items with ``key`` and ``resolved``."""
-    absent = keyed.where("reason = 'not_in_archive'").join(members.select(F.col("member_key").alias("_m")).distinct(), F.col("key") == F.col("_m"), "left")
-    by_name = matching.index_names(members).select(F.col("name").alias("_name"), "name_n")
-    by_stem = matching.index_stems(members).select(F.col("stem").alias("_stem"), "stem_n")
-    absent = absent.join(by_name, F.lower(names.basename("raw_file")) == F.col("_name"), "left").join(by_stem, F.lower(names.stem("raw_file")) == F.col("_stem"), "left")
-    # A bare name that several members carry is there, too, though none of them is it.
-    bare = F.coalesce(F.col("member_path"), F.lit("")) == ""
-    there = absent.where(F.col("_m").isNotNull() | (bare & (F.col("name_n").isNotNull() | F.col("stem_n").isNotNull())))
+    there = absent_items(keyed, members, scope).where("there")
+    own, same = matching.within(scope, "_g_")
     alone = keyed.where("reason IN ('duplicate_content', 'shared_content_unassigned')").join(
-        groups.select(F.col("member_key").alias("_m")), F.col("key") == F.col("_m"), "left_anti")
+        groups.select(*own, F.col("member_key").alias("_m")), same & (F.col("key") == F.col("_m")), "left_anti")
     return findings(there, "T-EXCL", "error", F.col("key"), "listed_after_all").unionByName(
         findings(alone, "T-EXCL", "error", F.col("key"), "no_twin"))
 
 
+def t_unopened(keyed: DataFrame, members: DataFrame, listing: DataFrame, scope: Sequence[str] = ("accession",), shown: int = 3) -> DataFrame:
+    """Units with files said to be absent while their listing holds archives nobody opened: the files may be inside.
+
+    ``listing(path)`` with the scope's columns; the message names the number of archives and the first ``shown``."""
+    nested = listing.where(names.is_nested_archive("path")).select(*scope, names.norm_path("path").alias("path")).distinct()
+    # The ranking keeps a few rows per scope before the shuffle.
+    first = nested.withColumn("_r", F.row_number().over(Window.partitionBy(*scope).orderBy("path"))).where(F.col("_r") <= shown)
+    named = first.groupBy(*scope).agg(F.array_join(F.array_sort(F.collect_list("path")), ", ").alias("first"))
+    total = nested.groupBy(*scope).agg(F.count(F.lit(1)).alias("archives")).join(named, list(scope))
+    gone = absent_items(keyed, members, scope).where("NOT there").groupBy(*scope, "unit_id").agg(F.count(F.lit(1)).alias("rows"))
+    held = gone.join(total, list(scope))
+    return findings(held, "T-EXCL", "hold", F.col("rows"), F.concat(F.lit("unopened_archives: "), F.col("archives").cast("string"), F.lit(" ("), "first", F.lit(")")))
+
+
 def kept_and_excluded(keyed: DataFrame) -> DataFrame:
     """Excluded members that the unit also keeps (key equality, or stems where one is unresolved)."""
     gone = keyed.where("kind = 'excluded_member'").select("unit_id", "key", "resolved").distinct().withColumn("id", F.struct("unit_id", "key"))

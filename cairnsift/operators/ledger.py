@@ -43,20 +43,24 @@ def recent_attempts(attempts: DataFrame, steps: list[str], n: int) -> DataFrame:
 def outage_streaks(attempts: DataFrame) -> DataFrame:
     """Groups whose downloads failed on the network since their repository's last download that finished.
 
-    A failure of another kind ends a repository's run; a group that failed before it and has not downloaded since is
-    left out. All of it is conditional maxima: no repository's attempts are ever sorted in one place."""
-    a = attempts.where(F.col("step").isin("download", "download_start"))
+    Only closed attempts count. A download that was blocked because its unit was excluded after fetch and extraction
+    (``excluded``) delivered every byte and has finished, too. A failure of another kind ends a repository's run; a group
+    that failed before it and has not downloaded since is left out. All of it is conditional maxima: no repository's
+    attempts are ever sorted in one place, and the ends, one row per repository, are joined to sums per group."""
+    a = attempts.where(F.col("step").isin("download", "download_start") & F.col("ended_us").isNotNull())
     failed = F.col("outcome").isin("failed", "stalled", "fault")
     net = failed & (F.col("network") == 1)
-    fine = (F.col("outcome") == "ok") & (F.col("step") == "download")
+    excluded = F.col("excluded") if "excluded" in attempts.columns else F.lit(False)
+    fine = (F.col("step") == "download") & ((F.col("outcome") == "ok") | ((F.col("outcome") == "blocked") & F.coalesce(excluded, F.lit(False))))
     pos = F.col("attempt_id")
+    # Failures of a group are its last one (a streak if it comes after the end) and its last one before the end.
     ends = a.groupBy("repository").agg(F.max(F.when(fine | (failed & ~net), pos)).alias("end_pos"))
-    end = F.coalesce("end_pos", F.lit(-1))
-    per = a.join(ends, "repository").groupBy("repository", "group_id").agg(
-        F.bool_or(net & (pos > end)).alias("streak"), F.max(F.when(fine, pos)).alias("last_ok"),
-        F.max(F.when(net & (pos < end), pos)).alias("old_failure"))
-    persistent = F.coalesce(F.col("old_failure") > F.coalesce("last_ok", F.lit(-1)), F.lit(False))
-    return per.where(F.col("streak") & ~persistent).select("repository", "group_id")
+    per = a.groupBy("repository", "group_id").agg(F.max(F.when(net, pos)).alias("last_net"), F.max(F.when(fine, pos)).alias("last_ok"))
+    streak = per.join(ends, "repository").where(F.col("last_net") > F.coalesce("end_pos", F.lit(-1)))
+    # Only groups in a streak can have failed before it; their older failures are looked up by group.
+    key = streak.select("repository", "group_id", F.coalesce("end_pos", F.lit(-1)).alias("end_pos"), F.coalesce("last_ok", F.lit(-1)).alias("last_ok"))
+    old = a.where(net).join(key, ["repository", "group_id"]).where((pos < F.col("end_pos")) & (pos > F.col("last_ok"))).select("repository", "group_id").distinct()
+    return key.join(old, ["repository", "group_id"], "left_anti").select("repository", "group_id")
 
 
 def outages(streaks: DataFrame, threshold: int = vocab.OUTAGE_GROUPS) -> DataFrame:

@@ -140,3 +140,36 @@ def ledger_line_checks(lines: DataFrame, kinds: tuple[str, ...], standings: tupl
         by_rules(e, "D-ENTRY", F.col("line_no"), {"kind": ~F.col("kind").isin(*kinds)}),
         by_rules(e, "D-CHAIN", F.col("line_no"), {"standing": ~F.col("standing").isin(*standings)}),
         by_rules(e, "D-PATH", F.col("line_no"), {"absolute_path": held})])
+
+
+def triage_checks(entries: DataFrame, payloads: DataFrame, files: DataFrame, log_lines: DataFrame, width: int = 1 << 16) -> DataFrame:
+    """What decision-ledger lines say about other files: D-TRIAGE where a recorded triage is no payload, or its file is
+    not there or another one; D-HEAD where a validated triage names a head that no line of its review log has.
+
+    ``entries(file, line_no, kind, unit_key, triage_sha256, triage_path, derived_sha256, derived_path, head_sha256,
+    accession)``, ``payloads(sha256)``, ``files(path, sha256)``, ``log_lines(accession, sha256)``. The review log of a
+    validated line is the folder of the latest triage recorded before it for its unit: an as-of join inside the log,
+    carried over blocks of lines, so that a unit with a third of all lines is no single task's."""
+    slashed = lambda c: F.translate(F.coalesce(F.col(c), F.lit("")), "\\", "/")
+    child = F.col("derived_sha256").isNotNull() | F.col("derived_path").isNotNull()
+    recorded = F.col("kind") == "triage_recorded"
+    e = entries.select("file", "line_no", "kind", "unit_key", "accession", "head_sha256", child.alias("_child"), F.col("triage_sha256").alias("_own_sha"), slashed("triage_path").alias("_own_path"),
+                       F.when(child, F.col("derived_sha256")).otherwise(F.col("triage_sha256")).alias("sha"), F.when(child, slashed("derived_path")).otherwise(slashed("triage_path")).alias("path"))
+    folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise("")
+    e = e.withColumn("_folder", F.when(recorded & (F.col("path") != ""), F.struct("line_no", folder.alias("folder"))))
+    run = ordered(e.withColumn("unit_key", F.coalesce("unit_key", F.lit(""))), ["file", "unit_key"], ["line_no"], blocks("line_no", width), prior_max={"_asof": "_folder"})
+
+    known = payloads.select(F.col("sha256").alias("_known")).distinct()
+    there = files.groupBy("path").agg(F.min("sha256").alias("sha256"))
+    named = there.select(F.col("path").alias("_p"), F.col("sha256").alias("_actual"))
+    children = there.select(F.col("path").alias("_c"), F.col("sha256").alias("_child_actual"))
+    rec = run.where(recorded).join(known, F.col("sha") == F.col("_known"), "left").join(named, F.col("path") == F.col("_p"), "left").join(children, F.col("_child") & (F.col("_own_path") == F.col("_c")), "left")
+    found = F.col("_known").isNotNull()
+    triage = by_rules(rec.withColumnRenamed("file", "unit_id"), "D-TRIAGE", F.col("line_no"), {
+        "child_differs": F.col("_c").isNotNull() & ~F.col("_child_actual").eqNullSafe(F.col("_own_sha")), "no_payload": ~found,
+        "not_there": found & (F.col("path") != "") & F.col("_p").isNull(), "other_digest": found & F.col("_p").isNotNull() & (F.col("_actual") != F.col("sha"))})
+    said = run.where((F.col("kind") == "triage_validated") & F.col("head_sha256").isNotNull()).withColumn(
+        "_log", F.when(F.col("_asof").isNotNull(), F.col("_asof.folder")).otherwise(F.coalesce("accession", F.lit(""))))
+    lines = log_lines.select(F.col("accession").alias("_a"), F.col("sha256").alias("_h")).distinct()
+    lost = said.join(lines, (F.col("_log") == F.col("_a")) & (F.col("head_sha256") == F.col("_h")), "left_anti")
+    return triage.unionByName(findings(lost, "D-HEAD", "error", F.col("line_no"), "no_such_line", unit="file"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cairnsift.operators import checks, matching
 from cairnsift.plans import accession, campaign
 from cairnsift.queries import duck
 from cairnsift.queries.ledger import STREAK
@@ -52,6 +53,20 @@ def e1(t: Tables):
     return accession.accession_verdict(t.stored("own_listing"), t.stored("item"), t["payload"])
 
 
+@query("t_excl_unopened", "item", "own_listing", "payload", ctes=ARCHIVE + f""",
+na AS (SELECT DISTINCT accession, {duck.norm('path')} AS path FROM own_listing WHERE path LIKE '%.zip'),
+nn AS (SELECT accession, count(*) AS n, array_to_string(list_sort(list(path))[1:3], ', ') AS first FROM na GROUP BY 1),
+gn AS (SELECT i.accession, i.unit_id, count(*) AS rows FROM oi i LEFT JOIN onm ON i.accession = onm.accession AND lower({duck.base('raw_file')}) = onm.name
+  LEFT JOIN ost ON i.accession = ost.accession AND lower({duck.stem('raw_file')}) = ost.stem WHERE reason = 'not_in_archive' AND CASE WHEN member_path IS NOT NULL
+    THEN (i.accession, {duck.key('member_path')}) NOT IN (SELECT (accession, member_key) FROM om) ELSE (i.accession, own) NOT IN (SELECT (accession, member_key) FROM om) AND onm.n IS NULL AND ost.n IS NULL END GROUP BY ALL)""", sql="""
+SELECT 'T-EXCL' AS check_id, 'hold' AS severity, unit_id, CAST(rows AS VARCHAR) AS subject, concat('unopened_archives: ', n, ' (', first, ')') AS message FROM gn JOIN nn USING (accession)""")
+def t_unopened(t: Tables):
+    listing = t.stored("own_listing")
+    members = matching.index_members(listing, scope=accession.SCOPE)
+    keyed = matching.item_keys(t.stored("item").join(t["payload"].select("unit_id", "accession"), "unit_id"), members, accession.SCOPE)
+    return checks.t_unopened(keyed, members, listing)
+
+
 @query("e1_listing_summary", "member", sql=f"SELECT archive, count(*) AS members, CAST(sum(size) AS BIGINT) AS bytes, count(*) FILTER ({duck.rawlike('path')}) AS raw_like FROM member GROUP BY 1")
 def e1_summary(t: Tables):
     return accession.listing_summary(t["member"])

@@ -32,8 +32,8 @@ def w4(t: Tables):
     return ledger.recent_attempts(t["attempt"], ["download"], 25).select("attempt_id", "unit_key", "outcome")
 
 
-STREAK = """a AS (SELECT *, outcome IN ('failed', 'stalled', 'fault') AND network = 1 AS net, outcome = 'ok' AND step = 'download' AS fine, outcome IN ('failed', 'stalled', 'fault') AND network = 0 AS other
-  FROM attempt WHERE attempt_id NOT IN (SELECT attempt_id FROM attempt WHERE outcome IN ('ok', 'failed', 'fault') AND attempt_id > (SELECT max(attempt_id) FROM attempt) * 0.95 AND NOT (outcome <> 'ok' AND network = 1))),
+STREAK = """att AS (SELECT attempt_id, substr(unit_key, length(unit_key) - 1) AS repository, group_id, step, network, CASE WHEN outcome = 'busy' AND k >= 80 THEN 'blocked' ELSE outcome END AS outcome, k >= 90 AS excluded FROM attempt WHERE k % 10 <> 9),
+a AS (SELECT *, outcome IN ('failed', 'stalled', 'fault') AND network = 1 AS net, step = 'download' AND (outcome = 'ok' OR (outcome = 'blocked' AND excluded)) AS fine, outcome IN ('failed', 'stalled', 'fault') AND network = 0 AS other FROM att),
 e AS (SELECT repository, coalesce(max(attempt_id) FILTER (fine OR other), -1) AS end_pos FROM a GROUP BY 1),
 st AS (SELECT DISTINCT repository, group_id FROM a JOIN e USING (repository) WHERE net AND attempt_id > end_pos),
 pe AS (SELECT DISTINCT f.repository, f.group_id FROM a f JOIN e USING (repository) WHERE f.net AND f.attempt_id < end_pos
@@ -41,13 +41,15 @@ pe AS (SELECT DISTINCT f.repository, f.group_id FROM a f JOIN e USING (repositor
 res AS (SELECT repository, group_id FROM st EXCEPT SELECT repository, group_id FROM pe)"""
 
 
+def shaped_log(attempts):
+    """The whole log; units whose names end alike share a repository, some attempts are open, some blocked."""
+    return attempts.withColumn("repository", F.substring("unit_key", -2, 2)).withColumn("excluded", F.col("k") >= 90).withColumn(
+        "outcome", F.when((F.col("outcome") == "busy") & (F.col("k") >= 80), "blocked").otherwise(F.col("outcome"))).withColumn(
+        "ended_us", F.when(F.col("k") % 10 != 9, F.col("ended_us")))
+
+
 def streaks(t: Tables):
-    """The log as it would stand had only network failures come in its last twentieth."""
-    a = t["attempt"]
-    top = a.agg((F.max("attempt_id") * 0.95).alias("cut"))
-    late = a.crossJoin(F.broadcast(top))
-    drop = F.col("outcome").isin("ok", "failed", "fault") & (F.col("attempt_id") > F.col("cut")) & ~((F.col("outcome") != "ok") & (F.col("network") == 1))
-    return ledger.outage_streaks(late.where(~drop).drop("cut"))
+    return ledger.outage_streaks(shaped_log(t["attempt"]))
 
 
 @query("w5_outage_streaks", "attempt", ctes=STREAK, sql="SELECT * FROM res")

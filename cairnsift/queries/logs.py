@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cairnsift import vocab
 from cairnsift.functions import text
 from cairnsift.operators import logs
-from cairnsift.queries.registry import Tables, query
+from cairnsift.queries.registry import Dialect, Tables, query, shape
 from cairnsift.scale import blocks, ordered
 
 # Each user's events are one log; a line's digest is broken where k is 7, its number where k is 9.
@@ -114,3 +114,40 @@ def i20(t: Tables):
     d = t["doc"].select(F.col("doc_id").alias("id"), "digest")
     readings = t["transition"].where("k < 90").join(d, F.col("user_id") == F.col("id")).select("digest", "seq", F.col("to_state").alias("verdict"))
     return logs.latest_readings(readings, d)
+
+
+# Events as lines of five decision ledgers: clicks record a triage, purchases validate one.
+@shape("ledger_line", "transition")
+def ledger_line(d: Dialect) -> str:
+    sha = "sha2(concat(unit_key, '-', cast(k AS string)), 256)" if d.spark else "sha256(concat(unit_key, '-', k))"
+    head = f"sha2(concat('A', {d.text('seq % 10')}, ':', {d.text('k')}), 256)" if d.spark else f"sha256(concat('A', {d.text('seq % 10')}, ':', {d.text('k')}))"
+    path = f"concat('A', {d.text('k % 10')}, '/', unit_key, '_', {d.text('k')}, '.json')"
+    return f"""
+SELECT concat('l', {d.text('user_id % 5')}) AS file, seq AS line_no, unit_key, k,
+       CASE to_state WHEN 'click' THEN 'triage_recorded' WHEN 'purchase' THEN 'triage_validated' ELSE 'note' END AS kind,
+       CASE WHEN k BETWEEN 50 AND 59 THEN concat('c', {d.text('k')}) ELSE {sha} END AS triage_sha256,
+       CASE WHEN k BETWEEN 50 AND 59 THEN concat('handoffs/', unit_key, '_', {d.text('k')}, '.json') WHEN k >= 10 THEN {path} END AS triage_path,
+       CASE WHEN k BETWEEN 50 AND 59 THEN {sha} END AS derived_sha256, CASE WHEN k BETWEEN 50 AND 59 THEN {path} END AS derived_path,
+       CASE WHEN to_state = 'purchase' AND k < 90 THEN {head} END AS head_sha256, concat('A', {d.text('seq % 10')}) AS accession, {sha} AS sha, {path} AS path
+FROM transition"""
+
+
+@query("d_triage", "ledger_line", sql="""
+SELECT * FROM (WITH p AS (SELECT DISTINCT sha FROM ledger_line WHERE k % 3 <> 0),
+  f AS (SELECT DISTINCT path, CASE WHEN k % 5 = 0 THEN 'x' ELSE sha END AS actual FROM ledger_line WHERE k % 4 <> 0
+    UNION SELECT DISTINCT triage_path, CASE WHEN k % 4 = 0 THEN triage_sha256 ELSE 'z' END FROM ledger_line WHERE k BETWEEN 50 AND 59 AND k % 2 = 0),
+  g AS (SELECT concat('A', j) AS accession, sha256(concat('A', j, ':', i)) AS h FROM range(10) a(j), range(50) b(i)),
+  r AS (SELECT *, coalesce(derived_path, triage_path) AS pth, coalesce(derived_sha256, triage_sha256) AS s FROM ledger_line),
+  a AS (SELECT *, last_value(CASE WHEN kind = 'triage_recorded' THEN regexp_extract(pth, '^(.*)/', 1) END IGNORE NULLS) OVER (PARTITION BY file, unit_key ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM r),
+  t AS (SELECT r.*, p.sha IS NOT NULL AS known, f.actual, c.actual AS child FROM r LEFT JOIN p ON r.s = p.sha LEFT JOIN f ON r.pth = f.path LEFT JOIN f c ON r.derived_path IS NOT NULL AND r.triage_path = c.path WHERE kind = 'triage_recorded')
+SELECT 'D-TRIAGE' AS check_id, file AS unit_id, CAST(line_no AS VARCHAR) AS subject, 'child_differs' AS message FROM t WHERE child <> triage_sha256
+UNION ALL SELECT 'D-TRIAGE', file, CAST(line_no AS VARCHAR), 'no_payload' FROM t WHERE NOT known
+UNION ALL SELECT 'D-TRIAGE', file, CAST(line_no AS VARCHAR), CASE WHEN actual IS NULL THEN 'not_there' ELSE 'other_digest' END FROM t WHERE known AND pth IS NOT NULL AND actual IS DISTINCT FROM s
+UNION ALL SELECT 'D-HEAD', file, CAST(line_no AS VARCHAR), 'no_such_line' FROM a WHERE kind = 'triage_validated' AND head_sha256 IS NOT NULL AND (coalesce(latest, accession), head_sha256) NOT IN (SELECT (accession, h) FROM g))""")
+def d_triage(t: Tables):
+    e = t.stored("ledger_line")
+    payloads = e.where("k % 3 <> 0").select(F.col("sha").alias("sha256"))
+    own = e.where("k % 4 <> 0").select("path", F.when(F.col("k") % 5 == 0, "x").otherwise(F.col("sha")).alias("sha256"))
+    children = e.where("k BETWEEN 50 AND 59 AND k % 2 = 0").select(F.col("triage_path").alias("path"), F.when(F.col("k") % 4 == 0, F.col("triage_sha256")).otherwise("z").alias("sha256"))
+    lines = t.spark.range(500).select(F.concat(F.lit("A"), (F.col("id") / 50).cast("int")).alias("accession"), F.sha2(F.concat(F.lit("A"), (F.col("id") / 50).cast("int"), F.lit(":"), F.col("id") % 50), 256).alias("sha256"))
+    return logs.triage_checks(e, payloads, own.union(children).distinct(), lines).drop("severity")

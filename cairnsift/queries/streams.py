@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from cairnsift.queries.registry import SHAPES, Dialect, Tables, query
-from cairnsift.queries.ledger import STREAK
+from cairnsift.queries.ledger import STREAK, shaped_log
 from cairnsift.streaming import folds, jobs
 
 MAX_US = "(SELECT max(epoch_us(ts)) FROM events)"
@@ -70,10 +70,10 @@ def g3(t: Tables):
 
 @query("g4_outage_breaker_stream", "attempt", ctes=STREAK, sql="SELECT * FROM res")
 def g4(t: Tables):
-    """The log whose last twentieth holds network failures only, as in the batch twin."""
-    cut = t["attempt"].agg(F.max("attempt_id") * 0.95).first()[0]
-    drop = F.col("outcome").isin("ok", "failed", "fault") & (F.col("attempt_id") > F.lit(cut)) & ~((F.col("outcome") != "ok") & (F.col("network") == 1))
-    _, state = folds.run_fold(stream_of(t, "attempt").where(~drop), folds.outage_step(), folds.OUTAGE_STATE)
+    """The log as in the batch twin; an open attempt is not in the stream before it is closed."""
+    closed = shaped_log(stream_of(t, "attempt")).where("ended_us IS NOT NULL")
+    finished = closed.withColumn("outcome", F.when((F.col("outcome") == "blocked") & F.col("excluded"), "ok").otherwise(F.col("outcome")))
+    _, state = folds.run_fold(finished, folds.outage_step(), folds.OUTAGE_STATE)
     return folds.open_streaks(state)
 
 
