@@ -11,6 +11,9 @@ from cairnsift import vocab
 from cairnsift.functions import names, text, tokens
 from cairnsift.operators import matching
 
+# A check's share of a scan: its id, severity, subject, and its rules as (message, condition).
+Part = tuple[str, Column | str, Column, list[tuple[str | Column, Column]]]
+
 FINDING = ("check_id", "severity", "unit_id", "subject", "message")
 
 
@@ -29,6 +32,14 @@ def by_rules(rows: DataFrame, check: str, subject: Column, rules: dict[str, Colu
     return findings(rows.withColumn("_said", said).withColumn("_m", F.explode("_said")), check, severity, subject, F.col("_m"))
 
 
+def by_all(rows: DataFrame, parts: list[Part]) -> DataFrame:
+    """The rules of several checks over one scan: each row gives one finding per rule that holds."""
+    said = [F.when(F.coalesce(rule, F.lit(False)), F.struct(
+        F.lit(check).alias("check_id"), _c(severity).alias("severity"), subject.cast("string").alias("subject"), (F.lit(m) if isinstance(m, str) else m).alias("message")))
+        for check, severity, subject, rules in parts for m, rule in rules]
+    return rows.select("unit_id", F.explode(F.array_compact(F.array(*said))).alias("_s")).select("_s.check_id", "_s.severity", "unit_id", "_s.subject", "_s.message")
+
+
 def run_checks(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -68,9 +79,13 @@ def t_set(documents: DataFrame, catalog_units: DataFrame) -> DataFrame:
         findings(missing, "T-SET", "hold", F.col("unit_id"), "no_document"))
 
 
+def schema_rules(domains: dict[str, tuple[str, ...]]) -> dict[str, Column]:
+    return {f"bad_{c}": ~F.col(c).isin(*values) for c, values in domains.items()}
+
+
 def t_schema(items: DataFrame, domains: dict[str, tuple[str, ...]]) -> DataFrame:
     """Values outside their closed domains."""
-    return by_rules(items, "T-SCHEMA", F.col("row_index"), {f"bad_{c}": ~F.col(c).isin(*values) for c, values in domains.items()})
+    return by_rules(items, "T-SCHEMA", F.col("row_index"), schema_rules(domains))
 
 
 def t_cover(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -92,9 +107,12 @@ def t_declared(documents: DataFrame, declared: DataFrame, flags: DataFrame) -> D
     disputed = flags.where("code = 'declared_technical_disputed'").select("unit_id").distinct()
     d = declared.select("unit_id", tokens.normalise_ion("ion_mode").alias("d_ion"), tokens.normalise_chromatography("chromatography").alias("d_chrom"))
     both = documents.join(d, "unit_id").join(disputed, "unit_id", "left_anti")
-    return by_rules(both, "T-DECL", F.col("unit_id"), {
-        "chromatography_differs": (F.col("d_chrom") != "unknown") & (F.col("chromatography") != F.col("d_chrom")),
-        "ion_mode_differs": F.col("d_ion").isin("positive", "negative") & (F.col("ion_mode") != F.col("d_ion"))})
+    return by_rules(both, "T-DECL", F.col("unit_id"), declared_rules())
+
+
+def declared_rules() -> dict[str, Column]:
+    return {"chromatography_differs": (F.col("d_chrom") != "unknown") & (F.col("chromatography") != F.col("d_chrom")),
+            "ion_mode_differs": F.col("d_ion").isin("positive", "negative") & (F.col("ion_mode") != F.col("d_ion"))}
 
 
 def unit_facts(documents: DataFrame, items: DataFrame, flags: DataFrame, questions: DataFrame, children: DataFrame) -> DataFrame:
@@ -110,7 +128,8 @@ def unit_facts(documents: DataFrame, items: DataFrame, flags: DataFrame, questio
         F.count_if(reason == "shared_content_unassigned").alias("unassigned"),
         F.count_if(row & ~reason.isin(*vocab.NO_PRODUCT_ION_ROW_REASONS)).alias("other_row_reasons"),
         F.count_if(row & ~reason.isin("not_in_archive", "belongs_to_other_unit")).alias("own_rows_dropped"),
-        F.count_if(kept & (F.col("basis") == "inferred") & (F.col("confidence") == "low")).alias("low"))
+        F.count_if(kept & (F.col("basis") == "inferred") & (F.col("confidence") == "low")).alias("low"),
+        F.collect_set(F.when(kept, F.col("acquisition_mode"))).alias("modes"))
     # Codes come from closed lists, so the sets are small whatever the number of rows.
     codes = flags.groupBy("unit_id").agg(F.collect_set("code").alias("flags"))
     asks = questions.groupBy("unit_id").agg(F.collect_set("code").alias("questions"))
@@ -119,7 +138,7 @@ def unit_facts(documents: DataFrame, items: DataFrame, flags: DataFrame, questio
     out = documents.join(per, "unit_id", "left").join(codes, "unit_id", "left").join(asks, "unit_id", "left").join(kids, "unit_id", "left")
     counts = ("kept", "dropped", "dropped_rows", "held", "abstained_rows", "ms1_dropped", "unassigned", "other_row_reasons", "own_rows_dropped", "low", "children")
     return out.select(*documents.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
-                      F.coalesce("flags", none).alias("flags"), F.coalesce("questions", none).alias("questions"))
+                      F.coalesce("flags", none).alias("flags"), F.coalesce("questions", none).alias("questions"), F.coalesce("modes", none).alias("modes"))
 
 
 def blocking(flags: Column, version: Column | str | None = None) -> Column:
@@ -133,12 +152,16 @@ def blocking(flags: Column, version: Column | str | None = None) -> Column:
 
 def t_status(facts: DataFrame) -> DataFrame:
     """The status lattice: what each status may carry."""
+    return by_rules(facts, "T-STATUS", F.col("status"), status_rules())
+
+
+def status_rules() -> dict[str, Column]:
     st, why, asked = F.col("status"), F.col("exclusion_reason"), F.size("questions") > 0
     out, ready = st == "excluded", st == "ready"
     held = blocking(F.col("flags"), "skill_version")
     shared = F.array_contains("flags", "shared_content")
     extra = F.when(why == "shared_content_unassigned", F.array_except(held, F.array(F.lit("shared_content")))).otherwise(held)
-    return by_rules(facts, "T-STATUS", F.col("status"), {
+    return {
         "excluded_without_reason": out & ~F.coalesce(why.isin(*vocab.UNIT_EXCLUSION_REASONS), F.lit(False)),
         "excluded_keeps_files": out & (F.col("kept") > 0),
         "excluded_asks": out & asked,
@@ -156,7 +179,7 @@ def t_status(facts: DataFrame) -> DataFrame:
         "abstained_keeps": (st == "abstained") & (F.col("kept") > 0),
         "abstained_without_abstained_rows": (st == "abstained") & (F.col("abstained_rows") == 0) & (F.col("catalog_row_count") > 0),
         "ready_keeps_nothing": ready & (F.col("kept") == 0),
-        "ready_with_blocking_flag": ready & (F.size(held) > 0)})
+        "ready_with_blocking_flag": ready & (F.size(held) > 0)}
 
 
 def t_queue(facts: DataFrame) -> DataFrame:
@@ -165,11 +188,15 @@ def t_queue(facts: DataFrame) -> DataFrame:
 
 
 def t_unit_technical(facts: DataFrame) -> DataFrame:
+    return by_all(facts, technical_parts())
+
+
+def technical_parts() -> list[Part]:
     ready = F.col("status") == "ready"
-    return by_rules(facts, "T-POL", F.col("ion_mode"), {
-        "ready_ion_mode": ready & F.col("ion_mode").isin("switching", "unknown"),
-        "ready_both_without_children": ready & (F.col("ion_mode") == "both") & (F.col("children") == 0)}).unionByName(
-        by_rules(facts, "T-CHROM", F.col("chromatography"), {"ready_unknown": ready & (F.col("chromatography") == "unknown")}))
+    return [("T-POL", "error", F.col("ion_mode"), [
+        ("ready_ion_mode", ready & F.col("ion_mode").isin("switching", "unknown")),
+        ("ready_both_without_children", ready & (F.col("ion_mode") == "both") & (F.col("children") == 0))]),
+        ("T-CHROM", "error", F.col("chromatography"), [("ready_unknown", ready & (F.col("chromatography") == "unknown"))])]
 
 
 def t_confidence(facts: DataFrame, answered: DataFrame) -> DataFrame:
@@ -184,10 +211,14 @@ def t_confidence(facts: DataFrame, answered: DataFrame) -> DataFrame:
 def t_exclusion(items: DataFrame, facts: DataFrame) -> DataFrame:
     """Exclusion reasons that contradict the unit's own state."""
     out = items.where("reason IS NOT NULL").join(facts.select("unit_id", "status", "exclusion_reason", "flags", "questions"), "unit_id")
+    return by_rules(out, "T-EXCL", F.coalesce("member_path", "raw_file"), exclusion_rules())
+
+
+def exclusion_rules() -> dict[str, Column]:
     r, st = F.col("reason"), F.col("status")
     said = F.size(F.array_union(tokens.product_ion_words(F.coalesce("member_path", F.lit(""))), tokens.product_ion_words(F.coalesce("raw_file", F.lit(""))))) > 0
     has = lambda code: F.array_contains("flags", code)
-    return by_rules(out, "T-EXCL", F.coalesce("member_path", "raw_file"), {
+    return {
         "needs_person_unasked": (r == "needs_person") & ((st == "ready") | (F.size("questions") == 0)),
         "no_signal_unasked": (r == "no_signal_abstained") & ((st == "ready") | ((st != "abstained") & ~F.array_contains("questions", "no_signal"))),
         "polarity_switching_unflagged": (r == "polarity_switching") & ~has("polarity_switching"),
@@ -195,7 +226,7 @@ def t_exclusion(items: DataFrame, facts: DataFrame) -> DataFrame:
         "ms1_unflagged": (r == "ms1_only_no_msms") & ~said & ~has("ms1_only_excluded"),
         "ms1_low_confidence": (r == "ms1_only_no_msms") & ~said & has("ms1_only_excluded") & (F.col("confidence") == "low"),
         "unassigned_in_other_unit": (r == "shared_content_unassigned") & ~F.coalesce((st == "excluded") & (F.col("exclusion_reason") == "shared_content_unassigned"), F.lit(False)),
-        "conversion_not_needed": (r == "requires_conversion") & F.coalesce(names.is_runnable(F.coalesce("member_path", "raw_file")), F.lit(False))})
+        "conversion_not_needed": (r == "requires_conversion") & F.coalesce(names.is_runnable(F.coalesce("member_path", "raw_file")), F.lit(False))}
 
 
 def absent_items(keyed: DataFrame, members: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -273,6 +304,11 @@ def t_files(items: DataFrame, facts: DataFrame) -> DataFrame:
     """Per kept file: polarity, chromatography, format, evidence, name tokens and header values, in one scan."""
     kept = items.where("reason IS NULL").join(facts.select(
         "unit_id", "status", F.col("ion_mode").alias("u_ion"), F.col("chromatography").alias("u_chrom"), "flags"), "unit_id")
+    return by_all(kept, file_parts())
+
+
+def file_parts() -> list[Part]:
+    """``u_ion`` and ``u_chrom`` are the unit's own values."""
     path = F.coalesce("member_path", "raw_file")
     ion, chrom, ready = F.col("ion_mode"), F.col("chromatography"), F.col("status") == "ready"
     single = F.col("u_ion").isin("positive", "negative")
@@ -293,23 +329,23 @@ def t_files(items: DataFrame, facts: DataFrame) -> DataFrame:
                     "acquisition_token": calm & tokens.acquisition_problem(path, "acquisition_mode").isNotNull()},
         "T-HEADER": {"header_polarity": header & read.isin("positive", "negative", "switching") & (read != ion)},
     }
-    said = F.array_compact(F.array(*[F.when(F.coalesce(rule, F.lit(False)), F.struct(F.lit(check).alias("check_id"), F.lit(m).alias("message")))
-                                     for check, more in rules.items() for m, rule in more.items()]))
-    return kept.select("unit_id", path.alias("subject"), F.explode(said).alias("s")).select(
-        "s.check_id", F.lit("error").alias("severity"), "unit_id", "subject", "s.message")
+    return [(check, "error", path, list(more.items())) for check, more in rules.items()]
 
 
 def t_acquisition(items: DataFrame, facts: DataFrame) -> DataFrame:
     """Acquisition modes of a unit's kept files against its flags; targeted DDA counts as DDA."""
     modes = items.where("reason IS NULL").groupBy("unit_id").agg(F.collect_set("acquisition_mode").alias("modes"))
     both = facts.select("unit_id", "status", "flags", F.col("acquisition_mode").alias("u_acq")).join(modes, "unit_id")
+    return by_rules(both, "T-ACQ", F.array_join(F.array_sort("modes"), "+"), acquisition_rules("u_acq"))
+
+
+def acquisition_rules(unit_mode: str) -> dict[str, Column]:
     base = F.array_distinct(F.transform(F.filter("modes", lambda m: m != "unknown"), lambda m: F.when(m == "targeted_DDA", "DDA").otherwise(m)))
     has = lambda code: F.array_contains("flags", code)
-    return by_rules(both, "T-ACQ", F.array_join(F.array_sort("modes"), "+"), {
-        "ms1_unflagged": F.array_contains("modes", "MS1") & ~has("ms1_only"),
-        "targeted_unflagged": F.array_contains("modes", "targeted_DDA") & ~has("targeted_dda"),
-        "mixed_unflagged": (F.size(base) > 1) & ~has("mixed_acquisition"),
-        "unknown_in_ready": F.array_contains("modes", "unknown") & (F.col("status") == "ready") & (F.col("u_acq") == "unknown")})
+    return {"ms1_unflagged": F.array_contains("modes", "MS1") & ~has("ms1_only"),
+            "targeted_unflagged": F.array_contains("modes", "targeted_DDA") & ~has("targeted_dda"),
+            "mixed_unflagged": (F.size(base) > 1) & ~has("mixed_acquisition"),
+            "unknown_in_ready": F.array_contains("modes", "unknown") & (F.col("status") == "ready") & (F.col(unit_mode) == "unknown")}
 
 
 def t_member(keyed: DataFrame, members: DataFrame, facts: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import importlib
 import importlib.util
 
 MODULES = ("shapes", "files", "names", "matching", "duplicates", "payloads", "checks", "planning", "ledger", "logs",
-           "metrics", "labelling", "invariants", "audit", "store", "release", "flows", "streams")
+           "metrics", "labelling", "invariants", "audit", "store", "release", "verdicts", "flows", "streams")
 
 
 def load() -> None:
