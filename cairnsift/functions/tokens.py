@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
@@ -26,6 +27,11 @@ def normalise_chromatography(value: Column | str) -> Column:
             .when((v == "") | (v == "unknown"), "unknown").otherwise("other"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def polarity_tokens(path: Column | str, pattern: str = vocab.POLARITY_TOKEN) -> Column:
     """Every polarity the path's tokens name, sorted."""
     hits = F.regexp_extract_all(norm_path(path), F.lit(pattern), F.lit(1))
@@ -33,12 +39,14 @@ def polarity_tokens(path: Column | str, pattern: str = vocab.POLARITY_TOKEN) ->
         hits, lambda t: F.when(F.lower(t).startswith("pos"), "positive").otherwise("negative"))))
 
 
-def _only(found: Column) -> Column:
-    return F.when(F.size(found) == 1, F.element_at(found, 1))
+# The token's two readings; separators are no letters, so the path is read as it is written.
+POSITIVE, NEGATIVE = (re.sub(r"\(positive\|negative\|pos\|neg\)", f"(?:{both})", vocab.POLARITY_TOKEN) for both in ("positive|pos", "negative|neg"))
 
 
 def token_polarity(path: Column | str) -> Column:
-    return _only(polarity_tokens(path))
+    """The polarity that all of a path's tokens name; null for none and for both."""
+    return let(F.struct(_c(path).rlike(POSITIVE).alias("pos"), _c(path).rlike(NEGATIVE).alias("neg")), lambda t: F.when(
+        t["pos"] & ~t["neg"], F.lit("positive")).when(t["neg"] & ~t["pos"], F.lit("negative")))
 
 
 def chromatography_tokens(path: Column | str) -> Column:
@@ -48,17 +56,20 @@ def chromatography_tokens(path: Column | str) -> Column:
 
 
 def token_chromatography(path: Column | str) -> Column:
-    return _only(chromatography_tokens(path))
+    """The chromatography that all of a path's tokens name; null for none and for both."""
+    return let(F.struct(_c(path).rlike(vocab.HILIC_TOKEN).alias("hilic"), _c(path).rlike(vocab.RP_TOKEN).alias("rp")), lambda t: F.when(
+        t["hilic"] & ~t["rp"], F.lit("HILIC")).when(t["rp"] & ~t["hilic"], F.lit("RP")))
 
 
 def _capital_words() -> str:
-    """The acquisition words as written in capitals, for a word that starts after a lower-case letter."""
-    return ("T-?DD-?MS2?|T-?DDA|TARGETED-?DD-?MS2?|HERMES|DD-?MS2?|DDA|DIA[12](?![0-9])|DIA|SWATH|AIF|(?:HD)?MSE|"
-            "SCAN0[1-9](?![0-9])|MS1(?![0-9])|FULL-?SCAN|PRM|SRM|MRM|SIM|TMS2")
+    """The acquisition words as written in capitals, for a word that starts after a lower-case letter. What follows a
+    backslash or opens a group is syntax and keeps its case."""
+    return re.sub(r"\\.|\(\?[:!<=]*|[a-z]", lambda m: m[0].upper() if m[0].isalpha() else m[0], vocab.ACQUISITION_WORDS)
 
 
+# No token begins with another letter, which is the cheapest thing to see.
 ACQUISITION_PATTERN = (
-    f"((?<![A-Za-z])(?i:{vocab.ACQUISITION_WORDS})(?![A-Za-z])|(?<=[a-z])(?:{_capital_words()})(?![A-Za-z]))"
+    f"(?=[ADFHMPSTadfhmpst])((?<![A-Za-z])(?i:{vocab.ACQUISITION_WORDS})(?![A-Za-z])|(?<=[a-z])(?:{_capital_words()})(?![A-Za-z]))"
 )
 
 
@@ -80,9 +91,14 @@ def _modes() -> Column:
     return F.create_map(*pairs)
 
 
-def token_modes(path: Column | str) -> Column:
+def modes_of(said: Column) -> Column:
+    """The modes that acquisition tokens stand for."""
     table = _modes()
-    return F.array_sort(F.array_distinct(F.array_compact(F.transform(token_acquisition(path), lambda t: table[t]))))
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(said, lambda t: table[t]))))
+
+
+def token_modes(path: Column | str) -> Column:
+    return modes_of(token_acquisition(path))
 
 
 def _level_pattern() -> str:
@@ -121,18 +137,25 @@ def product_ion_words(path: Column | str) -> Column:
 
 
 def acquisition_problem(name: Column | str, mode: Column | str) -> Column:
-    """Why a name contradicts a stated acquisition mode: targeted, product_ions, mode; null when it does not."""
-    said = token_acquisition(name)
-    targeted = F.array_intersect(said, F.array(*[F.lit(t) for t in vocab.TARGETED_TOKENS]))
+    """Why a name contradicts a stated acquisition mode: targeted, product_ions, mode; null when it does not.
+
+    The name's tokens are read once; its MS/MS words only where MS1 is stated."""
     stated = F.when(_c(mode) == "targeted_DDA", "DDA").otherwise(_c(mode))
-    modes = token_modes(name)
     family = F.array(*[F.lit(m) for m in vocab.DIA_FAMILY])
-    products = product_ion_words(name)
-    tolerated = (F.size(modes) == 0) | stated.isin("unknown", "mixed") | F.array_contains(modes, stated) | (
-        stated.isin(*vocab.DIA_FAMILY) & F.arrays_overlap(modes, family))
-    return (F.when(F.size(targeted) > 0, F.concat(F.lit("targeted:"), F.array_join(targeted, "+")))
-            .when((stated == "MS1") & (F.size(products) > 0), F.concat(F.lit("product_ions:"), F.array_join(products, "+")))
-            .when(~tolerated, F.concat(F.lit("mode:"), F.array_join(modes, "+"))))
+
+    def judge(said: Column) -> Column:
+        targeted = F.array_intersect(said, F.array(*[F.lit(t) for t in vocab.TARGETED_TOKENS]))
+        targets = F.when(F.size(targeted) > 0, F.concat(F.lit("targeted:"), F.array_join(targeted, "+")))
+        products = let(F.when(stated == "MS1", product_ion_words(name)), lambda p: F.when(F.size(p) > 0, F.concat(F.lit("product_ions:"), F.array_join(p, "+"))))
+
+        def against(modes: Column) -> Column:
+            tolerated = (F.size(modes) == 0) | stated.isin("unknown", "mixed") | F.array_contains(modes, stated) | (
+                stated.isin(*vocab.DIA_FAMILY) & F.arrays_overlap(modes, family))
+            return F.when(~tolerated, F.concat(F.lit("mode:"), F.array_join(modes, "+")))
+
+        return F.coalesce(targets, products, let(modes_of(said), against))
+
+    return let(token_acquisition(name), judge)
 
 
 def methods_named(text: Column | str, words: bool = False) -> Column:
