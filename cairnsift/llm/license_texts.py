@@ -35,7 +35,7 @@ products derived from this software without specific prior written permission.
 APACHE_NOTICE = """
 Licensed under the Apache License, Version 2.0 (the "License"); you may not use <<var;name=what;words=1-3>> except in
 compliance with the License. You may obtain a copy of the License at
-<<beginOptional>>http<<beginOptional>>s<<endOptional>>://www.apache.org/licenses/LICENSE-2.0<<endOptional>>
+<<beginOptional>><<var;name=scheme;words=1>>://www.apache.org/licenses/LICENSE-2.0<<endOptional>>
 """
 GNU_NOTICE = """
 is free software; you <<var;name=modal;words=1>> redistribute it and/or modify it under the terms of the
@@ -65,7 +65,7 @@ transmit the Software
 """
 MPL = """
 This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
-distributed with this file, You can obtain one at <<beginOptional>>http<<beginOptional>>s<<endOptional>>://mozilla.org/MPL/2.0/<<endOptional>>
+distributed with this file, You can obtain one at <<beginOptional>><<var;name=scheme;words=1>>://mozilla.org/MPL/2.0/<<endOptional>>
 """
 APACHE_LINE = """
 licensed under <<beginOptional>>the terms of<<endOptional>> <<beginOptional>>the<<endOptional>> Apache License,
