@@ -86,7 +86,10 @@ def row_matches(spec: Mapping[str, Any], sample_lists: Mapping[str, Sequence[str
             out = out & text_test(spec[key], F.col(key))
     for name, wanted in (spec.get("attribute") or {}).items():
         out = out & text_test(wanted, F.col("attributes")[name])
-    if "sample_lists" in spec:
+    if "sample_lists" in spec and sample_lists is None:
+        # The rows carry the lists they are on (``spec.with_sample_lists``).
+        out = out & F.arrays_overlap(F.col("sample_lists"), F.array(*[F.lit(a) for a in _list(spec["sample_lists"])]))
+    elif "sample_lists" in spec:
         listed = [s for a in _list(spec["sample_lists"]) for s in (sample_lists or {}).get(a, ())]
         out = out & (F.col("sample_id").isin(*listed) if listed else F.lit(False))
     if "resolution" in spec:

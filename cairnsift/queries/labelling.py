@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cairnsift.operators import duplicates, labelling, matching
+from cairnsift.operators import duplicates, labelling, matching, spec
 from cairnsift.queries import duck
-from cairnsift.queries.duplicates import groups_cte
-from cairnsift.queries.matching import mem_cte, resolve_sql
+from cairnsift.queries.duplicates import DUP_SHAPES, TDUP, dup_inputs, groups_cte
+from cairnsift.queries.matching import item_keys, mem_cte, resolve_sql
 from cairnsift.queries.registry import Tables, query
+from cairnsift.session import stored
 
 MEMBER_RULES = {
     "positive": {"glob": "run*/f*_pos.*"},
@@ -111,3 +112,108 @@ def r5(t: Tables):
     i = t["item"].select("unit_id", "sample_id", "kind", "confidence")
     named = t["orders"].where("o_orderstatus = 'O'").select(F.concat(F.lit("U"), "o_orderkey").alias("unit_id"))
     return labelling.revision_scope(i, i.where("confidence <> 'high'"), named, ["sample_id", "kind"])
+
+
+@query("p9_sample_lists", "catalog_row", sql="""
+SELECT unit_id, row_index FROM catalog_row WHERE sample_id IN (SELECT concat('S', l_orderkey) FROM lineitem WHERE l_quantity > 45 UNION SELECT concat('S', l_orderkey) FROM lineitem WHERE l_returnflag = 'A')""")
+def p9_lists(t: Tables):
+    """Two lists of any length, met by a join."""
+    li = t["lineitem"]
+    named = lambda rows, name: rows.select(F.lit(name).alias("name"), F.concat(F.lit("S"), "l_orderkey").alias("sample_id"))
+    lists = named(li.where("l_quantity > 45"), "large").union(named(li.where("l_returnflag = 'A'"), "returned")).union(named(li, "all"))
+    rows = spec.with_sample_lists(t["catalog_row"], lists)
+    return rows.where(labelling.row_matches({"sample_lists": ["large", "returned"]})).select("unit_id", "row_index")
+
+
+# The spec's tables: a unit entry per order (some missing, some strange), a rule per part, references from line items.
+SPEC = """se AS (SELECT concat('U', o_orderkey) AS unit_id, CASE o_orderstatus WHEN 'P' THEN 'excluded' ELSE 'ready' END AS status, CASE WHEN o_orderpriority = '1-URGENT' THEN 'no_files' END AS exclusion FROM orders WHERE o_orderkey % 10 <> 3
+  UNION ALL SELECT concat('Z', c_custkey), 'ready', NULL FROM customer WHERE c_custkey % 7 = 0),
+su AS (SELECT concat('U', o_orderkey) AS unit_id FROM orders),
+sr AS (SELECT concat('g', p_partkey) AS rule_id, CASE WHEN p_size % 2 = 0 THEN 'members' ELSE 'rows' END AS applies_to, CASE WHEN p_size > 40 THEN 'exception' ELSE 'group' END AS kind FROM part WHERE p_partkey % 50 <> 0)"""
+
+
+def spec_tables(t: Tables):
+    o, c, p = t["orders"], t["customer"], t["part"]
+    entries = o.where("o_orderkey % 10 <> 3").select(F.concat(F.lit("U"), "o_orderkey").alias("unit_id"), F.when(F.col("o_orderstatus") == "P", "excluded").otherwise("ready").alias("status"),
+                                                     F.when(F.col("o_orderpriority") == "1-URGENT", "no_files").alias("exclusion"))
+    entries = entries.union(c.where("c_custkey % 7 = 0").select(F.concat(F.lit("Z"), "c_custkey"), F.lit("ready"), F.lit(None).cast("string")))
+    units = o.select(F.concat(F.lit("U"), "o_orderkey").alias("unit_id"))
+    rules = p.where("p_partkey % 50 <> 0").select(F.concat(F.lit("g"), "p_partkey").alias("rule_id"), F.when(F.col("p_size") % 2 == 0, "members").otherwise("rows").alias("applies_to"),
+                                                  F.when(F.col("p_size") > 40, "exception").otherwise("group").alias("kind"))
+    return entries, units, rules
+
+
+@query("x_units", ctes=SPEC, sql="""
+SELECT 'X-UNITS' AS check_id, unit_id, unit_id AS subject, 'not_in_spec' AS message FROM su WHERE unit_id NOT IN (SELECT unit_id FROM se) UNION ALL SELECT 'X-UNITS', unit_id, unit_id, 'no_unit' FROM se WHERE unit_id NOT IN (SELECT unit_id FROM su)""")
+def x_units(t: Tables):
+    entries, units, _ = spec_tables(t)
+    return spec.unit_set(entries, units)
+
+
+@query("x_references", "item_listing", ctes=SPEC + ",\n" + mem_cte("item_listing") + f""",
+me AS (SELECT concat('g', l_partkey) AS rule_id, {duck.key("concat('run', l_suppkey, '/f', l_partkey, '_pos.raw')")} AS key FROM lineitem WHERE l_quantity = 1)""", sql="""
+SELECT 'X-UNKNOWN-REF' AS check_id, unit_id, concat('flag:', rule_id) AS subject, 'no_group' AS message FROM (SELECT DISTINCT concat('U', l_orderkey) AS unit_id, concat('g', l_partkey) AS rule_id FROM lineitem) WHERE rule_id NOT IN (SELECT rule_id FROM sr)
+UNION ALL SELECT 'X-UNKNOWN-REF', unit_id, concat('shared_with:', named), 'no_unit' FROM (SELECT DISTINCT concat('U', l_orderkey) AS unit_id, concat('U', l_orderkey + l_suppkey * 100) AS named FROM lineitem) WHERE named NOT IN (SELECT unit_id FROM su)
+UNION ALL SELECT 'X-UNKNOWN-REF', NULL, rule_id, CASE WHEN key NOT IN (SELECT member_key FROM mem) THEN 'no_member' ELSE 'a_row_resolves_to_it' END FROM me WHERE key NOT IN (SELECT member_key FROM mem) OR key LIKE 'run1%'
+UNION ALL SELECT 'X-UNKNOWN-REF', NULL, rule_id, 'matches_nothing' FROM sr WHERE kind = 'exception' AND rule_id NOT IN (SELECT concat('g', l_partkey) FROM lineitem WHERE l_returnflag = 'A')""")
+def x_references(t: Tables):
+    _, units, rules = spec_tables(t)
+    li = t["lineitem"]
+    unit, rule = F.concat(F.lit("U"), "l_orderkey").alias("unit_id"), F.concat(F.lit("g"), "l_partkey").alias("rule_id")
+    members = matching.index_members(t.stored("item_listing"))
+    named = li.where("l_quantity = 1").select(rule, F.concat(F.lit("run"), "l_suppkey", F.lit("/f"), "l_partkey", F.lit("_pos.raw")).alias("member_path"))
+    return spec.references(rules, li.select(unit, F.lit("flag").alias("place"), rule), li.select(unit, F.lit("shared_with").alias("place"), F.concat(F.lit("U"), F.col("l_orderkey") + F.col("l_suppkey") * 100).alias("named")),
+                           units, named, members, members.where("member_key LIKE 'run1%'").select(F.col("member_key").alias("key")), li.where("l_returnflag = 'A'").select(rule))
+
+
+@query("x_exceptions", "item", sql="""
+SELECT * FROM (WITH r AS (SELECT unit_id, row_index, sample_id, raw_file FROM item WHERE row_index IS NOT NULL),
+  e AS (SELECT concat('e', p_partkey) AS rule_id, concat('S', p_partkey) AS s FROM part WHERE p_size <= 25),
+  f AS (SELECT concat('i', o_orderkey) AS rule_id, concat('U', o_orderkey) AS u, CAST(o_custkey % 6 AS BIGINT) AS i, o_orderstatus = 'P' AS bare FROM orders),
+  c AS (SELECT rule_id, unit_id FROM r JOIN e ON r.sample_id = e.s UNION ALL SELECT rule_id, unit_id FROM r JOIN f ON r.unit_id = f.u AND r.row_index = f.i WHERE NOT bare)
+SELECT 'X-EXCEPTION' AS check_id, unit_id, rule_id AS subject, concat('covers_', count(*)) AS message FROM c GROUP BY unit_id, rule_id HAVING count(*) > 1
+UNION ALL SELECT 'X-EXCEPTION', NULL, rule_id, 'index_without_one_unit' FROM f WHERE bare)""")
+def x_exceptions(t: Tables):
+    none = F.lit(None)
+    by_sample = t["part"].where("p_size <= 25").select(F.concat(F.lit("e"), "p_partkey").alias("rule_id"), F.array().cast("array<string>").alias("units"), none.cast("bigint").alias("row_index"),
+                                                       F.concat(F.lit("S"), "p_partkey").alias("sample_id"), none.cast("string").alias("raw_file"))
+    unit = F.array(F.concat(F.lit("U"), "o_orderkey"))
+    by_index = t["orders"].select(F.concat(F.lit("i"), "o_orderkey"), F.when(F.col("o_orderstatus") == "P", F.array().cast("array<string>")).otherwise(unit), F.col("o_custkey") % 6, none.cast("string"), none.cast("string"))
+    return spec.row_exceptions(by_sample.union(by_index), t["item"].where("row_index IS NOT NULL").select("unit_id", "row_index", "sample_id", "raw_file"))
+
+
+@query("x_schema", ctes=SPEC, sql="""
+SELECT 'X-SCHEMA' AS check_id, unit_id, status AS subject, 'exclusion_exactly_when_excluded' AS message FROM se WHERE (status = 'excluded') <> (exclusion IS NOT NULL)
+UNION ALL SELECT DISTINCT 'X-SCHEMA', concat('U', l_orderkey), 'belongs_to_other_unit', 'exclude_gives_its_own_reason' FROM lineitem WHERE l_quantity = 2
+UNION ALL SELECT DISTINCT 'X-SCHEMA', concat('U', l_orderkey), 'not_in_archive', 'a_member_is_in_the_archive' FROM lineitem JOIN sr ON sr.rule_id = concat('g', l_partkey) WHERE l_quantity = 3 AND applies_to = 'members'""")
+def x_schema(t: Tables):
+    entries, _, rules = spec_tables(t)
+    reason = F.when(F.col("l_quantity") == 2, "belongs_to_other_unit").when(F.col("l_quantity") == 3, "not_in_archive").otherwise("other")
+    excludes = t["lineitem"].select(F.concat(F.lit("U"), "l_orderkey").alias("unit_id"), reason.alias("reason"), F.concat(F.lit("g"), "l_partkey").alias("rule_id"))
+    return spec.entry_rules(entries, excludes, rules)
+
+
+@query("x_placeholder", "item", sql="""
+SELECT 'X-PLACEHOLDER' AS check_id, unit_id, concat(rule_id, ':', name) AS subject, concat('no_value_in_', count(*)) AS message FROM (
+  SELECT unit_id, concat('r_', basis) AS rule_id, 'member' AS name FROM item WHERE member_path IS NULL UNION ALL SELECT unit_id, concat('r_', basis), 'belongs' FROM item WHERE basis = 'inferred' AND belongs_to_unit IS NULL) GROUP BY unit_id, rule_id, name""")
+def x_placeholder(t: Tables):
+    values = F.create_map(F.lit("member"), "member_path", F.lit("sample"), "sample_id", F.lit("belongs"), "belongs_to_unit")
+    template = F.when(F.col("basis") == "inferred", "{sample} in {member}, see {member} and {belongs}").otherwise("{sample} in {member}")
+    return spec.placeholders(t["item"].select("unit_id", F.concat(F.lit("r_"), "basis").alias("rule_id"), template.alias("template"), values.alias("values")))
+
+
+@query("x_child", "item", "child", sql="""
+SELECT * FROM (WITH i AS (SELECT unit_id, sample_id AS item_id, CASE WHEN role = 'blank' THEN NULL WHEN ion_mode = 'positive' THEN 'pos' WHEN ion_mode = 'negative' THEN 'neg' ELSE 'both' END AS child_key FROM item WHERE reason IS NULL)
+SELECT 'X-CHILD' AS check_id, unit_id, item_id AS subject, 'in_no_child' AS message FROM i WHERE child_key IS NULL AND unit_id IN (SELECT unit_id FROM child)
+UNION ALL SELECT DISTINCT 'X-CHILD', unit_id, child_key, 'no_such_child' FROM i WHERE child_key IS NOT NULL AND (unit_id, child_key) NOT IN (SELECT (unit_id, child_key) FROM child))""")
+def x_child(t: Tables):
+    key = F.when(F.col("role") != "blank", F.when(F.col("ion_mode") == "positive", "pos").when(F.col("ion_mode") == "negative", "neg").otherwise("both"))
+    return spec.child_keys(t["item"].where("reason IS NULL").select("unit_id", F.col("sample_id").alias("item_id"), key.alias("child_key")), t["child"])
+
+
+@query("x_dup_nokept", *DUP_SHAPES, ctes=TDUP, sql="""
+SELECT 'X-DUP-NOKEPT' AS check_id, unit_id, CAST(flag_no AS VARCHAR) AS subject, CASE WHEN ok IS NULL THEN 'no_copy_at_all' ELSE 'nobody_keeps_a_copy' END AS message
+FROM (SELECT DISTINCT unit_id, flag_no FROM sf) LEFT JOIN okg USING (unit_id, flag_no) WHERE NOT coalesce(ok, false)""")
+def x_dup_nokept(t: Tables):
+    flags, questions, _ = dup_inputs(t)
+    return spec.dup_nokept(flags, questions, stored(item_keys(t)), stored(duplicates.content_groups(t.stored("item_listing"))))
