@@ -322,7 +322,7 @@ def selection_entries(kept: DataFrame, listing: DataFrame) -> DataFrame:
     form = text.canonical_json({
         "unit_id": F.col("unit_id"), "child_key": F.lit(None).cast("string"), "member_path": names.norm_path("member_path"),
         "archive_name": F.coalesce("archive", "l_archive"), "crc32": F.lpad(F.upper("crc32"), 8, "0"), "size": F.col("size"), "sample_row_index": F.col("row_index")})
-    return both.select("unit_id", "row_index", form.alias("entry"))
+    return both.select("unit_id", "row_index", names.norm_path("member_path").alias("path"), form.alias("entry"))
 
 
 # ---- disk ---------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cairnsift import vocab
 from cairnsift.operators.checks import run_checks
+from cairnsift.scale import PRINT, set_print
 
 LIVE = ("materialized", "pending")
 
@@ -88,3 +89,30 @@ def hold_while_busy(found: DataFrame, locks: DataFrame, stale_seconds: int = voc
 
 def store_verdict(found: DataFrame) -> DataFrame:
     return found.groupBy("severity", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+def member_changes(recorded: DataFrame, found: DataFrame, grain_ns: int = 1_000_000) -> DataFrame:
+    """Members that differ from their manifest: ``object_id``, ``path``, ``problem`` (missing, size, time).
+
+    ``recorded`` and ``found(object_id, path, size, mtime_ns)``; times are compared to ``grain_ns``, the finest that the
+    file listing gives. Objects whose sets have equal prints are settled without a look at their members; a file that no
+    manifest lists is no change."""
+    grain = lambda f: f.select("object_id", "path", "size", (F.col("mtime_ns") - F.col("mtime_ns") % grain_ns).alias("at"))
+    r, f = grain(recorded), grain(found)
+    tag = lambda frame, s: frame.groupBy("object_id").agg(F.count(F.lit(1)).alias("n"), *set_print("path", "size", "at")).select("object_id", F.struct("n", *PRINT).alias(s))
+    open_ = tag(r, "_r").join(tag(f, "_f"), "object_id", "left").where(~F.col("_r").eqNullSafe(F.col("_f"))).select("object_id")
+    left = r.join(open_, "object_id", "left_semi")
+    right = f.join(open_, "object_id", "left_semi").select("object_id", "path", F.col("size").alias("_size"), F.col("at").alias("_at"))
+    both = left.join(right, ["object_id", "path"], "left")
+    problem = F.when(F.col("_size").isNull(), "missing").when(F.col("_size") != F.col("size"), "size").when(F.col("_at") != F.col("at"), "time")
+    return both.select("object_id", "path", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def changed_members(objects: DataFrame, manifest: DataFrame, found: DataFrame) -> DataFrame:
+    """Objects with ``changed_members`` worked out: the number of members that differ, null where the manifest cannot be
+    read. ``manifest`` as ``records.manifest_rows`` gives it; an object without a manifest has none that differ."""
+    bad = manifest.where("bad").select(F.col("object_id").alias("_b")).distinct()
+    per = member_changes(manifest.where("NOT bad").drop("bad"), found).groupBy(F.col("object_id").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    out = objects.join(bad, F.col("object_id") == F.col("_b"), "left").join(per, F.col("object_id") == F.col("_c"), "left")
+    n = F.when(F.col("_b").isNull(), F.coalesce("_n", F.lit(0)))
+    return out.select(*[c for c in objects.columns if c != "changed_members"], n.alias("changed_members"))

@@ -9,7 +9,8 @@ from cairnsift.operators import checks, planning
 from cairnsift.queries import duck
 from cairnsift.queries.checks import FACTS, FACT_SHAPES, facts
 from cairnsift.queries.registry import Tables, query
-from cairnsift.sources import files
+from cairnsift.session import scratch
+from cairnsift.sources import canonical, files
 
 DECLARED = "separation = 'LC-MS' AND acquisition_mode IN ('DDA', 'DIA', 'AIF', 'SWATH') AND (untargeted IS NULL OR untargeted <> 0) AND ion_mode IN ('Positive', 'Negative', 'Both')"
 UNKNOWN = DECLARED.replace("acquisition_mode IN ('DDA', 'DIA', 'AIF', 'SWATH')", "acquisition_mode = 'Unknown'")
@@ -308,16 +309,17 @@ def r9(t: Tables):
 
 @query("a26_selection_digest", "item", "item_listing", sql=f"""
 SELECT * FROM (WITH ix AS (SELECT lower(path) AS path_key, min_by(crc32, (path, size, crc32)) AS crc32, min_by(size, (path, size, crc32)) AS size FROM item_listing GROUP BY 1),
-  e AS (SELECT unit_id, l_orderkey * 8 + coalesce(row_index, 7) AS o, concat('{{"archive_name":"a.zip","child_key":null,"crc32":', CASE WHEN crc32 IS NULL THEN 'null' ELSE concat('"', lpad(upper(crc32), 8, '0'), '"') END,
+  e AS (SELECT unit_id, member_path AS path, coalesce(row_index, -1) AS row, concat('{{"archive_name":"a.zip","child_key":null,"crc32":', CASE WHEN crc32 IS NULL THEN 'null' ELSE concat('"', lpad(upper(crc32), 8, '0'), '"') END,
     ',"member_path":"', member_path, '","sample_row_index":', coalesce(CAST(row_index AS VARCHAR), 'null'), ',"size":', coalesce(CAST(size AS VARCHAR), 'null'), ',"unit_id":"', unit_id, '"}}') AS entry
     FROM item LEFT JOIN ix ON lower(member_path) = path_key WHERE reason IS NULL AND member_path IS NOT NULL)
-SELECT unit_id, sha256(sha256(string_agg(entry, chr(10) ORDER BY coalesce(o % 8, 0), entry))) AS digest, count(*) AS entries FROM e GROUP BY 1)""")
+SELECT unit_id, sha256(sha256(string_agg(entry, chr(10) ORDER BY path, row, entry))) AS digest, count(*) AS entries FROM e GROUP BY 1)""")
 def a26(t: Tables):
-    """Rows of one unit sit in one block; equal positions are ordered by their entry."""
+    """Entries by path, row (a member without one first) and text; every entry has its own position."""
     ix = files.listing_index(t["item_listing"].withColumn("archive", F.lit("a.zip")), ["path", "size", "crc32"])
     kept = t["item"].where("reason IS NULL AND member_path IS NOT NULL").select("unit_id", "member_path", F.lit("a.zip").alias("archive"), "row_index")
     entries = planning.selection_entries(kept, ix)
-    return planning.entries_digest(entries, "unit_id", F.coalesce(F.col("row_index"), F.lit(7)), F.col("entry"))
+    placed = canonical.positions(entries, "unit_id", [F.col("path"), F.coalesce(F.col("row_index"), F.lit(-1))], F.col("entry"))
+    return canonical.digest(canonical.block_digests(placed, "unit_id"), "unit_id").drop("bytes")
 
 
 @query("a20_observed_factor", "unit", sql="SELECT quantile_disc(price_cents, 0.9) AS factor, count(*) AS n FROM unit WHERE price_cents > 0")
@@ -365,3 +367,14 @@ def m5(t: Tables):
         F.count("*").alias("finished"), F.sum("bytes").alias("bytes"), F.sum(F.when(F.col("k") < 60, F.col("bytes"))).alias("transferred_bytes"),
         F.count_if(F.col("k") < 60).alias("objects_fetched"), F.count_if(F.col("k") < 10).alias("objects_refetched"), F.count_if(F.col("k") >= 60).alias("cache_hits"),
         F.count_distinct("group_id").alias("distinct_objects"))
+
+
+@query("s16_canonical_writer", "item", sql="""
+SELECT row_number() OVER (ORDER BY unit_id, member_path NULLS FIRST, row_index NULLS FIRST, entry) - 1 AS position, md5(entry) AS digest
+FROM (SELECT unit_id, member_path, row_index, concat('{"kind":"', kind, '","unit_id":"', unit_id, '"}') AS entry FROM item)""")
+def s16_writer(t: Tables):
+    """The entries written in parts and read back from them."""
+    path = scratch(t.spark)
+    entry = text.canonical_json({"kind": F.col("kind"), "unit_id": F.col("unit_id")})
+    canonical.write(t["item"], [F.col("unit_id"), F.col("member_path"), F.col("row_index")], entry, path)
+    return canonical.read_back(t.spark, path).select("position", F.md5("entry").alias("digest"))

@@ -102,3 +102,42 @@ def s13(t: Tables):
     doc = F.to_json(F.struct(F.concat(F.lit("o"), "p_partkey").alias("object_id"), F.col("p_type").alias("state"), F.array(F.struct(F.concat(F.lit("k"), "p_partkey").alias("url_key"))).alias("urls"),
                              F.struct(F.lit("a1").alias("approval_id"), F.lit("5").alias("boundary")).alias("collected_under")))
     return p.select(F.from_json(doc, records.STORE["objects"]).alias("r")).select("r.object_id", "r.state", F.col("r.urls")[0]["url_key"].alias("url_key"), F.col("r.collected_under.approval_id").alias("approval_id"))
+
+
+# Manifests of the objects: a line per line item of the part; some lines are broken, some files gone or changed.
+@shape("s_member")
+def s_member(d: Dialect) -> str:
+    return f"""
+SELECT concat('o', {d.text('l_partkey')}) AS object_id, concat('d', {d.text('l_orderkey')}, '/m', {d.text('l_suppkey')}, '_', {d.text('cast(floor(l_extendedprice * 100 + 0.5) AS bigint)')}) AS path, l_partkey,
+       cast(max(l_quantity) AS bigint) * 10 AS size, max({d.us('l_shipdate')}) * 1000 AS mtime_ns, cast(floor(max(l_tax) * 100 + 0.5) AS int) AS tax, cast(floor(max(l_discount) * 100 + 0.5) AS int) AS discount
+FROM {d.table('lineitem')} GROUP BY l_partkey, l_orderkey, l_suppkey, l_extendedprice"""
+
+
+MEMBER_CTES = """mp AS (SELECT *, CASE WHEN tax = 8 AND discount = 0 THEN 'missing' WHEN tax = 7 AND discount = 1 THEN 'size' WHEN tax = 6 AND discount = 2 THEN 'time' END AS problem FROM s_member),
+mb AS (SELECT DISTINCT object_id FROM s_member WHERE l_partkey % 10 = 0 AND tax = 0 AND discount = 10)"""
+
+
+def member_tables(t: Tables):
+    from cairnsift.sources import records
+    m = t.stored("s_member")
+    odd = (F.col("l_partkey") % 10 == 0) & (F.col("tax") == 0) & (F.col("discount") == 10)
+    line = F.concat_ws("\t", "path", F.when(odd, "?").otherwise(F.col("size").cast("string")), F.lit("0A"), F.col("mtime_ns").cast("string"))
+    heads = m.select("object_id", F.lit(1).alias("line_no"), F.lit(records.MEMBERS_HEADER).alias("text")).distinct()
+    manifest = records.manifest_rows(heads.union(m.select("object_id", F.lit(2), line)))
+    is_ = lambda tax, discount: (F.col("tax") == tax) & (F.col("discount") == discount)
+    found = m.where(~is_(8, 0)).select("object_id", "path", F.when(is_(7, 1), F.col("size") + 1).otherwise(F.col("size")).alias("size"), F.when(is_(6, 2), F.col("mtime_ns") + 5_000_000).otherwise(F.col("mtime_ns") + 5).alias("mtime_ns"))
+    extra = m.where("l_partkey % 7 = 0").select("object_id", F.lit("extra/file").alias("path"), F.lit(1).cast("bigint").alias("size"), F.lit(0).cast("bigint").alias("mtime_ns")).distinct()
+    return manifest, found.union(extra)
+
+
+@query("store_member_changes", "s_member", ctes=MEMBER_CTES, sql="SELECT object_id, path, problem FROM mp WHERE problem IS NOT NULL AND NOT (l_partkey % 10 = 0 AND tax = 0 AND discount = 10)")
+def store_member_changes(t: Tables):
+    manifest, found = member_tables(t)
+    return store.member_changes(manifest.where("NOT bad"), found)
+
+
+@query("store_changed_members", "s_object", "s_member", ctes=MEMBER_CTES, sql="""
+SELECT object_id, CASE WHEN object_id NOT IN (SELECT object_id FROM mb) THEN coalesce(n, 0) END AS changed_members FROM s_object LEFT JOIN (SELECT object_id, count(*) AS n FROM mp WHERE problem IS NOT NULL GROUP BY 1) USING (object_id)""")
+def store_changed_members(t: Tables):
+    manifest, found = member_tables(t)
+    return store.changed_members(t["s_object"].select("object_id"), manifest, found)

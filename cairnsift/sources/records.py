@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cairnsift.sources import blocks
+
 # Column types of the campaign tables.
 LEDGER = {
     "meta": "key string, value string",
@@ -122,3 +124,44 @@ def append_log(existing: DataFrame, rendered: DataFrame, path: str, key: str = "
     fresh = plan.where("action = 'append'").select(key, F.col("new_line").alias(line))
     fresh.write.mode("append").parquet(path)
     return counts.get("append", 0)
+
+
+# ---- what a store's folders hold beside its records ----------------------------
+
+# A member manifest's columns, and what stands for a tab, a break and a backslash in a path.
+MEMBERS_HEADER = "path\tsize\tcrc\tmtime_ns"
+
+
+def manifest_rows(lines: DataFrame) -> DataFrame:
+    """Rows of member manifests, from lines with ``object_id``, ``line_no`` and ``text``: ``path``, ``size``, ``mtime_ns``,
+    and ``bad`` for a first line that is no header and a line that is no row."""
+    parts = F.split("text", "\t", -1)
+    path = F.replace(F.get(parts, F.lit(0)), F.lit("\\\\"), F.lit("\0"))
+    for mark, meant in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ("\0", "\\")):
+        path = F.replace(path, F.lit(mark), F.lit(meant))
+    size, mtime = F.get(parts, F.lit(1)).try_cast("bigint"), F.get(parts, F.lit(3)).try_cast("bigint")
+    head = F.col("line_no") == 1
+    bad = F.when(head, F.col("text") != MEMBERS_HEADER).otherwise((F.size(parts) != 4) | size.isNull() | mtime.isNull())
+    return lines.where(head | (F.col("text") != "")).select("object_id", path.alias("path"), size.alias("size"), mtime.alias("mtime_ns"), bad.alias("bad"), head.alias("_head")).where("bad OR NOT _head").drop("_head")
+
+
+def read_manifests(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of all ``o/<object>/members.tsv`` of a store, read as lines: a manifest of any length is many tasks' work."""
+    lines = blocks.file_lines(spark, f"{root}/o").where(F.col("relative_path").rlike("^[^/]+/members[.]tsv$"))
+    return manifest_rows(lines.select(F.substring_index("relative_path", "/", 1).alias("object_id"), "line_no", F.regexp_replace(blocks.readable("text"), "\r$", "").alias("text")))
+
+
+def read_files(spark: SparkSession, root: str) -> DataFrame:
+    """Names, sizes and times of all files below a folder; no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return found.select(blocks.below(F.col("path"), root).alias("path"), F.col("length").alias("size"), (F.unix_millis("modificationTime") * 1_000_000).alias("mtime_ns"))
+
+
+def read_store_folders(spark: SparkSession, root: str, now_us: int) -> dict[str, DataFrame]:
+    """``members`` (what manifests record), ``tree`` (the objects' files as they are), ``partials`` (URL keys with a
+    transfer begun) and ``locks`` (name and age of the last heartbeat)."""
+    tree = read_files(spark, f"{root}/o").select(F.substring_index("path", "/", 1).alias("object_id"), F.regexp_replace("path", "^[^/]*/", "").alias("path"), "size", "mtime_ns")
+    partials = read_files(spark, f"{root}/partial").select(F.regexp_replace(F.substring_index("path", "/", 1), "[.][^.]*$", "").alias("url_key")).distinct()
+    locks = read_files(spark, f"{root}/locks").where(F.col("path").endswith(".lock")).select(
+        F.regexp_replace("path", "[.]lock$", "").alias("name"), ((F.lit(now_us) - F.col("mtime_ns") / 1000) / 1_000_000).cast("bigint").alias("age_s"))
+    return {"members": read_manifests(spark, root), "tree": tree, "partials": partials, "locks": locks}
