@@ -44,6 +44,49 @@ def extraction_disk_short(text: Column) -> Column:
     return F.when(expands != "", expands.try_cast("bigint")).when(text.rlike(vocab.EXTRACTION_SHORT), F.lit(0).cast("bigint"))
 
 
+def failure_record(detail: Column) -> Column:
+    """What a download failure's JSON detail says, wherever it sits: ``text`` and ``types`` of the error the lease ended on
+    (the job's own and its ``failure``'s), ``retryable``, the archive's ``archive_reason`` and ``declared_bytes``, and the
+    disposition's ``decision``, ``reason`` and ``inputs`` (JSON). A detail that is no JSON object says nothing."""
+    def read(record: Column) -> Column:
+        at = lambda path, kind: F.try_variant_get(record, path, kind)
+        said = [at(f"{base}.{key}", "string") for base in ("$", "$.failure") for key in ("error", "reason", "detail")]
+        kinds = F.array_compact(F.array(*[F.nullif(at(f"{base}.error_type", "string"), F.lit("")) for base in ("$", "$.failure")]))
+        number = at("$.failure.archive_failure.detail.declared_bytes", "variant")
+        inputs = at("$.failure.disposition.inputs", "variant")
+        whole = F.schema_of_variant(number) == "BIGINT"
+        return F.struct(
+            F.array_join(F.filter(F.array(*said), lambda x: x != ""), " | ").alias("text"), kinds.alias("types"),
+            (F.schema_of_variant(at("$.failure.retryable", "variant")) == "BOOLEAN").alias("_told"), at("$.failure.retryable", "boolean").alias("retryable"),
+            at("$.failure.archive_failure.reason", "string").alias("archive_reason"), F.when(whole, at("$.failure.archive_failure.detail.declared_bytes", "bigint")).alias("declared_bytes"),
+            at("$.failure.disposition.decision", "string").alias("decision"), F.trim(at("$.failure.disposition.reason", "string")).alias("reason"),
+            F.when(F.schema_of_variant(inputs).startswith("ARRAY"), F.to_json(inputs)).otherwise("[]").alias("inputs"))
+
+    # The detail is parsed once for all of its fields.
+    return F.transform(F.array(F.try_parse_json(detail)), read)[0]
+
+
+def record_network_failure(outcome: Column, record: Column) -> Column:
+    """``network_failure`` of a structured record: by outcome, a retryable failure, a type or the error's text."""
+    types = F.array(*[F.lit(t) for t in sorted(vocab.NETWORK_TYPES)])
+    return F.coalesce((outcome == "stalled") | F.coalesce(record["_told"] & record["retryable"], F.lit(False)) | F.coalesce(F.arrays_overlap(record["types"], types), F.lit(False))
+                      | F.coalesce(record["text"].rlike(vocab.NETWORK_TEXT), F.lit(False)), F.lit(False))
+
+
+def record_disk_short(record: Column) -> Column:
+    """Bytes an archive was to expand to when the volume ran short: as the archive's failure declares them, else as the
+    text says, 0 when neither does; null when it was no short disk."""
+    named = F.coalesce(record["archive_reason"] == "insufficient_disk_space", F.lit(False))
+    said = extraction_disk_short(record["text"])
+    return F.when(named & (record["declared_bytes"] > 0), record["declared_bytes"]).when(named, F.coalesce(said, F.lit(0))).otherwise(said)
+
+
+def download_exclusion(record: Column) -> Column:
+    """The reason and inputs with which a failed lease excludes its unit; null for any other disposition."""
+    reason = F.when(F.coalesce(record["reason"], F.lit("")) == "", "download_exclude").otherwise(record["reason"])
+    return F.when(record["decision"] == "exclude", F.struct(reason.alias("reason"), record["inputs"].alias("inputs")))
+
+
 def terminal_class(decision: Column, reason: Column, retryable: Column, reason_code: Column) -> Column:
     """excluded:<reason>, refused:<code> for a refusal no retry changes, else retryable."""
     refused = (retryable == F.lit(False)) & reason_code.rlike("^(" + "|".join(vocab.REFUSAL_PREFIXES) + ")")

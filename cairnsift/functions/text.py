@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -54,6 +55,30 @@ def redact(value: Column | str, locations: Mapping[str, str]) -> Column:
     return out
 
 
+def redact_json(value: Column | str, locations: Mapping[str, str]) -> Column:
+    """``redact`` for every string and every key of a JSON text, at any depth; null where the text is no JSON.
+
+    The text is read and written anew first, so that each character has one spelling: a separator is then a slash, a
+    backslash (two characters in JSON) or a doubled backslash (four)."""
+    def part(text: str) -> str:
+        return r"\Q" + json.dumps(text, ensure_ascii=False)[1:-1] + r"\E" if text else ""
+
+    def pattern(text: str) -> str:
+        return "(?i)" + r"(?:/|\\\\\\\\|\\\\)".join(part(p) for p in text.replace("\\", "/").split("/"))
+
+    out = F.to_json(F.try_parse_json(_c(value)))
+    for name, location in sorted(locations.items(), key=lambda kv: -len(kv[1])):
+        place = location.strip()
+        if not place:
+            continue
+        label = json.dumps(f"<library:{name}>", ensure_ascii=False)[1:-1].replace("\\", r"\\").replace("$", r"\$")
+        out = F.regexp_replace(out, pattern(place), label)
+        folder = place.replace("\\", "/").rsplit("/", 1)[0] if "/" in place.replace("\\", "/") else ""
+        if len(folder) > 3:
+            out = F.regexp_replace(out, pattern(folder), "<library-directory>")
+    return out
+
+
 def identity_block(key: Column | str, length: int = 14) -> Column:
     text = F.trim(F.coalesce(_c(key), F.lit("")))
     return F.when(F.length(text) >= length, F.upper(F.substring(text, 1, length))).otherwise("")

@@ -358,3 +358,40 @@ def f33(t: Tables):
     return t["attempt"].groupBy("outcome", policy.terminal_class(
         F.when(o.isin("failed", "fault"), "exclude"), F.when(o == "failed", "bad_format"), F.col("network") != 1,
         F.when(o == "busy", "cross_unit_x")).alias("class")).agg(F.count("*").alias("n"))
+
+
+@query("f22_redact_json", "doc", sql="""
+SELECT doc_id, concat('{"a":["<library:main>",{"in <library-directory>/other":"', source, '"}],"lang":"', lang, '"}') AS redacted FROM doc""")
+def f22_json(t: Tables):
+    """Locations in values and keys of a nested record, in several spellings."""
+    body = F.concat(F.lit('{"a": ["C:\\\\lib\\\\main.msp", {"in c:/LIB/other": "'), "source", F.lit('"}], "lang": "'), "lang", F.lit('"}'))
+    return t["doc"].select("doc_id", text.redact_json(body, {"main": "C:\\lib\\main.msp"}).alias("redacted"))
+
+
+# Failure details as JSON: what differs by outcome sits at several depths.
+def failure_details(t: Tables):
+    o = F.col("outcome")
+    b = F.col("bytes").cast("string")
+    detail = (F.when(o == "failed", F.concat(F.lit('{"error": "checksum", "failure": {"retryable": '), F.when(F.col("network") == 1, "true").otherwise("false"),
+                                             F.lit(', "disposition": {"decision": "exclude", "reason": " bad_format ", "inputs": [{"n": '), b, F.lit("}]}}}")))
+              .when(o == "fault", F.concat(F.lit('{"failure": {"archive_failure": {"reason": "insufficient_disk_space", "detail": {"declared_bytes": '), b, F.lit("}}, "),
+                                           F.lit('"disposition": {"decision": "exclude", "inputs": "x"}}}')))
+              .when(o == "busy", F.concat(F.lit('{"reason": "", "failure": {"error_type": "DownloadStalled", "archive_failure": {"reason": "insufficient_disk_space", "detail": {"declared_bytes": true}}, "detail": "archive expands to '), b,
+                                          F.lit(' bytes; 5 are free and 9 are held in reserve"}}')))
+              .when(o == "ok", F.lit('{"error": "HTTP Error 503: x", "failure": {"error": "y"}}')).otherwise("no json"))
+    return t["attempt"].select("attempt_id", policy.failure_record(detail).alias("r"))
+
+
+@query("f27_failure_records", "attempt", sql="""
+SELECT attempt_id, CASE outcome WHEN 'failed' THEN 'checksum' WHEN 'busy' THEN concat('archive expands to ', bytes, ' bytes; 5 are free and 9 are held in reserve') WHEN 'ok' THEN 'HTTP Error 503: x | y' ELSE '' END AS said,
+  coalesce(outcome = 'failed' AND network = 1, false) OR outcome IN ('busy', 'ok') AS network, CASE WHEN outcome = 'fault' AND bytes > 0 THEN bytes WHEN outcome = 'fault' THEN 0 WHEN outcome = 'busy' THEN bytes END AS short_bytes FROM attempt""")
+def f27_records(t: Tables):
+    r = F.col("r")
+    return failure_details(t).select("attempt_id", F.coalesce(r["text"], F.lit("")).alias("said"), policy.record_network_failure(F.lit("failed"), r).alias("network"), policy.record_disk_short(r).alias("short_bytes"))
+
+
+@query("f33_download_exclusion", "attempt", sql="""
+SELECT attempt_id, CASE outcome WHEN 'failed' THEN 'bad_format' WHEN 'fault' THEN 'download_exclude' END AS reason, CASE outcome WHEN 'failed' THEN concat('[{"n":', bytes, '}]') WHEN 'fault' THEN '[]' END AS inputs FROM attempt""")
+def f33_exclusion(t: Tables):
+    x = policy.download_exclusion(F.col("r"))
+    return failure_details(t).select("attempt_id", x["reason"].alias("reason"), x["inputs"].alias("inputs"))
