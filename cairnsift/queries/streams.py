@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from cairnsift.queries.registry import SHAPES, Dialect, Tables, query
 from cairnsift.queries.ledger import STREAK, shaped_log
-from cairnsift.streaming import folds, jobs
+from cairnsift.session import scratch
+from cairnsift.streaming import jobs, stateful
 
 MAX_US = "(SELECT max(epoch_us(ts)) FROM events)"
 
@@ -31,16 +32,15 @@ def stream_of(t: Tables, shape: str) -> DataFrame:
 
 
 def appended(t: Tables, stream: DataFrame) -> DataFrame:
-    root = folds.scratch(t.spark)
+    root = scratch(t.spark)
     jobs.to_parquet(stream, root).awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-def completed(t: Tables, stream: DataFrame) -> DataFrame:
-    root = folds.scratch(t.spark)
-    q = jobs.to_table(stream, root)
-    q.awaitTermination()
-    return t.spark.read.parquet(f"{root}/out/{q.lastProgress['batchId']}")
+def latest(t: Tables, stream: DataFrame, *keys: str) -> DataFrame:
+    root = scratch(t.spark)
+    jobs.to_keyed(stream, root).awaitTermination()
+    return jobs.keyed(t.spark, root, stream.schema, list(keys)).drop("batch")
 
 
 def timed(stream: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def timed(stream: DataFrame) -> DataFrame:
 
 @query("g1_current_state_stream", "transition", sql="SELECT unit_key, max_by(to_state, seq) AS state, max(seq) AS seq, count(*) AS transitions FROM transition GROUP BY 1")
 def g1(t: Tables):
-    return completed(t, jobs.current_state(stream_of(t, "transition")))
+    return latest(t, jobs.current_state(stream_of(t, "transition")), "unit_key")
 
 
 @query("g2_stalled_stream", "transition", sql="""
@@ -58,14 +58,14 @@ SELECT * FROM (WITH a AS (SELECT *, k < 50 AS bytes, lag(k < 50) OVER w AS b0, r
 SELECT unit_key, seq, at_us - since AS idle_us FROM b WHERE at_us - since > 1800000000 AND to_state <> 'purchase')""")
 def g2(t: Tables):
     s = stream_of(t, "transition").select("unit_key", "seq", "at_us", (F.col("k") < 50).cast("int").alias("bytes"), (F.col("to_state") != "purchase").alias("fetching"))
-    return folds.run_fold(s, folds.stalled_step(1_800_000_000), folds.STALLED_STATE)[0]
+    return appended(t, stateful.stalled(s, 1_800_000_000))
 
 
 @query("g3_stale_holder_stream", "transition", sql="""
 SELECT unit_key, seq, at_us FROM (SELECT *, lead(at_us) OVER (PARTITION BY unit_key ORDER BY seq) AS nx FROM transition)
 WHERE coalesce(nx, (SELECT max(at_us) FROM transition)) - at_us > 36000000000""")
 def g3(t: Tables):
-    return folds.run_fold(stream_of(t, "transition"), folds.silent_step(36_000_000_000), folds.SILENT_STATE)[0]
+    return appended(t, stateful.silent(stream_of(t, "transition"), 36_000_000_000))
 
 
 @query("g4_outage_breaker_stream", "attempt", ctes=STREAK, sql="SELECT * FROM res")
@@ -73,8 +73,8 @@ def g4(t: Tables):
     """The log as in the batch twin; an open attempt is not in the stream before it is closed."""
     closed = shaped_log(stream_of(t, "attempt")).where("ended_us IS NOT NULL")
     finished = closed.withColumn("outcome", F.when((F.col("outcome") == "blocked") & F.col("excluded"), "ok").otherwise(F.col("outcome")))
-    _, state = folds.run_fold(finished, folds.outage_step(), folds.OUTAGE_STATE)
-    return folds.open_streaks(state)
+    groups = latest(t, stateful.group_failures(finished), "repository", "group_id")
+    return stateful.open_streaks(groups, latest(t, stateful.repository_ends(finished), "repository"))
 
 
 @query("g5_retry_due_stream", "attempt", sql="""
@@ -86,7 +86,7 @@ SELECT * FROM e WHERE due_us <= (SELECT max(started_us) FROM attempt))""")
 def g5(t: Tables):
     """A unit is a user's day."""
     s = stream_of(t, "attempt").withColumn("unit_key", F.concat_ws("/", "unit_key", F.floor(F.col("started_us") / 86_400_000_000).cast("string")))
-    return folds.run_fold(s, folds.retry_step(), folds.RETRY_STATE)[0]
+    return appended(t, stateful.retries_due(s))
 
 
 @query("g6_attempt_rates_stream", "attempt", sql=f"""
@@ -114,7 +114,7 @@ def g8(t: Tables):
 SELECT repository AS volume, max_by(k, attempt_id) AS free, coalesce(max(attempt_id) FILTER (k < 20), -1) > coalesce(max(attempt_id) FILTER (k >= 60), -1) AS paused FROM attempt GROUP BY 1""")
 def g9(t: Tables):
     s = stream_of(t, "attempt").select(F.col("repository").alias("volume"), F.col("attempt_id").alias("seq"), F.col("k").alias("free"))
-    return completed(t, jobs.disk_state(s, 20, 60))
+    return latest(t, jobs.disk_state(s, 20, 60), "volume")
 
 
 @query("g10_group_barrier_stream", "transition", sql="""
@@ -122,7 +122,7 @@ SELECT concat('g', user_id // 2) AS group_id, count(*) AS members FROM (SELECT u
 def g10(t: Tables):
     """Membership is known beforehand: a static side."""
     members = t["transition"].select("unit_key", F.concat(F.lit("g"), F.floor(F.col("user_id") / 2).cast("string")).alias("group_id")).distinct()
-    return folds.run_fold(stream_of(t, "transition"), folds.barrier_step(["purchase"], members), folds.BARRIER_STATE)[0]
+    return appended(t, stateful.group_barrier(stream_of(t, "transition"), ["purchase"], members))
 
 
 @query("g11_approval_join_stream", "transition", sql="""

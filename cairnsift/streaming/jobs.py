@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def current_state(transitions: DataFrame) -> DataFrame:
-    """Last state per unit by sequence; update or complete mode."""
+    """Last state per unit by sequence, for update mode."""
     return transitions.groupBy("unit_key").agg(F.max_by("to_state", "seq").alias("state"), F.max("seq").alias("seq"), F.count(F.lit(1)).alias("transitions"))
 
 
@@ -49,9 +50,28 @@ def to_parquet(stream: DataFrame, root: str, **trigger) -> StreamingQuery:
         "checkpointLocation", f"{root}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
 
 
-def to_table(stream: DataFrame, root: str, **trigger) -> StreamingQuery:
-    """Complete-mode results as the newest of numbered tables."""
+def to_keyed(stream: DataFrame, root: str, **trigger) -> StreamingQuery:
+    """Update-mode sink: a batch writes the keys it changed, under its number. A batch that is run again overwrites its own
+    rows, and what a batch writes follows the batch and not the table."""
     def each(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/out/{number}")
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch={number}")
 
-    return stream.writeStream.outputMode("complete").foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
+    return stream.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", f"{root}/checkpoint").trigger(**(trigger or {"availableNow": True})).start()
+
+
+def keyed(spark: SparkSession, root: str, schema: StructType, keys: list[str], base: DataFrame | None = None) -> DataFrame:
+    """The table that ``to_keyed`` has written: for each key the row of its newest batch. ``base`` is an earlier result with
+    a column ``batch``, of which only newer batches are read anew; see ``merged``."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(f"{root}/out")
+    if base is not None:
+        upto = base.agg(F.max("batch")).first()[0]
+        rows = rows.where(F.col("batch") > (-1 if upto is None else upto)).unionByName(base)
+    own = [c for c in schema.names if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*own, "batch"), "batch").alias("_r"))
+    return newest.select(*keys, "_r.*")
+
+
+def merged(spark: SparkSession, root: str, schema: StructType, keys: list[str], path: str, base: DataFrame | None = None) -> DataFrame:
+    """Merge all batches so far (over ``base``) into a table at ``path``; batches it holds need not be read again."""
+    keyed(spark, root, schema, keys, base).write.parquet(path)
+    return spark.read.parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cairnsift.operators import ledger
 from cairnsift.session import scratch
-from cairnsift.streaming import folds, jobs
+from cairnsift.streaming import jobs, stateful
 from tests.util import rows
 
 SCHEMA = ("attempt_id bigint, unit_key string, repository string, group_id string, step string, outcome string, network int, started_us bigint, ended_us bigint, "
@@ -23,7 +23,7 @@ def log(spark, tmp_path_factory):
     for i in range(300):
         u = 0 if r.random() < 0.6 else r.randrange(1, 8)
         late = i > 280
-        at = i * 400_000_000
+        at = 1_000_000 + i * 400_000_000  # the engine takes the epoch itself for late
         data.append((i, f"u{u}", f"r{u % 2}", f"g{u}", r.choice(["download", "download_start"]), "failed" if late else r.choice(["ok", "failed", "fault", "busy", "interrupted"]),
                      1 if late else r.randrange(2), at, at + 1_000_000, i, at, r.randrange(3), r.random() < 0.8, r.choice(["a", "b"])))
     for n in range(5):
@@ -39,15 +39,27 @@ def stream(spark, log):
     return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(log)
 
 
+def told(spark, out):
+    root = scratch(spark)
+    jobs.to_parquet(out, root).awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+def latest(spark, out, *keys):
+    root = scratch(spark)
+    jobs.to_keyed(out, root).awaitTermination()
+    return root, jobs.keyed(spark, root, out.schema, list(keys))
+
+
 def test_stalled(spark, log):
-    out, _ = folds.run_fold(stream(spark, log), folds.stalled_step(900_000_000), folds.STALLED_STATE)
+    out = told(spark, stateful.stalled(stream(spark, log), 900_000_000))
     assert rows(out) == rows(ledger.stalled(spark.read.parquet(log), 900_000_000))
     assert out.count() > 0
 
 
 def test_silence(spark, log):
     """Closed silences and holders that are gone for good, each told once."""
-    out, _ = folds.run_fold(stream(spark, log), folds.silent_step(2_000_000_000), folds.SILENT_STATE)
+    out = told(spark, stateful.silent(stream(spark, log), 2_000_000_000))
     table = spark.read.parquet(log)
     clock = table.agg(F.max("at_us")).first()[0]
     want = ledger.silent_gaps(table, 2_000_000_000).join(table.select("unit_key", "seq", "at_us"), ["unit_key", "seq"]).where(
@@ -56,35 +68,44 @@ def test_silence(spark, log):
 
 
 def test_outages(spark, log):
-    _, state = folds.run_fold(stream(spark, log), folds.outage_step(), folds.OUTAGE_STATE)
+    _, groups = latest(spark, stateful.group_failures(stream(spark, log)), "repository", "group_id")
+    _, ends = latest(spark, stateful.repository_ends(stream(spark, log)), "repository")
     want = rows(ledger.outage_streaks(spark.read.parquet(log)), "repository", "group_id")
-    assert rows(folds.open_streaks(state)) == want and want
+    assert rows(stateful.open_streaks(groups, ends)) == want and want
 
 
 def test_retries(spark, log):
     """Over five batches each retry is told once, with the times of the batch twin."""
     short = stream(spark, log).withColumn("unit_key", F.concat("unit_key", F.lit("/"), F.floor(F.col("attempt_id") / 70).cast("string")))
-    out, state = folds.run_fold(short, folds.retry_step(), folds.RETRY_STATE)
+    out = told(spark, stateful.retries_due(short))
     table = spark.read.parquet(log).withColumn("unit_key", F.concat("unit_key", F.lit("/"), F.floor(F.col("attempt_id") / 70).cast("string")))
     clock = table.agg(F.max("started_us")).first()[0]
     due = ledger.retry_schedule(table).where("NOT terminal")
-    assert rows(out, "unit_key", "failures", "due_us") == rows(due.where(F.col("due_us") <= clock), "unit_key", "failures", "due_us")
-    assert rows(state.where("retry IS NOT NULL"), "unit_key", "due_us") == rows(due.where(F.col("due_us") > clock), "unit_key", "due_us") and out.count() > 10
+    assert rows(out, "unit_key", "failures", "due_us") == rows(due.where(F.col("due_us") <= clock), "unit_key", "failures", "due_us") and out.count() > 10
 
 
 def test_barrier(spark, log):
     """A group waits for members that the log has not shown yet, and is told once."""
     table = spark.read.parquet(log)
     members = table.select("unit_key", F.col("repository").alias("group_id")).distinct().union(spark.createDataFrame([("never", "r9"), ("u1", "r9")], "a string, b string"))
-    out, _ = folds.run_fold(stream(spark, log), folds.barrier_step(["a"], members), folds.BARRIER_STATE)
-    assert rows(out) == [("r0", 4), ("r1", 4)]
+    assert rows(told(spark, stateful.group_barrier(stream(spark, log), ["a"], members))) == [("r0", 4), ("r1", 4)]
 
 
-def test_current_state_and_rates(spark, log):
-    root = scratch(spark)
-    q = jobs.to_table(jobs.current_state(stream(spark, log)), root)
-    q.awaitTermination()
-    assert rows(spark.read.parquet(f"{root}/out/{q.lastProgress['batchId']}")) == rows(ledger.current_state(spark.read.parquet(log)))
+def test_keyed_sink_writes_what_changed(spark, log):
+    """Each batch leaves its changed keys only; a merged table and later batches give the same result."""
+    out = jobs.current_state(stream(spark, log))
+    root, got = latest(spark, out, "unit_key")
+    want = rows(ledger.current_state(spark.read.parquet(log)))
+    assert rows(got.drop("batch")) == want
+    sizes = {r.batch: r["count"] for r in spark.read.parquet(f"{root}/out").groupBy("batch").count().collect()}
+    assert len(sizes) == 5 and max(sizes.values()) <= 8
+    base = jobs.merged(spark, root, out.schema, ["unit_key"], scratch(spark))
+    assert rows(jobs.keyed(spark, root, out.schema, ["unit_key"], base).drop("batch")) == want
+    old = base.withColumn("batch", F.lit(1).cast("bigint")).withColumn("state", F.lit("old"))
+    assert "old" not in {r.state for r in jobs.keyed(spark, root, out.schema, ["unit_key"], old.where("unit_key = 'u0'")).collect()}
+
+
+def test_rates(spark, log):
     root = scratch(spark)
     s = jobs.attempt_rates(stream(spark, log).withColumn("started_at", F.timestamp_micros("started_us")))
     jobs.to_parquet(s, root).awaitTermination()
