@@ -22,7 +22,7 @@ facts AS (SELECT p.*, coalesce(kept, 0) AS kept, coalesce(held, 0) AS held, coal
     coalesce(unassigned, 0) AS unassigned, coalesce(other_row_reasons, 0) AS other_row_reasons, coalesce(own_rows_dropped, 0) AS own_rows_dropped, coalesce(low, 0) AS low,
     coalesce(f.flags, []) AS flags, coalesce(q.questions, []) AS questions, coalesce(c.children, 0) AS children
   FROM payload p LEFT JOIN per USING (unit_id) LEFT JOIN (SELECT unit_id, list(DISTINCT code) AS flags FROM flag GROUP BY 1) f USING (unit_id)
-  LEFT JOIN (SELECT unit_id, list(DISTINCT code) AS questions FROM question GROUP BY 1) q USING (unit_id)
+  LEFT JOIN (SELECT unit_id, list(DISTINCT code) FILTER (code IS NOT NULL) AS questions FROM question GROUP BY 1) q USING (unit_id)
   LEFT JOIN (SELECT unit_id, count(DISTINCT child_key) AS children FROM child GROUP BY 1) c USING (unit_id)),
 fx AS (SELECT *, list_intersect(flags, {BLOCK} || CASE WHEN skill_version = '1.2.9' THEN ['declared_technical_disputed'] ELSE [] END) AS block FROM facts)"""
 FACT_SHAPES = ("payload", "item", "flag", "question", "child")

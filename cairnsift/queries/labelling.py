@@ -205,7 +205,7 @@ def x_placeholder(t: Tables):
 @query("x_child", "item", "child", sql="""
 SELECT * FROM (WITH i AS (SELECT unit_id, sample_id AS item_id, CASE WHEN role = 'blank' THEN NULL WHEN ion_mode = 'positive' THEN 'pos' WHEN ion_mode = 'negative' THEN 'neg' ELSE 'both' END AS child_key FROM item WHERE reason IS NULL)
 SELECT 'X-CHILD' AS check_id, unit_id, item_id AS subject, 'in_no_child' AS message FROM i WHERE child_key IS NULL AND unit_id IN (SELECT unit_id FROM child)
-UNION ALL SELECT DISTINCT 'X-CHILD', unit_id, child_key, 'no_such_child' FROM i WHERE child_key IS NOT NULL AND (unit_id, child_key) NOT IN (SELECT (unit_id, child_key) FROM child))""")
+UNION ALL SELECT DISTINCT 'X-CHILD', unit_id, child_key, 'no_such_child' FROM i WHERE child_key IS NOT NULL AND (unit_id, child_key) NOT IN (SELECT (unit_id, child_key) FROM child WHERE child_key IS NOT NULL))""")
 def x_child(t: Tables):
     key = F.when(F.col("role") != "blank", F.when(F.col("ion_mode") == "positive", "pos").when(F.col("ion_mode") == "negative", "neg").otherwise("both"))
     return spec.child_keys(t["item"].where("reason IS NULL").select("unit_id", F.col("sample_id").alias("item_id"), key.alias("child_key")), t["child"])

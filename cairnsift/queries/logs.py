@@ -109,10 +109,10 @@ def u6(t: Tables):
 
 @query("i20_latest_readings", "doc", "transition", sql="""
 SELECT doc_id AS id, coalesce(v.verdict, 'open') AS verdict, coalesce(v.readings, 0) AS readings FROM doc LEFT JOIN (
-  SELECT d.digest, max_by(tr.to_state, tr.seq) AS verdict, count(*) AS readings FROM transition tr JOIN doc d ON d.doc_id = tr.user_id AND tr.k < 90 GROUP BY 1) v ON v.digest = doc.digest""")
+  SELECT tr.digest, max_by(tr.to_state, tr.seq) AS verdict, count(*) AS readings FROM (SELECT CASE WHEN x.k < 90 THEN y.digest ELSE 'none' END AS digest, x.to_state, x.seq FROM transition x JOIN doc y ON y.doc_id = x.user_id) tr GROUP BY 1) v ON v.digest = doc.digest""")
 def i20(t: Tables):
     d = t["doc"].select(F.col("doc_id").alias("id"), "digest")
-    readings = t["transition"].where("k < 90").join(d, F.col("user_id") == F.col("id")).select("digest", "seq", F.col("to_state").alias("verdict"))
+    readings = t["transition"].join(d, F.col("user_id") == F.col("id")).select(F.when(F.col("k") < 90, F.col("digest")).otherwise("none").alias("digest"), "seq", F.col("to_state").alias("verdict"))
     return logs.latest_readings(readings, d)
 
 

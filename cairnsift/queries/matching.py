@@ -36,12 +36,12 @@ FROM {rows} r LEFT JOIN names n ON lower({duck.base('r.' + name)}) = n.name LEFT
 def item_listing(d: Dialect) -> str:
     """The listing the decision documents rest on: part files in supplier folders, some in two encodings."""
     return f"""
-SELECT concat('run', {d.text('l_suppkey')}, '/f', {d.text('l_partkey')},
+SELECT CASE WHEN l_discount >= 0.08 THEN concat('notes/n', {d.text('l_orderkey')}, '.txt') ELSE concat('run', {d.text('l_suppkey')}, '/f', {d.text('l_partkey')},
               CASE WHEN l_quantity > 25 THEN '_pos' WHEN l_quantity > 10 THEN '_neg_C18_DIA' ELSE '' END,
               CASE WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN '.mzXML' WHEN l_linestatus = 'O' THEN '.raw'
-                   WHEN l_returnflag = 'N' THEN '.zip' ELSE '.mzXML' END) AS path,
+                   WHEN l_returnflag = 'N' THEN '.zip' ELSE '.mzXML' END) END AS path,
        cast(l_quantity AS bigint) * 1000 AS size, upper(lpad(hex(l_partkey * 64 + cast(l_quantity AS bigint)), 8, '0')) AS crc32
-FROM {d.table('lineitem')} WHERE l_discount < 0.08"""
+FROM {d.table('lineitem')}"""
 
 
 ITEM_KEYS = f"""keyed AS (
@@ -152,9 +152,9 @@ def j9(t: Tables):
 def arm(d: Dialect) -> str:
     """Member sets of arms: per customer segment and nation pair, the size classes of the parts ordered."""
     return f"""
-SELECT DISTINCT l_returnflag AS scope, concat('U', {d.text('l_suppkey')}) AS unit_id, concat('m', {d.text('cast(l_quantity AS int)')}) AS key,
+SELECT DISTINCT l_returnflag AS scope, concat('U', {d.text('l_suppkey')}) AS unit_id, CASE WHEN l_extendedprice < 1500 THEN concat('m', {d.text('cast(l_quantity AS int)')}) ELSE 'rest' END AS key,
        CASE WHEN l_suppkey < 40 THEN 'positive' WHEN l_suppkey < 95 THEN 'negative' ELSE 'unknown' END AS ion
-FROM {d.table('lineitem')} WHERE l_extendedprice < 1500"""
+FROM {d.table('lineitem')}"""
 
 
 @query("j10_polarity_partner", "arm", sql="""

@@ -42,14 +42,14 @@ def _values(rows) -> str:
 def worded(d: Dialect) -> str:
     return f"""
 SELECT concat('run', {d.text('l_suppkey')}, w.txt) AS name, w.acq, w.lev, w.prod, w.problem, l_orderkey, l_linenumber
-FROM {d.table('lineitem')} JOIN {_values(WORDS)} AS w(q, txt, acq, lev, prod, problem) ON cast(l_quantity AS int) = w.q"""
+FROM {d.table('lineitem')} JOIN {_values(WORDS)} AS w(q, txt, acq, lev, prod, problem) ON (cast(l_quantity AS int) - 1) % {len(WORDS)} + 1 = w.q"""
 
 
 @shape("method_text")
 def method_text(d: Dialect) -> str:
     return f"""
 SELECT w.txt, w.tok, w.spelled, l_suppkey, l_orderkey, l_linenumber, l_returnflag
-FROM {d.table('lineitem')} JOIN {_values(METHODS)} AS w(q, txt, tok, spelled) ON cast(l_quantity AS int) = w.q"""
+FROM {d.table('lineitem')} JOIN {_values(METHODS)} AS w(q, txt, tok, spelled) ON (cast(l_quantity AS int) - 1) % {len(METHODS)} + {METHODS[0][0]} = w.q"""
 
 
 @query("f1_norm_path", "listing", sql=f"SELECT DISTINCT path, {duck.norm('path')} AS norm FROM listing")

@@ -37,24 +37,24 @@ def u1(t: Tables):
 
 @query("p2_select_named", "unit", sql=f"""
 SELECT w.unit_id, CASE WHEN u.unit_id IS NULL THEN 'unknown' WHEN {DECLARED} THEN 'declared' WHEN {UNKNOWN} THEN 'acquisition_unknown' ELSE 'outside' END AS found
-FROM (SELECT DISTINCT concat('U', l_orderkey + l_suppkey) AS unit_id FROM lineitem WHERE l_quantity = 1) w LEFT JOIN unit u USING (unit_id)""")
+FROM (SELECT DISTINCT concat('U', l_orderkey + l_suppkey) AS unit_id FROM lineitem) w LEFT JOIN unit u USING (unit_id)""")
 def p2(t: Tables):
-    wanted = t["lineitem"].where("l_quantity = 1").select(F.concat(F.lit("U"), F.col("l_orderkey") + F.col("l_suppkey")).alias("unit_id"))
+    wanted = t["lineitem"].select(F.concat(F.lit("U"), F.col("l_orderkey") + F.col("l_suppkey")).alias("unit_id"))
     return planning.select_named(t["unit"], wanted)
 
 
-PRIOR_SQL = """prior AS (SELECT concat('U', l_orderkey) AS unit_id, CASE WHEN l_tax < 0.02 THEN NULL WHEN l_tax < 0.06 THEN 'c1' ELSE 'c2' END AS campaign_id,
-  CASE WHEN l_linestatus = 'O' THEN 'done' ELSE 'failed' END AS state FROM lineitem WHERE l_quantity <= 3),
+PRIOR_SQL = """prior AS (SELECT concat('U', l_orderkey) AS unit_id, CASE WHEN l_quantity > 3 THEN 'c1' WHEN l_tax < 0.02 THEN NULL WHEN l_tax < 0.06 THEN 'c1' ELSE 'c2' END AS campaign_id,
+  CASE WHEN l_quantity <= 3 AND l_linestatus = 'O' THEN 'done' ELSE 'failed' END AS state FROM lineitem),
 reop AS (SELECT concat('U', o_orderkey) AS unit_id FROM orders WHERE o_orderpriority = '1-URGENT'),
 wsr AS (SELECT unit_id, CASE WHEN bool_or(campaign_id IS NULL) THEN 'preexisting_workspace' WHEN bool_or(campaign_id IS NOT NULL AND NOT
   coalesce(campaign_id = 'c1' AND (state = 'failed' OR (state = 'done' AND unit_id IN (SELECT unit_id FROM reop))), false)) THEN 'campaign_workspace' END AS workspace_reason FROM prior GROUP BY 1)"""
 
 
 def prior(t: Tables):
-    li = t["lineitem"].where("l_quantity <= 3")
+    li, old = t["lineitem"], F.col("l_quantity") <= 3
     p = li.select(F.concat(F.lit("U"), "l_orderkey").alias("unit_id"),
-                  F.when(F.col("l_tax") < 0.02, F.lit(None)).when(F.col("l_tax") < 0.06, "c1").otherwise("c2").alias("campaign_id"),
-                  F.when(F.col("l_linestatus") == "O", "done").otherwise("failed").alias("state"))
+                  F.when(~old, "c1").when(F.col("l_tax") < 0.02, F.lit(None)).when(F.col("l_tax") < 0.06, "c1").otherwise("c2").alias("campaign_id"),
+                  F.when(old & (F.col("l_linestatus") == "O"), "done").otherwise("failed").alias("state"))
     reopen = t["orders"].where("o_orderpriority = '1-URGENT'").select(F.concat(F.lit("U"), "o_orderkey").alias("unit_id"))
     return p, reopen
 
@@ -104,7 +104,7 @@ def fragmentation(t: Tables):
     u = t["unit"].select("unit_id", F.col("accession").alias("study_id"), "instrument",
                          F.when((F.col("o_orderstatus") == "F") & (F.col("price_cents") < 500000), "EAD run").otherwise("HCD").alias("label"))
     rf = t["raw_file"]
-    evidence = rf.where("l_quantity = 1").select("unit_id", F.lit("study title").alias("field"), F.lit("EAD of lipids").alias("value"))
+    evidence = rf.select("unit_id", F.lit("study title").alias("field"), F.when(F.col("l_quantity") == 1, "EAD of lipids").otherwise("lipids").alias("value"))
     attributes = F.create_map(
         F.when(F.col("l_quantity") == 30, "Fragmentation method").otherwise("Extract name"),
         F.when(F.col("l_quantity").isin(30, 31), F.lit("B7_EAD_2")).otherwise(F.lit("plain")), F.lit("Instrument"), F.lit("EAD box"))
@@ -122,12 +122,12 @@ def p5(t: Tables):
 
 
 @query("j8_files_of_stated_rows", "raw_file", sql="""
-SELECT DISTINCT r.unit_id, r.path FROM raw_file r JOIN (SELECT DISTINCT unit_id, concat('S', l_linenumber) AS sample_id, path FROM raw_file WHERE l_quantity > 45) s
+SELECT DISTINCT r.unit_id, r.path FROM raw_file r JOIN (SELECT DISTINCT unit_id, CASE WHEN l_quantity > 45 THEN concat('S', l_linenumber) ELSE 'none' END AS sample_id, CASE WHEN l_quantity > 45 THEN path ELSE 'none' END AS path FROM raw_file) s
   ON r.unit_id = s.unit_id AND (s.sample_id = concat('S', r.l_linenumber) OR lower(s.path) = lower(r.path) OR regexp_replace(lower(s.path), '\\.[^.]*$', '') = regexp_replace(lower(r.path), '\\.[^.]*$', '')
    OR lower(r.path) = regexp_replace(lower(s.path), '\\.[^.]*$', '') OR regexp_replace(lower(r.path), '\\.[^.]*$', '') = lower(s.path))""")
 def j8(t: Tables):
     rf = t["raw_file"].withColumn("sample_id", F.concat(F.lit("S"), "l_linenumber"))
-    return planning.stated_file_matches(rf.select("unit_id", "path", "sample_id"), rf.where("l_quantity > 45").select("unit_id", "sample_id", F.col("path").alias("raw_file")))
+    return planning.stated_file_matches(rf.select("unit_id", "path", "sample_id"), rf.select("unit_id", F.when(F.col("l_quantity") > 45, F.col("sample_id")).otherwise("none").alias("sample_id"), F.when(F.col("l_quantity") > 45, F.col("path")).otherwise("none").alias("raw_file")))
 
 
 def planned(t: Tables):

@@ -138,37 +138,37 @@ FROM {d.table('lineitem')}"""
 
 @shape("flag")
 def flag(d: Dialect) -> str:
-    """Flags of the documents, from the cheap line items."""
+    """Flags of the documents; those of dear line items say nothing."""
     return f"""
 SELECT DISTINCT concat('U', {d.text('l_orderkey')}) AS unit_id,
-       CASE WHEN l_tax = 0 THEN 'shared_content' WHEN l_tax = 0.01 THEN 'polarity_switching' WHEN l_tax = 0.02 THEN 'ms1_only'
+       CASE WHEN l_quantity > 10 THEN 'seen_before' WHEN l_tax = 0 THEN 'shared_content' WHEN l_tax = 0.01 THEN 'polarity_switching' WHEN l_tax = 0.02 THEN 'ms1_only'
             WHEN l_tax = 0.03 THEN 'mixed_acquisition' WHEN l_tax = 0.04 THEN 'name_token_disputed'
             WHEN l_tax = 0.05 THEN 'declared_technical_disputed' WHEN l_tax = 0.06 THEN 'ms1_only_excluded'
             ELSE 'targeted_dda' END AS code,
        CASE WHEN l_linestatus = 'O' THEN 'confirmed' ELSE 'suspected' END AS certainty
-FROM {d.table('lineitem')} WHERE l_quantity <= 10"""
+FROM {d.table('lineitem')}"""
 
 
 @shape("question")
 def question(d: Dialect) -> str:
     return f"""
 SELECT DISTINCT concat('U', {d.text('l_orderkey')}) AS unit_id,
-       CASE WHEN l_tax < 0.03 THEN 'polarity_switching' WHEN l_tax < 0.05 THEN 'shared_content'
+       CASE WHEN l_quantity <= 45 THEN NULL WHEN l_tax < 0.03 THEN 'polarity_switching' WHEN l_tax < 0.05 THEN 'shared_content'
             ELSE 'no_signal' END AS code
-FROM {d.table('lineitem')} WHERE l_quantity > 45"""
+FROM {d.table('lineitem')}"""
 
 
 @shape("child")
 def child(d: Dialect) -> str:
-    """Children of a unit and the members they name."""
+    """Children of a unit and the members they name; rows without a child name a member only."""
     return f"""
-SELECT concat('U', {d.text('l_orderkey')}) AS unit_id, CASE WHEN l_quantity > 25 THEN 'pos' ELSE 'neg' END AS child_key,
+SELECT concat('U', {d.text('l_orderkey')}) AS unit_id, CASE WHEN l_tax >= 0.05 THEN NULL WHEN l_quantity > 25 THEN 'pos' ELSE 'neg' END AS child_key,
        CASE WHEN l_quantity > 25 THEN 'positive' ELSE 'negative' END AS ion_mode,
        CASE WHEN l_quantity > 25 THEN 'DDA' ELSE 'DIA' END AS acquisition_mode,
        concat('run', {d.text('l_suppkey')}, '/f', {d.text('l_partkey')},
               CASE WHEN l_quantity > 25 THEN '_pos' WHEN l_quantity > 10 THEN '_neg_C18_DIA' ELSE '' END,
               CASE WHEN l_linestatus = 'O' THEN '.raw' ELSE '.mzXML' END) AS member_path
-FROM {d.table('lineitem')} WHERE l_tax < 0.05"""
+FROM {d.table('lineitem')}"""
 
 
 @shape("share")

@@ -22,9 +22,9 @@ FROM {d.table('part')}"""
 def s_claim(d: Dialect) -> str:
     return f"""
 SELECT concat('k', {d.text('l_partkey')}) AS url_key, concat('U', {d.text('l_orderkey + CASE WHEN l_tax = 0 THEN 1000000 ELSE 0 END')}) AS unit_id,
-       CASE WHEN l_returnflag = 'A' THEN 'materialized' WHEN l_returnflag = 'N' THEN 'pending' ELSE 'released' END AS state,
+       CASE WHEN l_quantity > 12 THEN 'released' WHEN l_returnflag = 'A' THEN 'materialized' WHEN l_returnflag = 'N' THEN 'pending' ELSE 'released' END AS state,
        CASE WHEN l_linestatus = 'O' THEN NULL WHEN l_discount >= 0.1 THEN 'gone' ELSE concat('o', {d.text('l_partkey')}) END AS object_id, {d.us('l_shipdate')} AS opened_us
-FROM {d.table('lineitem')} WHERE l_quantity <= 12"""
+FROM {d.table('lineitem')}"""
 
 
 @shape("s_index")
