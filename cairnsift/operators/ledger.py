@@ -288,3 +288,13 @@ def attempt_rates(attempts: DataFrame, size_us: int, slide_us: int) -> DataFrame
     starts = F.sequence(first, F.floor(F.col("started_us") / slide_us) * slide_us, F.lit(slide_us).cast("bigint"))
     return attempts.select("step", "outcome", F.explode(starts).alias("window_us")).groupBy("window_us", "step", "outcome").agg(
         F.count(F.lit(1)).alias("n"))
+
+
+def transfer_stats(downloads: DataFrame) -> DataFrame:
+    """Per repository: finished downloads, their bytes, what was transferred, fetched anew and served from the store.
+
+    ``downloads(repository, group_id, bytes, fetched, refetched)`` of finished downloads."""
+    return downloads.groupBy("repository").agg(
+        F.count(F.lit(1)).alias("finished"), F.sum("bytes").alias("bytes"), F.sum(F.when(F.col("fetched"), F.col("bytes"))).alias("transferred_bytes"),
+        F.count_if("fetched").alias("objects_fetched"), F.count_if("refetched").alias("objects_refetched"), F.count_if(~F.col("fetched")).alias("cache_hits"),
+        F.count_distinct("group_id").alias("distinct_objects"))

@@ -54,6 +54,22 @@ class Lineage:
         settled = F.col("p").isNull()
         self.nodes = reach.select("id", F.when(settled, F.col("root")).alias("root"), F.when(settled, F.col("depth")).alias("depth"), (~settled).alias("cyclic"))
 
+    def gathered(self, marks: DataFrame) -> DataFrame:
+        """Per decision on no cycle, the codes that it or any decision it supersedes carries: ``id``, ``codes``.
+
+        ``marks(id, code)``, codes from a closed list. Each round doubles how far up a decision has looked and adds what the
+        decision there had gathered, so marks travel along the pointers and never meet askers in pairs."""
+        own = marks.groupBy(F.col("id").alias("_m")).agg(F.collect_set("code").alias("_own"))
+        free = self.nodes.where("NOT cyclic").select("id")
+        none = F.array().cast("array<string>")
+        at = cut_lineage(free.join(own, F.col("id") == F.col("_m"), "left").select("id", F.coalesce("_own", none).alias("codes")))
+        for jump in self.jumps:
+            up = jump.where("up IS NOT NULL").select(F.col("id").alias("_i"), F.col("up").alias("_u"))
+            there = at.select(F.col("id").alias("_t"), F.col("codes").alias("_codes"))
+            told = up.join(there, F.col("_u") == F.col("_t")).select("_i", "_codes")
+            at = cut_lineage(at.join(told, F.col("id") == F.col("_i"), "left").select("id", F.array_union("codes", F.coalesce("_codes", none)).alias("codes")))
+        return at
+
     def ancestors(self, pairs: DataFrame, node: str, other: str) -> DataFrame:
         """Pairs whose ``other`` is ``node`` itself or one it supersedes, at any distance."""
         n = self.nodes.select(F.col("id").alias("_n"), F.col("depth").alias("_dn"), F.col("root").alias("_rn"))
@@ -111,14 +127,8 @@ def open_questions(current: DataFrame, asked: DataFrame, answers: DataFrame, lin
     """Questions and blocking flags of current decisions that no answer in their lineage settles.
 
     ``current(id)``, ``asked(id, code)``, ``answers(decision_id, code)``."""
-    nodes = lineage.nodes
     open_ = asked.join(current, "id", "left_semi").distinct()
-    roots = nodes.select(F.col("id").alias("_i"), F.col("root").alias("root"))
-    said = answers.distinct().join(roots, F.col("decision_id") == F.col("_i")).select("decision_id", "code", "root")
-    with_root = open_.join(roots, F.col("id") == F.col("_i")).select("id", "code", "root")
-    # An answer only meets decisions of its own tree that ask its code.
-    pairs = with_root.join(said, ["root", "code"]).select("id", "decision_id", "code")
-    settled = lineage.ancestors(pairs, "id", "decision_id").select("id", "code").distinct()
+    settled = lineage.gathered(answers.select(F.col("decision_id").alias("id"), "code")).select("id", F.explode("codes").alias("code"))
     return open_.join(settled, ["id", "code"], "left_anti")
 
 

@@ -329,9 +329,9 @@ def selection_entries(kept: DataFrame, listing: DataFrame) -> DataFrame:
 
 def observed_factor(observations: DataFrame, value: str) -> DataFrame:
     """The discrete 0.9 quantile of what units used, where at least five were measured (one row or none)."""
-    seen = observations.where(F.col(value) > 0).withColumn("_g", F.lit(0))
+    seen = observations.where(F.col(value) > 0)
     at = F.greatest(F.lit(0), F.ceil(F.lit(vocab.OBSERVED_QUANTILE) * F.col("_total")) - 1)
-    return rank_value(seen, ["_g"], value, at, "factor").where(F.col("n") >= vocab.OBSERVED_MINIMUM).select("factor", "n")
+    return rank_value(seen, [], value, at, "factor").where(F.col("n") >= vocab.OBSERVED_MINIMUM).select("factor", "n")
 
 
 def disk_needs(units: DataFrame, observed: DataFrame) -> DataFrame:

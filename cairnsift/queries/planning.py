@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cairnsift.functions import names, policy, text
-from cairnsift.operators import checks, planning
+from cairnsift.operators import checks, ledger, planning
 from cairnsift.queries import duck
 from cairnsift.queries.checks import FACTS, FACT_SHAPES, facts
 from cairnsift.queries.registry import Tables, query
@@ -363,10 +363,7 @@ SELECT repository, count(*) AS finished, CAST(sum(bytes) AS BIGINT) AS bytes, CA
   count(*) FILTER (k < 10) AS objects_refetched, count(*) FILTER (k >= 60) AS cache_hits, count(DISTINCT group_id) AS distinct_objects FROM d GROUP BY 1)""")
 def m5(t: Tables):
     d = t["attempt"].where("step = 'download' AND outcome = 'ok'")
-    return d.groupBy("repository").agg(
-        F.count("*").alias("finished"), F.sum("bytes").alias("bytes"), F.sum(F.when(F.col("k") < 60, F.col("bytes"))).alias("transferred_bytes"),
-        F.count_if(F.col("k") < 60).alias("objects_fetched"), F.count_if(F.col("k") < 10).alias("objects_refetched"), F.count_if(F.col("k") >= 60).alias("cache_hits"),
-        F.count_distinct("group_id").alias("distinct_objects"))
+    return ledger.transfer_stats(d.select("repository", "group_id", "bytes", (F.col("k") < 60).alias("fetched"), (F.col("k") < 10).alias("refetched")))
 
 
 @query("s16_canonical_writer", "item", sql="""

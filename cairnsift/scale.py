@@ -145,7 +145,8 @@ def rank_value(frame: DataFrame, keys: Sequence[str], value: str, position: Colu
     if bucket is None:
         bucket = F.floor(F.log2(F.abs(F.col(value)) + 1) * 64) * F.signum(F.col(value))
     run = ordered(hist, keys, [value], bucket, prior_sum={"_below": "_c"})
-    placed = run.join(totals, list(keys)).withColumn("_pos", position)
+    # Without keys the total is one row, and the border summaries are as many as there are buckets.
+    placed = (run.join(totals, list(keys)) if keys else run.crossJoin(F.broadcast(totals))).withColumn("_pos", position)
     hit = (F.col("_below") <= F.col("_pos")) & (F.col("_pos") < F.col("_below") + F.col("_c"))
     return placed.where(hit).select(*keys, F.col(value).alias(name), F.col("_total").alias("n"))
 
