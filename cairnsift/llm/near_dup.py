@@ -12,8 +12,9 @@ group's pairs are ever listed:
 1. Documents with equal sets form one class, by a 128-bit print of the set; each class is one node from then on.
 2. In each band's bucket every node is held against the bucket's least node, on full sets. Groups of copies become
    stars, and one component each.
-3. What is left are nodes of different components in one bucket. These, and only these, are held against each other, so
-   no link between components is lost.
+3. What is left are nodes of different components in one bucket. Shingles that none of the other nodes left has bound the
+   size of the sets that a node can be similar to; only nodes of different components within each other's bound are held
+   against each other. The bound is exact, so no link between components is lost.
 
 A group's least node may meet a third of all nodes: it is repeated once per ``SALT`` of them, so that no task holds a
 group. Sets are compared by 64-bit prints of the shingles. ``doc_id`` names a document: rows that share an id are of one
@@ -23,6 +24,7 @@ one id are linked. Null and empty texts have no set and link with nothing; a nul
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,7 @@ from cairnsift.session import stored
 SIZE = 160
 ROWS = 5
 SALT = 256
+BAND = 1.01  # sets whose sizes differ by less than this factor share a band of sizes
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -135,6 +138,27 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return placed.mapInArrow(run, "hub bigint, node bigint")
 
 
+def partner_sizes(nodes: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per node its set's size ``n`` and ``most``, the largest set that it can be similar to among these nodes.
+
+    Shingles that no other of the nodes has are in no intersection: with u of them, ``both <= n - u``, and a link needs
+    ``both * (100 + percent) >= percent * (n + m)``, so m is at most ``(n - u) * (100 + percent) / percent - n``. That is
+    exact, so leaving out partners beyond it loses no link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = shingle_sets(batch.column(1).to_pylist(), width)
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(signed(np.concatenate(sets)) if sets else np.zeros(0, np.int64), pa.int64())], ["node", "shingle"])
+
+    own = texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").select("doc_id", "text")
+    # Each shingle's only owner, if it has but one; combined before the shuffle.
+    owners = own.mapInArrow(run, "node bigint, shingle bigint").groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    alone = owners.where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    n = sizes.join(nodes, F.col("doc_id") == F.col("node")).groupBy("node").agg(F.max("n_shingles").alias("n")).join(alone, "node", "left")
+    most = F.floor((F.col("n") - F.coalesce("alone", F.lit(0))) * (100 + percent) / percent) - F.col("n")
+    return n.select("node", "n", F.least(most, F.floor(F.col("n") * 100 / percent)).cast("bigint").alias("most"))
+
+
 def groups(documents: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``documents``: ``doc_id``, ``n_shingles``, ``component_id`` (the least id reachable over links
     of at least ``percent`` similarity) and ``kept`` (whether the id is its component's). Ids are integers."""
@@ -173,16 +197,29 @@ def linked(rows: DataFrame, known: DataFrame, width: int, percent: int, same: Da
     settled = stored(components(links, "hub", "node"))
 
     placed = shared.join(settled, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"), F.col("component").isNull().alias("lone"))
-    parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"), F.bool_and("lone").alias("lone"))
-    mixed_keys = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-    rest = stored(placed.join(mixed_keys, "key"))
+    halves = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    mixed_rows = stored(placed.join(halves, "key"))
+    reach = stored(partner_sizes(mixed_rows.select("node").distinct(), real.select("doc_id", "n_shingles"), texts, width, percent))
+    able = mixed_rows.join(reach, "node")
+    least = able.groupBy("key").agg(F.min("n").alias("least"))
+    # A node that even the smallest set of its bucket is too large for has no partner there.
+    rest = stored(able.join(least, "key").where("most >= least").select("key", "node", "part", "lone", "n", "most"))
     # The smaller side of two components in a bucket is listed first, so a large one is met once per outsider.
-    kinds = parts.join(mixed_keys, "key")
-    met = kinds.join(kinds.select("key", F.col("part").alias("other"), F.col("n").alias("m"), F.col("lone").alias("lone_too")), "key").where("n < m OR (n = m AND part < other)")
+    kinds = rest.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"), F.bool_and("lone").alias("lone"), F.min("n").alias("n"), F.max("most").alias("most"))
+    theirs = kinds.select("key", *[F.col(c).alias(f"{c}_too") for c in ("part", "size", "lone", "n", "most")])
+    fits = (F.col("most") >= F.col("n_too")) & (F.col("most_too") >= F.col("n"))
+    met = kinds.join(theirs, "key").where(((F.col("size") < F.col("size_too")) | ((F.col("size") == F.col("size_too")) & (F.col("part") < F.col("part_too")))) & fits)
     # Two components of one node each are a pair already; only larger ones are taken apart by bucket.
-    lone_pairs = met.where("lone AND lone_too").select(F.col("part").alias("a"), F.col("other").alias("b")).distinct()
-    left = rest.join(met.where("NOT (lone AND lone_too)").select("key", "part", "other"), ["key", "part"]).select("key", "other", F.col("node").alias("a"))
-    across = left.join(rest.select("key", F.col("part").alias("other"), F.col("node").alias("b")), ["key", "other"])
+    lone_pairs = met.where("lone AND lone_too").select(F.col("part").alias("a"), F.col("part_too").alias("b")).distinct()
+    band = lambda n: F.floor(F.log(n) / F.lit(math.log(BAND)))
+    left = rest.join(met.where("NOT (lone AND lone_too)").select("key", "part", "part_too"), ["key", "part"]).select(
+        "key", F.col("part_too").alias("other"), F.col("node").alias("a"), "n", "most")
+    # Only sets of a size that the node can be similar to: bands of sizes are met first, then the sizes themselves.
+    there = rest.groupBy("key", F.col("part").alias("other"), band(F.col("n")).alias("band")).agg(F.max("most").alias("band_most"))
+    asked = left.join(there, ["key", "other"]).where(
+        F.col("band").between(band(F.ceil(F.col("n") * percent / 100)), band(F.col("most"))) & (F.col("band_most") >= F.col("n"))).drop("band_most")
+    right = rest.select("key", F.col("part").alias("other"), band(F.col("n")).alias("band"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"))
+    across = asked.join(right, ["key", "other", "band"]).where("most >= n_b AND most_b >= n")
     fresh_pairs = across.select("a", "b").union(lone_pairs).select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("node")).distinct().join(stars, ["hub", "node"], "left_anti")
     more = stored(confirmed(fresh_pairs, texts, width, percent).distinct())
     if same is None:
