@@ -10,7 +10,8 @@ from cairnsift.queries.registry import TABLES
 
 ROOT = "/root/testdata/sf0.001"
 SAMPLE = ("s2_listing_index", "f12_token_acquisition", "j1_resolve", "j5_belongs_to_other", "a15_content_groups", "t_status", "p3_exclusion_reasons", "a22_download_groups",
-          "w6_retry_schedule", "j18_lineage", "a6_concordance", "r1_apply_groups", "i6_w12_order_agreement", "store_objects", "e1_accession_verdict")
+          "w6_retry_schedule", "j18_lineage", "a6_concordance", "r1_apply_groups", "i6_w12_order_agreement", "store_objects", "e1_accession_verdict", "c0_check_grid", "t_dup", "d1_file_scan", "d_triage", "s16_canonical_writer", "x_references",
+          "store_changed_members", "g3_stale_holder_stream", "t_tools_transcript")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(ROOT), reason="no driver tables here")
 
