@@ -30,7 +30,13 @@ def archive_findings(listing: DataFrame, items: DataFrame) -> DataFrame:
 
 def accession_verdict(listing: DataFrame, items: DataFrame, units: DataFrame) -> DataFrame:
     """Verdict per unit and accession over the archive findings. ``units(unit_id, accession)``: the units that rest on
-    their accession's listing; its loose members count in the accession's own row."""
+    their accession's listing; its loose members count in the accession's own row. A listing without the column is that of
+    the one accession that the units name."""
+    if not set(SCOPE) <= set(listing.columns):
+        named = units.agg(F.min("accession").alias("least"), F.max("accession").alias("most")).first()
+        if named.least != named.most:
+            raise ValueError("a listing for several accessions must say whose each member is")
+        listing = listing.withColumn("accession", F.lit(named.least))
     owned = items.join(units.select("unit_id", *SCOPE).distinct(), "unit_id")
     found = stored(archive_findings(listing, owned))
     per = checks.verdict(found.where("unit_id IS NOT NULL").drop(*SCOPE), units)
