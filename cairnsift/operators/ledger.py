@@ -43,11 +43,12 @@ def recent_attempts(attempts: DataFrame, steps: list[str], n: int) -> DataFrame:
 def outage_streaks(attempts: DataFrame) -> DataFrame:
     """Groups whose downloads failed on the network since their repository's last download that finished.
 
-    Only closed attempts count. A download that was blocked because its unit was excluded after fetch and extraction
+    Only closed attempts count (a log without ``ended_us`` has no others). A download that was blocked because its unit was excluded after fetch and extraction
     (``excluded``) delivered every byte and has finished, too. A failure of another kind ends a repository's run; a group
     that failed before it and has not downloaded since is left out. All of it is conditional maxima: no repository's
     attempts are ever sorted in one place, and the ends, one row per repository, are joined to sums per group."""
-    a = attempts.where(F.col("step").isin("download", "download_start") & F.col("ended_us").isNotNull())
+    closed = F.col("ended_us").isNotNull() if "ended_us" in attempts.columns else F.lit(True)
+    a = attempts.where(F.col("step").isin("download", "download_start") & closed)
     failed = F.col("outcome").isin("failed", "stalled", "fault")
     net = failed & (F.col("network") == 1)
     excluded = F.col("excluded") if "excluded" in attempts.columns else F.lit(False)
