@@ -53,11 +53,20 @@ def decoded(content: Column) -> Column:
     return F.regexp_replace(text, "^﻿", "")
 
 
+def _relative(root: str) -> Column:
+    return below(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), root)
+
+
+def _whole(spark: SparkSession, root: str, which: Column) -> DataFrame:
+    """Files as one row each; ``which`` reads ``_metadata.file_path`` alone, so other files are left out of the listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).where(which)
+    return files.select(_relative(root).alias("relative_path"), "content")
+
+
 def _rows(spark: SparkSession, root: str) -> DataFrame:
     """All lines of all files that are not unpacked, as bytes. The order number rises within a split."""
     raw = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(root)
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return raw.select(below(path, root).alias("relative_path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("split"),
+    return raw.select(_relative(root).alias("relative_path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("split"),
                       F.monotonically_increasing_id().alias("seq"), F.decode(F.col("value").cast("binary"), LATIN).alias("text"))
 
 
@@ -67,12 +76,12 @@ def raw_lines(spark: SparkSession, root: str) -> DataFrame:
     marked = rows.where((F.col("split") == 0) & F.substring("text", 1, 2).isin(*MARKS)).groupBy("relative_path").agg(F.min("seq").alias("seq"))
     # Only a file's first line can carry the mark; the least order number of split 0 is that line's.
     first = rows.where("split = 0").groupBy("relative_path").agg(F.min("seq").alias("seq"))
-    marked = marked.join(first, ["relative_path", "seq"], "left_semi").select("relative_path")
-    kept = rows.join(marked, "relative_path", "left_anti")
-    whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    whole = whole.select(below(F.col("path"), root).alias("relative_path"), "content")
-    packed = whole.where(F.col("relative_path").rlike(PACKED)).select("relative_path", "content")
-    wide = whole.join(marked, "relative_path", "left_semi").select("relative_path", F.encode(utf16_text(F.col("content")), "UTF-8").alias("content"))
+    # The driver lists all names anyway; those of marked files are some of them.
+    wide_names = [r[0] for r in marked.join(first, ["relative_path", "seq"], "left_semi").select("relative_path").collect()]
+    kept = rows.where(~F.col("relative_path").isin(wide_names))
+    # Spark reads a whole file before a filter on its path: only the files that are needed whole may be listed here.
+    packed = _whole(spark, root, F.col("_metadata.file_path").rlike(PACKED)).select("relative_path", "content")
+    wide = _whole(spark, root, _relative(root).isin(wide_names)).select("relative_path", F.encode(utf16_text(F.col("content")), "UTF-8").alias("content"))
     texts = packed.union(wide).where(F.length("content") > 0)
     # A break at the end closes the last line and begins none.
     body = F.regexp_replace(F.decode("content", LATIN), r"\n\z", "")

@@ -97,3 +97,16 @@ def test_whole_files_survive_any_byte(spark, folder):
     assert got["bad16.txt"] == FILES["bad16.txt"].decode("utf-16", "replace") and got["big16.txt"] == "D:/y 😀\n"
     assert got["latin.txt"].startswith("K�se") and got["transcripts/a b+c/t.jsonl"].startswith("line one")
     assert rows(release.library_names_in(blocks.raw_lines(spark, folder))) == [("é.msp",)]
+
+
+def test_plain_files_are_never_read_whole(spark, tmp_path):
+    (tmp_path / "long.txt").write_text("line\n" * 1000)
+    (tmp_path / "wide.txt").write_bytes("x\ny".encode("utf-16"))
+    (tmp_path / "p.gz").write_bytes(gzip.compress(b"q\n"))
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "1000")
+    try:
+        found = blocks.file_lines(spark, str(tmp_path)).groupBy("relative_path").count()
+        assert rows(found) == [("long.txt", 1000), ("p.gz", 1), ("wide.txt", 2)]
+    finally:
+        spark.conf.unset(limit)
