@@ -11,6 +11,7 @@ below are closures over plain values, so that workers need nothing but pandas.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -74,34 +75,43 @@ def silent(beats: DataFrame, window_us: int, late: str = "0 seconds") -> DataFra
     return _by_key(beats.select("unit_key", "seq", "at_us"), ["unit_key"], run, "unit_key string, seq bigint, at_us bigint", "seq bigint, at_us bigint, told boolean", "at_us", late=late)
 
 
-def retries_due(attempts: DataFrame, late: str = "0 seconds") -> DataFrame:
+BUCKETS = 1 << 13
+
+
+def retries_due(attempts: DataFrame, late: str = "0 seconds", buckets: int = BUCKETS) -> DataFrame:
     """Retries as they fall due: each counted failure but the last one allowed is told once, when the newest start seen has
     passed its time. A unit remembers its counts and the retries still to fall due, which the allowed attempts bound.
 
-    ``attempts(unit_key, attempt_id, outcome, started_us, ended_us)``."""
+    Units are many and most have a row or two, so a call into Python serves a bucket of units; only attempts that count
+    reach it. ``attempts(unit_key, attempt_id, outcome, started_us, ended_us)``."""
     delays, allowed, spare = tuple(vocab.RETRY_DELAYS), vocab.MAX_ATTEMPTS, vocab.MAX_INTERRUPTIONS
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
-        failed, cut, open_ = state.get if state.exists else (0, 0, "")
-        waiting = [tuple(map(int, x.split(":"))) for x in open_.split()]
+        known, waiting = json.loads(state.get[0]) if state.exists else ([], [])
+        counts = {unit: (failed, cut) for unit, failed, cut in known}
         if not state.hasTimedOut:
             rows = pd.concat(list(batches)).sort_values("attempt_id")
-            for outcome, ended in zip(rows.outcome, rows.ended_us):
+            for unit, outcome, ended in zip(rows.unit_key, rows.outcome, rows.ended_us):
+                failed, cut = counts.get(unit, (0, 0))
                 failed += outcome == "failed"
                 cut += outcome == "interrupted"
+                counts[unit] = (failed, cut)
                 n = failed + max(0, cut - spare)
-                if (outcome == "failed" or (outcome == "interrupted" and cut > spare)) and n < allowed:
-                    waiting.append((n, int(ended) + delays[min(n, len(delays)) - 1] * 1_000_000))
+                if (outcome == "failed" or cut > spare) and n < allowed:
+                    waiting.append((unit, n, int(ended) + delays[min(n, len(delays)) - 1] * 1_000_000))
         clock = state.getCurrentWatermarkMs() * 1000
-        due = [(key[0], n, at) for n, at in waiting if at <= clock]
-        waiting = [(n, at) for n, at in waiting if at > clock]
-        state.update((int(failed), int(cut), " ".join(f"{n}:{at}" for n, at in waiting)))
+        due = [w for w in waiting if w[2] <= clock]
+        waiting = [w for w in waiting if w[2] > clock]
+        state.update((json.dumps([[(unit, int(f), int(c)) for unit, (f, c) in counts.items()], waiting]),))
         if waiting:
-            state.setTimeoutTimestamp(max(min(at for _, at in waiting) // 1000, state.getCurrentWatermarkMs() + 1))
+            state.setTimeoutTimestamp(max(min(at for _, _, at in waiting) // 1000, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(due, columns=["unit_key", "failures", "due_us"])
 
-    return _by_key(attempts.select("unit_key", "attempt_id", "outcome", "started_us", "ended_us"), ["unit_key"], run,
-                   "unit_key string, failures bigint, due_us bigint", "failed bigint, cut bigint, waiting string", "started_us", late=late)
+    # The rule on the watermark's own column keeps the filter above the watermark: every attempt moves the clock.
+    counted = F.col("outcome").isin("failed", "interrupted") | (F.col("_at") >= F.lit("9999-12-31").cast("timestamp"))
+    rows = attempts.withColumn("_at", F.timestamp_micros("started_us")).withWatermark("_at", late).where(counted)
+    return rows.select(F.pmod(F.xxhash64("unit_key"), F.lit(buckets)).alias("_bucket"), "unit_key", "attempt_id", "outcome", "ended_us", "_at").groupBy("_bucket").applyInPandasWithState(
+        run, "unit_key string, failures bigint, due_us bigint", "known string", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def group_barrier(transitions: DataFrame, passed: list[str], members: DataFrame) -> DataFrame:

@@ -84,6 +84,15 @@ def test_retries(spark, log):
     assert rows(out, "unit_key", "failures", "due_us") == rows(due.where(F.col("due_us") <= clock), "unit_key", "failures", "due_us") and out.count() > 10
 
 
+def test_retries_by_buckets(spark, log):
+    """Units that share a bucket keep their own counts; attempts that do not count still move the clock."""
+    table = spark.read.parquet(log)
+    due = ledger.retry_schedule(table).where("NOT terminal").where(F.col("due_us") <= table.agg(F.max("started_us")).first()[0])
+    want = rows(due, "unit_key", "failures", "due_us")
+    for buckets in (1, 3):
+        assert rows(told(spark, stateful.retries_due(stream(spark, log), buckets=buckets)), "unit_key", "failures", "due_us") == want
+
+
 def test_barrier(spark, log):
     """A group waits for members that the log has not shown yet, and is told once."""
     table = spark.read.parquet(log)
