@@ -17,6 +17,8 @@ def archive_findings(listing: DataFrame, items: DataFrame) -> DataFrame:
     ``listing(accession, archive, path, size, crc32)``, ``items(accession, unit_id, member_path, raw_file, reason, ...)``.
     Names, copies and loose members are those of one accession's own listing; a loose member has no unit."""
     members = stored(matching.index_members(listing, scope=SCOPE))
+    # Read three times below, with the columns that are read only.
+    items = stored(items.select(*SCOPE, "unit_id", "kind", "member_path", "raw_file", "reason"))
     loose = matching.loose_members(listing, items, SCOPE).select(*SCOPE, F.lit(None).cast("string").alias("unit_id"), F.col("member_key").alias("subject"))
     keyed = stored(matching.item_keys(items, members, SCOPE).where("reason IS NULL").select(*SCOPE, "unit_id", "key", "resolved").distinct())
     groups = duplicates.content_groups(listing, SCOPE).select(*SCOPE, F.col("member_key").alias("key")).distinct()

@@ -42,7 +42,7 @@ af AS (SELECT om.accession, 'T-MEMBER' AS check_id, 'hold' AS severity, CAST(NUL
 
 @query("e1_archive_findings", "item", "own_listing", "payload", ctes=ARCHIVE, sql="SELECT * FROM af")
 def e1_findings(t: Tables):
-    return accession.archive_findings(t.stored("own_listing"), t.stored("item").join(t["payload"].select("unit_id", "accession"), "unit_id"))
+    return accession.archive_findings(t.stored("own_listing"), t["item"].join(t["payload"].select("unit_id", "accession"), "unit_id"))
 
 
 @query("e1_accession_verdict", "item", "own_listing", "payload", ctes=ARCHIVE, sql="""
@@ -50,7 +50,7 @@ SELECT accession, unit_id, CASE WHEN errors > 0 THEN 'error' WHEN holds > 0 THEN
   SELECT p.accession, p.unit_id, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'hold') AS holds FROM payload p LEFT JOIN af a USING (unit_id) GROUP BY ALL
   UNION ALL SELECT p.accession, NULL, count(*) FILTER (severity = 'error'), count(*) FILTER (severity = 'hold') FROM (SELECT DISTINCT accession FROM payload) p LEFT JOIN af a USING (accession) GROUP BY ALL)""")
 def e1(t: Tables):
-    return accession.accession_verdict(t.stored("own_listing"), t.stored("item"), t["payload"])
+    return accession.accession_verdict(t.stored("own_listing"), t["item"], t["payload"])
 
 
 @query("t_excl_unopened", "item", "own_listing", "payload", ctes=ARCHIVE + f""",

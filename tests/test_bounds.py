@@ -73,3 +73,17 @@ def test_cycles_end_the_climb(spark):
 def test_a_size_that_is_no_number_is_unknown(spark):
     raw = spark.createDataFrame([("a", "12kB", "1"), ("b", "", "2"), ("c", "7", "3")], "path string, size string, crc32 string")
     assert rows(files.clean_listing(raw), "path", "size") == [("a", None), ("b", 0), ("c", 7)]
+
+
+def test_items_with_a_member_path_are_not_joined(spark):
+    """They are their own answer; members that are accounted for are taken out before the rest is moved."""
+    items = spark.createDataFrame([("A/x.raw", "x"), (None, "y.raw"), ("", "z")], "member_path string, raw_file string")
+    listing = spark.createDataFrame([("a/x.raw",), ("b/y.raw",), ("b/w.raw",), ("c/z.raw",)], "path string")
+    members = matching.index_members(listing)
+    keyed = matching.item_keys(items, members)
+    assert rows(keyed, "key", "resolved") == [("a/x.raw", True), ("b/y.raw", True), ("c/z.raw", True)]
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "Join" not in plan.split("+- Project")[0]
+    loose = matching.loose_members(listing, items)
+    assert rows(loose) == [("b/w.raw",)]
+    assert "Generate" not in loose._jdf.queryExecution().optimizedPlan().toString()
