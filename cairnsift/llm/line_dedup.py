@@ -5,8 +5,9 @@ an inserted or removed line moves only the borders beside it. A chunk of two or
 place (a smaller id, or earlier in the same text) is removed; occurrences are found by 64-bit hash and confirmed on
 the chunk's bytes. Repeated lines of one-line chunks and at the rims of a passage stay.
 
-With ``whole`` every two lines that follow each other are a chunk, so all lines of each run of two or more that occurs in
-an earlier place go. Two such chunks of one text that share a line are not an earlier place of each other. Occurrences
+With ``whole`` the lines of those chunks go and, where a repeated passage reaches beyond its chunks, the rest of its lines,
+too: every two lines that follow each other are compared, so all lines of each run of two or more that occurs in an
+earlier place go. Two such chunks of one text that share a line are not an earlier place of each other. Occurrences
 are found by 64-bit hash and confirmed by a second one with another seed (128 bits), so that no bytes are moved.
 
 Null texts and rows with a null id pass through unchanged, empty texts have nothing to remove. Rows that repeat both id
@@ -23,8 +24,8 @@ from cairnsift.session import stored
 PLACES = 1 << 31  # chunks of one text are numbered below this, the limit of an array
 
 
-def chunks(text: Column, divisor: int = 2) -> Column:
-    """A text as consecutive chunks of whole lines; joined by line breaks they give the text back."""
+def spans(text: Column, divisor: int = 2) -> Column:
+    """A text as consecutive chunks of whole lines with the number of the line each begins with (from 0)."""
     def ends(lines: Column) -> Column:
         def last(prints: Column) -> Column:
             rolling = lambda i: F.md5(F.concat(F.coalesce(F.get(prints, i - 2), F.lit("")), F.get(prints, i - 1)))
@@ -34,24 +35,33 @@ def chunks(text: Column, divisor: int = 2) -> Column:
 
     def cut(lines: Column) -> Column:
         return let(ends(lines), lambda e: F.transform(e, lambda end, k: let(
-            F.coalesce(F.get(e, k - 1), F.lit(0)), lambda start: F.array_join(F.slice(lines, start + 1, end - start), "\n"))))
+            F.coalesce(F.get(e, k - 1), F.lit(0)), lambda start: F.struct(start.alias("start"), F.array_join(F.slice(lines, start + 1, end - start), "\n").alias("chunk")))))
 
     return let(F.split(text, "\n", -1), cut)
 
 
-def repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = 2) -> DataFrame:
-    """The chunks to remove: ``doc_id``, ``print`` (a hash of the text) and ``ord`` (from 0)."""
+def chunks(text: Column, divisor: int = 2) -> Column:
+    """The chunks alone; joined by line breaks they give the text back."""
+    return F.transform(spans(text, divisor), lambda x: x["chunk"])
+
+
+def repeated_chunks(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", divisor: int = 2, lines: bool = False) -> DataFrame:
+    """The chunks to remove: ``doc_id``, ``print`` (a hash of the text) and ``ord`` (from 0); with ``lines``, ``ord`` are
+    the lines of these chunks."""
     cut = documents.where(F.col(doc_id).isNotNull() & F.col(text).contains("\n")).select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("print"), F.posexplode(chunks(F.col(text), divisor)).alias("ord", "chunk"))
-    cut = cut.where(F.col("chunk").contains("\n"))
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("print"), F.posexplode(spans(F.col(text), divisor)).alias("ord", "x"))
+    cut = cut.select("doc_id", "print", "ord", "x.start", "x.chunk").where(F.col("chunk").contains("\n"))
     place = F.col("doc_id").cast("decimal(38,0)") * F.lit(PLACES) + F.col("ord")
-    found = cut.select("doc_id", "print", "ord", "chunk", F.xxhash64("chunk").alias("h"), place.cast("decimal(38,0)").alias("place"))
+    found = cut.select("doc_id", "print", "ord", *(["start"] if lines else []), "chunk", F.xxhash64("chunk").alias("h"), place.cast("decimal(38,0)").alias("place"))
     # Two places or more by hash, counted before the chunks' bytes are moved.
     twice = found.groupBy("h").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last").select("h")
     # Read twice below; what is stored are the repeated chunks only.
     shared = stored(found.join(twice, "h"))
     origin = shared.groupBy("h", "chunk").agg(F.min("place").alias("first"))
     later = shared.join(origin, ["h", "chunk"]).where("place > first")
+    if lines:
+        last = F.col("start") + F.length("chunk") - F.length(F.replace("chunk", F.lit("\n"), F.lit("")))
+        return later.select("doc_id", "print", F.explode(F.sequence("start", last)).alias("ord"))
     return later.select("doc_id", "print", "ord")
 
 
@@ -78,7 +88,9 @@ def remove(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", div
     (of lines, with ``whole``)."""
     parts = F.split(F.col(text), "\n", -1) if whole else chunks(F.col(text), divisor)
     gone, key, print_, n_chunks, n_removed = fresh(documents, "_gone", "_id", "_print", "n_chunks", "n_removed")
-    found = repeated_lines(documents, doc_id, text) if whole else repeated_chunks(documents, doc_id, text, divisor)
+    found = repeated_chunks(documents, doc_id, text, divisor, lines=whole)
+    if whole:
+        found = found.select("doc_id", "print", F.col("ord").cast("int").alias("ord")).unionByName(repeated_lines(documents, doc_id, text))
     lists = found.groupBy("doc_id", "print").agg(F.array_sort(F.collect_set("ord")).alias(gone))
     lists = lists.select(F.col("doc_id").alias(key), F.col("print").alias(print_), gone)
     joined = documents.join(lists, (F.col(doc_id) == F.col(key)) & (F.xxhash64(text) == F.col(print_)), "left")

@@ -68,6 +68,19 @@ def test_line_dedup_takes_whole_runs(spark):
     assert [r.text for r in line_dedup.remove(docs(spark, *odd), whole=True).orderBy("doc_id").collect()] == ["a\na\na", "b\nc", None, "", "one"]
 
 
+def test_pipeline_cuts_chunks_by_rolling_hashes(spark, monkeypatch):
+    """The stage takes the lines of the method's chunks, and the exact pass adds the rims of the same passages."""
+    import corpus_pipeline
+    body = [f"line {i} of a passage" for i in range(12)]
+    texts = docs(spark, "\n".join(body + ["own"]), "\n".join(["other", *body, "end"]))
+    chunked = line_dedup.repeated_chunks(texts, lines=True).collect()
+    assert chunked and {(r.doc_id, r.ord) for r in chunked} <= {(r.doc_id, r.ord) for r in line_dedup.repeated_lines(texts).collect()}
+    asked, plain = [], line_dedup.repeated_chunks
+    monkeypatch.setattr(line_dedup, "repeated_chunks", lambda *a, **k: asked.append(k) or plain(*a, **k))
+    got = corpus_pipeline.line_chunks(spark, texts.withColumn("n_chars", F.length("text")), "").orderBy("doc_id").collect()
+    assert asked == [{"lines": True}] and got[1].text == "other\nend"
+
+
 def test_line_dedup_odd_tables(spark):
     extra = docs(spark, "a\nb\nc", "a\nb\nc").withColumn("_gone", F.lit(1)).withColumn("n_removed", F.lit("x"))
     out = line_dedup.remove(extra)
