@@ -16,8 +16,9 @@ has one. Consecutive windows with one name, five on average, are a unit. Then:
 3. First occurrences of units whose name has other units are compared window by window.
 
 All three steps are aggregates with partial sums and joins that can be split, so a passage that a third of all documents
-have does no harm. Names and unit or window prints, 64 bits each from different
-letter values, must agree together. Texts cross the network compressed.
+have does no harm. Names of 48 bits and unit or window prints of 64 bits, from different letter values, must agree
+together. Texts cross the network compressed. A unit's row is laid out so that what compresses lies together: the cleared
+low bits of its name, and its first window and their number in one value.
 
 ``doc_id`` orders documents; rows that share an id are one document, never earlier than each other. Where their texts
 differ, each keeps its own places: places go by the id and a hash of the text. Null and empty texts have no words; a row with a null id keeps all words. Words are what white space parts, unchanged.
@@ -38,6 +39,7 @@ from cairnsift.session import stored
 
 ROUNDS = 2
 SPAN = 5  # a name covers at least so many words, so that few names are shared by chance
+NAME_BITS = U64(0xFFFFFFFFFFFF0000)  # what of a name is shuffled
 
 
 def interior(words: np.ndarray, doc: np.ndarray, window: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -139,7 +141,7 @@ def keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 def packed(rows: DataFrame) -> DataFrame:
     """``doc_id``, ``copy`` and ``text`` with each text compressed, to be shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        small = zstandard.ZstdCompressor(level=3)
+        small = zstandard.ZstdCompressor(level=6)
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([None if t is None else small.compress(t) for t in texts_of(batch.column(2))], pa.binary())], ["doc_id", "copy", "text"])
     return rows.mapInArrow(run, "doc_id bigint, copy bigint, text binary")
@@ -157,22 +159,27 @@ def encoded(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in texts_of(column)]
 
 
-def repeated(documents: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
-    """Where repeated windows begin: ``doc_id``, ``copy`` (a hash of the text), ``start`` (word number from 0) and ``n``
-    (how many follow each other)."""
-    rows = keyed(documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()), doc_id, text)
-
-    def name_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def named_units(rows: DataFrame, window: int) -> DataFrame:
+    """The units of each text: ``name``, ``copy``, ``doc_id`` and ``place``, the first window's number plus 2^32 times the
+    number of windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             w = split(encoded(batch.column(2)))
             doc, first, n, name = passages(w, window)
             ids, copies = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(signed(name)), pa.array(ids[doc]), pa.array(copies[doc]), pa.array((first - w.first[doc]).astype(np.int32)), pa.array(n.astype(np.int32))],
-                                             ["name", "doc_id", "copy", "start", "n"])
+            place = (first - w.first[doc]).astype(np.int64) + (n.astype(np.int64) << 32)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(name & NAME_BITS)), pa.array(copies[doc]), pa.array(ids[doc]), pa.array(place)], ["name", "copy", "doc_id", "place"])
 
-    found = rows.mapInArrow(name_units, "name bigint, doc_id bigint, copy bigint, start int, n int")
+    return rows.mapInArrow(run, "name bigint, copy bigint, doc_id bigint, place bigint")
+
+
+def repeated(documents: DataFrame, window: int, doc_id: str, text: str) -> DataFrame:
+    """Where repeated windows begin: ``doc_id``, ``copy`` (a hash of the text), ``start`` (word number from 0) and ``n``
+    (how many follow each other)."""
+    rows = keyed(documents.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()), doc_id, text)
+    found = named_units(rows, window)
     shared = found.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("name")
-    places = found.join(shared, "name").groupBy("doc_id", "copy").agg(F.collect_list(F.struct("start", "n", "name")).alias("units"))
+    places = found.join(shared, "name").groupBy("doc_id", "copy").agg(F.collect_list(F.struct("name", "place")).alias("units"))
 
     def print_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -181,7 +188,8 @@ def repeated(documents: DataFrame, window: int, doc_id: str, text: str) -> DataF
             lists = batch.column(3)
             owner = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths()))
             unit = lists.flatten()
-            start, n, name = (unit.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            name, place = (unit.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            start, n = (place & 0xFFFFFFFF).astype(np.int32), (place >> 32).astype(np.int32)
             at = w.first[owner] + start
             whole = spans.of(at, n + window - 1)
             inner = np.repeat(at - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else at, n) + np.arange(n.sum())

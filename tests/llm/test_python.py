@@ -55,6 +55,16 @@ def test_windows_are_named_by_their_words_alone():
                 assert seen.setdefault(tuple(own[k: k + width]), name) == name
 
 
+def test_substring_dedup_rows_of_units_are_short(spark):
+    """The name's cleared low bits and one value for first window and number are what a unit's row saves on disk."""
+    texts = [" ".join(random.Random(k).choices(["ab", "cd", "ef", "gh"], k=90)) for k in range(3)]
+    rows = substring_dedup.named_units(substring_dedup.keyed(docs(spark, *texts), "doc_id", "text"), 13).collect()
+    w = substring_dedup.split([t.encode() for t in texts])
+    want = {(int(d), int(first - w.first[d]), int(n)) for d, first, n, _ in zip(*substring_dedup.passages(w, 13))}
+    assert {(r.doc_id, r.place & 0xFFFFFFFF, r.place >> 32) for r in rows} == want
+    assert rows[0].__fields__ == ["name", "copy", "doc_id", "place"] and all(r.name & 0xFFFF == 0 for r in rows)
+
+
 def test_substring_dedup_odd_tables(spark):
     long = " ".join(map(str, range(20)))
     frame = docs(spark, long, long, long).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
