@@ -159,53 +159,65 @@ def forward(p: dict[str, np.ndarray], inputs: np.ndarray, fresh: np.ndarray, sta
     return out, trace
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def softmax(x: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of each row's ``slot``, and all probabilities, which take the place of ``x``."""
+    at = np.arange(len(x))
+    x -= x.max(axis=1, keepdims=True)
+    chosen = x[at, slot]
+    np.exp(x, out=x)
+    total = x.sum(axis=1, keepdims=True)
+    x /= total
+    return chosen - np.log(total[:, 0]), x
 
 
 def outputs(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list]:
     """Natural log probability of each target's class and, for named tokens, of the token within it."""
-    one = np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
     classes, _, per = p["word"].shape
     kind = np.where(target < len(p["inputs"]) - 2, target // per, classes)
-    by_class = log_softmax(one @ p["class"])
-    logp = by_class[np.arange(len(h)), kind]
-    within = []
+    # Rows of one class lie together, so that each class is one slice.
     order = np.argsort(kind, kind="stable")
-    border = np.searchsorted(kind[order], np.arange(classes + 1))
+    one = np.concatenate([h[order], np.ones((len(h), 1), h.dtype)], axis=1)
+    kind, slot = kind[order], target[order] - kind[order] * per
+    logp, by_class = softmax(one @ p["class"], kind)
+    within = []
+    border = np.searchsorted(kind, np.arange(classes + 1)).tolist()
     for k in range(classes):
-        at = order[border[k]: border[k + 1]]
-        if len(at):
-            by_word = log_softmax(one[at] @ p["word"][k])
-            slot = target[at] - k * per
-            logp[at] += by_word[np.arange(len(at)), slot]
-            within.append((k, at, slot, by_word))
-    return logp, [one, kind, by_class, within]
-
-
-def backward(p, inputs, fresh, trace, target, kept, saved) -> dict[str, np.ndarray]:
-    """Gradients of the mean log probability over one window."""
-    one, kind, by_class, within = saved
+        cut = slice(border[k], border[k + 1])
+        if cut.start < cut.stop:
+            more, by_word = softmax(one[cut] @ p["word"][k], slot[cut])
+            logp[cut] += more
+            within.append((k, cut, slot[cut], by_word))
+    out = np.empty_like(logp)
+    out[order] = logp
+    return out, [one, kind, by_class, within, order]
+
+
+def ahead(d: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
+    """The gradient of the mean log probability of ``slot``, in the place of the probabilities."""
+    d *= -1 / n
+    d[np.arange(len(d)), slot] += 1 / n
+    return d
+
+
+def climb(p: dict[str, np.ndarray], inputs, fresh, trace, target, kept, saved, step) -> None:
+    """Gradients of the mean log probability over one window, part by part: ``step(key, rows, gradient)``. A part's
+    weights are not read any more once it is told, so ``step`` may change them."""
+    one, kind, by_class, within, order = saved
     n = max(1, len(target))
-    # Zeros that are never written take no memory.
-    g = {k: np.zeros(v.shape, v.dtype) for k, v in p.items()}
-    d = -np.exp(by_class)
-    d[np.arange(len(d)), kind] += 1
-    d /= n
-    g["class"] = one.T @ d
+    d = ahead(by_class, kind, n)
     dh_out = d @ p["class"][:HIDDEN].T
-    for k, at, slot, by_word in within:
-        d = -np.exp(by_word)
-        d[np.arange(len(at)), slot] += 1
-        d /= n
-        g["word"][k] = one[at].T @ d
-        dh_out[at] += d @ p["word"][k][:HIDDEN].T
-    dh_all = np.zeros((*inputs.shape, HIDDEN), np.float32)
-    dh_all[kept] = dh_out
-    carry = np.zeros((inputs.shape[1], HIDDEN), np.float32)
+    step("class", slice(None), one.T @ d)
+    for k, cut, slot, by_word in within:
+        d = ahead(by_word, slot, n)
+        dh_out[cut] += d @ p["word"][k][:HIDDEN].T
+        step("word", k, one[cut].T @ d)
+    back_at = np.empty_like(dh_out)
+    back_at[order] = dh_out
+    dh_all = np.zeros((*inputs.shape, HIDDEN), dh_out.dtype)
+    dh_all[kept] = back_at
+    carry = np.zeros((inputs.shape[1], HIDDEN), dh_out.dtype)
     gates, candidate = p["state"][:, : 2 * HIDDEN], p["state"][:, 2 * HIDDEN:]
-    dx_all = np.empty((*inputs.shape, 3 * HIDDEN), np.float32)
+    dx_all = np.empty((*inputs.shape, 3 * HIDDEN), dh_out.dtype)
     to_gates, to_candidate = np.ascontiguousarray(gates.T), np.ascontiguousarray(candidate.T)
     for t in range(len(inputs) - 1, -1, -1):
         h, z, r, c = trace[t]
@@ -221,21 +233,40 @@ def backward(p, inputs, fresh, trace, target, kept, saved) -> dict[str, np.ndarr
     flat = dx_all.reshape(-1, 3 * HIDDEN)
     before = np.concatenate([h for h, _, _, _ in trace])
     gated = np.concatenate([r * h for h, _, r, _ in trace])
-    g["state"][:, : 2 * HIDDEN] = before.T @ flat[:, : 2 * HIDDEN]
-    g["state"][:, 2 * HIDDEN:] = gated.T @ flat[:, 2 * HIDDEN:]
+    step("state", slice(None), np.concatenate([before.T @ flat[:, : 2 * HIDDEN], gated.T @ flat[:, 2 * HIDDEN:]], axis=1))
     # Padding carries no gradient, as nothing after it does.
     # Sums by token: rows in token order, one sum per run.
     order = np.argsort(inputs.ravel(), kind="stable")
     tokens_, first = np.unique(inputs.ravel()[order], return_index=True)
-    g["inputs"][tokens_] = np.add.reduceat(flat[order], first, axis=0)
+    step("inputs", tokens_, np.add.reduceat(flat[order], first, axis=0))
+
+
+def backward(p, inputs, fresh, trace, target, kept, saved) -> dict[str, np.ndarray]:
+    """Gradients of the mean log probability over one window, all in whole arrays."""
+    g = {k: np.zeros(v.shape, v.dtype) for k, v in p.items()}
+
+    def told(key: str, rows, part: np.ndarray) -> None:
+        g[key][rows] = part
+
+    climb(p, inputs, fresh, trace, target, kept, saved, told)
     return g
 
 
 def train(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], texts: list[np.ndarray]) -> None:
     """One pass over some documents by adaptive gradient steps, in place."""
-    classes, names = len(p["word"]), len(p["inputs"]) - 2
-    lanes = laid(texts, TRAIN_LANES, names)
+    lanes = laid(texts, TRAIN_LANES, len(p["inputs"]) - 2)
     state = np.zeros((lanes.inputs.shape[1], HIDDEN), np.float32)
+
+    def step(key: str, rows, g: np.ndarray) -> None:
+        # Only the rows that have a gradient are read and written; one class at a time stays in the processor's cache.
+        seen = squares[key][rows]
+        seen += g * g
+        g *= RATE
+        g /= np.sqrt(seen + np.float32(1e-6))
+        if isinstance(rows, np.ndarray):
+            squares[key][rows] = seen
+        p[key][rows] += g
+
     for at in range(0, len(lanes.inputs), WINDOW):
         cut = slice(at, at + WINDOW)
         inputs, targets, fresh = lanes.inputs[cut], lanes.targets[cut], lanes.fresh[cut]
@@ -245,13 +276,7 @@ def train(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], texts: list[
         hidden, trace = forward(p, inputs, fresh, state)
         state = hidden[-1]
         _, saved = outputs(p, hidden[kept], targets[kept])
-        # Tokens and classes that the window lacks have no gradient.
-        met = {"inputs": np.unique(inputs), "word": np.unique(saved[1][saved[1] < classes])}
-        for k, g in backward(p, inputs, fresh, trace, targets[kept], kept, saved).items():
-            at_ = met.get(k, slice(None))
-            g = g[at_]
-            squares[k][at_] += g * g
-            p[k][at_] += RATE * g / np.sqrt(squares[k][at_] + 1e-6)
+        climb(p, inputs, fresh, trace, targets[kept], kept, saved, step)
 
 
 def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
@@ -320,6 +345,13 @@ def most_frequent(counts: DataFrame, known: int) -> DataFrame:
     return counts.where(step >= least) if least is not None else counts.limit(0)
 
 
+def gathered(rows: DataFrame) -> DataFrame:
+    """The training rows in as many partitions as train at a time, or an eighth of what there are where that is more.
+    Each partition sends one network, so this and not the number of files decides how many are sent, and each network
+    trains on more."""
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // 8))
+
+
 def listed(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.float32()))
 
@@ -343,14 +375,15 @@ def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
     """Averaged weights after ``passes`` passes, each over its own share of the training documents."""
     names = lexicon.value.names
-    flat = start(lexicon.value.counts[:names], lexicon.value.rest)
+    flat: np.ndarray | None = None
     kept = rows.where(~held_out(F.col("doc_id")))
     for turn in range(passes):
         share = kept.where(F.pmod(F.xxhash64("doc_id"), F.lit(passes)) == turn).select("text")
-        begin = rows.sparkSession.sparkContext.broadcast(flat.copy())
+        # The first weights follow from the lexicon, which every task has.
+        begin = None if flat is None else rows.sparkSession.sparkContext.broadcast(flat)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            p = unpacked(begin.value, names)
+            p = unpacked(start(lexicon.value.counts[:names], lexicon.value.rest) if begin is None else begin.value, names)
             squares = {k: np.full_like(v, 1e-3) for k, v in p.items()}
             held: list[np.ndarray] = []
             seen = size = 0
@@ -369,11 +402,14 @@ def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
                 for k in range(0, len(whole), BLOCK):
                     yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), listed(whole[k: k + BLOCK]), pa.array([float(seen)])], ["k", "weights", "n"])
 
-        parts = share.mapInArrow(run, "k int, weights array<float>, n double")
+        parts = gathered(share).mapInArrow(run, "k int, weights array<float>, n double")
+        flat = start(lexicon.value.counts[:names], lexicon.value.rest) if flat is None else flat.copy()
         for row in parts.repartition("k").sortWithinPartitions("k").mapInArrow(averaged, "k int, weights array<float>").toLocalIterator():
             at = row["k"] * BLOCK
             flat[at: at + BLOCK] = row["weights"]
-    return flat
+        if begin is not None:
+            begin.destroy()
+    return start(lexicon.value.counts[:names], lexicon.value.rest) if flat is None else flat
 
 
 def scored(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", known: int = KNOWN, passes: int = PASSES) -> DataFrame:

@@ -261,6 +261,12 @@ def test_probabilities_sum_to_one():
     assert np.exp(logp).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_networks_sent_follow_the_cores(spark):
+    """One network a partition: many files are few networks."""
+    many = docs(spark, *[f"text {k}" for k in range(100)]).repartition(64)
+    assert language_model.gathered(many).rdd.getNumPartitions() <= max(spark.sparkContext.defaultParallelism, 8)
+
+
 def test_scores_do_not_depend_on_lanes():
     p = language_model.unpacked(language_model.start())
     rng = np.random.default_rng(4)
