@@ -105,13 +105,23 @@ def acquisition_modes(inputs: DataFrame, sanctioned: dict[str, str]) -> DataFram
     return inputs.select("unit_id", "key", status.alias("status"))
 
 
+def side(tag: str, *keys: str) -> Column:
+    """Keeps the rows of two frames apart where a key is null, as a join would: null equals nothing."""
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    return F.when(null, tag)
+
+
 def energy_sets(declared: DataFrame, executed: DataFrame) -> DataFrame:
     """Energies per input, declared against executed: missing, extra, and zero targets. All ``(unit_id, key, energy)``."""
-    d = declared.select("unit_id", "key", "energy").distinct().withColumn("_d", F.lit(True))
-    e = executed.select("unit_id", "key", "energy").distinct().withColumn("_e", F.lit(True))
-    both = d.join(e, ["unit_id", "key", "energy"], "full_outer")
+    keys = ["unit_id", "key", "energy"]
+    d = declared.select(*keys, side("d", *keys).alias("_side"), F.lit(1).alias("_m"))
+    e = executed.select(*keys, side("e", *keys).alias("_side"), F.lit(2).alias("_m"))
+    # One aggregate in place of a join, so a task sorts and holds neither side.
+    both = d.unionByName(e).groupBy(*keys, "_side").agg(F.bit_or("_m").alias("_m"))
     return both.groupBy("unit_id", "key").agg(
-        F.count_if(F.col("_e").isNull()).alias("missing"), F.count_if(F.col("_d").isNull()).alias("extra"), F.count_if(F.col("energy") <= 0).alias("zero"))
+        F.count_if(F.col("_m") == 1).alias("missing"), F.count_if(F.col("_m") == 2).alias("extra"), F.count_if(F.col("energy") <= 0).alias("zero"))
 
 
 def encoding_choice(files: DataFrame, key: list[str]) -> DataFrame:
@@ -141,12 +151,12 @@ def conversion_sources(outputs: DataFrame, sources: DataFrame) -> DataFrame:
 def partition_check(parent: DataFrame, parts: DataFrame, scope: str, path: str) -> DataFrame:
     """Parts cover the parent exactly once, paths compared in one form: missing, extra and repeated per scope."""
     n = names.member_key(path)
-    p = parent.select(scope, n.alias("k")).groupBy(scope, "k").agg(F.count(F.lit(1)).alias("np"))
-    q = parts.select(scope, n.alias("k")).groupBy(scope, "k").agg(F.count(F.lit(1)).alias("nq"))
-    both = p.join(q, [scope, "k"], "full_outer")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return both.groupBy(scope).agg(F.sum(F.greatest(z("np") - z("nq"), F.lit(0))).alias("missing"), F.sum(F.greatest(z("nq") - z("np"), F.lit(0))).alias("extra"),
-                                   F.count_if(z("nq") > 1).alias("repeated"))
+    one, none, p, q = F.lit(1).cast("bigint"), F.lit(0).cast("bigint"), F.col("np"), F.col("nq")
+    told = lambda rows, tag, np, nq: rows.select(scope, n.alias("k")).select(scope, "k", side(tag, scope, "k").alias("_side"), np.alias("np"), nq.alias("nq"))
+    # One aggregate in place of a join, so a task sorts and holds neither side.
+    both = told(parent, "p", one, none).unionByName(told(parts, "q", none, one)).groupBy(scope, "k", "_side").agg(F.sum("np").alias("np"), F.sum("nq").alias("nq"))
+    return both.groupBy(scope).agg(F.sum(F.greatest(p - q, F.lit(0))).alias("missing"), F.sum(F.greatest(q - p, F.lit(0))).alias("extra"),
+                                   F.count_if(q > 1).alias("repeated"))
 
 
 def parameter_check(used: DataFrame, measured: DataFrame, known: Sequence[str]) -> DataFrame:
