@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cairnsift import vocab
 from cairnsift.functions import names, policy, text, tokens
 from cairnsift.scale import components, global_rank, rank_value
+from cairnsift.session import stored
 
 
 def in_pool(pool: str) -> Column:
@@ -158,9 +159,9 @@ def objects(files: DataFrame) -> DataFrame:
     return with_url.groupBy("object_id", "unit_id").agg(F.max("kind").alias("kind"), F.max("size_bytes").alias("size"))
 
 
-def object_sizes(uses: DataFrame) -> DataFrame:
+def object_sizes(uses: DataFrame, *more: Column) -> DataFrame:
     return uses.groupBy("object_id").agg(F.max("kind").alias("kind"), F.coalesce(F.max("size"), F.lit(0)).alias("known_bytes"),
-                                         F.max("size").isNotNull().alias("size_known"), F.count(F.lit(1)).alias("consumers"))
+                                         F.max("size").isNotNull().alias("size_known"), F.count(F.lit(1)).alias("consumers"), *more)
 
 
 def unit_objects(uses: DataFrame) -> DataFrame:
@@ -181,14 +182,16 @@ def archive_too_small(planned: DataFrame) -> Column:
 def download_groups(uses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Units connected by shared objects: ``(unit_id, group_id)`` and one row per group.
 
-    Only edges of objects with several consumers can join units; the rest are groups of one."""
-    multi = uses.groupBy("object_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("object_id")
+    Only edges of objects with several consumers can join units; the rest are groups of one. ``uses`` is read several
+    times, so a caller stores it."""
+    sizes = stored(object_sizes(uses, F.min("unit_id").alias("first_unit")))
+    multi = sizes.where("consumers > 1").select("object_id")
     edges = uses.join(multi, "object_id", "left_semi").select(F.concat(F.lit("u:"), "unit_id").alias("a"), F.concat(F.lit("v:"), "object_id").alias("b"))
     found = components(edges, "a", "b").where(F.col("node").startswith("u:")).select(
         F.substr(F.col("node"), F.lit(3)).alias("unit_id"), F.substr(F.col("component"), F.lit(3)).alias("group_id"))
-    units = uses.select("unit_id").distinct().join(found, "unit_id", "left").select("unit_id", F.coalesce("group_id", "unit_id").alias("group_id"))
-    sizes = object_sizes(uses)
-    placed = uses.select("object_id", "unit_id").join(units, "unit_id").select("object_id", "group_id").distinct().join(sizes, "object_id")
+    units = stored(uses.select("unit_id").distinct().join(found, "unit_id", "left").select("unit_id", F.coalesce("group_id", "unit_id").alias("group_id")))
+    # All units of an object are of one group, so any of them places it.
+    placed = sizes.where("object_id IS NOT NULL").join(units, F.col("first_unit") == F.col("unit_id"))
     by_object = placed.groupBy("group_id").agg(
         F.count(F.lit(1)).alias("object_count"), F.sum("known_bytes").alias("known_bytes"), F.count_if(~F.col("size_known")).alias("unknown_size_objects"),
         F.count_if(F.col("consumers") > 1).alias("shared_object_count"))

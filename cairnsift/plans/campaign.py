@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cairnsift.operators import ledger, planning
-from cairnsift.session import cut_lineage
+from cairnsift.session import cut_lineage, stored
 
 
 def plan(units: DataFrame, files: DataFrame, readings: DataFrame, pools: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -25,7 +25,7 @@ def plan(units: DataFrame, files: DataFrame, readings: DataFrame, pools: list[st
     excluded = judged.where("reason IS NOT NULL").select("unit_id", "pool", "reason").unionByName(
         decided.where("late IS NOT NULL").select("unit_id", "pool", F.col("late").alias("reason")))
     included = decided.where("late IS NULL")
-    placed, groups = planning.download_groups(uses.join(included.select("unit_id"), "unit_id", "left_semi"))
+    placed, groups = planning.download_groups(stored(uses.join(included.select("unit_id"), "unit_id", "left_semi")))
     return planning.plan_order(included.join(placed, "unit_id"), groups), excluded
 
 

@@ -9,7 +9,7 @@ from cairnsift.operators import checks, ledger, planning
 from cairnsift.queries import duck
 from cairnsift.queries.checks import FACTS, FACT_SHAPES, facts
 from cairnsift.queries.registry import Tables, query
-from cairnsift.session import scratch
+from cairnsift.session import scratch, stored
 from cairnsift.sources import canonical, files
 
 DECLARED = "separation = 'LC-MS' AND acquisition_mode IN ('DDA', 'DIA', 'AIF', 'SWATH') AND (untargeted IS NULL OR untargeted <> 0) AND ion_mode IN ('Positive', 'Negative', 'Both')"
@@ -213,14 +213,14 @@ gs AS (SELECT gr.*, n AS unit_count FROM gr JOIN (SELECT group_id, count(*) AS n
 
 @query("a22_download_groups", "raw_file", ctes=GROUPS, recursive=True, sql="SELECT * FROM gs")
 def a22(t: Tables):
-    return planning.download_groups(uses(t))[1]
+    return planning.download_groups(stored(uses(t)))[1]
 
 
 @query("w9_plan_order", "raw_file", "unit", ctes=GROUPS, recursive=True, sql="""
 SELECT unit_id, ug.group_id, row_number() OVER (ORDER BY unknown_size_objects > 0, CASE WHEN unknown_size_objects > 0 THEN object_count ELSE known_bytes END, known_bytes, object_count, ug.group_id, repository, accession, unit_id) - 1 AS order_index
 FROM ug JOIN gs USING (group_id) JOIN unit USING (unit_id)""")
 def w9(t: Tables):
-    units, groups = planning.download_groups(uses(t))
+    units, groups = planning.download_groups(stored(uses(t)))
     placed = units.join(t["unit"].select("unit_id", "repository", "accession"), "unit_id")
     return planning.plan_order(placed, groups).select("unit_id", "group_id", "order_index")
 
@@ -228,7 +228,7 @@ def w9(t: Tables):
 @query("j17_group_siblings", "raw_file", ctes=GROUPS, recursive=True, sql="""
 SELECT unit_id, group_id, count(*) OVER (PARTITION BY group_id) - count(*) OVER (PARTITION BY group_id, substr(unit_id, 1, 3)) AS siblings FROM ug""")
 def j17(t: Tables):
-    units, _ = planning.download_groups(uses(t))
+    units, _ = planning.download_groups(stored(uses(t)))
     return planning.group_siblings(units.withColumn("parent", F.substring("unit_id", 1, 3)))
 
 
@@ -236,7 +236,7 @@ def j17(t: Tables):
 SELECT u.unit_id, u.object_id FROM uses u JOIN ug USING (unit_id) JOIN payload p USING (unit_id) WHERE p.status <> 'excluded'
 AND EXISTS (SELECT 1 FROM ug g JOIN payload q USING (unit_id) WHERE g.group_id = ug.group_id AND g.unit_id <> u.unit_id AND q.status = 'ready')""")
 def m4(t: Tables):
-    units, _ = planning.download_groups(uses(t))
+    units, _ = planning.download_groups(stored(uses(t)))
     p = t["payload"].select("unit_id", "status")
     state = units.join(p, "unit_id").withColumn("downloads", F.col("status") != "excluded")
     return planning.claims_to_make(p.where("status = 'ready'"), state, uses(t))
@@ -300,7 +300,7 @@ def r8(t: Tables):
 @query("r9_ledger_seed", "raw_file", "unit", ctes=GROUPS, recursive=True, sql="""
 SELECT unit_id AS unit_key, ug.group_id AS download_group_id, uo.known_bytes, uo.unknown_size_objects = 0 AS size_known, has_archive, 'pending' AS state FROM ug JOIN uo USING (unit_id)""")
 def r9(t: Tables):
-    u = uses(t)
+    u = stored(uses(t))
     units, groups = planning.download_groups(u)
     plan = units.join(planning.unit_objects(u), "unit_id").join(t["unit"].select("unit_id", "repository", "accession"), "unit_id")
     ordered = planning.plan_order(plan.withColumn("size_known", F.col("unknown_size_objects") == 0), groups)
