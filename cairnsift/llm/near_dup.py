@@ -12,9 +12,9 @@ group's pairs are ever listed:
 1. Documents with equal sets form one class, by a 128-bit print of the set; each class is one node from then on.
 2. In each band's bucket every node is held against the bucket's least node, on full sets. Groups of copies become
    stars, and one component each.
-3. What is left are nodes of different components in one bucket. Shingles that none of the other nodes left has bound the
-   size of the sets that a node can be similar to; only nodes of different components within each other's bound are held
-   against each other. The bound is exact, so no link between components is lost.
+3. What is left are nodes of different components in one bucket. Each is taken as its difference from what most nodes of
+   the bucket's largest component have, and only nodes that share enough of a difference are held against each other
+   (``likely``). The filter is exact, so no link between components is lost.
 
 A group's least node may meet a third of all nodes: it is repeated once per ``SALT`` of them, so that no task holds a
 group. Sets are compared by 64-bit prints of the shingles. ``doc_id`` names a document: rows that share an id are of one
@@ -24,12 +24,11 @@ one id are linked. Null and empty texts have no set and link with nothing; a nul
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cairnsift.llm.text_arrays import mixed, prints, signed, slices, split, U64
 from cairnsift.scale import components, global_rank
@@ -38,7 +37,6 @@ from cairnsift.session import stored
 SIZE = 160
 ROWS = 5
 SALT = 256
-BAND = 1.01  # sets whose sizes differ by less than this factor share a band of sizes
 
 
 def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
@@ -138,25 +136,63 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return placed.mapInArrow(run, "hub bigint, node bigint")
 
 
-def partner_sizes(nodes: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per node its set's size ``n`` and ``most``, the largest set that it can be similar to among these nodes.
-
-    Shingles that no other of the nodes has are in no intersection: with u of them, ``both <= n - u``, and a link needs
-    ``both * (100 + percent) >= percent * (n + m)``, so m is at most ``(n - u) * (100 + percent) / percent - n``. That is
-    exact, so leaving out partners beyond it loses no link."""
+def shingled(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """The sets (``node``, ``shingles``) of some documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), width)
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(signed(np.concatenate(sets)) if sets else np.zeros(0, np.int64), pa.int64())], ["node", "shingle"])
+            flat = pa.array(signed(np.concatenate(sets)) if sets else np.zeros(0, np.int64), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(s) for s in sets]), pa.int32()), flat)], ["node", "shingles"])
 
     own = texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").select("doc_id", "text")
-    # Each shingle's only owner, if it has but one; combined before the shuffle.
-    owners = own.mapInArrow(run, "node bigint, shingle bigint").groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
-    alone = owners.where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
-    n = sizes.join(nodes, F.col("doc_id") == F.col("node")).groupBy("node").agg(F.max("n_shingles").alias("n")).join(alone, "node", "left")
-    most = F.floor((F.col("n") - F.coalesce("alone", F.lit(0))) * (100 + percent) / percent) - F.col("n")
-    return n.select("node", "n", F.least(most, F.floor(F.col("n") * 100 / percent)).cast("bigint").alias("most"))
+    return own.mapInArrow(run, "node bigint, shingles array<bigint>")
+
+
+def common(places: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per ``anchor`` the shingles (``base``) that more than half of its own nodes have."""
+    own = places.where("part = anchor").select("anchor", "node")
+    sizes = own.groupBy("anchor").agg(F.count(F.lit(1)).alias("own"))
+    held = own.join(sizes, "anchor").join(sets, "node")
+    several = held.where("own > 1").select("anchor", "own", F.explode("shingles").alias("shingle"))
+    most = several.groupBy("anchor", "shingle").agg(F.count(F.lit(1)).alias("n"), F.first("own").alias("own")).where("2 * n > own")
+    return held.where("own = 1").select("anchor", F.col("shingles").alias("base")).union(most.groupBy("anchor").agg(F.collect_list("shingle").alias("base")))
+
+
+def likely(places: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of nodes of different parts at one anchor that may be similar. Every link is among them or
+    follows from some that are.
+
+    A node is taken as its difference from the anchor's base: the shingles that only one of the two has. With d and e such
+    shingles, of which c are the same ones, two sets of n and m differ in ``d + e - 2 * c``; a link needs that to be at most
+    ``(n + m) * (100 - percent) / (100 + percent)``. In terms of ``weight = d * (100 + percent) - n * (100 - percent)``:
+
+    * Weights of a sum of 0 or less are a link whatever c is. All of them are links of the anchor's lightest node, too.
+    * Other links share ``least = ceil(sum / (2 * (100 + percent)))`` of the differing shingles, so they share one that has
+      as many left, itself included, in each node's order from rare to frequent ones. Only such shingles are joined.
+
+    Copies of one text share the text and hardly the changes, so few pairs of a group meet."""
+    both = 100 + percent
+    based = places.join(common(places, sets), "anchor", "left").join(sets, "node").withColumn("base", F.coalesce("base", F.array().cast("array<bigint>")))
+    apart = based.select("anchor", "part", "node", F.size("shingles").cast("bigint").alias("n"),
+                         F.concat(F.array_except("shingles", "base"), F.array_except("base", "shingles")).alias("apart"))
+    weighed = stored(apart.withColumn("weight", F.size("apart") * both - F.col("n") * (100 - percent)))
+    light = weighed.groupBy("anchor").agg(F.min(F.struct("weight", "node", "part")).alias("light"))
+    sure = weighed.join(light, "anchor").where("light.part <> part AND weight + light.weight <= 0").select(F.col("light.node").alias("a"), F.col("node").alias("b"))
+
+    changed = weighed.where("size(apart) > 0")
+    partners = changed.groupBy("anchor").agg(F.min("weight").alias("lightest"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    least = lambda total: F.greatest(F.lit(1), F.ceil(total / (2 * both)))
+    open_ = changed.join(partners.drop("low", "high"), "anchor").withColumn("need", least(F.col("weight") + F.col("lightest"))).where("need <= size(apart)")
+    terms = open_.select("anchor", "part", "node", "weight", "need", F.explode("apart").alias("term"))
+    known = terms.groupBy("anchor", "term").agg(F.count(F.lit(1)).alias("held"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    after = Window.partitionBy("anchor", "node").orderBy(F.desc("held"), F.desc("term"))
+    asked = stored(terms.join(known.select("anchor", "term", "held"), ["anchor", "term"]).withColumn("left", F.row_number().over(after).cast("bigint")).where("left >= need"))
+    asked = asked.select("anchor", "term", "part", "node", "weight", "left")
+    told = asked.select("anchor", "term", *[F.col(c).alias(f"{c}_too") for c in ("part", "node", "weight", "left")])
+    total = F.col("weight") + F.col("weight_too")
+    met = asked.join(told, ["anchor", "term"]).where(
+        (F.col("node") < F.col("node_too")) & (F.col("part") != F.col("part_too")) & (total > 0) & (F.least("left", "left_too") >= least(total)))
+    return sure.union(met.select(F.col("node").alias("a"), F.col("node_too").alias("b")))
 
 
 def groups(documents: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,31 +232,13 @@ def linked(rows: DataFrame, known: DataFrame, width: int, percent: int, same: Da
     links = stored(confirmed(stars, texts, width, percent).distinct())
     settled = stored(components(links, "hub", "node"))
 
-    placed = shared.join(settled, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"), F.col("component").isNull().alias("lone"))
-    halves = placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-    mixed_rows = stored(placed.join(halves, "key"))
-    reach = stored(partner_sizes(mixed_rows.select("node").distinct(), real.select("doc_id", "n_shingles"), texts, width, percent))
-    able = mixed_rows.join(reach, "node")
-    least = able.groupBy("key").agg(F.min("n").alias("least"))
-    # A node that even the smallest set of its bucket is too large for has no partner there.
-    rest = stored(able.join(least, "key").where("most >= least").select("key", "node", "part", "lone", "n", "most"))
-    # The smaller side of two components in a bucket is listed first, so a large one is met once per outsider.
-    kinds = rest.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"), F.bool_and("lone").alias("lone"), F.min("n").alias("n"), F.max("most").alias("most"))
-    theirs = kinds.select("key", *[F.col(c).alias(f"{c}_too") for c in ("part", "size", "lone", "n", "most")])
-    fits = (F.col("most") >= F.col("n_too")) & (F.col("most_too") >= F.col("n"))
-    met = kinds.join(theirs, "key").where(((F.col("size") < F.col("size_too")) | ((F.col("size") == F.col("size_too")) & (F.col("part") < F.col("part_too")))) & fits)
-    # Two components of one node each are a pair already; only larger ones are taken apart by bucket.
-    lone_pairs = met.where("lone AND lone_too").select(F.col("part").alias("a"), F.col("part_too").alias("b")).distinct()
-    band = lambda n: F.floor(F.log(n) / F.lit(math.log(BAND)))
-    left = rest.join(met.where("NOT (lone AND lone_too)").select("key", "part", "part_too"), ["key", "part"]).select(
-        "key", F.col("part_too").alias("other"), F.col("node").alias("a"), "n", "most")
-    # Only sets of a size that the node can be similar to: bands of sizes are met first, then the sizes themselves.
-    there = rest.groupBy("key", F.col("part").alias("other"), band(F.col("n")).alias("band")).agg(F.max("most").alias("band_most"))
-    asked = left.join(there, ["key", "other"]).where(
-        F.col("band").between(band(F.ceil(F.col("n") * percent / 100)), band(F.col("most"))) & (F.col("band_most") >= F.col("n"))).drop("band_most")
-    right = rest.select("key", F.col("part").alias("other"), band(F.col("n")).alias("band"), F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"))
-    across = asked.join(right, ["key", "other", "band"]).where("most >= n_b AND most_b >= n")
-    fresh_pairs = across.select("a", "b").union(lone_pairs).select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("node")).distinct().join(stars, ["hub", "node"], "left_anti")
+    placed = shared.join(settled, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
+    kinds = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
+    # The largest component in a bucket is its anchor; where there is no other, nothing is left.
+    anchors = kinds.groupBy("key").agg(F.max_by("part", F.struct("size", -F.col("part"))).alias("anchor"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key", "anchor")
+    places = stored(placed.join(anchors, "key").select("anchor", "part", "node").distinct())
+    sets = stored(shingled(texts, places.select("node").distinct(), width))
+    fresh_pairs = likely(places, sets, percent).select(F.least("a", "b").alias("hub"), F.greatest("a", "b").alias("node")).distinct().join(stars, ["hub", "node"], "left_anti")
     more = stored(confirmed(fresh_pairs, texts, width, percent).distinct())
     if same is None:
         final = settled if more.isEmpty() else components(links.union(more), "hub", "node")

@@ -118,6 +118,42 @@ def test_near_duplicates_chain_beyond_their_hub(spark):
     assert {r.component_id for r in near_dup.groups(docs(spark, *texts)).collect()} == {0}
 
 
+def test_near_duplicates_meet_by_their_changes(spark):
+    """Of a group of near copies in many components, few pairs beyond the links meet, and no link between components is lost."""
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for k in range(160):
+        text = list(base)
+        for at in rng.sample(range(150), rng.randrange(2, 8)):
+            text[at] = f"x{k}-{at}"
+        if k % 20 == 19:
+            text = texts[-1].split()
+            text[k % 150] = "y"
+        texts.append(" ".join(text))
+    rows = docs(spark, *texts).select("doc_id", "text")
+    sets = [{tuple(t.split()[i:i + 4]) for i in range(147)} for t in texts]
+    links = {(a, b) for a in range(160) for b in range(a + 1, 160) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    hub = max(range(160), key=lambda k: sum(k in x for x in links))
+    part = {k: hub if k == hub or (min(k, hub), max(k, hub)) in links else k for k in range(160)}
+    assert 20 < len(set(part.values())) < 140
+    places = spark.createDataFrame([(hub, part[k], k) for k in range(160)], "anchor bigint, part bigint, node bigint")
+    met = {tuple(sorted((r.a, r.b))) for r in near_dup.likely(places, near_dup.shingled(rows, places.select("node"), 4), 80).collect()}
+    across = sum(part[a] != part[b] for a in range(160) for b in range(a))
+
+    def joined(pairs):
+        top = dict(part)
+        for _ in range(160):
+            for a, b in pairs:
+                low, high = sorted((top[a], top[b]))
+                top = {k: low if v == high else v for k, v in top.items()} if low != high else top
+        return top
+
+    crossing = {(a, b) for a, b in links if part[a] != part[b]}
+    assert crossing and joined(met & links) == joined(crossing)
+    assert 20 * len(met - links) < across
+
+
 def test_sketches_fill_and_estimate():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 1 << 62, 1000).astype(np.uint64))
