@@ -2,15 +2,17 @@
 
 Counts come from all training documents by a Spark aggregate and stay a table. The network knows by name every token of
 the lexicon that training documents have ``NAMED_FROM`` times or more, so its vocabulary grows with the input; the rest
-share one class. Its output is factored: first the class of a token from the hidden state, where named tokens are dealt
-by frequency into about as many classes as each has members, then the token within its class, from the hidden state for
-named tokens and by add-one counts for the rest, where an unseen token has one count's worth. So all probabilities sum to
-one. Biases start at the counts' shares, so that training starts from the unigram base.
-
-Training is truncated back-propagation in numpy: windows of ``WINDOW`` steps, the state carried from window to window of
-a document. Each Spark partition trains on its own training documents from the same start, and the partitions' weights
-are averaged by tokens, in ``PASSES`` passes over disjoint shares of the training documents that together cover them
-all. Scoring runs every document from its first token to its end with the state carried throughout.
+share one name. Gates and candidates of the hidden state follow from the token read, so that whole windows are worked out
+at once and only the state itself goes step by step. The output is a mixture: the hidden state gives the shares of
+``KINDS`` kinds of text, and each kind has a distribution over all named tokens and the rest; within the rest, add-one
+counts decide, where an unseen token has one count's worth. So all probabilities sum to one. The kinds' distributions
+start from the counts' shares, so that training starts from the unigram base.
+
+Training is truncated back-propagation in numpy for the network and expected counts for the kinds: windows of ``WINDOW``
+steps, the state carried from window to window of a document. Each Spark partition trains on its own training documents
+from the same start, and the partitions' weights are averaged by tokens, in ``PASSES`` passes over disjoint shares of the
+training documents that together cover them all; weights are sent as the upper half of their 32 bits, rounded. Scoring
+runs every document from its first token to its end with the state carried throughout.
 
 Counts of the ``KNOWN`` most frequent tokens, a bounded table, go to every task; all other tokens of a document are
 counted by a join. A document is held out where crc32 of its id as text leaves 2 when divided by 7. Null texts count as
@@ -21,10 +23,10 @@ no training token, all tokens are unseen and the network keeps its starting weig
 from __future__ import annotations
 
 import heapq
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +43,17 @@ NAMED_FROM = 16
 HIDDEN = 32
 WINDOW = 16
 KNOWN = 200_000
-PASSES = 1
+PASSES = 2
 TRAIN_LANES = 512
 SCORE_LANES = 512
 CHUNK_TOKENS = 6_000_000
-RATE = 0.05
+RATE = 0.2
 BLOCK = 1 << 16  # weights are averaged in blocks of so many
-NEVER = -1e4
+KINDS = 32
+PRIOR = 1000.0  # the mass, in tokens, that the kinds' distributions start from
+SPREAD = 0.45
+PACES = (-4.0, 0.0)
+RUN = 8
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,14 +69,9 @@ def tokens(text: str | None) -> list[str]:
 
 
 def shapes(names: int) -> dict[str, tuple[int, ...]]:
-    """Inputs are the named tokens, one for all others, and the start of a text."""
-    per = per_class(names)
-    classes = -(-names // per)
-    return {"inputs": (names + 2, 3 * HIDDEN), "state": (HIDDEN, 3 * HIDDEN), "class": (HIDDEN + 1, classes + 1), "word": (classes, HIDDEN + 1, per)}
-
-
-def per_class(names: int) -> int:
-    return max(1, math.isqrt(max(0, names - 1)) + 1)
+    """Inputs are the named tokens, one for all others, and the start of a text; the kinds' rows are the named tokens
+    and one for all others."""
+    return {"inputs": (names + 2, 2 * HIDDEN), "class": (HIDDEN + 1, KINDS), "word": (names + 1, KINDS)}
 
 
 def unpacked(flat: np.ndarray, names: int = NET) -> dict[str, np.ndarray]:
@@ -83,19 +84,19 @@ def unpacked(flat: np.ndarray, names: int = NET) -> dict[str, np.ndarray]:
 
 
 def start(counts: np.ndarray | None = None, rest: float = 1.0) -> np.ndarray:
-    """Starting weights; ``counts`` of the named tokens and the mass of the ``rest`` give the biases."""
+    """Starting weights; ``counts`` of the named tokens and the mass of the ``rest`` give the kinds' distributions, which
+    differ by chance but together are the counts' shares."""
     names = NET if counts is None else len(counts)
     rng = np.random.default_rng(7)
-    p = {k: rng.normal(0, 0.1, s) for k, s in shapes(names).items()}
-    classes, _, per = p["word"].shape
-    share = np.zeros(classes * per)
-    share[:names] = 1 if counts is None else counts
-    share = share.reshape(classes, per)
-    if counts is not None:
-        p["class"][HIDDEN] = np.log(np.append(share.sum(axis=1), rest))
-        p["word"][:, HIDDEN] = np.log(np.maximum(share, 1))
-    # Places past the last named token stand for none.
-    p["word"].transpose(0, 2, 1)[share == 0] = np.append(np.zeros(HIDDEN), NEVER)
+    p = {k: rng.standard_normal(s, np.float32) / 10 for k, s in shapes(names).items() if k != "word"}
+    share = np.append(np.ones(names) if counts is None else counts, rest)
+    mass = 2 * rng.random((names + 1, KINDS), np.float32) - 1
+    mass -= mass.mean(axis=1, keepdims=True)
+    share *= PRIOR / share.sum() / KINDS if counts is not None else 1
+    p["word"] = share.astype(np.float32)[:, None] * (1 + SPREAD * mass)
+    # States forget at different paces at first, so that some hold a few tokens and some hundreds.
+    p["inputs"][:, :HIDDEN] += np.linspace(*PACES, HIDDEN)
+    p["class"][HIDDEN] = np.log(p["word"].sum(axis=0, dtype=np.float64))
     return np.concatenate([v.ravel() for v in p.values()]).astype(np.float32)
 
 
@@ -144,101 +145,74 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def forward(p: dict[str, np.ndarray], inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
-    """Hidden states of one window, and what the backward pass needs."""
-    h, out, trace = state, np.empty((*inputs.shape, HIDDEN), np.float32), []
-    gates, candidate = p["state"][:, : 2 * HIDDEN], p["state"][:, 2 * HIDDEN:]
+    """Hidden states of one window, and what the backward pass needs. Gates and candidates follow from the token read, so
+    only the states themselves are worked out step by step."""
+    x = p["inputs"][inputs]
+    z, c = sigmoid(x[:, :, :HIDDEN]), np.tanh(x[:, :, HIDDEN:])
+    stay = 1 - z
+    stay[fresh] = 0
+    out = z * c
+    h = state
     for t in range(len(inputs)):
-        h = np.where(fresh[t][:, None], np.float32(0), h)
-        x = p["inputs"][inputs[t]]
-        zr = sigmoid(x[:, : 2 * HIDDEN] + h @ gates)
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        c = np.tanh(x[:, 2 * HIDDEN:] + (r * h) @ candidate)
-        trace.append((h, z, r, c))
-        h = h + z * (c - h)
-        out[t] = h
-    return out, trace
-
-
-def softmax(x: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probabilities of each row's ``slot``, and all probabilities, which take the place of ``x``."""
-    at = np.arange(len(x))
-    x -= x.max(axis=1, keepdims=True)
-    chosen = x[at, slot]
-    np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
-    x /= total
-    return chosen - np.log(total[:, 0]), x
-
-
-def outputs(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list]:
-    """Natural log probability of each target's class and, for named tokens, of the token within it."""
-    classes, _, per = p["word"].shape
-    kind = np.where(target < len(p["inputs"]) - 2, target // per, classes)
-    # Rows of one class lie together, so that each class is one slice.
-    order = np.argsort(kind, kind="stable")
-    one = np.concatenate([h[order], np.ones((len(h), 1), h.dtype)], axis=1)
-    kind, slot = kind[order], target[order] - kind[order] * per
-    logp, by_class = softmax(one @ p["class"], kind)
-    within = []
-    border = np.searchsorted(kind, np.arange(classes + 1)).tolist()
-    for k in range(classes):
-        cut = slice(border[k], border[k + 1])
-        if cut.start < cut.stop:
-            more, by_word = softmax(one[cut] @ p["word"][k], slot[cut])
-            logp[cut] += more
-            within.append((k, cut, slot[cut], by_word))
-    out = np.empty_like(logp)
-    out[order] = logp
-    return out, [one, kind, by_class, within, order]
-
-
-def ahead(d: np.ndarray, slot: np.ndarray, n: int) -> np.ndarray:
-    """The gradient of the mean log probability of ``slot``, in the place of the probabilities."""
-    d *= -1 / n
-    d[np.arange(len(d)), slot] += 1 / n
-    return d
+        h = out[t] = out[t] + stay[t] * h
+    return out, [state, z, c, stay, out]
+
+
+def outputs(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray, total: np.ndarray | None = None) -> tuple[np.ndarray, list]:
+    """Natural log probability of each target under the mixture of kinds, and what the backward pass needs. ``total`` is
+    the kinds' mass, where it is known."""
+    one = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
+    mix = one @ p["class"]
+    mix -= mix.max(axis=1, keepdims=True)
+    np.exp(mix, out=mix)
+    mix /= mix.sum(axis=1, keepdims=True)
+    duty = p["word"][target]
+    duty *= (1 / (p["word"].sum(axis=0) if total is None else total)).astype(duty.dtype)
+    duty *= mix
+    chance = duty.sum(axis=1)
+    duty /= chance[:, None]
+    return np.log(chance), [one, mix, duty]
+
+
+def summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and the sums of their rows."""
+    order = np.argsort(keys, kind="stable")
+    keys, rows = keys[order], rows[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    n = np.diff(np.append(first, len(keys)))
+    out = rows[first]
+    # Long runs one by one; of short ones, all second rows, all third ones and so on.
+    for i in np.flatnonzero(n > RUN).tolist():
+        rows[first[i]: first[i] + n[i]].sum(axis=0, out=out[i])
+    some = np.flatnonzero((n > 1) & (n <= RUN))
+    for k in range(1, RUN):
+        some = some[n[some] > k]
+        out[some] += rows[first[some] + k]
+    return keys[first], out
 
 
 def climb(p: dict[str, np.ndarray], inputs, fresh, trace, target, kept, saved, step) -> None:
     """Gradients of the mean log probability over one window, part by part: ``step(key, rows, gradient)``. A part's
     weights are not read any more once it is told, so ``step`` may change them."""
-    one, kind, by_class, within, order = saved
+    one, mix, duty = saved
     n = max(1, len(target))
-    d = ahead(by_class, kind, n)
+    d = duty - mix
+    d /= n
     dh_out = d @ p["class"][:HIDDEN].T
     step("class", slice(None), one.T @ d)
-    for k, cut, slot, by_word in within:
-        d = ahead(by_word, slot, n)
-        dh_out[cut] += d @ p["word"][k][:HIDDEN].T
-        step("word", k, one[cut].T @ d)
-    back_at = np.empty_like(dh_out)
-    back_at[order] = dh_out
+    if len(target):
+        step("word", *summed(target, duty))
     dh_all = np.zeros((*inputs.shape, HIDDEN), dh_out.dtype)
-    dh_all[kept] = back_at
-    carry = np.zeros((inputs.shape[1], HIDDEN), dh_out.dtype)
-    gates, candidate = p["state"][:, : 2 * HIDDEN], p["state"][:, 2 * HIDDEN:]
-    dx_all = np.empty((*inputs.shape, 3 * HIDDEN), dh_out.dtype)
-    to_gates, to_candidate = np.ascontiguousarray(gates.T), np.ascontiguousarray(candidate.T)
-    for t in range(len(inputs) - 1, -1, -1):
-        h, z, r, c = trace[t]
-        dh = dh_all[t] + carry
-        dc = dh * z * (1 - c * c)
-        back = dc @ to_candidate
-        dz = dh * (c - h) * z * (1 - z)
-        dr = back * h * r * (1 - r)
-        dx = dx_all[t]
-        dx[:, :HIDDEN], dx[:, HIDDEN: 2 * HIDDEN], dx[:, 2 * HIDDEN:] = dz, dr, dc
-        carry = dh * (1 - z) + back * r + dx[:, : 2 * HIDDEN] @ to_gates
-        carry[fresh[t]] = 0
-    flat = dx_all.reshape(-1, 3 * HIDDEN)
-    before = np.concatenate([h for h, _, _, _ in trace])
-    gated = np.concatenate([r * h for h, _, r, _ in trace])
-    step("state", slice(None), np.concatenate([before.T @ flat[:, : 2 * HIDDEN], gated.T @ flat[:, 2 * HIDDEN:]], axis=1))
+    dh_all[kept] = dh_out
+    state, z, c, stay, out = trace
+    for t in range(len(inputs) - 2, -1, -1):
+        dh_all[t] += dh_all[t + 1] * stay[t + 1]
+    before = np.concatenate([state[None], out[:-1]])
+    before[fresh] = 0
+    dx = np.concatenate([dh_all * (c - before) * z * (1 - z), dh_all * z * (1 - c * c)], axis=2)
+    flat = dx.reshape(-1, 2 * HIDDEN)
     # Padding carries no gradient, as nothing after it does.
-    # Sums by token: rows in token order, one sum per run.
-    order = np.argsort(inputs.ravel(), kind="stable")
-    tokens_, first = np.unique(inputs.ravel()[order], return_index=True)
-    step("inputs", tokens_, np.add.reduceat(flat[order], first, axis=0))
+    step("inputs", *summed(inputs.ravel(), flat))
 
 
 def backward(p, inputs, fresh, trace, target, kept, saved) -> dict[str, np.ndarray]:
@@ -246,7 +220,11 @@ def backward(p, inputs, fresh, trace, target, kept, saved) -> dict[str, np.ndarr
     g = {k: np.zeros(v.shape, v.dtype) for k, v in p.items()}
 
     def told(key: str, rows, part: np.ndarray) -> None:
-        g[key][rows] = part
+        if key == "word":
+            g[key] -= part.sum(axis=0) / p[key].sum(axis=0) / len(target)
+            g[key][rows] += part / p[key][rows] / len(target)
+        else:
+            g[key][rows] = part
 
     climb(p, inputs, fresh, trace, target, kept, saved, told)
     return g
@@ -256,8 +234,16 @@ def train(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], texts: list[
     """One pass over some documents by adaptive gradient steps, in place."""
     lanes = laid(texts, TRAIN_LANES, len(p["inputs"]) - 2)
     state = np.zeros((lanes.inputs.shape[1], HIDDEN), np.float32)
+    total = p["word"].sum(axis=0, dtype=np.float64)
 
     def step(key: str, rows, g: np.ndarray) -> None:
+        nonlocal total
+        if key == "word":
+            # Expected counts: each kind's share of a token is added to its mass.
+            p[key][rows] += g
+            total += g.sum(axis=0, dtype=np.float64)
+            return
+        g *= n
         # Only the rows that have a gradient are read and written; one class at a time stays in the processor's cache.
         seen = squares[key][rows]
         seen += g * g
@@ -275,7 +261,8 @@ def train(p: dict[str, np.ndarray], squares: dict[str, np.ndarray], texts: list[
             break
         hidden, trace = forward(p, inputs, fresh, state)
         state = hidden[-1]
-        _, saved = outputs(p, hidden[kept], targets[kept])
+        n = np.float32(kept.sum())
+        _, saved = outputs(p, hidden[kept], targets[kept], total)
         climb(p, inputs, fresh, trace, targets[kept], kept, saved, step)
 
 
@@ -283,13 +270,14 @@ def score(p: dict[str, np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     """Natural log probability by document, the factor within the class of unnamed tokens left out."""
     lanes = laid(texts, SCORE_LANES, len(p["inputs"]) - 2)
     out = np.zeros(len(texts))
+    total = p["word"].sum(axis=0, dtype=np.float64)
     state = np.zeros((lanes.inputs.shape[1], HIDDEN), np.float32)
     for at in range(0, len(lanes.inputs), WINDOW):
         cut = slice(at, at + WINDOW)
         hidden, _ = forward(p, lanes.inputs[cut], lanes.fresh[cut], state)
         state = hidden[-1]
         kept = lanes.targets[cut] >= 0
-        logp, _ = outputs(p, hidden[kept], lanes.targets[cut][kept])
+        logp, _ = outputs(p, hidden[kept], lanes.targets[cut][kept], total)
         out += np.bincount(lanes.owner[cut][kept], logp, len(texts))
     return out
 
@@ -315,7 +303,7 @@ class Lexicon:
 
 def numbered(said: list[str], rank: dict[str, int]) -> np.ndarray:
     """Ranks of tokens, -1 for those outside the lexicon."""
-    return np.fromiter((rank.get(w, -1) for w in said), np.int32, len(said))
+    return np.fromiter(map(rank.get, said, repeat(-1)), np.int32, len(said))
 
 
 def named(ranks: np.ndarray, names: int) -> np.ndarray:
@@ -352,24 +340,34 @@ def gathered(rows: DataFrame) -> DataFrame:
     return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // 8))
 
 
-def listed(values: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, pa.float32()))
+def halved(values: np.ndarray) -> bytes:
+    """Weights by the upper half of their bits, rounded."""
+    return ((values.astype(np.float32).view(np.uint32) + np.uint32(0x8000)) >> np.uint32(16)).astype(np.uint16).tobytes()
+
+
+def whole(half: bytes) -> np.ndarray:
+    return (np.frombuffer(half, np.uint16).astype(np.uint32) << np.uint32(16)).view(np.float32)
+
+
+def sent(k: int, values: np.ndarray, *n: float) -> pa.RecordBatch:
+    more = [pa.array([x]) for x in n]
+    return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([halved(values)], pa.binary()), *more], ["k", "weights", "n"][: 2 + len(more)])
 
 
 def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Means by token of the weights' blocks, from rows in block order; one block is held at a time."""
     of, total, n = None, np.zeros(0), 0.0
     for batch in batches:
-        for k, weights, m in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-            values = weights.values.to_numpy(zero_copy_only=False).astype(np.float64)
+        for k, weights, m in zip(*(c.to_pylist() for c in batch.columns)):
+            values = whole(weights).astype(np.float64)
             if k != of:
                 if of is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([of], pa.int32()), listed(total / n)], ["k", "weights"])
+                    yield sent(of, total / n)
                 of, total, n = k, np.zeros(len(values)), 0.0
             total += values * m
             n += m
     if of is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([of], pa.int32()), listed(total / n)], ["k", "weights"])
+        yield sent(of, total / n)
 
 
 def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
@@ -384,7 +382,7 @@ def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p = unpacked(start(lexicon.value.counts[:names], lexicon.value.rest) if begin is None else begin.value, names)
-            squares = {k: np.full_like(v, 1e-3) for k, v in p.items()}
+            squares = {k: np.full_like(v, 1e-3) for k, v in p.items() if k != "word"}
             held: list[np.ndarray] = []
             seen = size = 0
             for batch in slices(batches):
@@ -398,15 +396,16 @@ def trained(rows: DataFrame, lexicon: Broadcast, passes: int) -> np.ndarray:
                 train(p, squares, held)
                 seen += size
             if seen:
-                whole = np.concatenate([v.ravel() for v in p.values()])
-                for k in range(0, len(whole), BLOCK):
-                    yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), listed(whole[k: k + BLOCK]), pa.array([float(seen)])], ["k", "weights", "n"])
+                squares.clear()
+                flat = np.concatenate([v.ravel() for v in p.values()])
+                for k in range(0, len(flat), BLOCK):
+                    yield sent(k // BLOCK, flat[k: k + BLOCK], float(seen))
 
-        parts = gathered(share).mapInArrow(run, "k int, weights array<float>, n double")
+        parts = gathered(share).mapInArrow(run, "k int, weights binary, n double")
         flat = start(lexicon.value.counts[:names], lexicon.value.rest) if flat is None else flat.copy()
-        for row in parts.repartition("k").sortWithinPartitions("k").mapInArrow(averaged, "k int, weights array<float>").toLocalIterator():
+        for row in parts.repartition("k").sortWithinPartitions("k").mapInArrow(averaged, "k int, weights binary").toLocalIterator():
             at = row["k"] * BLOCK
-            flat[at: at + BLOCK] = row["weights"]
+            flat[at: at + BLOCK] = whole(row["weights"])
         if begin is not None:
             begin.destroy()
     return start(lexicon.value.counts[:names], lexicon.value.rest) if flat is None else flat
@@ -450,7 +449,7 @@ def scored(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", kno
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 said = tokens(text)
                 ranks = numbered(said, lex.rank)
-                held.append((i, ranks, Counter(w for w, k in zip(said, ranks.tolist()) if k < 0)))
+                held.append((i, ranks, Counter(said[k] for k in np.flatnonzero(ranks < 0).tolist())))
                 size += len(ranks)
             if size >= CHUNK_TOKENS:
                 yield flush()

@@ -372,3 +372,18 @@ def test_pipeline_against_plain_steps(spark, tmp_path):
     assert set(kept[3]) == {i for i, t in kept[2].items() if ITEM not in t} and 35 not in kept[3]
     final = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in final.collect()} <= set(kept[3]) and "copy" in final.columns
+
+
+def test_network_tells_kinds_of_text_apart(spark):
+    """Two vocabularies that share no token: a text's first words tell which of them follows."""
+    rng = random.Random(8)
+    texts = [" ".join(f"{rng.choice('ab') if k == 0 else 'ab'[n % 2]}{rng.randrange(40)}" for k in range(60)) for n in range(300)]
+    got = language_model.scored(docs(spark, *texts)).where("held_out").collect()
+    # Knowing the vocabulary is worth log10(2) = 0.3 a token.
+    assert sum(r.score - r.base_score for r in got) > 0.15 * sum(r.n_tokens for r in got)
+
+
+def test_weights_are_sent_in_half_their_bits():
+    values = np.array([0.0, -3.75, 1e-9, 123456.0, 2e8], np.float32)
+    assert len(language_model.halved(values)) == 2 * len(values)
+    assert language_model.whole(language_model.halved(values)) == pytest.approx(values, rel=2 ** -8)
