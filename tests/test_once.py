@@ -78,3 +78,10 @@ def test_top_findings_does_not_store_twice(spark, monkeypatch):
     found = stored(spark.range(9).select(F.lit("T").alias("check_id"), F.lit("U").alias("unit_id"), F.col("id").cast("string").alias("subject"), F.lit("m").alias("message")))
     monkeypatch.setattr(checks, "stored", None)
     assert rows(checks.top_findings(found, 1, kept=True), "subject", "position", "total") == [("0", 1, 9)]
+
+
+def test_two_children_need_no_second_shuffle(spark):
+    children = spark.createDataFrame([("u", "a", "k"), ("u", "b", "k"), ("u", "a", "l"), ("u", "a", "l"), ("u", None, "m")], "unit_id string, child_key string, key string")
+    got = matching.child_members(spark.createDataFrame([("u", "k"), ("u", "l"), ("u", "m"), ("u", "n"), ("v", "n")], "unit_id string, key string"), children)
+    assert "distinct" not in plan(got)
+    assert rows(got) == [("u", "k", "in_two_children"), ("u", "n", "kept_in_no_child")]
