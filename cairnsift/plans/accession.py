@@ -17,12 +17,14 @@ def archive_findings(listing: DataFrame, items: DataFrame) -> DataFrame:
     ``listing(accession, archive, path, size, crc32)``, ``items(accession, unit_id, member_path, raw_file, reason, ...)``.
     Names, copies and loose members are those of one accession's own listing; a loose member has no unit."""
     members = stored(matching.index_members(listing, scope=SCOPE))
-    # Read three times below, with the columns that are read only.
-    items = stored(items.select(*SCOPE, "unit_id", "kind", "member_path", "raw_file", "reason"))
-    loose = matching.loose_members(listing, items, SCOPE).select(*SCOPE, F.lit(None).cast("string").alias("unit_id"), F.col("member_key").alias("subject"))
+    # Read three times below, with the columns that are read only; an item with a member path is known by it.
+    bare = F.when(F.coalesce(F.col("member_path"), F.lit("")) == "", F.col("raw_file"))
+    items = stored(items.select(*SCOPE, "unit_id", "member_path", bare.alias("raw_file"), "reason"))
+    # Each kind of finding is stored before the next one runs, so that the disk holds the shuffles of one only.
+    loose = stored(matching.loose_members(listing, items, SCOPE).select(*SCOPE, F.lit(None).cast("string").alias("unit_id"), F.col("member_key").alias("subject")))
     keyed = stored(matching.item_keys(items, members, SCOPE).where("reason IS NULL").select(*SCOPE, "unit_id", "key", "resolved").distinct())
-    groups = duplicates.content_groups(listing, SCOPE).select(*SCOPE, F.col("member_key").alias("key")).distinct()
-    twins = keyed.where("resolved").join(groups, [*SCOPE, "key"], "left_semi")
+    groups = stored(duplicates.content_groups(listing, SCOPE).select(*SCOPE, F.col("member_key").alias("key")))
+    twins = stored(keyed.where("resolved").join(groups, [*SCOPE, "key"], "left_semi"))
     say = lambda rows, check, level, message: rows.select(
         *SCOPE, F.lit(check).alias("check_id"), F.lit(level).alias("severity"), "unit_id", "subject", F.lit(message).alias("message"))
     return checks.run_checks([

@@ -85,3 +85,13 @@ def test_two_children_need_no_second_shuffle(spark):
     got = matching.child_members(spark.createDataFrame([("u", "k"), ("u", "l"), ("u", "m"), ("u", "n"), ("v", "n")], "unit_id string, key string"), children)
     assert "distinct" not in plan(got)
     assert rows(got) == [("u", "k", "in_two_children"), ("u", "n", "kept_in_no_child")]
+
+
+def test_archive_findings_are_stored_by_kind(spark):
+    listing = spark.createDataFrame([("A", "x.raw", "AA", 4096), ("A", "b/x.raw", "AA", 4096), ("A", "c/y.raw", "BB", 4096)], "accession string, path string, crc32 string, size bigint")
+    items = spark.createDataFrame([("A", "u", None, "x.raw", None), ("A", "u", "b/x.raw", "other.raw", None), ("A", "u", None, "gone.raw", None)],
+                                  "accession string, unit_id string, member_path string, raw_file string, reason string")
+    got = accession.archive_findings(listing.where(F.col("path").rlike("raw")), items)
+    text = plan(got)
+    assert "Join" not in text and "Aggregate" not in text and "RLIKE" not in text.upper()
+    assert rows(got, "unit_id", "subject", "message") == [("u", "b/x.raw", "byte_identical"), ("u", "raw:gone", "unresolved"), ("u", "x.raw", "byte_identical"), (None, "c/y.raw", "loose_member")]
