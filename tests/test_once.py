@@ -95,3 +95,23 @@ def test_archive_findings_are_stored_by_kind(spark):
     text = plan(got)
     assert "Join" not in text and "Aggregate" not in text and "RLIKE" not in text.upper()
     assert rows(got, "unit_id", "subject", "message") == [("u", "b/x.raw", "byte_identical"), ("u", "raw:gone", "unresolved"), ("u", "x.raw", "byte_identical"), (None, "c/y.raw", "loose_member")]
+
+
+KEYED = "unit_id string, kind string, row_index bigint, key string, resolved boolean, reason string, ion_mode string, chromatography string"
+NAMED = "unit_id string, flag_no bigint, code string, row_indices array<bigint>, member_paths array<string>"
+
+
+def copies(spark):
+    keyed = spark.createDataFrame([("u", "row", 0, "a/x.raw", True, None, "positive", "RP"), ("u", "row", 1, "a/lone.raw", True, None, "positive", "RP"), ("v", "row", 0, "b/x.raw", True, None, "positive", "RP")], KEYED)
+    groups = spark.createDataFrame([("a/x.raw", "g", 2), ("b/x.raw", "g", 2)], "member_key string, group_id string, members bigint")
+    return keyed.where(F.col("key").rlike("raw")), groups
+
+
+def test_copies_read_only_items_with_twins(spark):
+    keyed, groups = copies(spark)
+    assert rows(duplicates.twin_items(keyed, groups), "unit_id", "key") == [("u", "a/x.raw"), ("v", "b/x.raw")]
+    facts = spark.createDataFrame([("u", "ready", []), ("v", "ready", [])], "unit_id string, status string, flags array<string>")
+    none = spark.createDataFrame([], NAMED)
+    got = duplicates.t_dup(facts, keyed, groups, none, none, none.select("unit_id", "code"))
+    assert "RLIKE" not in plan(got).upper() and "Join" not in plan(got)
+    assert rows(got, "unit_id", "subject", "message") == [("u", "a/x.raw", "shared_unflagged"), ("v", "b/x.raw", "shared_unflagged")]
